@@ -7,7 +7,6 @@ see README).  Every predicate is a case-insensitive substring test.
 
 from __future__ import annotations
 
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -66,17 +65,20 @@ def is_admin_name(name, patterns=ADMIN_PATTERNS_SENSITIVE) -> Column:
 def match_keyword_group(path, groups=KEYWORD_GROUPS, word_boundary: bool = False) -> Column:
     """struct(keyword_group, matched_pattern) of the first hit, in list order; null if none.
 
-    One flat CASE WHEN; ``word_boundary=True`` requires the pattern to stand
+    A lookup over a literal pattern array (a 50-branch CASE would exceed
+    the codegen method size); ``word_boundary=True`` requires the pattern to stand
     as a word (so ``hr`` no longer hits ``chrome``).
     """
     lp = F.lower(F.coalesce(F.col(path) if isinstance(path, str) else path, F.lit("")))
-    expr = None
-    for group, pats in groups:
-        for p in pats:
-            if word_boundary:
-                test = lp.rlike(r"(^|[^\p{L}\p{N}])" + re.escape(p) + r"([^\p{L}\p{N}]|$)")
-            else:
-                test = lp.contains(p)
-            val = F.struct(F.lit(group).alias("keyword_group"), F.lit(p).alias("matched_pattern"))
-            expr = F.when(test, val) if expr is None else expr.when(test, val)
-    return expr
+    flat = [(g, p) for g, pats in groups for p in pats]
+    pats = F.array(*[F.lit(p) for _, p in flat])
+    names = F.array(*[F.lit(g) for g, _ in flat])
+    if word_boundary:
+        hit = F.transform(pats, lambda p: F.regexp_like(
+            lp, F.concat(F.lit(r"(^|[^\p{L}\p{N}])\Q"), p, F.lit(r"\E([^\p{L}\p{N}]|$)"))))
+    else:
+        hit = F.transform(pats, lambda p: F.contains(lp, p))
+    # first hit in list order (array_position is 1-based, 0 = none)
+    idx = F.array_position(hit, True).cast("int")
+    return F.when(idx > 0, F.struct(F.try_element_at(names, idx).alias("keyword_group"),
+                                    F.try_element_at(pats, idx).alias("matched_pattern")))

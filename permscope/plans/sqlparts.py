@@ -45,3 +45,17 @@ def normalized(src: str = "aces") -> str:
     return (f"SELECT *, COALESCE(folder_path, '') AS folder, {res_name()} AS res_name, "
             f"COALESCE(ace_sid, '') AS sid, COALESCE(ace_mask, '') AS mask, "
             f"COALESCE(ace_inherited, false) AS inherited FROM {src}")
+
+
+def mask_int(col: str = "ace_mask") -> str:
+    # DuckDB's TRY_CAST reads '0x..' as hex, decimal text as decimal
+    return f"COALESCE(TRY_CAST(trim(CAST({col} AS VARCHAR)) AS BIGINT), 0)"
+
+
+def high_bitmask(col: str = "ace_mask") -> str:
+    return (f"(COALESCE(regexp_matches(CAST({col} AS VARCHAR), '(?i)full|fullcontrol|modify|write'), false)"
+            f" OR ({mask_int(col)} <> 0 AND ({mask_int(col)} & 3489660982) <> 0))")
+
+
+def ps_name(name: str = "ace_name", sid: str = "ace_sid") -> str:
+    return f"COALESCE(NULLIF(TRIM({name}), ''), NULLIF({sid}, ''), '')"
