@@ -36,10 +36,10 @@ def register(name: str, section: str, oracle: str | None = None):
     return deco
 
 
-def with_ctes(body: str, **ctes: str) -> str:
-    """``WITH name AS (sql), ... body`` for the oracle."""
+def with_ctes(body: str, recursive: bool = False, **ctes: str) -> str:
+    """``WITH [RECURSIVE] name AS (sql), ... body`` for the oracle."""
     parts = [f"{k} AS (\n{v}\n)" for k, v in ctes.items()]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body
 
 
 def fixture_ctes(*names: str) -> dict[str, str]:
@@ -56,7 +56,7 @@ def fixture_ctes(*names: str) -> dict[str, str]:
     return {n: src[n]() for n in names}
 
 
-def oracle(body: str, *fixtures: str, **extra: str) -> str:
+def oracle(body: str, *fixtures: str, recursive: bool = False, **extra: str) -> str:
     ctes = fixture_ctes(*fixtures)
     ctes.update(extra)
-    return with_ctes(body, **ctes)
+    return with_ctes(body, recursive, **ctes)
