@@ -58,25 +58,28 @@ def rule_where(rule: Rule, admins) -> str:
     return " AND ".join(conds) if conds else "true"
 
 
-def rules_oracle(rs: Ruleset, min_rank: int = 0) -> str:
+def rules_oracle(rs: Ruleset, min_rank: int = 0, src: str = "aces", fixtures=None, **ctes: str) -> str:
+    """Rule matches as DuckDB SQL over table ``src`` (a fixture name, or a
+    CTE given in ``ctes`` built on ``fixtures``)."""
     rules = [r for r in rs.rules if not r.expect_presence]
     rules = [r for r in rules if {"low": 1, "medium": 2, "high": 3}.get(r.severity.lower(), 0) >= min_rank]
     need_counts = any(r.ace_count_gt is not None or r.requires_aggregation for r in rules)
-    src = "j" if need_counts else "n"
+    tbl = "j" if need_counts else "n"
     parts = [f"SELECT {sql_quote(r.id)} AS rule_id, {sql_quote(r.severity)} AS severity, "
              f"folder AS folder_path, res_name AS ace_name, sid AS ace_sid, mask AS ace_mask, "
-             f"inherited AS ace_inherited FROM {src} WHERE {rule_where(r, rs.admin_identities)}"
+             f"inherited AS ace_inherited FROM {tbl} WHERE {rule_where(r, rs.admin_identities)}"
              for r in rules]
     body = "\nUNION ALL\n".join(parts) if parts else (
         "SELECT NULL::VARCHAR AS rule_id, NULL::VARCHAR AS severity, NULL::VARCHAR AS folder_path, "
         "NULL::VARCHAR AS ace_name, NULL::VARCHAR AS ace_sid, NULL::VARCHAR AS ace_mask, "
         "NULL::BOOLEAN AS ace_inherited WHERE false")
-    extra = {"n": S.normalized("aces")}
+    extra = dict(ctes)
+    extra["n"] = S.normalized(src)
     if need_counts:
         extra["c"] = ("SELECT folder, res_name, COUNT(*) AS dup_count, "
                       "SUM(COUNT(*)) OVER (PARTITION BY folder) AS folder_count FROM n GROUP BY folder, res_name")
         extra["j"] = "SELECT n.*, c.dup_count, c.folder_count FROM n JOIN c USING (folder, res_name)"
-    return oracle(body, "aces", **extra)
+    return oracle(body, *(fixtures if fixtures is not None else (src,)), **extra)
 
 
 @register("apply_rules", "2.11", rules_oracle(DEFAULT))
