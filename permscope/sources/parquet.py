@@ -60,7 +60,8 @@ def read_shares_csv(spark: SparkSession, path: str) -> DataFrame:
         df = spark.read.option("header", True).schema(SHARES_SCHEMA).csv(path)
         df.schema  # noqa: B018 - resolves the path
     except Exception:  # missing inventory -> empty table
-        return spark.createDataFrame([], SHARES_SCHEMA.add("row_no", T.LongType()))
+        empty = T.StructType(SHARES_SCHEMA.fields + [T.StructField("row_no", T.LongType())])
+        return spark.createDataFrame([], empty)
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in SHARES_SCHEMA.names],
                      F.monotonically_increasing_id().alias("row_no"))
 
