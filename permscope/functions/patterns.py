@@ -81,22 +81,99 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def hits(col, pattern: Pattern, ignore_case: bool = True) -> Column:
-    """Null-safe search of one pattern in a string column (false on null)."""
-    c = F.coalesce(_c(col), F.lit(""))
+def _is_literal(text: str) -> bool:
+    return text != "" and not any(ch in _REGEX_META for ch in text)
+
+
+def _literal_text(body: str) -> str | None:
+    """The literal a regex stands for, when it has no operators at all."""
+    out, i = [], 0
+    while i < len(body):
+        ch = body[i]
+        if ch == "\\":
+            if i + 1 < len(body) and not body[i + 1].isalnum():
+                out.append(body[i + 1])
+                i += 2
+                continue
+            return None
+        if ch in _REGEX_META:
+            return None
+        out.append(ch)
+        i += 1
+    return "".join(out) or None
+
+
+def _like_escape(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+
+
+def fast_form(pattern: Pattern, ignore_case: bool = True):
+    """Cheapest equivalent test, decided on the driver:
+
+    ('contains', [words]) — any literal is a substring (regex alternation of
+    literals, plain literals, ``contains`` patterns, ``*word*`` wildcards);
+    ('prefix', word) — ``^literal``; ('like', pattern) — other wildcards
+    without ``?`` become a SQL LIKE; ('regex', text) otherwise.
+    Case-insensitive literal tests compare lower-cased text.
+    """
+    t = pattern.text
     if pattern.kind == "contains":
-        if ignore_case:
-            return F.lower(c).contains(pattern.text.lower())
-        return c.contains(pattern.text)
+        return ("contains", [t])
+    if pattern.kind == "wildcard":
+        if "?" in t:
+            return ("regex", pattern.regex)
+        pieces = [x for x in t.split("*") if x != ""]
+        if len(pieces) == 1:
+            return ("contains", pieces)
+        if not pieces:
+            return ("contains", [""])
+        return ("like", "%" + "%".join(_like_escape(x) for x in pieces) + "%")
+    body = t
+    if body.startswith("(?i)"):
+        body, ignore_case = body[4:], True
+    # escaped punctuation (a backslash before a non-alphanumeric) is literal
+    plain = _literal_text(body)
+    if plain:
+        return ("contains", [plain])
+    if _is_literal(body):
+        return ("contains", [body])
+    if body.startswith("^") and _is_literal(body[1:]):
+        return ("prefix", body[1:])
+    alts = [_literal_text(a) for a in body.split("|")]
+    if len(alts) > 1 and all(alts):
+        return ("contains", alts)
+    return ("regex", t)
+
+
+def hits(col, pattern: Pattern, ignore_case: bool = True, lowered=None) -> Column:
+    """Null-safe search of one pattern in a string column (false on null).
+
+    ``lowered`` may pass a precomputed ``lower(col)`` shared by many tests.
+    """
+    c = F.coalesce(_c(col), F.lit(""))
+    kind, arg = fast_form(pattern, ignore_case)
+    ci = ignore_case or pattern.text.startswith("(?i)")
+    if kind in ("contains", "prefix", "like"):
+        target = (lowered if lowered is not None else F.lower(c)) if ci else c
+        if kind == "contains":
+            out = None
+            for w in arg:
+                term = target.contains(w.lower() if ci else w)
+                out = term if out is None else (out | term)
+            return out
+        if kind == "prefix":
+            return target.startswith(arg.lower() if ci else arg)
+        return target.like(arg.lower() if ci else arg)
     prefix = "(?i)" if ignore_case else ""
-    return c.rlike(prefix + pattern.regex)
+    return c.rlike(prefix + (pattern.regex if pattern.kind != "regex" else arg))
 
 
-def any_hits(col, patterns, ignore_case: bool = True) -> Column:
-    out = F.lit(False)
+def any_hits(col, patterns, ignore_case: bool = True, lowered=None) -> Column:
+    out = None
     for p in patterns:
-        out = out | hits(col, p, ignore_case)
-    return out
+        h = hits(col, p, ignore_case, lowered)
+        out = h if out is None else (out | h)
+    return out if out is not None else F.lit(False)
 
 
 def contains_any(col, words) -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from permscope.functions.names import resolve_name
-from permscope.functions.patterns import Pattern, any_hits, contains_any, hits
+from permscope.functions.patterns import Pattern, any_hits, hits
 from permscope.sources.ruleset import Rule, Ruleset, load_ruleset, SEVERITY_RANK
 
 MATCH_COLUMNS = ["rule_id", "severity", "folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited"]
@@ -53,53 +53,74 @@ def with_folder_counts(norm: DataFrame) -> DataFrame:
     return norm.join(counts, ["folder", "res_name"])
 
 
-def _admin_hit(admins: tuple[Pattern, ...], name: Column, sid: Column, sid_for_contains: bool) -> Column:
-    out = F.lit(False)
+def _admin_hit(admins: tuple[Pattern, ...], name: Column, sid: Column, sid_for_contains: bool,
+               lname=None, lsid=None) -> Column:
+    out = None
     for p in admins:
         on_sid = p.kind != "contains" or sid_for_contains
-        t = hits(name, p)
+        t = hits(name, p, lowered=lname)
         if on_sid:
-            t = t | ((sid != "") & hits(sid, p))
-        out = out | t
-    return out
+            t = t | ((sid != "") & hits(sid, p, lowered=lsid))
+        out = t if out is None else (out | t)
+    return out if out is not None else F.lit(False)
+
+
+def with_shared_predicates(norm: DataFrame, admins: tuple[Pattern, ...]) -> DataFrame:
+    """Lower-cased inputs and the admin tests, computed once per row and
+    referenced by every rule (not re-evaluated per rule)."""
+    n = norm.select("*", F.lower("res_name").alias("_ln"), F.lower("sid").alias("_ls"),
+                    F.lower("mask").alias("_lm"), F.lower("folder").alias("_lf"))
+    name, sid = F.col("res_name"), F.col("sid")
+    return n.select(
+        "*",
+        _admin_hit(admins, name, sid, False, F.col("_ln"), F.col("_ls")).alias("_adm_x"),
+        _admin_hit(admins, name, sid, True, F.col("_ln"), F.col("_ls")).alias("_adm_m"))
 
 
 def rule_condition(rule: Rule, admins: tuple[Pattern, ...], compat: bool = False) -> Column:
     """Boolean Column: does the normalized ACE row match ``rule``?
 
-    Decisions (README): admin exclusion is skipped for rules that *match*
-    admins (``compat=True`` keeps the original order, where those rules
-    practically never fire); identity patterns test the name, the identity
-    regex is case-sensitive and also tests the SID.
+    Expects the columns of ``with_shared_predicates``.  Decisions (README):
+    admin exclusion is skipped for rules that *match* admins (``compat=True``
+    keeps the original order, where those rules practically never fire);
+    identity patterns test the name, the identity regex is case-sensitive
+    and also tests the SID.
     """
-    name, sid, mask, folder = F.col("res_name"), F.col("sid"), F.col("mask"), F.col("folder")
+    name, sid, mask = F.col("res_name"), F.col("sid"), F.col("mask")
+    ln, lm = F.col("_ln"), F.col("_lm")
     conds: list[Column] = []
     if rule.path_keywords:
-        conds.append(contains_any(folder, rule.path_keywords))
+        lf = F.col("_lf")
+        kw = None
+        for k in rule.path_keywords:
+            kw = lf.contains(k) if kw is None else (kw | lf.contains(k))
+        conds.append(kw)
     if rule.ace_count_gt is not None:
         conds.append(F.col("folder_count") > F.lit(rule.ace_count_gt))
     if rule.requires_aggregation:
         conds.append(F.col("dup_count") > 1)
     if not rule.match_admin_identities or compat:
-        excluded = _admin_hit(admins, name, sid, sid_for_contains=False) | any_hits(name, rule.identity_exclude_patterns)
+        excluded = F.col("_adm_x")
+        if rule.identity_exclude_patterns:
+            excluded = excluded | any_hits(name, rule.identity_exclude_patterns, lowered=ln)
         conds.append(~excluded)
     if rule.match_admin_identities:
-        conds.append(_admin_hit(admins, name, sid, sid_for_contains=True))
+        conds.append(F.col("_adm_m"))
     elif rule.has_identity_constraint:
-        idm = any_hits(name, rule.identity_patterns)
+        idm = any_hits(name, rule.identity_patterns, lowered=ln)
         if rule.identity_regex is not None:
             rx = rule.identity_regex
             if rx.kind == "regex":
                 idm = idm | hits(name, rx, ignore_case=False) | ((sid != "") & hits(sid, rx, ignore_case=False))
         conds.append(idm)
     if rule.perm_match is not None:
-        conds.append(hits(mask, rule.perm_match))
+        conds.append(hits(mask, rule.perm_match, lowered=lm))
     if rule.ace_inherited is not None:
         conds.append(F.col("inherited") == F.lit(rule.ace_inherited))
-    out = F.lit(True)
+    out = None
     for c in conds:
-        out = out & c
-    return out
+        out = c if out is None else (out & c)
+    return out if out is not None else F.lit(True)
 
 
 def _scored_rules(ruleset: Ruleset, include_presence: bool) -> list[Rule]:
@@ -120,6 +141,7 @@ def apply_rules(aces: DataFrame, ruleset: Ruleset | str | dict | None = None,
     norm = normalize_aces(aces, keep)
     if any(r.ace_count_gt is not None or r.requires_aggregation for r in rules):
         norm = with_folder_counts(norm)
+    norm = with_shared_predicates(norm, rs.admin_identities)
     hits_arr = F.array(*[
         F.when(rule_condition(r, rs.admin_identities, compat),
                F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.severity).alias("severity")))
