@@ -259,3 +259,39 @@ def run_summary(aces: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("ace_rows"),
                  F.countDistinct("folder_path").alias("folders"),
                  F.countDistinct(F.nullif(_col(aces, "ace_sid"), F.lit(""))).alias("distinct_sids")))
+
+
+def runtime_filters(aces: DataFrame, identities=None, min_mask: int | None = None, inherited: bool | None = None,
+                    appliance: str | None = None, volume: str | None = None, share: str | None = None) -> DataFrame:
+    """Caller filters chained onto the ACE table: identities (``-like *x*`` on
+    name or SID), minimum integer mask, inherited yes/no, appliance / volume /
+    share equality (case-insensitive).  Equality filters reach the Parquet
+    scan as pushed predicates when the column is stored lower-case."""
+    from permscope.functions.masks import mask_to_int
+
+    out = aces
+    if identities:
+        pats = [_like(i) for i in identities]
+        out = out.filter(_identity_hit(_ps_name(aces), F.coalesce(F.col("ace_sid"), F.lit("")), pats))
+    if min_mask is not None:
+        out = out.filter(mask_to_int("ace_mask") >= F.lit(int(min_mask)))
+    if inherited is not None:
+        out = out.filter(F.coalesce("ace_inherited", F.lit(False)) == F.lit(bool(inherited)))
+    for col, val in (("appliance_hostname", appliance), ("volume_name", volume), ("share_name", share)):
+        if val is not None:
+            out = out.filter(F.lower(F.col(col)) == F.lit(val.lower()))
+    return out
+
+
+def baseline_row_counts(aces: DataFrame) -> DataFrame:
+    """Baseline sizes in one long table: ACE rows per appliance and per volume,
+    folders per share (kind, key, n)."""
+    app = aces.groupBy(F.coalesce("appliance_hostname", F.lit("unknown")).alias("key")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("ace_rows_per_appliance"))
+    vol = aces.groupBy(F.coalesce("volume_name", F.lit("unknown")).alias("key")).agg(
+        F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("ace_rows_per_volume"))
+    share_key = F.concat_ws("\\", F.coalesce("appliance_hostname", F.lit("unknown")),
+                            F.coalesce("share_name", F.lit("unknown")))
+    shr = aces.groupBy(share_key.alias("key")).agg(F.countDistinct("folder_path").alias("n")) \
+        .withColumn("kind", F.lit("folders_per_share"))
+    return app.unionByName(vol).unionByName(shr).select("kind", "key", "n")

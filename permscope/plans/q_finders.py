@@ -221,3 +221,24 @@ def q_run_summary(spark, sf):
 
 
 
+
+
+@register("runtime_filters", "2.3", oracle(f"""
+SELECT * FROM aces
+WHERE ({sql_any_hits(PSN, [FD._like('svc')])} OR {sql_any_hits(SID, [FD._like('svc')])})
+  AND {S.mask_int('ace_mask')} >= 2 AND NOT COALESCE(ace_inherited, false)
+  AND lower(share_name) = 'bulk'""", "aces"))
+def q_runtime_filters(spark, sf):
+    return FD.runtime_filters(fx.aces(spark, sf), identities=["svc"], min_mask=2, inherited=False, share="BULK")
+
+
+@register("baseline_row_counts", "2.5", oracle("""
+SELECT 'ace_rows_per_appliance' AS kind, COALESCE(appliance_hostname, 'unknown') AS key, COUNT(*) AS n
+FROM aces GROUP BY 2
+UNION ALL
+SELECT 'ace_rows_per_volume', COALESCE(volume_name, 'unknown'), COUNT(*) FROM aces GROUP BY 2
+UNION ALL
+SELECT 'folders_per_share', COALESCE(appliance_hostname, 'unknown') || chr(92) || COALESCE(share_name, 'unknown'),
+       COUNT(DISTINCT folder_path) FROM aces GROUP BY 2""", "aces"))
+def q_baseline_row_counts(spark, sf):
+    return FD.baseline_row_counts(fx.aces(spark, sf))

@@ -152,6 +152,18 @@ def _or_pick(m: Column, keys) -> Column:
     return F.coalesce(*[F.nullif(m[k], F.lit("")) for k in keys])
 
 
+# Folder-path candidates of the legacy finders, in order.
+LEGACY_PATH_KEYS = ("uncpath", "sharepath", "sharename", "volumename", "path", "folder", "name", "folderpath",
+                    "folder_path")
+
+
+def legacy_folder_path(node: Column, source_file: Column) -> Column:
+    """Folder path as the legacy finders pick it: the first present candidate
+    key of the node, else the file path."""
+    m = _lower_map(node)
+    return F.coalesce(_or_pick(m, LEGACY_PATH_KEYS), source_file)
+
+
 def _parse_bool(c: Column) -> Column:
     lc = F.lower(F.trim(c))
     return (F.when(lc.isin("true", "1", "yes"), F.lit(True))

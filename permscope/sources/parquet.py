@@ -69,3 +69,15 @@ def read_shares_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_findings_csv(matches: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Findings with a header; an empty result still writes a header-only file."""
     matches.coalesce(1).write.mode(mode).option("header", True).csv(path)
+
+
+def read_broad_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A broad-permissions CSV (as written by the broad-perms finder), by header."""
+    return spark.read.option("header", True).csv(path)
+
+
+def register_ace_view(spark: SparkSession, path: str, name: str = "aces") -> DataFrame:
+    """Expose an ACE Parquet store to ``spark.sql`` as a temporary view."""
+    df = read_aces(spark, path)
+    df.createOrReplaceTempView(name)
+    return df
