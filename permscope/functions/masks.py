@@ -43,14 +43,17 @@ def mask_text(mask) -> Column:
 def mask_to_int(mask) -> Column:
     """Integer value of a mask: numbers as is, ``0x..`` hex, decimal text, else 0.
 
-    The ``0x`` must be cut before ``conv``; a non-number becomes 0.
+    The decimal cast is tried first; hex parsing (``conv`` after cutting the
+    ``0x``) runs only for text that starts with ``0x``.
     """
     m = F.trim(mask_text(mask))
-    hex_digits = F.regexp_extract(m, r"^0[xX]([0-9a-fA-F]{1,16})$", 1)
-    from_hex = F.conv(hex_digits, 16, 10).try_cast("bigint")
     from_dec = m.try_cast("bigint")
-    return (F.when(m.rlike(r"^0[xX]"), F.coalesce(F.when(hex_digits != "", from_hex), F.lit(0)))
-            .otherwise(F.coalesce(from_dec, F.lit(0))).cast("bigint"))
+    is_hex = m.rlike(r"^0[xX][0-9a-fA-F]{1,16}$")
+    from_hex = F.conv(F.substring(m, 3, 16), 16, 10).try_cast("bigint")
+    return (F.when(from_dec.isNotNull(), from_dec)
+            .when(F.lower(F.substring(m, 1, 2)) == "0x", F.when(is_hex, F.coalesce(from_hex, F.lit(0)))
+                  .otherwise(F.lit(0)))
+            .otherwise(F.lit(0)).cast("bigint"))
 
 
 def normalize_mask(mask, numeric: bool = False) -> Column:
@@ -86,13 +89,13 @@ def high_perm_bitmask(mask) -> Column:
     t = mask_text(mask)
     v = mask_to_int(mask)
     bit_hit = (v.bitwiseAND(F.lit(HIGH_PERMISSION_MASK).cast("bigint")) != 0)
-    return F.coalesce(t.rlike("(?i)full|fullcontrol|modify|write"), F.lit(False)) | ((v != 0) & bit_hit)
+    return F.coalesce(_has_word(t, HIGH_PERMISSION_WORDS), F.lit(False)) | ((v != 0) & bit_hit)
 
 
 def high_perm_simple(mask) -> Column:
     """Text full/modify/write, or a positive integer mask."""
     t = mask_text(mask)
-    return F.coalesce(t.rlike("(?i)full|fullcontrol|modify|write"), F.lit(False)) | (mask_to_int(mask) > 0)
+    return F.coalesce(_has_word(t, HIGH_PERMISSION_WORDS), F.lit(False)) | (mask_to_int(mask) > 0)
 
 
 def is_full_control(mask, numeric: bool = False) -> Column:
@@ -112,10 +115,10 @@ def rights_bucket(mask) -> Column:
     """
     t = F.lower(F.coalesce(mask_text(mask), F.lit("")))
     v = mask_to_int(mask)
-    full = (t.rlike("full|generic_all")
+    full = (t.contains("full") | t.contains("generic_all")
             | (v.bitwiseAND(F.lit(GENERIC_ALL)) != 0)
             | (v.bitwiseAND(F.lit(FILE_ALL_ACCESS)) == F.lit(FILE_ALL_ACCESS)))
-    write = (t.rlike("write|modify|take.?own|change.?perm")
+    write = (t.contains("write") | t.contains("modify") | t.rlike("take.?own|change.?perm")
              | (v.bitwiseAND(F.lit(WRITE_BITS).cast("bigint")) != 0))
     read = t.contains("read") | (v != 0)
     return (F.when(full, F.lit("fullcontrol"))

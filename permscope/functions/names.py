@@ -44,40 +44,51 @@ def _probe(m: Column, keys, lower_too: bool) -> Column:
     return F.coalesce(*cands)
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it in ``body`` (a one-element
+    ``transform``): the parsed map is shared by all key probes instead of
+    being re-parsed per reference."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def name_from_raw(raw, trim: bool = True) -> Column:
     """Name found in ``ace_raw``; '' when the raw JSON has no name key."""
     r = _c(raw)
-    m = raw_map(r)
-    found = _probe(m, RAW_NAME_KEYS, lower_too=True)
-    found = F.trim(found) if trim else found
-    bare = F.trim(r) if trim else r
-    return (F.when(r.isNull() | (r == ""), F.lit(""))
-            .when(m.isNotNull(), F.coalesce(found, F.lit("")))
-            .when(_looks_like_json_non_object(r), F.lit(""))
-            .otherwise(bare))
+
+    def body(m):
+        found = _probe(m, RAW_NAME_KEYS, lower_too=True)
+        found = F.trim(found) if trim else found
+        bare = F.trim(r) if trim else r
+        return (F.when(m.isNotNull(), F.coalesce(found, F.lit("")))
+                .when(_looks_like_json_non_object(r), F.lit(""))
+                .otherwise(bare))
+    return F.when(r.isNull() | (r == ""), F.lit("")).otherwise(_let(raw_map(r), body))
 
 
 def resolve_name(name="ace_name", raw="ace_raw") -> Column:
-    """Trimmed ``ace_name``; else the name inside ``ace_raw``; else ''."""
+    """Trimmed ``ace_name``; else the name inside ``ace_raw``; else ''.
+
+    The raw JSON is parsed only for rows whose name is blank."""
     n = F.trim(_c(name))
-    return F.coalesce(F.nullif(n, F.lit("")), name_from_raw(raw))
+    return F.when(F.coalesce(n, F.lit("")) != "", n).otherwise(name_from_raw(raw))
 
 
 def resolve_name_wide(name="ace_name", raw="ace_raw") -> Column:
     """Case-insensitive, longer key list; a raw value that is not an object gives its text."""
     r = _c(raw)
-    m = F.transform_keys(raw_map(r), lambda k, v: F.lower(k))
-    found = F.trim(_probe(m, RAW_NAME_KEYS_WIDE, lower_too=False))
-    from_raw = (F.when(r.isNull() | (r == ""), F.lit(""))
-                .when(m.isNotNull(), F.coalesce(found, F.trim(r)))
+
+    def body(m):
+        found = F.trim(_probe(m, RAW_NAME_KEYS_WIDE, lower_too=False))
+        return (F.when(m.isNotNull(), F.coalesce(found, F.trim(r)))
                 .otherwise(F.trim(F.regexp_replace(r, r'^\s*"(.*)"\s*$', "$1"))))
+    from_raw = F.when(r.isNull() | (r == ""), F.lit("")).otherwise(
+        _let(F.transform_keys(raw_map(r), lambda k, v: F.lower(k)), body))
     n = F.trim(_c(name))
-    return F.coalesce(F.nullif(n, F.lit("")), from_raw)
+    return F.when(F.coalesce(n, F.lit("")) != "", n).otherwise(from_raw)
 
 
 def resolve_name_or_raw(raw="ace_raw") -> Column:
     """Name inside ``ace_raw`` (untrimmed), falling back to the raw text itself."""
     r = _c(raw)
-    m = raw_map(r)
-    found = _probe(m, RAW_NAME_KEYS, lower_too=True)
-    return F.when(r.isNull() | (r == ""), F.lit("")).otherwise(F.coalesce(found, r))
+    return F.when(r.isNull() | (r == ""), F.lit("")).otherwise(
+        _let(raw_map(r), lambda m: F.coalesce(_probe(m, RAW_NAME_KEYS, lower_too=True), r)))

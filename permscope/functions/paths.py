@@ -15,8 +15,7 @@ def _c(x) -> Column:
 def last_path_component(path) -> Column:
     """Last non-empty segment after stripping trailing ``/`` and ``\\``."""
     p = F.coalesce(_c(path).cast("string"), F.lit(""))
-    segs = F.filter(F.split(p, r"[/\\]"), lambda s: s != "")
-    return F.coalesce(F.try_element_at(segs, F.lit(-1)), F.lit(""))
+    return F.regexp_extract(p, r"([^/\\]+)[/\\]*$", 1)
 
 
 def _strip_slashes(c: Column) -> Column:
@@ -54,11 +53,11 @@ def valid_folder(path) -> Column:
 
 def path_segments(path) -> Column:
     """Non-empty segments of a UNC / posix path."""
-    return F.filter(F.split(F.coalesce(_c(path), F.lit("")), r"[/\\]"), lambda s: s != "")
+    return F.regexp_extract_all(F.coalesce(_c(path), F.lit("")), F.lit(r"([^/\\]+)"), F.lit(1))
 
 
 def path_depth(path) -> Column:
-    return F.size(path_segments(path))
+    return F.regexp_count(F.coalesce(_c(path), F.lit("")), F.lit(r"[^/\\]+"))
 
 
 def ancestors(path, min_depth: int = 2) -> Column:

@@ -43,11 +43,12 @@ def everyone_full_control(aces: DataFrame) -> DataFrame:
 def sensitive_shares_broad_perms(aces: DataFrame, word_boundary: bool = False) -> DataFrame:
     """Sensitive-keyword folders where a broad identity (not an admin) holds FullControl."""
     a = _with_res_name(aces).filter(valid_folder("folder_path"))
+    # cheap identity / mask tests first; the keyword lookup only on survivors
+    a = a.filter(is_broad_identity("res_name") & is_full_control("ace_mask")
+                 & ~is_admin_name("res_name", ADMIN_PATTERNS_SENSITIVE))
     a = a.withColumn("folder", F.trim("folder_path")).withColumn("kw", match_keyword_group(F.col("folder"),
                                                                                             word_boundary=word_boundary))
-    hit = (F.col("kw").isNotNull() & ~is_admin_name("res_name", ADMIN_PATTERNS_SENSITIVE)
-           & is_broad_identity("res_name") & is_full_control("ace_mask"))
-    return a.filter(hit).select(
+    return a.filter(F.col("kw").isNotNull()).select(
         F.col("folder").alias("folder_path"),
         F.col("kw.keyword_group").alias("keyword_group"),
         F.col("kw.matched_pattern").alias("matched_pattern"),
@@ -153,33 +154,41 @@ def broad_perms(aces: DataFrame, ruleset=None, include_inherited: bool = False,
     empty ruleset) the fallback applies: name/SID like a target and high
     rights, rule id ``fallback``.
     """
-    name, sid = _ps_name(aces), F.coalesce(_col(aces, "ace_sid"), F.lit(""))
-    mask = F.coalesce(_col(aces, "ace_mask"), F.lit(""))
-    inh = F.coalesce(_col(aces, "ace_inherited", "boolean"), F.lit(False))
-    high = high_perm_bitmask(mask)
+    base = aces.select(
+        _col(aces, "source_file").alias("source_file"), "folder_path",
+        _ps_name(aces).alias("ace_name"), F.coalesce(_col(aces, "ace_sid"), F.lit("")).alias("ace_sid"),
+        F.coalesce(_col(aces, "ace_mask"), F.lit("")).alias("ace_mask"),
+        F.coalesce(_col(aces, "ace_inherited", "boolean"), F.lit(False)).alias("ace_inherited"),
+        _col(aces, "ace_raw").alias("ace_raw"))
+    if not include_inherited:
+        base = base.filter(~F.col("ace_inherited"))
+    # shared per-row inputs, computed once and referenced by every rule
+    base = base.select("*", F.lower("ace_name").alias("_ln"), F.lower("ace_sid").alias("_ls"),
+                       F.lower("ace_mask").alias("_lm"), high_perm_bitmask("ace_mask").alias("_high"))
+    name, sid, mask, high = F.col("ace_name"), F.col("ace_sid"), F.col("ace_mask"), F.col("_high")
+    ln, ls, lm = F.col("_ln"), F.col("_ls"), F.col("_lm")
+
+    def ident(pats):
+        return any_hits(name, pats, lowered=ln) | any_hits(sid, pats, lowered=ls)
+
     ids = []
     if targets is not None:
-        ids.append(F.when(_identity_hit(name, sid, [_like(t) for t in targets]) & high, F.lit("fallback")))
+        ids.append(F.when(ident([_like(t) for t in targets]) & high, F.lit("fallback")))
     else:
         rs = load_ruleset(ruleset)
         for r in rs.rules:
             pats = _rule_identity_patterns(rs, r)
             if not pats:
                 continue
-            cond = _identity_hit(name, sid, pats) & high
+            cond = high & ident(pats)
             if r.perm_match is not None:
-                cond = cond & hits(mask, r.perm_match)
+                cond = cond & hits(mask, r.perm_match, lowered=lm)
             ids.append(F.when(cond, F.lit(r.id)))
-    matched = F.filter(F.array(*ids), lambda x: x.isNotNull()) if ids else F.array().cast("array<string>")
-    out = aces.select(
-        _col(aces, "source_file").alias("source_file"), "folder_path",
-        name.alias("ace_name"), sid.alias("ace_sid"), mask.alias("ace_mask"), inh.alias("ace_inherited"),
-        matched.alias("_m"), _col(aces, "ace_raw").alias("ace_raw"))
-    if not include_inherited:
-        out = out.filter(~F.col("ace_inherited"))
-    out = out.filter(F.size("_m") > 0)
+    # concat_ws skips the nulls of non-matching rules: codegen'd, no array
+    matched = F.concat_ws(",", *ids) if ids else F.lit("")
+    out = base.select("*", matched.alias("matched_rules")).filter(F.col("matched_rules") != "")
     return out.select("source_file", "folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited",
-                      F.array_join("_m", ",").alias("matched_rules"), "ace_raw")
+                      "matched_rules", "ace_raw")
 
 
 def broad_perms_targets(aces: DataFrame, targets=DEFAULT_TARGETS, include_inherited: bool = False) -> DataFrame:

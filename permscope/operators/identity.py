@@ -9,9 +9,9 @@ Inputs are two snapshot tables:
 pairs found in the previous round (``delta``) to the edges and keeps the
 pairs not seen before (``left_anti``).  Cycles end because no new pair
 appears; the number of rounds is the longest membership chain.  Each
-round's closure and delta are ``checkpoint()``-ed into the session's
-checkpoint folder (``spark.checkpoint.dir``), which cuts lineage and
-survives executor loss.  A very large group is a hot join key; AQE's skew
+round's delta is ``checkpoint()``-ed into the session's checkpoint folder
+(``spark.checkpoint.dir``), which cuts lineage and survives executor loss;
+the closure is the union of the checkpointed deltas.  A very large group is a hot join key; AQE's skew
 join splits it.
 """
 
@@ -46,21 +46,29 @@ def membership_closure(edges: DataFrame, include_self: bool = False, max_rounds:
     e = (edges.select("snapshot_id", "member_sid", "group_sid")
          .filter(F.col("member_sid").isNotNull() & F.col("group_sid").isNotNull())
          .distinct())
-    closure = _cp(e)
-    delta = closure
+    # closure = union of checkpointed deltas: one checkpoint per round and a
+    # lineage that stays one union deep
+    parts = [_cp(e)]
+    delta = parts[0]
     step = e.select("snapshot_id", F.col("member_sid").alias("mid"), F.col("group_sid").alias("next_group"))
     for _ in range(max_rounds):
+        known = parts[0]
+        for p in parts[1:]:
+            known = known.unionByName(p)
         nxt = (delta.join(step, (delta["snapshot_id"] == step["snapshot_id"]) & (delta["group_sid"] == step["mid"]))
                .select(delta["snapshot_id"], delta["member_sid"], step["next_group"].alias("group_sid"))
                .distinct()
-               .join(closure, ["snapshot_id", "member_sid", "group_sid"], "left_anti"))
+               .join(known, ["snapshot_id", "member_sid", "group_sid"], "left_anti"))
         nxt = _cp(nxt)
         if nxt.isEmpty():
             break
-        closure = _cp(closure.unionByName(nxt))
+        parts.append(nxt)
         delta = nxt
     else:  # pragma: no cover - a chain longer than max_rounds
         raise RuntimeError(f"membership closure did not converge in {max_rounds} rounds")
+    closure = parts[0]
+    for p in parts[1:]:
+        closure = closure.unionByName(p)
     if not include_self:
         closure = closure.filter(F.col("member_sid") != F.col("group_sid"))
     if scope is not None:

@@ -78,11 +78,10 @@ def excessive_ace_count(aces: DataFrame, threshold: int = 100) -> DataFrame:
 def sensitive_keywords_exposed(aces: DataFrame) -> DataFrame:
     """Sensitive keyword folders (with Audit) where a broad, non-admin identity
     holds high permissions (any high right, not only FullControl)."""
-    a = _named(aces).filter(valid_folder("folder_path"))
+    a = _named(aces).filter(valid_folder("folder_path") & is_broad_identity("res_name")
+                            & high_perm_bitmask("ace_mask") & ~is_admin_name("res_name", ADMIN_PATTERNS_SENSITIVE))
     a = a.withColumn("kw", match_keyword_group("folder_path", PATTERN_KEYWORD_GROUPS))
-    hit = (F.col("kw").isNotNull() & ~is_admin_name("res_name", ADMIN_PATTERNS_SENSITIVE)
-           & is_broad_identity("res_name") & high_perm_bitmask("ace_mask"))
-    return a.filter(hit).select("folder_path", F.col("kw.keyword_group").alias("keyword_group"),
+    return a.filter(F.col("kw").isNotNull()).select("folder_path", F.col("kw.keyword_group").alias("keyword_group"),
                                 F.col("res_name").alias("ace_name"), "ace_sid", "ace_mask")
 
 

@@ -11,8 +11,8 @@ Plan shape (no cross join, no per-row Python):
    large share of all rows; a window over the folder would put that folder
    in one task, so it is not used.
 3. Each rule becomes a boolean Column; the matches are
-   ``explode(filter(array(when(cond_i, struct(rule_i))...), not null))`` —
-   a single projection, whole-stage codegen, no join against a rules table.
+   ``explode(array(when(cond_i, struct(rule_i))...))`` + a null filter — one
+   projection in whole-stage codegen, no join against a rules table.
 """
 
 from __future__ import annotations
@@ -147,7 +147,9 @@ def apply_rules(aces: DataFrame, ruleset: Ruleset | str | dict | None = None,
                F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.severity).alias("severity")))
         for r in rules
     ]) if rules else F.array().cast("array<struct<rule_id:string,severity:string>>")
-    matched = norm.select("*", F.explode(F.filter(hits_arr, lambda x: x.isNotNull())).alias("m"))
+    # explode + null filter keeps the rule conditions inside whole-stage
+    # codegen (a higher-order filter() would evaluate them interpreted)
+    matched = norm.select("*", F.explode(hits_arr).alias("m")).filter(F.col("m").isNotNull())
     out = matched.select(
         *[F.col(k) for k in keep if k in aces.columns],
         F.col("m.rule_id").alias("rule_id"),

@@ -268,12 +268,48 @@ def _frames(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
     return {n: table(spark, sf_dir, n) for n in names}
 
 
-def aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
-    """Derived ACE table of snapshot ``run`` ('a' or 'b')."""
+def derive_aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
+    """Derived ACE table of snapshot ``run`` ('a' or 'b'), as a lazy plan."""
     frames = _frames(spark, sf_dir, ("lineitem", "orders", "customer", "nation", "supplier"))
     return spark.sql(ace_sql(run), **frames)
 
 
+_ESTATE: dict[tuple, str] = {}
+
+
+def _estate_key(spark: SparkSession, sf_dir: str, run: str) -> tuple:
+    # the source files' sizes and times: a changed input re-derives the estate
+    import os
+    stamp = []
+    for t in ("lineitem", "orders", "customer", "nation", "supplier"):
+        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
+        try:
+            st = os.stat(p)
+            stamp.append((st.st_size, int(st.st_mtime)))
+        except OSError:
+            stamp.append(None)
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), run, tuple(stamp))
+
+
+def aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
+    """The ACE table of snapshot ``run``: derived once per session and written
+    as Parquet into the shared checkpoint folder (the "ingested estate"),
+    then read by every query — as ingest output is in production.  Set
+    ``permscope.estate.materialize=false`` to get the lazy derivation."""
+    if spark.conf.get("permscope.estate.materialize", "true").lower() == "false":
+        return derive_aces(spark, sf_dir, run)
+    key = _estate_key(spark, sf_dir, run)
+    path = _ESTATE.get(key)
+    if path is None:
+        import hashlib
+        from permscope.session import checkpoint_dir
+        tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+        path = f"{checkpoint_dir(spark).rstrip('/')}/estate-{tag}/run-{run}"
+        derive_aces(spark, sf_dir, run).write.mode("overwrite").parquet(path)
+        _ESTATE[key] = path
+    return spark.read.parquet(path)
+
+
 def aces_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aces(spark, sf_dir, "a").unionByName(aces(spark, sf_dir, "b"))
 
