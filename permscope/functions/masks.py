@@ -40,6 +40,12 @@ def mask_text(mask) -> Column:
     return _c(mask).cast("string")
 
 
+def _decimal(t: Column) -> Column:
+    """BIGINT of decimal text, else null.  The digit test runs first so the
+    cast only sees numbers (a failing cast per row is expensive)."""
+    return F.when(t.rlike(r"^[+-]?[0-9]{1,19}$"), t.try_cast("bigint"))
+
+
 def mask_to_int(mask) -> Column:
     """Integer value of a mask: numbers as is, ``0x..`` hex, decimal text, else 0.
 
@@ -47,7 +53,7 @@ def mask_to_int(mask) -> Column:
     ``0x``) runs only for text that starts with ``0x``.
     """
     m = F.trim(mask_text(mask))
-    from_dec = m.try_cast("bigint")
+    from_dec = _decimal(m)
     is_hex = m.rlike(r"^0[xX][0-9a-fA-F]{1,16}$")
     from_hex = F.conv(F.substring(m, 3, 16), 16, 10).try_cast("bigint")
     return (F.when(from_dec.isNotNull(), from_dec)
@@ -79,7 +85,7 @@ def _has_word(t: Column, words) -> Column:
 def high_perm_sql(mask) -> Column:
     """SQL-report heuristic: text holds full/modify/write, or casts to a non-zero BIGINT."""
     t = mask_text(mask)
-    as_int = t.try_cast("bigint")
+    as_int = _decimal(t)
     return F.coalesce(_has_word(t, HIGH_PERMISSION_WORDS) | (as_int.isNotNull() & (as_int != 0)),
                       F.lit(False))
 

@@ -46,8 +46,11 @@ def sensitive_shares_broad_perms(aces: DataFrame, word_boundary: bool = False) -
     # cheap identity / mask tests first; the keyword lookup only on survivors
     a = a.filter(is_broad_identity("res_name") & is_full_control("ace_mask")
                  & ~is_admin_name("res_name", ADMIN_PATTERNS_SENSITIVE))
-    a = a.withColumn("folder", F.trim("folder_path")).withColumn("kw", match_keyword_group(F.col("folder"),
-                                                                                            word_boundary=word_boundary))
+    a = a.withColumn("folder", F.trim("folder_path"))
+    # the lookup is generated once (a filter on a generated column is not
+    # pushed below the generator, so the lookup is not evaluated twice)
+    a = a.select("*", F.explode(F.array(match_keyword_group(F.col("folder"), word_boundary=word_boundary)))
+                 .alias("kw"))
     return a.filter(F.col("kw").isNotNull()).select(
         F.col("folder").alias("folder_path"),
         F.col("kw.keyword_group").alias("keyword_group"),
@@ -186,7 +189,10 @@ def broad_perms(aces: DataFrame, ruleset=None, include_inherited: bool = False,
             ids.append(F.when(cond, F.lit(r.id)))
     # concat_ws skips the nulls of non-matching rules: codegen'd, no array
     matched = F.concat_ws(",", *ids) if ids else F.lit("")
-    out = base.select("*", matched.alias("matched_rules")).filter(F.col("matched_rules") != "")
+    # filtering the generated column: Catalyst cannot push this filter below
+    # the generator, so the rule expression is not duplicated into a pushed
+    # filter (where the shared columns would be inlined and re-evaluated)
+    out = base.select("*", F.explode(F.array(matched)).alias("matched_rules")).filter(F.col("matched_rules") != "")
     return out.select("source_file", "folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited",
                       "matched_rules", "ace_raw")
 

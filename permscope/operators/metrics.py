@@ -19,12 +19,14 @@ from permscope.functions.paths import valid_folder
 
 
 def unc_filer_share(path_col="folder_path"):
-    """(filer, share) of a ``\\\\host.domain\\share\\...`` path; null unless it starts with ``\\\\``."""
+    """(filer, share) of a ``\\\\host.domain\\share\\...`` path; null unless it
+    starts with ``\\\\`` and has two parts.  Plain string functions (no regex):
+    strip backslashes, first part up to the first dot, second part."""
     p = F.coalesce(F.col(path_col), F.lit(""))
-    parts = F.split(F.regexp_replace(p, r"^[\\]+|[\\]+$", ""), r"[\\]")
-    ok = p.startswith("\\\\") & (F.size(parts) >= 2)
-    filer = F.lower(F.split_part(F.try_element_at(parts, F.lit(1)), F.lit("."), F.lit(1)))
-    share = F.lower(F.try_element_at(parts, F.lit(2)))
+    stripped = F.btrim(p, F.lit("\\"))
+    ok = p.startswith("\\\\") & stripped.contains("\\")
+    filer = F.lower(F.substring_index(F.substring_index(stripped, "\\", 1), ".", 1))
+    share = F.lower(F.substring_index(F.substring_index(stripped, "\\", 2), "\\", -1))
     return F.when(ok, filer), F.when(ok, share)
 
 

@@ -80,7 +80,7 @@ def sensitive_keywords_exposed(aces: DataFrame) -> DataFrame:
     holds high permissions (any high right, not only FullControl)."""
     a = _named(aces).filter(valid_folder("folder_path") & is_broad_identity("res_name")
                             & high_perm_bitmask("ace_mask") & ~is_admin_name("res_name", ADMIN_PATTERNS_SENSITIVE))
-    a = a.withColumn("kw", match_keyword_group("folder_path", PATTERN_KEYWORD_GROUPS))
+    a = a.select("*", F.explode(F.array(match_keyword_group("folder_path", PATTERN_KEYWORD_GROUPS))).alias("kw"))
     return a.filter(F.col("kw").isNotNull()).select("folder_path", F.col("kw.keyword_group").alias("keyword_group"),
                                 F.col("res_name").alias("ace_name"), "ace_sid", "ace_mask")
 
