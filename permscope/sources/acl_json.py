@@ -91,11 +91,10 @@ def _is_acl_key(k: Column, m: Column) -> Column:
     return F.lower(k).isin(*ACL_KEYS) & F.coalesce(_starts(m[k], "["), F.lit(False))
 
 
-def _expand(item: Column) -> Column:
-    """One level: item -> array of next-level rows."""
+def _expand(item: Column, as_arr: Column, m: Column) -> Column:
+    """One level: item (with its text parsed once as an array ``as_arr`` or an
+    object ``m``) -> array of next-level rows."""
     kind, text = item.getField("kind"), item.getField("text")
-    as_arr = F.from_json(text, "array<string>")
-    m = F.from_json(text, "map<string,string>")
     keys = F.map_keys(m)
     is_node = F.exists(keys, lambda k: _is_acl_key(k, m))
     children = F.transform(
@@ -108,11 +107,21 @@ def _expand(item: Column) -> Column:
     from_arr = F.transform(F.filter(as_arr, lambda x: _starts(x, "{") | _starts(x, "[")),
                            lambda x: F.struct(F.lit("item").alias("kind"), x.alias("text")))
     return (F.when(kind == "node", F.array(item))
-            .when(_starts(text, "["), F.coalesce(from_arr, empty))
-            .when(_starts(text, "{"), F.coalesce(from_obj, empty))
+            .when(as_arr.isNotNull(), F.coalesce(from_arr, empty))
+            .when(m.isNotNull(), F.coalesce(from_obj, empty))
             .otherwise(empty))
 
 
+def _parsed(cur: DataFrame) -> DataFrame:
+    """Parse each item once, in its own projection (the expansion refers to
+    the parsed value many times)."""
+    text = F.col("it.text")
+    item = F.col("it.kind") == "item"
+    return cur.select("run_id", "source_file", "it",
+                      F.when(item & _starts(text, "["), F.from_json(text, "array<string>")).alias("_arr"),
+                      F.when(item & _starts(text, "{"), F.from_json(text, "map<string,string>")).alias("_m"))
+
+
 def acl_nodes(files: DataFrame, max_depth: int = 20) -> DataFrame:
     """(run_id, source_file, node) — every ACL node of every file.
 
@@ -124,7 +133,8 @@ def acl_nodes(files: DataFrame, max_depth: int = 20) -> DataFrame:
                        F.struct(F.lit("item").alias("kind"), _strip_bom(F.col("text")).alias("text")).alias("it"))
     found = []
     for _ in range(max_depth):
-        nxt = cur.select("run_id", "source_file", F.explode(_expand(F.col("it"))).alias("it"))
+        nxt = _parsed(cur).select("run_id", "source_file",
+                                  F.explode(_expand(F.col("it"), F.col("_arr"), F.col("_m"))).alias("it"))
         nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
         found.append(nxt.filter(F.col("it.kind") == "node"))
         cur = nxt.filter(F.col("it.kind") == "item")
@@ -171,33 +181,36 @@ def _parse_bool(c: Column) -> Column:
 
 
 def nodes_to_aces(nodes: DataFrame, compat_any_list: bool = False) -> DataFrame:
-    """One row per ACE of each node's first ACL list."""
-    m = _lower_map(F.col("node"))
-    raw_m = F.from_json(F.col("node"), "map<string,string>")
+    """One row per ACE of each node's first ACL list.  Each node and each ACE
+    is parsed once (separate projections), then fields are picked from the
+    lower-cased maps."""
+    parsed = nodes.select("run_id", "source_file",
+                          F.from_json(F.col("node"), "map<string,string>").alias("raw_m"))
+    parsed = parsed.select("*", F.transform_keys("raw_m", lambda k, v: F.lower(k)).alias("m"))
+    m, raw_m = F.col("m"), F.col("raw_m")
     acl_key = F.try_element_at(F.filter(F.map_keys(raw_m), lambda k: _is_acl_key(k, raw_m)), F.lit(1))
-    acl_text = raw_m[acl_key]
-    acl = F.from_json(acl_text, "array<string>")
+    acl = F.from_json(raw_m[acl_key], "array<string>")
     if compat_any_list:  # empty ACL list -> first list-valued field of any name
         any_key = F.try_element_at(F.filter(F.map_keys(raw_m), lambda k: _starts(raw_m[k], "[")), F.lit(1))
         acl = F.when(F.size(acl) > 0, acl).otherwise(F.from_json(raw_m[any_key], "array<string>"))
     unc = _or_pick(m, ("uncpath", "path"))
     share_path = _or_pick(m, ("sharepath", "sharename"))
     host = _or_pick(m, ("appliancehostname",))
-    base = nodes.select(
+    base = parsed.select(
         "run_id", "source_file", unc.alias("unc_path"),
         canonical_folder_path(host, share_path, unc, F.col("source_file")).alias("folder_path"),
         *[_or_pick(m, keys).alias(col) for col, keys in META_KEYS.items()],
         F.from_json(m["attributes"], "array<string>").alias("attributes"),
         F.posexplode(acl).alias("ace_pos", "ace_text"))
-    a = _lower_map(F.col("ace_text"))
-    is_obj = _starts(F.col("ace_text"), "{")
+    base = base.select("*", F.when(_starts(F.col("ace_text"), "{"), _lower_map(F.col("ace_text"))).alias("_a"))
+    a = F.col("_a")
     out = base.select(
         "run_id", "source_file", "folder_path", "unc_path",
-        F.when(is_obj, _pick(a, SID_KEYS)).alias("ace_sid"),
-        F.when(is_obj, _pick(a, NAME_KEYS)).alias("ace_name"),
-        F.when(is_obj, _pick(a, TYPE_KEYS)).alias("ace_type"),
-        F.when(is_obj, _pick(a, MASK_KEYS)).alias("ace_mask"),
-        F.when(is_obj, _parse_bool(_pick(a, INHERITED_KEYS))).alias("ace_inherited"),
+        _pick(a, SID_KEYS).alias("ace_sid"),
+        _pick(a, NAME_KEYS).alias("ace_name"),
+        _pick(a, TYPE_KEYS).alias("ace_type"),
+        _pick(a, MASK_KEYS).alias("ace_mask"),
+        _parse_bool(_pick(a, INHERITED_KEYS)).alias("ace_inherited"),
         F.col("ace_text").alias("ace_raw"),
         *META_KEYS.keys(), "attributes", "ace_pos")
     return out.select(*ACE_SCHEMA_COLUMNS, "ace_pos")
