@@ -260,10 +260,15 @@ def aces_for_folder(aces: DataFrame, folder: str) -> DataFrame:
     """Point lookup of one folder's ACEs (exact match first, so the filter is
     pushed to the Parquet scan; the trimmed comparison keeps padded paths)."""
     t = folder.strip()
-    wanted = ["folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited", "ace_type", "ace_raw"]
-    cond = (F.col("folder_path") == t) | (F.col("folder_path").startswith(" ") | F.col("folder_path").endswith(" ")) \
-        & (F.trim("folder_path") == t)
-    return aces.filter(cond).select([c for c in wanted if c in aces.columns])
+    wanted = [c for c in ["folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited", "ace_type", "ace_raw"]
+              if c in aces.columns]
+    # two disjoint branches: the exact path (an equality pushed to the scan,
+    # pruned by row-group statistics) and padded paths (pushed prefix/suffix
+    # tests, then the trimmed comparison)
+    exact = aces.filter(F.col("folder_path") == t).select(wanted)
+    fp = F.col("folder_path")
+    padded = aces.filter(fp.startswith(" ") | fp.endswith(" ")).filter(F.trim(fp) == t).select(wanted)
+    return exact.unionByName(padded)
 
 
 def run_summary(aces: DataFrame) -> DataFrame:

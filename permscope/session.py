@@ -64,11 +64,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     tests — a private scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="permscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:
+            pass
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return (sc.getCheckpointDir() if sc is not None else None) or d

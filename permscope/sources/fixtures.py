@@ -288,7 +288,11 @@ def _estate_key(spark: SparkSession, sf_dir: str, run: str) -> tuple:
             stamp.append((st.st_size, int(st.st_mtime)))
         except OSError:
             stamp.append(None)
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), run, tuple(stamp))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        app = spark.conf.get("spark.app.id", "app")
+    return (app, sf_dir.rstrip("/"), run, tuple(stamp))
 
 
 def aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
