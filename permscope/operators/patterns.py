@@ -63,10 +63,13 @@ def broad_inherited_by_ancestor(aces: DataFrame, min_folders: int = 2) -> DataFr
     permissions on at least ``min_folders`` folders."""
     a = _named(aces).filter(F.coalesce("ace_inherited", F.lit(False)) & is_broad_identity("res_name")
                             & high_perm_bitmask("ace_mask") & valid_folder("folder_path"))
-    x = a.select("folder_path", F.col("res_name").alias("identity"),
-                 F.explode(ancestors("folder_path")).alias("ancestor"))
+    # pre-aggregate to one row per (folder, identity) before exploding the
+    # ancestors: the explode then grows with folders, not with ACEs, and each
+    # (ancestor, identity, folder) appears once, so a plain count is exact
+    per_folder = a.groupBy("folder_path", F.col("res_name").alias("identity")).agg(F.count(F.lit(1)).alias("n"))
+    x = per_folder.select("identity", "n", F.explode(ancestors("folder_path")).alias("ancestor"))
     return (x.groupBy("ancestor", "identity")
-            .agg(F.countDistinct("folder_path").alias("folders"), F.count(F.lit(1)).alias("aces"))
+            .agg(F.count(F.lit(1)).alias("folders"), F.sum("n").alias("aces"))
             .filter(F.col("folders") >= min_folders))
 
 

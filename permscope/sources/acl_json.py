@@ -64,11 +64,18 @@ ACE_SCHEMA_COLUMNS = [
 _ITEM = "struct<kind:string,text:string>"
 
 
-def read_folderacl_files(spark: SparkSession, root: str, schema_name_pattern: str = "(?i)schema") -> DataFrame:
+def read_folderacl_files(spark: SparkSession, root: str, schema_name_pattern: str = "(?i)schema",
+                         json_lines: bool = False) -> DataFrame:
     """(source_file, file_name, run_id, text) of every ``*.json`` under a
-    ``folderacls`` directory below ``root``; schema files are skipped."""
-    df = (spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
-          .option("recursiveFileLookup", True).load(root)
+    ``folderacls`` directory below ``root``; schema files are skipped.
+
+    By default a file is one JSON document (read whole: one task per file,
+    at most 2 GB per document).  ``json_lines=True`` reads one document per
+    line, so a large export is split across tasks."""
+    reader = spark.read.format("text").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+    if not json_lines:
+        reader = reader.option("wholetext", True)
+    df = (reader.load(root)
           .select(F.col("_metadata.file_path").alias("source_file"),
                   F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text")))
     df = df.filter(F.col("source_file").contains("folderacls/") & ~F.col("file_name").rlike(schema_name_pattern))
@@ -216,10 +223,11 @@ def nodes_to_aces(nodes: DataFrame, compat_any_list: bool = False) -> DataFrame:
     return out.select(*ACE_SCHEMA_COLUMNS, "ace_pos")
 
 
-def ingest_acl_json(spark: SparkSession, root: str, max_depth: int = 20, compat_any_list: bool = False) -> DataFrame:
+def ingest_acl_json(spark: SparkSession, root: str, max_depth: int = 20, compat_any_list: bool = False,
+                    json_lines: bool = False) -> DataFrame:
     """Folder-ACL JSON files below ``root`` -> ACE rows (canonical columns)."""
     apply_engine_conf(spark)
-    files = read_folderacl_files(spark, root)
+    files = read_folderacl_files(spark, root, json_lines=json_lines)
     return nodes_to_aces(acl_nodes(files, max_depth), compat_any_list).drop("ace_pos")
 
 

@@ -106,3 +106,28 @@ def test_parquet_round_trip_and_shares(spark, aces, tmp_path):
     p.write_text("filer_name,share_name,volume_name,volume_guid\nfiler,sharea,volA,guid-volA\n")
     sh = read_shares_csv(spark, str(p)).collect()
     assert sh[0].volume_name == "volA" and sh[0].row_no == 0
+
+
+def test_json_lines_mode(spark, tmp_path):
+    d = tmp_path / "run-x" / "folderacls"
+    d.mkdir(parents=True)
+    lines = [json.dumps({"UncPath": f"\\\\f\\s\\p{i}", "Access": [{"name": f"N{i}"}, {"name": "E"}]}) for i in range(5)]
+    (d / "big.json").write_text("\n".join(lines) + "\n")
+    aces = ingest_acl_json(spark, str(tmp_path), json_lines=True)
+    assert aces.count() == 10 and aces.select("unc_path").distinct().count() == 5
+
+
+def test_sinks(spark, tmp_path):
+    from conftest import ace_df
+    from permscope.operators.rules import apply_rules, split_by_severity
+    from permscope.sources.parquet import write_findings_csv
+
+    m = apply_rules(ace_df(spark, [("\\\\f\\s\\x", "RegularUser", "S-1-5-21-1", "FullControl"),
+                                   ("\\\\f\\s\\y", "Bob", "S-1-5-21-2", "Read"),
+                                   ("\\\\f\\s\\y", "Bob", "S-1-5-21-2", "Read")]))
+    split_by_severity(m, str(tmp_path / "split"))
+    parts = sorted(p.name for p in (tmp_path / "split").iterdir() if p.name.startswith("severity="))
+    assert parts == ["severity=high", "severity=low", "severity=medium"]
+    write_findings_csv(m.limit(0), str(tmp_path / "empty"))
+    csvs = [p for p in (tmp_path / "empty").iterdir() if p.suffix == ".csv"]
+    assert csvs and csvs[0].read_text().startswith("rule_id,severity,folder_path")
