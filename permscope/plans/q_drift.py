@@ -113,7 +113,7 @@ def q_new_broad_write_grants(spark, sf):
 
 
 @register("mass_permission_change", "2.11", oracle("""
-SELECT identity, SUM(g) AS folders_gained, SUM(l) AS folders_lost FROM (
+SELECT identity, CAST(SUM(g) AS BIGINT) AS folders_gained, CAST(SUM(l) AS BIGINT) AS folders_lost FROM (
   SELECT identity, 1 AS g, 0 AS l FROM (SELECT DISTINCT folder_path, identity FROM bb
                                         EXCEPT SELECT DISTINCT folder_path, identity FROM ba)
   UNION ALL

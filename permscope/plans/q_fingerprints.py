@@ -43,7 +43,7 @@ def q_object_acl(spark, sf):
 
 @register("objects", "2.11", oracle(f"""
 SELECT run_id, {_OBJID} AS object_id, {_FILER} AS server, {_SHARE} AS share, folder_path,
-       len(list_filter(regexp_split_to_array(COALESCE(folder_path, ''), '[/\\\\]'), lambda x: x <> '')) AS depth,
+       len(list_filter(regexp_split_to_array(COALESCE(folder_path, ''), '[/\\\\]'), lambda x: x <> ''))::INTEGER AS depth,
        discovered_at, source_file
 FROM (SELECT run_id, folder_path, MIN(collected_utc) AS discovered_at, MIN(source_file) AS source_file
       FROM aces GROUP BY run_id, folder_path)""", "aces"))

@@ -53,14 +53,14 @@ def q_run_manifest(spark, sf):
 
 @register("contract_audit", "2.11", oracle("""
 SELECT run_id, COUNT(*) AS ace_rows,
-       SUM(CASE WHEN folder_path IS NULL OR trim(folder_path) = '' OR lower(trim(folder_path)) = 'nan'
-                THEN 1 ELSE 0 END) AS bad_folder_path,
-       SUM(CASE WHEN ace_sid IS NULL OR ace_sid = '' THEN 1 ELSE 0 END) AS missing_sid,
-       SUM(CASE WHEN ace_name IS NULL OR trim(ace_name) = '' THEN 1 ELSE 0 END) AS missing_name,
-       SUM(CASE WHEN ace_mask IS NULL OR ace_mask = '' THEN 1 ELSE 0 END) AS missing_mask,
-       SUM(CASE WHEN ace_inherited IS NULL THEN 1 ELSE 0 END) AS missing_inherited,
-       SUM(CASE WHEN collected_utc IS NULL THEN 1 ELSE 0 END) AS missing_collected_utc,
-       SUM(CASE WHEN ace_type IS NULL OR lower(ace_type) NOT IN ('allow', 'deny') THEN 1 ELSE 0 END)
+       CAST(SUM(CASE WHEN folder_path IS NULL OR trim(folder_path) = '' OR lower(trim(folder_path)) = 'nan'
+                THEN 1 ELSE 0 END) AS BIGINT) AS bad_folder_path,
+       CAST(SUM(CASE WHEN ace_sid IS NULL OR ace_sid = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_sid,
+       CAST(SUM(CASE WHEN ace_name IS NULL OR trim(ace_name) = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_name,
+       CAST(SUM(CASE WHEN ace_mask IS NULL OR ace_mask = '' THEN 1 ELSE 0 END) AS BIGINT) AS missing_mask,
+       CAST(SUM(CASE WHEN ace_inherited IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_inherited,
+       CAST(SUM(CASE WHEN collected_utc IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_collected_utc,
+       CAST(SUM(CASE WHEN ace_type IS NULL OR lower(ace_type) NOT IN ('allow', 'deny') THEN 1 ELSE 0 END) AS BIGINT)
          AS unknown_ace_type
 FROM (SELECT * FROM aces UNION ALL SELECT * FROM aces_b) GROUP BY run_id""", "aces", "aces_b"))
 def q_contract_audit(spark, sf):

@@ -31,7 +31,7 @@ FROM (
     ON s.s_filer = e.filer AND (s.sn = e.share OR s.vn = e.share OR contains(s.sn, e.share) OR contains(s.vn, e.share))
 ) WHERE rn = 1"""
 
-_STATS = """COUNT(*) AS acl_entries, SUM(aces) AS total_aces, round(AVG(aces), 2) AS avg_aces_per_entry,
+_STATS = """COUNT(*) AS acl_entries, CAST(SUM(aces) AS BIGINT) AS total_aces, round(AVG(aces), 2) AS avg_aces_per_entry,
        MAX(aces) AS max_aces_per_entry, MIN(aces) AS min_aces_per_entry"""
 
 

@@ -168,7 +168,7 @@ SELECT folder_path,
   CASE WHEN len(string_split(regexp_replace(trim(COALESCE(folder_path, '')), '^[\\]+', ''), chr(92))) >= 2
         AND string_split(regexp_replace(trim(COALESCE(folder_path, '')), '^[\\]+', ''), chr(92))[1] <> ''
        THEN lower(string_split(regexp_replace(trim(COALESCE(folder_path, '')), '^[\\]+', ''), chr(92))[2]) END AS share,
-  len(list_filter(regexp_split_to_array(COALESCE(folder_path, ''), '[/\\]'), lambda x: x <> '')) AS depth,
+  len(list_filter(regexp_split_to_array(COALESCE(folder_path, ''), '[/\\]'), lambda x: x <> ''))::INTEGER AS depth,
   (folder_path IS NOT NULL AND trim(folder_path) <> '' AND lower(trim(folder_path)) <> 'nan') AS is_valid,
   CASE WHEN appliance_hostname <> '' AND share_name <> '' AND
             COALESCE(list_filter(regexp_split_to_array(COALESCE(unc_path, ''), '[/\\]'), lambda x: x <> '')[-1], '') <> ''

@@ -131,3 +131,14 @@ def test_sinks(spark, tmp_path):
     write_findings_csv(m.limit(0), str(tmp_path / "empty"))
     csvs = [p for p in (tmp_path / "empty").iterdir() if p.suffix == ".csv"]
     assert csvs and csvs[0].read_text().startswith("rule_id,severity,folder_path")
+
+
+def test_analyze_run(spark, run_root, tmp_path):
+    from permscope.plans.analyze import analyze_run
+
+    res = analyze_run(spark, run_root, str(tmp_path / "out"))
+    assert res["aces"].count() > 0
+    ids = {r.rule_id for r in res["findings"].collect()}
+    assert "DomainUsersFullControl" in ids          # Domain Users FullControl in the 1.0.1 file
+    assert res["quarantine"].count() == 1
+    assert res["top_identities_high_perms"].count() > 0
