@@ -15,6 +15,8 @@ hint).  One row per line item, so the derived table grows with the data.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from permscope.sources.tables import table
@@ -275,6 +277,7 @@ def derive_aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
 
 
 _ESTATE: dict[tuple, str] = {}
+_ESTATE_LOCK = threading.Lock()
 
 
 def _estate_key(spark: SparkSession, sf_dir: str, run: str) -> tuple:
@@ -303,14 +306,15 @@ def aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
     if spark.conf.get("permscope.estate.materialize", "true").lower() == "false":
         return derive_aces(spark, sf_dir, run)
     key = _estate_key(spark, sf_dir, run)
-    path = _ESTATE.get(key)
-    if path is None:
-        import hashlib
-        from permscope.session import checkpoint_dir
-        tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/estate-{tag}/run-{run}"
-        derive_aces(spark, sf_dir, run).write.mode("overwrite").parquet(path)
-        _ESTATE[key] = path
+    with _ESTATE_LOCK:  # one writer per estate, also when queries run in threads
+        path = _ESTATE.get(key)
+        if path is None:
+            import hashlib
+            from permscope.session import checkpoint_dir
+            tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+            path = f"{checkpoint_dir(spark).rstrip('/')}/estate-{tag}/run-{run}"
+            derive_aces(spark, sf_dir, run).write.mode("overwrite").parquet(path)
+            _ESTATE[key] = path
     return spark.read.parquet(path)
 
 

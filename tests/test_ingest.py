@@ -142,3 +142,11 @@ def test_analyze_run(spark, run_root, tmp_path):
     assert "DomainUsersFullControl" in ids          # Domain Users FullControl in the 1.0.1 file
     assert res["quarantine"].count() == 1
     assert res["top_identities_high_perms"].count() > 0
+
+
+def test_compat_any_list_mode(spark, run_root):
+    strict = ingest_acl_json(spark, run_root)
+    compat = ingest_acl_json(spark, run_root, compat_any_list=True)
+    assert strict.filter(strict.unc_path.endswith("empty")).count() == 0
+    rows = compat.filter(compat.unc_path.endswith("empty")).collect()
+    assert [(r.ace_raw, r.ace_name) for r in rows] == [("Directory", None)]   # Attributes became "ACEs"
