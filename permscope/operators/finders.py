@@ -282,24 +282,28 @@ def run_summary(aces: DataFrame) -> DataFrame:
 
 
 def runtime_filters(aces: DataFrame, identities=None, min_mask: int | None = None, inherited: bool | None = None,
-                    appliance: str | None = None, volume: str | None = None, share: str | None = None) -> DataFrame:
+                    appliance: str | None = None, volume: str | None = None, share: str | None = None,
+                    ignore_case: bool = False) -> DataFrame:
     """Caller filters chained onto the ACE table: identities (``-like *x*`` on
     name or SID), minimum integer mask, inherited yes/no, appliance / volume /
-    share equality (case-insensitive).  Equality filters reach the Parquet
-    scan as pushed predicates when the column is stored lower-case."""
+    share equality.  The inherited and equality filters are written as plain
+    comparisons on the stored columns (``=``, ``IS NULL``), so they reach the
+    Parquet scan as pushed predicates; ``ignore_case=True`` compares
+    lower-cased text instead (not pushable)."""
     from permscope.functions.masks import mask_to_int
 
     out = aces
+    if inherited is not None:
+        c = F.col("ace_inherited") == F.lit(bool(inherited))
+        out = out.filter(c if inherited else (c | F.col("ace_inherited").isNull()))
+    for col, val in (("appliance_hostname", appliance), ("volume_name", volume), ("share_name", share)):
+        if val is not None:
+            out = out.filter(F.lower(F.col(col)) == F.lit(val.lower()) if ignore_case else F.col(col) == F.lit(val))
     if identities:
         pats = [_like(i) for i in identities]
         out = out.filter(_identity_hit(_ps_name(aces), F.coalesce(F.col("ace_sid"), F.lit("")), pats))
     if min_mask is not None:
         out = out.filter(mask_to_int("ace_mask") >= F.lit(int(min_mask)))
-    if inherited is not None:
-        out = out.filter(F.coalesce("ace_inherited", F.lit(False)) == F.lit(bool(inherited)))
-    for col, val in (("appliance_hostname", appliance), ("volume_name", volume), ("share_name", share)):
-        if val is not None:
-            out = out.filter(F.lower(F.col(col)) == F.lit(val.lower()))
     return out
 
 

@@ -229,7 +229,16 @@ WHERE ({sql_any_hits(PSN, [FD._like('svc')])} OR {sql_any_hits(SID, [FD._like('s
   AND {S.mask_int('ace_mask')} >= 2 AND NOT COALESCE(ace_inherited, false)
   AND lower(share_name) = 'bulk'""", "aces"))
 def q_runtime_filters(spark, sf):
-    return FD.runtime_filters(fx.aces(spark, sf), identities=["svc"], min_mask=2, inherited=False, share="BULK")
+    return FD.runtime_filters(fx.aces(spark, sf), identities=["svc"], min_mask=2, inherited=False, share="bulk")
+
+
+@register("runtime_filters_ci", "2.3", oracle(f"""
+SELECT * FROM aces
+WHERE ({sql_any_hits(PSN, [FD._like('svc')])} OR {sql_any_hits(SID, [FD._like('svc')])})
+  AND COALESCE(ace_inherited, false) AND lower(appliance_hostname) = 'filer3.example.com'""", "aces"))
+def q_runtime_filters_ci(spark, sf):
+    return FD.runtime_filters(fx.aces(spark, sf), identities=["svc"], inherited=True,
+                              appliance="FILER3.example.com", ignore_case=True)
 
 
 @register("baseline_row_counts", "2.5", oracle("""

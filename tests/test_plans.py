@@ -38,3 +38,25 @@ def test_rule_scan_reads_only_needed_columns(spark):
     plan = _plan(apply_rules(fx.aces(spark, SF_SMALL)))
     schema = plan.split("ReadSchema:")[1].split("\n")[0]
     assert "owner" not in schema and "volume_guid" not in schema
+
+
+def test_runtime_filters_are_pushed(spark):
+    from permscope.operators.finders import runtime_filters
+    from permscope.sources import fixtures as fx
+
+    plan = _plan(runtime_filters(fx.aces(spark, SF_SMALL), inherited=False, share="bulk"))
+    pushed = plan.split("PushedFilters:")[1].split("]")[0]
+    assert "share_name" in pushed and "ace_inherited" in pushed
+
+
+def test_run_partitions_are_pruned(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from permscope.sources import fixtures as fx
+    from permscope.sources.parquet import read_aces, write_aces
+
+    out = str(tmp_path / "store")
+    write_aces(fx.aces_two_runs(spark, SF_SMALL), out)
+    df = read_aces(spark, out, run_ids=["run-b"])
+    plan = _plan(df)
+    assert "PartitionFilters: [" in plan and "run-b" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert df.select(F.countDistinct("run_id")).first()[0] == 1
