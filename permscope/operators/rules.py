@@ -49,8 +49,12 @@ def with_folder_counts(norm: DataFrame) -> DataFrame:
     same folder and identity) by aggregate-then-join."""
     pair = norm.groupBy("folder", "res_name").agg(F.count(F.lit(1)).alias("dup_count"))
     folder = pair.groupBy("folder").agg(F.sum("dup_count").alias("folder_count"))
-    counts = pair.join(folder, "folder")
-    return norm.join(counts, ["folder", "res_name"])
+    counts = pair.join(folder, "folder").select(
+        F.col("folder").alias("_cf"), F.col("res_name").alias("_cn"), "dup_count", "folder_count")
+    # null-safe keys (they are never null): an inner equi-join would infer an
+    # IS NOT NULL filter that re-evaluates the name resolution on every row
+    cond = norm["folder"].eqNullSafe(counts["_cf"]) & norm["res_name"].eqNullSafe(counts["_cn"])
+    return norm.join(counts, cond).drop("_cf", "_cn")
 
 
 def _admin_hit(admins: tuple[Pattern, ...], name: Column, sid: Column, sid_for_contains: bool,
