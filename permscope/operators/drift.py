@@ -21,8 +21,12 @@ FINDING_KEY = ["rule_id", "folder_path", "ace_name", "ace_sid", "ace_mask", "ace
 
 
 def _keys(m: DataFrame) -> DataFrame:
-    cols = FINDING_KEY + (["severity"] if "severity" in m.columns else [])
-    return m.select(*cols).distinct()
+    """Distinct findings, grouped on exactly the join key (severity follows
+    from the rule), so the anti / semi join reuses this aggregation's
+    partitioning instead of shuffling the findings a second time."""
+    if "severity" in m.columns:
+        return m.groupBy(*FINDING_KEY).agg(F.max("severity").alias("severity"))
+    return m.groupBy(*FINDING_KEY).agg()
 
 
 def findings_added(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -167,7 +167,11 @@ def security_context(users: DataFrame, closure: DataFrame, well_known=WELL_KNOWN
     return ctx.groupBy("snapshot_id", "user_sid", "context_sid").agg(F.min("via").alias("via"))
 
 
-def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_right: str = "read") -> DataFrame:
+BROADCAST_CONTEXT_MAX_USERS = 10_000
+
+
+def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_right: str = "read",
+                     broadcast_max_users: int = BROADCAST_CONTEXT_MAX_USERS) -> DataFrame:
     """(user, folder) -> effective rights bucket with one evidence ACE.
 
     Canonical-order approximation on the bucket ladder none<read<write<full:
@@ -176,6 +180,12 @@ def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_
     other than allow/deny count as allow and mark the row 'approximate'.
     """
     ctx = security_context(users, closure)
+    # size check before broadcasting: the context has (groups + well-known)
+    # rows per user, so a few users give a small table that is broadcast and
+    # the ACE side is never shuffled; beyond the limit the planner's
+    # (size-checked) join choice applies
+    if users.limit(broadcast_max_users + 1).count() <= broadcast_max_users:
+        ctx = F.broadcast(ctx)
     a = aces.select(
         "folder_path", "ace_sid", "ace_mask",
         F.lower(F.coalesce("ace_type", F.lit("allow"))).alias("t"),
