@@ -31,6 +31,16 @@ def q_json_ingest_roundtrip(spark, sf):
     return AJ.nodes_to_aces(nodes).select(*_RT_COLS)
 
 
+@register("json_ingest_typed", "2.2", oracle("""
+SELECT run_id, source_file, unc_path AS folder_path, unc_path, ace_sid, ace_name, ace_type, ace_mask,
+       ace_inherited, collected_utc, collection_host, appliance_hostname, volume_name, volume_guid, share_name,
+       owner, fingerprint_sha256
+FROM aces""", "aces"))
+def q_json_ingest_typed(spark, sf):
+    # same documents through the fixed-schema fast path (no node search)
+    return AJ.typed_aces(_docs(spark, sf)).select(*_RT_COLS)
+
+
 @register("run_text_summary", "2.5", oracle(f"""
 SELECT f.run_id, f.files, a.aces_approx, a.distinct_sids
 FROM (SELECT run_id, COUNT(*) AS files FROM (SELECT DISTINCT {_REC_KEYS} FROM aces) GROUP BY run_id) f

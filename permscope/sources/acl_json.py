@@ -276,3 +276,51 @@ def aces_to_documents(aces: DataFrame) -> DataFrame:
         F.col("volume_guid").alias("VolumeGuid"), F.col("owner").alias("Owner"),
         F.col("fingerprint_sha256").alias("FingerprintSha256"), F.col("Access"))))
     return rec.select("run_id", "source_file", doc.alias("text"))
+
+
+# ---------------------------------------------------------------------------
+# Fixed-schema fast path for the two exporter schema versions
+# ---------------------------------------------------------------------------
+
+# Record and ACE fields of the exporter schemas 1.0.0 / 1.0.1.
+TYPED_RECORD_FIELDS = ("UncPath", "Path", "CollectedUtc", "CollectionHost", "Host", "ApplianceHostname",
+                       "ApplianceDescription", "ApplianceSerialNumber", "VolumeName", "VolumeGuid", "ShareName",
+                       "SharePath", "Collector", "Owner", "Sddl", "FingerprintSha256", "CollectionSha256")
+TYPED_ACE_FIELDS = ("Identity", "Sid", "Rights", "Type", "IsInherited", "InheritanceFlags", "PropagationFlags")
+
+
+def _typed_record_schema() -> str:
+    ace = ",".join(f"{f}:string" for f in TYPED_ACE_FIELDS)
+    rec = ",".join(f"{f}:string" for f in TYPED_RECORD_FIELDS)
+    return f"struct<{rec},Attributes:array<string>,Access:array<struct<{ace}>>>"
+
+
+def typed_aces(files: DataFrame) -> DataFrame:
+    """Fast path for exporter files of the known schemas (an array of records
+    or one record, each with an ``Access`` list): one ``from_json`` with a
+    fixed schema, no node search.  Other shapes yield nothing here — use the
+    generic path for them.  ``ace_raw`` is the ACE re-serialized as JSON."""
+    rec_t = _typed_record_schema()
+    text = _strip_bom(F.col("text"))
+    recs = F.coalesce(F.from_json(text, f"array<{rec_t}>"), F.array(F.from_json(text, rec_t)))
+    r = files.select("run_id", "source_file", F.explode(recs).alias("r")).filter(F.col("r").isNotNull())
+    g = lambda f: F.nullif(F.col(f"r.{f}"), F.lit(""))  # noqa: E731 - Python ``or`` semantics
+    unc = F.coalesce(g("UncPath"), g("Path"))
+    base = r.select(
+        "run_id", "source_file", unc.alias("unc_path"),
+        canonical_folder_path(g("ApplianceHostname"), F.coalesce(g("SharePath"), g("ShareName")), unc,
+                              F.col("source_file")).alias("folder_path"),
+        g("CollectedUtc").alias("collected_utc"), F.coalesce(g("CollectionHost"), g("Host")).alias("collection_host"),
+        g("Collector").alias("collector"), g("ApplianceHostname").alias("appliance_hostname"),
+        g("ApplianceDescription").alias("appliance_description"),
+        g("ApplianceSerialNumber").alias("appliance_serial"), g("VolumeName").alias("volume_name"),
+        g("VolumeGuid").alias("volume_guid"), g("ShareName").alias("share_name"), g("Owner").alias("owner"),
+        g("Sddl").alias("sddl"), g("FingerprintSha256").alias("fingerprint_sha256"),
+        g("CollectionSha256").alias("collection_sha256"), F.col("r.Attributes").alias("attributes"),
+        F.posexplode("r.Access").alias("ace_pos", "a"))
+    return base.select(
+        "run_id", "source_file", "folder_path", "unc_path",
+        F.col("a.Sid").alias("ace_sid"), F.col("a.Identity").alias("ace_name"), F.col("a.Type").alias("ace_type"),
+        F.col("a.Rights").alias("ace_mask"), _parse_bool(F.col("a.IsInherited")).alias("ace_inherited"),
+        F.to_json("a").alias("ace_raw"),
+        *META_KEYS.keys(), "attributes", "ace_pos").select(*ACE_SCHEMA_COLUMNS, "ace_pos")

@@ -150,3 +150,27 @@ def test_compat_any_list_mode(spark, run_root):
     assert strict.filter(strict.unc_path.endswith("empty")).count() == 0
     rows = compat.filter(compat.unc_path.endswith("empty")).collect()
     assert [(r.ace_raw, r.ace_name) for r in rows] == [("Directory", None)]   # Attributes became "ACEs"
+
+
+def test_typed_fast_path_equals_generic(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from permscope.sources.acl_json import acl_nodes, nodes_to_aces, typed_aces
+
+    d = tmp_path / "run-t" / "folderacls"
+    d.mkdir(parents=True)
+    (d / "v101.json").write_text(json.dumps([{
+        "UncPath": "\\\\filer01.corp\\sharea\\Finance", "ApplianceHostname": "app01", "ShareName": "sharea",
+        "CollectedUtc": "2026-01-01T00:00:00Z", "Owner": "o", "Attributes": ["Directory"],
+        "Access": [{"Identity": "Everyone", "Rights": "Modify", "Type": "Allow", "IsInherited": True},
+                   {"Identity": "Bob", "Rights": 2032127, "Type": "Allow", "IsInherited": False}]}]))
+    (d / "v100.json").write_text(json.dumps({
+        "Path": "\\\\h\\s\\legacy", "Host": "collector9", "CollectedUtc": "2026-01-02T00:00:00Z",
+        "Access": [{"Identity": "Domain Users", "Rights": "Read", "Type": "Allow", "IsInherited": False}]}))
+    files = read_folderacl_files(spark, str(tmp_path))
+    cols = ["run_id", "folder_path", "unc_path", "ace_name", "ace_mask", "ace_type", "ace_inherited",
+            "collection_host", "collected_utc", "owner", "attributes"]
+    typed = typed_aces(files).select(cols)
+    generic = nodes_to_aces(acl_nodes(files)).select(cols)
+    assert typed.count() == 3
+    assert typed.exceptAll(generic).count() == 0 and generic.exceptAll(typed).count() == 0
+    assert typed.filter(F.col("ace_mask") == "2032127").count() == 1
