@@ -29,7 +29,7 @@ def _sql_admin_hit(admins: tuple[Pattern, ...], sid_for_contains: bool) -> str:
     return "(" + " OR ".join(terms) + ")" if terms else "false"
 
 
-def rule_where(rule: Rule, admins) -> str:
+def rule_where(rule: Rule, admins, compat: bool = False) -> str:
     conds = []
     if rule.path_keywords:
         conds.append(sql_contains_any("folder", rule.path_keywords))
@@ -37,6 +37,9 @@ def rule_where(rule: Rule, admins) -> str:
         conds.append(f"folder_count > {int(rule.ace_count_gt)}")
     if rule.requires_aggregation:
         conds.append("dup_count > 1")
+    if compat and rule.match_admin_identities:
+        # original order: the admin exclusion runs before the admin match
+        conds.append(f"NOT {_sql_admin_hit(admins, False)}")
     if not rule.match_admin_identities:
         excl = _sql_admin_hit(admins, False)
         if rule.identity_exclude_patterns:
@@ -58,16 +61,17 @@ def rule_where(rule: Rule, admins) -> str:
     return " AND ".join(conds) if conds else "true"
 
 
-def rules_oracle(rs: Ruleset, min_rank: int = 0, src: str = "aces", fixtures=None, **ctes: str) -> str:
+def rules_oracle(rs: Ruleset, min_rank: int = 0, src: str = "aces", fixtures=None, compat: bool = False,
+                 **ctes: str) -> str:
     """Rule matches as DuckDB SQL over table ``src`` (a fixture name, or a
     CTE given in ``ctes`` built on ``fixtures``)."""
-    rules = [r for r in rs.rules if not r.expect_presence]
+    rules = [r for r in rs.rules if compat or not r.expect_presence]
     rules = [r for r in rules if {"low": 1, "medium": 2, "high": 3}.get(r.severity.lower(), 0) >= min_rank]
     need_counts = any(r.ace_count_gt is not None or r.requires_aggregation for r in rules)
     tbl = "j" if need_counts else "n"
     parts = [f"SELECT {sql_quote(r.id)} AS rule_id, {sql_quote(r.severity)} AS severity, "
              f"folder AS folder_path, res_name AS ace_name, sid AS ace_sid, mask AS ace_mask, "
-             f"inherited AS ace_inherited FROM {tbl} WHERE {rule_where(r, rs.admin_identities)}"
+             f"inherited AS ace_inherited FROM {tbl} WHERE {rule_where(r, rs.admin_identities, compat)}"
              for r in rules]
     body = "\nUNION ALL\n".join(parts) if parts else (
         "SELECT NULL::VARCHAR AS rule_id, NULL::VARCHAR AS severity, NULL::VARCHAR AS folder_path, "
@@ -128,3 +132,10 @@ def q_split_by_severity(spark, sf):
     m = RU.apply_rules(fx.aces(spark, sf), DEFAULT).withColumn("severity", F.lower("severity"))
     m = m.filter(F.col("severity").isin("low", "medium", "high"))
     return m.groupBy("severity", "rule_id").agg(F.count(F.lit(1)).alias("match_count"))
+
+
+@register("apply_rules_compat", "2.11", rules_oracle(DEFAULT, compat=True))
+def q_apply_rules_compat(spark, sf):
+    # decision D4 in its original form: admin exclusion before the admin
+    # match, presence rules scored per ACE (so both practically never fire)
+    return RU.apply_rules(fx.aces(spark, sf), DEFAULT, compat=True)
