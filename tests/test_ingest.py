@@ -36,7 +36,7 @@ def run_root(tmp_path_factory):
     _write(root, "empty.json", {"UncPath": "\\\\f\\s\\empty", "Attributes": ["Directory"], "Access": []})
     _write(root, "bare.json", {"UncPath": "\\\\f\\s\\bare", "Access": ["Everyone:F", {"name": "obj"}]})
     _write(root, "broken.json", "{ not json", raw=True)
-    _write(root, "com.example.forensic-acl-1.0.1.schema.json", {"$schema": "x", "properties": {"Access": []}})
+    _write(root, "com.example.acl-export-1.0.1.schema.json", {"$schema": "x", "properties": {"Access": []}})
     _write(root, "bom.json", "\ufeff" + json.dumps({"UncPath": "\\\\f\\s\\bom", "Access": [{"name": "Bommy"}]}), raw=True)
     return root
 
