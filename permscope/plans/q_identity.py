@@ -107,10 +107,9 @@ LEFT JOIN (SELECT c.snapshot_id, c.group_sid, COUNT(DISTINCT c.member_sid) AS me
            WHERE c.member_sid <> c.group_sid AND u.principal_type IN ('user', 'service') AND u.enabled
            GROUP BY 1, 2) m ON m.snapshot_id = p.snapshot_id AND m.group_sid = p.sid
 UNION ALL
-SELECT snapshot_id, w.sid, 'well-known', CAST(COUNT(*) AS BIGINT)
-FROM principals, (SELECT 'S-1-1-0' AS sid UNION ALL SELECT 'S-1-5-11' UNION ALL SELECT 'S-1-5-32-545') w
-WHERE principal_type IN ('user', 'service') AND enabled
-GROUP BY snapshot_id, w.sid"""
+SELECT snapshot_id, unnest(['S-1-1-0', 'S-1-5-11', 'S-1-5-32-545']) AS sid, 'well-known', n
+FROM (SELECT snapshot_id, CAST(COUNT(*) AS BIGINT) AS n FROM principals
+      WHERE principal_type IN ('user', 'service') AND enabled GROUP BY snapshot_id)"""
 
 
 @register("blast_radius", "2.11", oracle("SELECT * FROM br", "edges", "principals", recursive=True,
