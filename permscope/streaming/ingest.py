@@ -32,11 +32,18 @@ def _files_stream(spark: SparkSession, root: str, json_lines: bool, glob: str =
 
 def incremental_ingest(spark: SparkSession, root: str, out_dir: str, checkpoint_location: str,
                        json_lines: bool = False, available_now: bool = True,
-                       processing_time: str | None = None, glob: str = "*.json"):
+                       processing_time: str | None = None, glob: str = "*.json",
+                       findings_dir: str | None = None, ruleset=None):
     """Start (and, with ``available_now``, run to completion) the ingest stream.
 
     Returns the ``StreamingQuery``.  ``json_lines=True`` reads one JSON
     document per line (JSON Lines exports), otherwise one document per file.
+
+    With ``findings_dir`` every micro-batch also re-scores the folders it
+    touched: the complete ACE set of those folders is read back from the
+    store (a semi join on (run, folder)), so count-based rules see whole
+    folders, and the findings are written under (run, epoch).  Read them
+    with ``read_findings`` (latest epoch per folder).
     """
     apply_engine_conf(spark)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -46,6 +53,8 @@ def incremental_ingest(spark: SparkSession, root: str, out_dir: str, checkpoint_
         aces = nodes_to_aces(acl_nodes(batch)).drop("ace_pos").withColumn("epoch", F.lit(int(epoch_id)))
         (aces.select(*ACE_SCHEMA_COLUMNS, "epoch").write.mode("overwrite")
          .partitionBy("run_id", "epoch").parquet(out_dir))
+        if findings_dir:
+            _rescore(spark, out_dir, findings_dir, int(epoch_id), ruleset)
 
     w = files.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if available_now:
@@ -61,3 +70,30 @@ def incremental_ingest(spark: SparkSession, root: str, out_dir: str, checkpoint_
 def read_ingested(spark: SparkSession, out_dir: str) -> DataFrame:
     """The ACE rows written by the stream (all epochs)."""
     return spark.read.parquet(out_dir).drop("epoch")
+
+
+FINDINGS_SCHEMA = ("rule_id string, severity string, folder_path string, ace_name string, ace_sid string, "
+                   "ace_mask string, ace_inherited boolean, run_id string, epoch int")
+
+
+def _rescore(spark: SparkSession, store: str, findings_dir: str, epoch_id: int, ruleset) -> None:
+    from permscope.operators.rules import apply_rules
+
+    all_aces = spark.read.parquet(store)
+    touched = (all_aces.filter(F.col("epoch") == epoch_id).select("run_id", "folder_path").distinct()
+               .select(F.col("run_id").alias("_r"), F.col("folder_path").alias("_f")))
+    cond = all_aces["run_id"].eqNullSafe(touched["_r"]) & all_aces["folder_path"].eqNullSafe(touched["_f"])
+    folders = all_aces.join(touched, cond, "left_semi").drop("epoch")
+    found = apply_rules(folders, ruleset, keep=("run_id",)).withColumn("epoch", F.lit(epoch_id))
+    found.write.mode("overwrite").partitionBy("run_id", "epoch").parquet(findings_dir)
+
+
+def read_findings(spark: SparkSession, findings_dir: str) -> DataFrame:
+    """Current findings: for each (run, folder) the rows of its latest scoring
+    epoch (aggregate + semi join; no window over a folder's rows)."""
+    # explicit schema: an epoch without findings writes no data file
+    f = spark.read.schema(FINDINGS_SCHEMA).parquet(findings_dir)
+    latest = (f.groupBy("run_id", "folder_path").agg(F.max("epoch").alias("_e"))
+              .select(F.col("run_id").alias("_r"), F.col("folder_path").alias("_f"), "_e"))
+    cond = f["run_id"].eqNullSafe(latest["_r"]) & f["folder_path"].eqNullSafe(latest["_f"]) & (f["epoch"] == latest["_e"])
+    return f.join(latest, cond, "left_semi").drop("epoch")

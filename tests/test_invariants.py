@@ -111,3 +111,26 @@ def test_metrics_with_and_without_shares(spark):
     assert [(r.volume_name, r.volume_guid) for r in v] == [("vola", "guid-volA")]
     none = MT.scalability_per_volume(aces, shares.limit(0)).collect()
     assert [r.volume_name for r in none] == ["unknown"]
+
+
+def test_stream_rescoring_sees_whole_folders(spark, tmp_path):
+    from permscope.operators.rules import apply_rules
+    from permscope.sources.acl_json import ingest_acl_json
+    from permscope.streaming.ingest import incremental_ingest, read_findings
+
+    land = tmp_path / "landing" / "run-s" / "folderacls"
+    os.makedirs(land)
+    args = (spark, str(tmp_path / "landing"), str(tmp_path / "aces"), str(tmp_path / "ckpt"))
+    kw = dict(findings_dir=str(tmp_path / "findings"))
+    (land / "a.json").write_text(json.dumps({"UncPath": "\\\\f\\s\\d", "Access": [{"name": "Bob", "mask": "Read"}]}))
+    incremental_ingest(*args, **kw)
+    assert {r.rule_id for r in read_findings(spark, kw["findings_dir"]).collect()} == set()
+    # a second export of the same folder arrives later: Bob is now duplicated
+    (land / "b.json").write_text(json.dumps({"UncPath": "\\\\f\\s\\d", "Access": [{"name": "Bob", "mask": "Read"}]}))
+    incremental_ingest(*args, **kw)
+    cur = read_findings(spark, kw["findings_dir"])
+    batch = apply_rules(ingest_acl_json(spark, str(tmp_path / "landing")), keep=("run_id",))
+    cols = ["run_id", "rule_id", "folder_path", "ace_name"]
+    assert cur.select(cols).exceptAll(batch.select(cols)).count() == 0
+    assert batch.select(cols).exceptAll(cur.select(cols)).count() == 0
+    assert "DuplicateAceEntries" in {r.rule_id for r in cur.collect()}
