@@ -8,19 +8,36 @@ from pyspark.sql import functions as F
 from permscope.functions.paths import valid_folder
 
 
+def distinct_counts(df: DataFrame, key: str, columns: dict) -> DataFrame:
+    """``key`` with one distinct count per named Column.
+
+    Several ``countDistinct`` in one aggregation plan as an Expand that
+    copies every row once per distinct column; separate pre-aggregated
+    distincts (each reads only its column from the columnar store) joined on
+    the small per-key results are several times faster and shuffle less."""
+    out = None
+    for name, c in columns.items():
+        d = (df.select(key, c.alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+             .groupBy(key).agg(F.count(F.lit(1)).alias(name)))
+        out = d if out is None else out.join(d, key, "full_outer")
+    return out
+
+
 def run_manifest(aces: DataFrame) -> DataFrame:
     """Per run: appliances, volumes, shares, folders, ACE rows, files and the
-    collection time range — one aggregation pass."""
+    collection time range."""
     share_key = F.concat_ws("\\", F.coalesce("appliance_hostname", F.lit("")), F.coalesce("share_name", F.lit("")))
-    return aces.groupBy("run_id").agg(
-        F.countDistinct("appliance_hostname").alias("appliances"),
-        F.countDistinct("volume_name").alias("volumes"),
-        F.countDistinct(share_key).alias("shares"),
-        F.countDistinct("folder_path").alias("folders"),
+    base = aces.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("ace_rows"),
-        F.countDistinct("source_file").alias("files"),
         F.min("collected_utc").alias("collected_from"),
         F.max("collected_utc").alias("collected_to"))
+    names = ["appliances", "volumes", "shares", "folders", "files"]
+    dc = distinct_counts(aces, "run_id", dict(zip(names, [F.col("appliance_hostname"), F.col("volume_name"), share_key,
+                                                          F.col("folder_path"), F.col("source_file")])))
+    out = base.join(dc, "run_id", "left")
+    return out.select("run_id", *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in names[:4]],
+                      "ace_rows", F.coalesce("files", F.lit(0)).cast("bigint").alias("files"),
+                      "collected_from", "collected_to")
 
 
 def contract_audit(aces: DataFrame) -> DataFrame:

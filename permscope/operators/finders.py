@@ -273,12 +273,18 @@ def aces_for_folder(aces: DataFrame, folder: str) -> DataFrame:
 
 def run_summary(aces: DataFrame) -> DataFrame:
     """Per run: files, ACE rows, folders and distinct SIDs (exact)."""
+    from permscope.operators.audit import distinct_counts
+
     run = _col(aces, "run_id")
-    return (aces.groupBy(run.alias("run_id"))
-            .agg(F.countDistinct(_col(aces, "source_file")).alias("files"),
-                 F.count(F.lit(1)).alias("ace_rows"),
-                 F.countDistinct("folder_path").alias("folders"),
-                 F.countDistinct(F.nullif(_col(aces, "ace_sid"), F.lit(""))).alias("distinct_sids")))
+    a = aces.withColumn("_run", run)
+    rows = a.groupBy("_run").agg(F.count(F.lit(1)).alias("ace_rows"))
+    dc = distinct_counts(a, "_run", {"files": _col(aces, "source_file"), "folders": F.col("folder_path"),
+                                     "distinct_sids": F.nullif(_col(aces, "ace_sid"), F.lit(""))})
+    out = rows.join(dc, "_run", "left")
+    return out.select(F.col("_run").alias("run_id"),
+                      *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("files",)],
+                      "ace_rows",
+                      *[F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("folders", "distinct_sids")])
 
 
 def runtime_filters(aces: DataFrame, identities=None, min_mask: int | None = None, inherited: bool | None = None,
