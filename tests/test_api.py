@@ -13,7 +13,6 @@ from permscope.sources.acl_json import ingest_acl_json, ingest_candidates
 from permscope.sources.parquet import read_broad_csv, register_ace_view, write_aces
 
 
-
 def test_run_checks_dispatch(spark):
     aces = ace_df(spark, [("\\\\f\\s\\hr1", "Everyone", "S-1-1-0", "Modify"),
                           ("\\\\f\\s\\hr1", "Administrators", "S-1-5-32-544", "FullControl"),
