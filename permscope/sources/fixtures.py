@@ -313,7 +313,10 @@ def aces(spark: SparkSession, sf_dir: str, run: str = "a") -> DataFrame:
             from permscope.session import checkpoint_dir
             tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
             path = f"{checkpoint_dir(spark).rstrip('/')}/estate-{tag}/run-{run}"
-            derive_aces(spark, sf_dir, run).write.mode("overwrite").parquet(path)
+            # clustered by folder inside each file (a per-task sort, no
+            # shuffle): folder lookups prune row groups by min/max statistics
+            (derive_aces(spark, sf_dir, run).sortWithinPartitions("folder_path")
+             .write.mode("overwrite").parquet(path))
             _ESTATE[key] = path
     return spark.read.parquet(path)
 
