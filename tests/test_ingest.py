@@ -174,3 +174,13 @@ def test_typed_fast_path_equals_generic(spark, tmp_path):
     assert typed.count() == 3
     assert typed.exceptAll(generic).count() == 0 and generic.exceptAll(typed).count() == 0
     assert typed.filter(F.col("ace_mask") == "2032127").count() == 1
+
+
+def test_file_audit_reports_apart(spark, run_root):
+    from permscope.sources.acl_json import folderacl_file_audit
+
+    a = folderacl_file_audit(spark, run_root).collect()[0]
+    # 9 files: 1 schema artifact, 1 malformed, 7 parsed ('empty.json' holds an
+    # ACL key with an empty list, which is still a node)
+    assert (a.files_found, a.files_skipped, a.files_malformed) == (9, 1, 1)
+    assert (a.files_with_acl, a.files_without_acl) == (7, 0)
