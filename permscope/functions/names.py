@@ -32,7 +32,10 @@ def raw_map(raw) -> Column:
 def _looks_like_json_non_object(raw: Column) -> Column:
     # valid JSON that is not an object resolves to '' (arrays, quoted strings,
     # numbers, literals); anything else that fails to parse is a bare name.
-    return F.trim(raw).rlike(r'^(\[.*\]|".*"|-?[0-9][0-9.eE+-]*|true|false|null)$')
+    t = F.trim(raw)
+    scalar = t.rlike(r'^("([^"\\]|\\.)*"|-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null)$')
+    # from_json tolerates trailing text after an array, so the text must also end with ']'
+    return scalar | (t.startswith("[") & t.endswith("]") & F.from_json(t, "array<string>").isNotNull())
 
 
 def _probe(m: Column, keys, lower_too: bool) -> Column:
