@@ -61,7 +61,9 @@ def share_volume_map(pairs: DataFrame, shares: DataFrame, order_col: str = "row_
 def share_volume_match(aces: DataFrame, shares: DataFrame) -> DataFrame:
     """Each entry with its matched volume ('unknown' when no share matches)."""
     e = entries(aces)
-    pairs = e.filter(F.col("filer").isNotNull()).select("filer", "share").distinct()
+    # an empty filer or share matches nothing (it is contained in every name)
+    pairs = (e.filter(F.col("filer").isNotNull() & (F.col("filer") != "") & (F.col("share") != ""))
+             .select("filer", "share").distinct())
     vm = share_volume_map(pairs, shares)
     out = e.join(vm, ["filer", "share"], "left")
     return out.select("run_id", "source_file", "folder_path", "filer", "share", "aces",

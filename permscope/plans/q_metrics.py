@@ -28,7 +28,8 @@ FROM (
   FROM e LEFT JOIN (SELECT lower(COALESCE(filer_name, '')) AS s_filer, lower(COALESCE(share_name, '')) AS sn,
                            lower(COALESCE(volume_name, '')) AS vn, COALESCE(volume_guid, '') AS guid, row_no
                     FROM shares) s
-    ON s.s_filer = e.filer AND (s.sn = e.share OR s.vn = e.share OR contains(s.sn, e.share) OR contains(s.vn, e.share))
+    ON s.s_filer = e.filer AND e.filer <> '' AND e.share <> ''
+       AND (s.sn = e.share OR s.vn = e.share OR contains(s.sn, e.share) OR contains(s.vn, e.share))
 ) WHERE rn = 1"""
 
 _STATS = """COUNT(*) AS acl_entries, CAST(SUM(aces) AS BIGINT) AS total_aces, round(AVG(aces), 2) AS avg_aces_per_entry,
