@@ -110,8 +110,8 @@ def q_duplicate_aces(spark, sf):
 
 @register("mask_classification", "2.9", oracle("""
 SELECT ace_mask,
-  CASE WHEN regexp_matches(trim(ace_mask), '^0[xX]') THEN 0
-       ELSE COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) END AS mask_int,
+  CASE WHEN regexp_matches(trim(ace_mask), '^[+-]?[0-9]{1,19}$') OR regexp_matches(trim(ace_mask), '^0[xX][0-9a-fA-F]{1,16}$')
+       THEN COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) ELSE 0 END AS mask_int,
   ace_mask AS mask_normalized,
   (contains(lower(ace_mask), 'full') OR contains(lower(ace_mask), 'modify') OR contains(lower(ace_mask), 'write')
      OR COALESCE(TRY_CAST(ace_mask AS BIGINT) <> 0, false)) AS high_sql,

@@ -48,8 +48,11 @@ def normalized(src: str = "aces") -> str:
 
 
 def mask_int(col: str = "ace_mask") -> str:
-    # DuckDB's TRY_CAST reads '0x..' as hex, decimal text as decimal
-    return f"COALESCE(TRY_CAST(trim(CAST({col} AS VARCHAR)) AS BIGINT), 0)"
+    # mask_to_int: decimal integers and 0x hex only (TRY_CAST alone would
+    # also round decimals and read binary / underscores)
+    t = f"trim(CAST({col} AS VARCHAR))"
+    return (f"(CASE WHEN regexp_matches({t}, '^[+-]?[0-9]{{1,19}}$') OR regexp_matches({t}, '^0[xX][0-9a-fA-F]{{1,16}}$') "
+            f"THEN COALESCE(TRY_CAST({t} AS BIGINT), 0) ELSE 0 END)")
 
 
 def high_bitmask(col: str = "ace_mask") -> str:
