@@ -56,6 +56,19 @@ def get_spark(master: str | None = None, app_name: str = "permscope",
     return spark
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed on the nodes or shipped with
+    ``--py-files``; this only matters when the driver runs from a checkout.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints / intermediate tables.
 

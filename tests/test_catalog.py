@@ -8,7 +8,9 @@ from conftest import SF_SMALL
 import __spark_entry__ as entry_mod
 from permscope.plans.verify import compare, duck_connect
 
-QUERIES = sorted(entry_mod.queries())
+from permscope.plans import catalog
+
+QUERIES = sorted(catalog.queries())
 
 
 def test_entry_smoke(spark):
@@ -18,7 +20,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.oracle_sql()) == set(QUERIES)
+    assert set(catalog.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_mod.queries())
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
 
 
 @pytest.fixture(scope="module")
