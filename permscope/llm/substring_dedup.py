@@ -16,15 +16,14 @@ named ones are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permscope.llm import superkmers as sk
-from permscope.llm.text import column_words, keyed, mix, rolling, text_batches, word_hashes, words_of
+from permscope.llm.blobs import BLOB_SCHEMA, shard_table
+from permscope.llm.text import column_words, covered, keyed, mix, rolling, word_hashes, words_of
 
 WINDOW = 13
 MINIMISER = 3
@@ -32,8 +31,7 @@ MINIMISER = 3
 
 def word_units(col: pa.Array) -> sk.Units:
     w = column_words(col)
-    ids, distinct = w.ids()
-    return sk.Units(w.buf, w.off, w.doc, word_hashes(distinct)[ids], len(w))
+    return sk.Units(w.buf, w.off, w.doc, word_hashes(w), len(w))
 
 
 def equal_windows(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,8 +58,8 @@ def equal_windows(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndar
     return order, group
 
 
-def repeated(window: int):
-    """Bucket function: spans of words whose window starts in a smaller document."""
+def repeated(window: int, shards: int):
+    """Bucket function: blobs of the spans of words whose window starts in a smaller document."""
     def find(table: pa.Table) -> pa.Table:
         meta, data, off = sk.unpack(table)
         done = meta["len"] < 0
@@ -81,17 +79,21 @@ def repeated(window: int):
             r = rec[hit]
             s = live["start"][r] + (at[hit] - w.doc[:-1][r])
             out.append((live["doc"][r], live["fp"][r], s, s + window))
-        return sk.spans_table(*(np.concatenate(x) for x in zip(*out)))
+        return pa.Table.from_batches([shard_table(sk.spans_table(*(np.concatenate(x) for x in zip(*out))), shards)])
 
     return find
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    buckets: int | None = None) -> DataFrame:
-    """``doc_id, fp, s, e``: spans of words (some of one row may overlap) that repeat a smaller document."""
-    n = buckets or 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Blobs (``blobs.py``) of ``doc_id, fp, s, e``: spans of words that repeat a smaller document.
+
+    Spans of one row that come from different buckets may overlap.
+    ``blobs.rows_of(.., superkmers.SPAN_SCHEMA)`` gives them as rows.
+    """
+    n = buckets or sk.default_buckets(docs.sparkSession)
     packed = sk.exchange(keyed(docs, id_col, text_col), word_units, window, MINIMISER, n, within=False)
-    return packed.groupBy("bucket").applyInArrow(repeated(window), sk.SPAN_SCHEMA)
+    return packed.groupBy("bucket").applyInArrow(repeated(window, n), BLOB_SCHEMA)
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -101,22 +103,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``row`` is a struct of all input columns; ``kept_text`` has the kept words
     joined by one space.
     """
-    spans = sk.gather_spans(repeated_spans(docs, id_col, text_col, window, buckets))
+    n = buckets or sk.default_buckets(docs.sparkSession)
     every = keyed(docs, id_col, text_col, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    joined = every.join(spans, ["doc_id", "fp"], "left").select("row", "text", "spans")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches):
-            w = column_words(b.column("text"))
-            size = np.diff(w.doc)
-            drop = sk.span_units(b.column("spans"), w.doc[:-1], size)
-            keep = ~drop
-            buf = w.buf[np.repeat(keep, np.diff(w.off))].tobytes()
-            ends = np.append(0, np.cumsum(np.where(keep, np.diff(w.off), 0)))[w.doc]
-            kept = [buf[i:max(i, j - 1)].decode() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            gone = np.append(0, np.cumsum(drop))[w.doc]
-            yield pa.record_batch([b.column("row"), pa.array(size, pa.int64()), pa.array(np.diff(gone), pa.int64()),
-                                   pa.array(kept, pa.string())], names=["row", "n_words", "n_removed", "kept_text"])
-
-    schema = f"row {joined.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept_text string"
-    return joined.mapInArrow(cut, schema)
+
+    def cut(b: pa.RecordBatch, base: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.RecordBatch:
+        w = column_words(b.column("text"))
+        drop = covered(len(w), w.doc[base] + s, w.doc[base] + e)
+        size = np.where(drop, 0, np.diff(w.off))
+        buf = w.buf[np.repeat(~drop, np.diff(w.off))].tobytes()
+        ends = np.append(0, np.cumsum(size))[w.doc]
+        kept = [buf[i:max(i, j - 1)] for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        gone = np.append(0, np.cumsum(drop))[w.doc]
+        return pa.record_batch([b.column("row"), pa.array(np.diff(w.doc), pa.int64()), pa.array(np.diff(gone), pa.int64()),
+                                pa.array(kept, pa.binary()).cast(pa.string())],
+                               names=["row", "n_words", "n_removed", "kept_text"])
+
+    schema = f"row {every.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept_text string"
+    return sk.apply_spans(every, repeated_spans(docs, id_col, text_col, window, n), cut, schema, n)

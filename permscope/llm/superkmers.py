@@ -20,19 +20,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from permscope.llm.text import mix, ranges, text_batches
+from permscope.llm.blobs import to_blobs, unpack_blobs
+from permscope.llm.text import mix, ranges, rolling, text_batches
 
 BINS = 1 << 16
-HOT = 4.0  # a bin with more than HOT times the mean is split by window content
+# a bin is split by window content when it holds more than HOT_BUCKET of a bucket's
+# mean load and 4 times the mean bin
+HOT_BUCKET, HOT_BIN = 0.5, 4.0 / BINS
+LEVEL = 3  # of zstd
 
 PACKED_SCHEMA = "bucket int, n int, meta binary, packed binary, size long"
 SPAN_SCHEMA = "doc_id long, fp int, s int, e int"
 _META = np.dtype([("doc", "<i8"), ("fp", "<i4"), ("start", "<i4"), ("len", "<i4"), ("anchor", "<i4")])
 
 
+def default_buckets(spark) -> int:
+    """Four buckets a shuffle partition: small groups, evenly dealt."""
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @dataclass
 class Units:
     """A batch as units: words (``off`` = their byte offsets) or bytes (``off`` None)."""
@@ -56,10 +66,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def runs(units: Units, window: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, minimiser, its first place) of each super-k-mer."""
-    from permscope.llm.text import rolling
+def runs(units: Units, window: int, m: int, anchors: bool = False) -> tuple[np.ndarray, ...]:
+    """(first window, number of windows, minimiser, anchor) of each super-k-mer.
 
+    ``anchor`` is the minimiser's first place in the super-k-mer, or ``-1 - place``
+    where it recurs in it (only with ``anchors``, else 0).
+    """
     none = np.zeros(0, np.int64)
     if units.n < window:
         return none, none, none.astype(np.uint32), none
@@ -72,28 +84,59 @@ def runs(units: Units, window: int, m: int) -> tuple[np.ndarray, np.ndarray, np.
     at = np.flatnonzero(np.cumsum(edge[:len(low)]) == 0)
     if not len(at):
         return none, none, none.astype(np.uint32), none
+    span = window - m + 1
     value = low[at]
     new = np.ones(len(at), bool)
     new[1:] = (np.diff(at) != 1) | (value[1:] != value[:-1])
     head = np.flatnonzero(new)
     first, mini = at[head], value[head]
     count = np.diff(np.append(head, len(at)))
-    place = np.full(len(first), -1, np.int64)
-    todo = np.arange(len(first))
-    for j in range(window - m + 1):
+    place = np.zeros(len(first), np.int64)
+    todo = np.arange(len(first) if anchors else 0)
+    for j in range(span):
         hit = order[first[todo] + j] == mini[todo]
         place[todo[hit]] = j
         todo = todo[~hit]
+    if anchors:
+        place = np.where(recurring(order, first, count, mini, place, span), -1 - place, place)
     return first, count, mini, place
 
 
-def histogram(docs: DataFrame, units_of: Callable, window: int, m: int) -> np.ndarray:
-    """Boolean array: bins of minimisers that hold far more than the mean (all rows counted)."""
+def recurring(order: np.ndarray, first: np.ndarray, count: np.ndarray, mini: np.ndarray, place: np.ndarray,
+              span: int) -> np.ndarray:
+    """Super-k-mers whose minimiser occurs in them a second time (or might: unusually large ones)."""
+    limit = np.uint32(min(8 / span, 0.999) * 2**32)
+    small = np.flatnonzero(order < limit).astype(np.uint64)
+    seen = np.sort((order[small.astype(np.int64)].astype(np.uint64) << np.uint64(32)) | small)
+    twin = np.flatnonzero((seen[1:] >> np.uint64(32)) == (seen[:-1] >> np.uint64(32)))
+    here = (seen[twin] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    after = (seen[twin + 1] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    at = np.argsort(here)
+    here, after = here[at], after[at]
+    out = mini >= limit
+    if len(here):
+        p = first + place
+        k = np.minimum(np.searchsorted(here, p), len(here) - 1)
+        out |= (here[k] == p) & (after[k] < first + count - 1 + span)
+    return out
+
+
+def histogram(docs: DataFrame, units_of: Callable, window: int, m: int, buckets: int) -> np.ndarray:
+    """Boolean array: bins of minimisers that alone would load a bucket (all rows are counted).
+
+    Equal super-k-mers of a batch count once, as only one of them travels.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BINS, np.int64)
         for b in text_batches(batches):
-            _, _, mini, _ = runs(units_of(b.column("text")), window, m)
-            total += np.bincount(mini >> 16, minlength=BINS)
+            u = units_of(b.column("text"))
+            first, size, mini, _ = runs(u, window, m)
+            if len(first):
+                whole = mini.astype(np.uint64) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                for j in (0, window // 2, window - 1):
+                    whole = mix(whole + u.content[first + j])
+                _, once = np.unique(whole, return_index=True)
+                total += np.bincount(mini[once] >> 16, minlength=BINS)
         at = np.flatnonzero(total)
         yield pa.record_batch([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bin", "n"])
 
@@ -101,7 +144,7 @@ def histogram(docs: DataFrame, units_of: Callable, window: int, m: int) -> np.nd
     total = np.zeros(BINS, np.int64)  # at most BINS rows reach the driver
     for r in rows:
         total[r["bin"]] = r["n"]
-    return total > HOT * max(total.sum() / BINS, 16.0)
+    return total > max(total.sum() * HOT_BIN, total.sum() / buckets * HOT_BUCKET, 64)
 
 
 def settle(group: np.ndarray, doc: np.ndarray, fp: np.ndarray, within: bool) -> np.ndarray:
@@ -126,55 +169,59 @@ def exchange(docs: DataFrame, units_of: Callable, window: int, m: int, buckets:
     A member of ``meta`` with ``len`` < 0 is already settled: its ``-len``
     windows repeat an earlier document and carry no string.
     """
-    hot = histogram(docs, units_of, window, m)
+    hot = histogram(docs, units_of, window, m, buckets)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = pa.Codec("zstd", compression_level=LEVEL)
         for b in text_batches(batches):
             b = b.filter(b.column("doc_id").is_valid())
             if not b.num_rows:
                 continue
-            b = pa.Table.from_batches([b]).sort_by([("doc_id", "ascending"), ("fp", "ascending")])
+            b = pa.Table.from_batches([b]).sort_by([("doc_id", "ascending"), ("fp", "ascending")]).combine_chunks()
             ids, fps = b.column("doc_id").to_numpy(), b.column("fp").to_numpy()
-            text = b.column("text").combine_chunks()
-            text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
-            u = units_of(text)
-            first, count, mini, place = runs(u, window, m)
+            u = units_of(b.column("text").chunk(0))
+            first, count, mini, place = runs(u, window, m, anchors=within)
             if not len(first):
                 continue
-            split = hot[mini >> 16]
-            key = mini.astype(np.uint64)
+            data, byte = u.buf.tobytes(), u.off if u.off is not None else np.arange(u.n + 1)
+
+            def strings(first, count):
+                return [data[i:j] for i, j in zip(byte[first].tolist(), byte[first + count + window - 1].tolist())]
+
+            def settled(first, string):
+                row = np.searchsorted(u.doc, first, side="right") - 1
+                group = pa.array(string, pa.large_binary()).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                return row, settle(group, ids[row], fps[row], within)
+
+            key, string = mini.astype(np.uint64), strings(first, count)
+            row, repeat = settled(first, string)
+            split = hot[mini >> 16] & ~repeat & (count > 1)
             if split.any():
                 alone = ranges(first[split], count[split])
                 whole = np.zeros(len(alone), np.uint64)
                 for j in range(window):
-                    whole = whole * np.uint64(0x100000001B3) + u.content[alone + j]
-                first = np.concatenate([first[~split], alone])
-                count = np.concatenate([count[~split], np.ones(len(alone), np.int64)])
-                key = np.concatenate([key[~split], whole])
-                place = np.concatenate([place[~split], np.zeros(len(alone), np.int64)])
-                at = np.argsort(first, kind="stable")
-                first, count, key, place = first[at], count[at], key[at], place[at]
+                    whole = mix(whole + u.content[alone + j])
+                one = np.ones(len(alone), np.int64)
+                more = strings(alone, one)
+                more_row, more_repeat = settled(alone, more)
+                string = [string[k] for k in np.flatnonzero(~split).tolist()] + more
+                first, count, key, place, row, repeat = (
+                    np.concatenate([x[~split], y]) for x, y in
+                    ((first, alone), (count, one), (key, whole), (place, one * 0), (row, more_row), (repeat, more_repeat)))
             bucket = (mix(key) % np.uint64(buckets)).astype(np.int32)
-            row = np.searchsorted(u.doc, first, side="right") - 1
-            data = u.buf.tobytes()
-            lo = first if u.off is None else u.off[first]
-            hi = first + count + window - 1 if u.off is None else u.off[first + count + window - 1]
-            strings = [data[i:j] for i, j in zip(lo.tolist(), hi.tolist())]
-            group = pa.array(strings, pa.large_binary()).dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            repeat = settle(group, ids[row], fps[row], within)
             meta = np.zeros(len(first), _META)
             meta["doc"], meta["fp"], meta["anchor"] = ids[row], fps[row], place
             meta["start"] = first - u.doc[row]
-            meta["len"] = np.where(repeat, -count, hi - lo)
+            meta["len"] = np.where(repeat, -count, byte[first + count + window - 1] - byte[first])
             at = np.argsort(bucket, kind="stable")
             cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[at]) != 0)), len(at))
             out: list[list] = [[], [], [], [], []]
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 mine = at[i:j]
-                packed = b"".join([strings[k] for k in mine[~repeat[mine]].tolist()])
+                packed = b"".join([string[k] for k in mine[~repeat[mine]].tolist()])
                 cols = b"".join(np.ascontiguousarray(meta[mine][f]).tobytes() for f in _META.names)
-                for c, v in zip(out, (int(bucket[mine[0]]), j - i, pa.compress(cols, "zstd", asbytes=True),
-                                      pa.compress(packed, "zstd", asbytes=True), len(packed))):
+                for c, v in zip(out, (int(bucket[mine[0]]), j - i, zstd.compress(cols, asbytes=True),
+                                      zstd.compress(packed, asbytes=True), len(packed))):
                     c.append(v)
             yield pa.record_batch([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int32()),
                                    pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary()),
@@ -222,21 +269,45 @@ def spans_table(doc: np.ndarray, fp: np.ndarray, s: np.ndarray, e: np.ndarray) -
                      "s": pa.array(s, pa.int32()), "e": pa.array(e, pa.int32())})
 
 
-def gather_spans(spans: DataFrame) -> DataFrame:
-    """``doc_id, fp, spans``: one row per document; a list is bounded by its document's length."""
-    return spans.groupBy("doc_id", "fp").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-
+def apply_spans(docs: DataFrame, spans: DataFrame, cut: Callable, schema: str, shards: int) -> DataFrame:
+    """``cut`` over all rows of ``docs`` (doc_id, fp, text, row), each with its spans.
 
-def span_units(spans: pa.Array, base: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Covered units of a batch: ``spans`` list column, ``base``/``size`` the rows' first unit and units."""
-    from permscope.llm.text import covered
-
-    n = int(size.sum())
-    flat = spans.flatten()
-    if not len(flat):
-        return np.zeros(n, bool)
-    import pyarrow.compute as pc
-
-    row = np.repeat(np.arange(len(spans)), pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False))
-    s, e = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("s", "e"))
-    return covered(n, base[row] + s, base[row] + e)
+    ``cut(rows, base, s, e)`` gets a slice of rows and the spans ``[s, e)`` of
+    row ``base``; it returns a record batch of ``schema``.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def per_shard(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, span = unpack_blobs(left), unpack_blobs(right)
+        out = []
+        if rows is not None:
+            doc, fp = rows.column("doc_id"), rows.column("fp").to_numpy()
+            known = np.unique(pc.drop_null(doc).to_numpy())
+            no_id = pc.is_null(doc).to_numpy()
+
+            def key(doc, fp):
+                return (np.searchsorted(known, doc) << 31) + fp
+
+            mine = np.where(no_id, -1, key(pc.fill_null(doc, 0).to_numpy(), fp))
+            if span is not None:
+                theirs = key(span.column("doc_id").to_numpy(), span.column("fp").to_numpy())
+                at = np.argsort(theirs, kind="stable")
+                lo = np.searchsorted(theirs[at], mine, "left")
+                n = np.searchsorted(theirs[at], mine, "right") - lo
+                pick = at[ranges(lo, n)]
+                base = np.repeat(np.arange(len(mine)), n)
+                s, e = (span.column(c).to_numpy()[pick].astype(np.int64) for c in ("s", "e"))
+            else:
+                base = s = e = np.zeros(0, np.int64)
+            done = 0
+            for b in text_batches(rows.to_batches()):
+                i, j = np.searchsorted(base, [done, done + b.num_rows])
+                out.append(cut(b, base[i:j] - done, s[i:j], e[i:j]))
+                done += b.num_rows
+        return pa.Table.from_batches([pa.RecordBatch.from_arrays(b.columns, names=arrow.names) for b in out]).cast(arrow) \
+            if out else arrow.empty_table()
+
+    return to_blobs(docs, shards).groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(per_shard, schema)

@@ -13,7 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,10 +119,26 @@ def column_words(col: pa.Array) -> Words:
     return words_of(*raw_bytes(col))
 
 
-def word_hashes(distinct: pa.Array) -> np.ndarray:
-    """64-bit content hash of each distinct word."""
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
+_BASE, _POWERS = 0x9E3779B97F4A7C15, [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """``_BASE ** i`` and its inverse (mod 2**64) for i up to n; kept by the process."""
+    if len(_POWERS[0]) <= n:
+        n = max(n, 1 << 16)
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            step = np.full(n + 1, base, np.uint64)
+            step[0] = 1
+            _POWERS[k] = np.cumprod(step, dtype=np.uint64)
+    return _POWERS
+
+
+def word_hashes(w: Words) -> np.ndarray:
+    """64-bit content hash of each word (for routing; equality is checked on the words)."""
+    up, down = _powers(len(w.buf))
+    total = np.zeros(len(w.buf) + 1, np.uint64)
+    np.cumsum(_BYTE_CODE[w.buf] * up[:len(w.buf)], out=total[1:])
+    return mix((total[w.off[1:]] - total[w.off[:-1]]) * down[w.off[:-1]])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -136,9 +151,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_BYTE_CODE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def byte_codes(data: np.ndarray) -> np.ndarray:
+    return _BYTE_CODE[data]
+
+
 def rolling(unit: np.ndarray, width: int) -> np.ndarray:
     """Polynomial hash (mod 2**64) of every ``width`` consecutive units, by doubling."""
-    base = 0x9E3779B97F4A7C15
+    base = _BASE
     out, done, power, size = None, 0, unit, 1
     left = width
     while left:
