@@ -52,3 +52,30 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = dedup_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_jaccard_join", oracle=r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT doc_id, array_to_string(w[i:i + 3], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d WHERE len(w) >= 4)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 3)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM s x JOIN s y ON x.k = y.k AND x.doc_id < y.doc_id JOIN n nx ON nx.doc_id = x.doc_id JOIN n ny ON ny.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, nx.n, ny.n HAVING 100 * count(*) >= 85 * (nx.n + ny.n - count(*))),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM d
+  UNION SELECT reach.doc_id, e.b FROM reach JOIN both_ways e ON e.a = reach.r)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(reach.r) AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id, n.n
+""")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
