@@ -31,7 +31,7 @@ def shard_table(table: pa.Table, shards: int) -> pa.RecordBatch:
     at = np.argsort(shard, kind="stable")
     table = table.take(pa.array(at)).combine_chunks()
     cuts = np.append(np.flatnonzero(np.append(True, np.diff(shard[at]) != 0)), len(at)) if len(at) else np.zeros(1, int)
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
     out: tuple[list, list] = ([], [])
     for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         sink = pa.BufferOutputStream()

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from permscope.llm import superkmers as sk
 from permscope.llm.blobs import BLOB_SCHEMA, shard_table
-from permscope.llm.text import column_words, covered, keyed, mix, rolling, word_hashes, words_of
+from permscope.llm.text import column_words, covered, keyed, mix, packed_words, rolling, word_hashes
 
 WINDOW = 13
 MINIMISER = 3
@@ -67,7 +67,7 @@ def repeated(window: int, shards: int):
                 meta["start"][done].astype(np.int64) - meta["len"][done] + window - 1)]
         live = meta[~done]
         if len(live):
-            w = words_of(data, off[np.append(np.flatnonzero(~done), len(meta))])
+            w = packed_words(data, off[np.append(np.flatnonzero(~done), len(meta))])
             ids, _ = w.ids()
             count = np.diff(w.doc) - window + 1
             at = np.repeat(w.doc[:-1] - (np.cumsum(count) - count), count) + np.arange(count.sum())
