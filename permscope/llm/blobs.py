@@ -27,7 +27,11 @@ def shard_of(doc: pa.ChunkedArray | pa.Array, fp: pa.ChunkedArray | pa.Array, sh
 
 def shard_table(table: pa.Table, shards: int) -> pa.RecordBatch:
     """``shard, blob`` rows of a table with doc_id and fp."""
-    shard = shard_of(table.column("doc_id"), table.column("fp"), shards)
+    return blob_rows(table, shard_of(table.column("doc_id"), table.column("fp"), shards))
+
+
+def blob_rows(table: pa.Table, shard: np.ndarray) -> pa.RecordBatch:
+    """``shard, blob`` rows of a table whose rows go to the given shards."""
     at = np.argsort(shard, kind="stable")
     table = table.take(pa.array(at)).combine_chunks()
     cuts = np.append(np.flatnonzero(np.append(True, np.diff(shard[at]) != 0)), len(at)) if len(at) else np.zeros(1, int)

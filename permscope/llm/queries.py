@@ -79,3 +79,22 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from permscope.llm.jaccard_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.tables import scratch_path
+    from permscope.llm.token_files import read_token_files, write_token_files
+    from permscope.llm.tokens import tokenizer_path
+
+    path = scratch_path(spark, "tokens")
+    made = write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path, made).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.packing import pack_best_fit
+    from permscope.llm.tokens import tokenizer_path
+
+    return pack_best_fit(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)

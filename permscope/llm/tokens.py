@@ -12,7 +12,7 @@ encoded once.
 from __future__ import annotations
 
 import functools
-import itertools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +35,8 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-KNOWN_MAX = 1 << 18  # chunks whose ids a process remembers (only speed depends on it)
-_known: dict[str, dict[bytes, list[int]]] = {}
+KNOWN_MAX = 600_000  # chunks whose ids a process remembers (only speed depends on it)
+_known: dict[str, dict[bytes, bytes]] = {}
 
 
 @functools.lru_cache(maxsize=2)
@@ -79,14 +79,13 @@ def encode(col: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     known = _known.setdefault(path, {})
     texts = coded.dictionary.to_pylist()
     new = [t for t in texts if t not in known]
-    if len(known) + len(new) > KNOWN_MAX:
-        known.clear()
-        new = texts
     found = load(path).encode_batch_fast([t.decode() for t in new], add_special_tokens=False)
-    known.update(zip(new, (e.ids for e in found)))
-    ids = [known[t] for t in texts]
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
+    fresh = {t: array("I", e.ids).tobytes() for t, e in zip(new, found)}
+    ids = [known.get(t) or fresh.get(t, b"") for t in texts]
+    if len(known) + len(fresh) <= KNOWN_MAX:
+        known.update(fresh)
+    size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), np.uint32)
     first = np.cumsum(size) - size
     out = flat[ranges(first[which], size[which])]
     total = np.append(0, np.cumsum(size[which]))
