@@ -98,3 +98,19 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from permscope.llm.tokens import tokenizer_path
 
     return pack_best_fit(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.quality_rules import judge
+    from permscope.llm.stats import BASE
+
+    out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", *BASE, "base_failed", "kept")
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.quality_classifier import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

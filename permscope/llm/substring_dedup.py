@@ -36,8 +36,7 @@ def word_units(col: pa.Array) -> sk.Units:
 
 def equal_windows(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, group): windows ``ids[at[i]:at[i]+window]`` sorted so that equal ones share a group."""
-    code = mix(np.arange(int(ids.max()) + 1 if len(ids) else 0, dtype=np.uint64) + np.uint64(0x9E3779B9))[ids]
-    h = mix(rolling(code, window)[at])
+    h = mix(rolling(mix(ids.astype(np.uint64) + np.uint64(0x9E3779B9)), window)[at])
     order = np.argsort(h)
     p, hs = at[order], h[order]
     same = np.zeros(len(p), bool)
@@ -61,13 +60,13 @@ def equal_windows(ids: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndar
 def repeated(window: int, shards: int):
     """Bucket function: blobs of the spans of words whose window starts in a smaller document."""
     def find(table: pa.Table) -> pa.Table:
-        meta, data, off = sk.unpack(table)
+        meta, data, lo = sk.unpack(table)
         done = meta["len"] < 0
         out = [(meta["doc"][done], meta["fp"][done], meta["start"][done].astype(np.int64),
                 meta["start"][done].astype(np.int64) - meta["len"][done] + window - 1)]
         live = meta[~done]
         if len(live):
-            w = packed_words(data, off[np.append(np.flatnonzero(~done), len(meta))])
+            w = packed_words(data, np.append(lo[~done], len(data)))
             ids, _ = w.ids()
             count = np.diff(w.doc) - window + 1
             at = np.repeat(w.doc[:-1] - (np.cumsum(count) - count), count) + np.arange(count.sum())

@@ -231,7 +231,7 @@ def exchange(docs: DataFrame, units_of: Callable, window: int, m: int, buckets:
 
 
 def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(meta sorted by (doc, fp, start), bytes of the open members in that order, their offsets)."""
+    """(meta, bytes of the open members one after another, start of each member's bytes)."""
     metas, strings = [], []
     for n, meta, packed, size in zip(*(table.column(c).to_pylist() for c in ("n", "meta", "packed", "size"))):
         cols = pa.decompress(meta, n * _META.itemsize, "zstd", asbytes=True)
@@ -244,14 +244,8 @@ def unpack(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         metas.append(part)
         strings.append(pa.decompress(packed, size, "zstd", asbytes=True) if size else b"")
     meta = np.concatenate(metas) if metas else np.zeros(0, _META)
-    data = np.frombuffer(b"".join(strings), np.uint8)
     size = np.maximum(meta["len"], 0).astype(np.int64)
-    lo = np.cumsum(size) - size
-    at = np.lexsort((meta["start"], meta["fp"], meta["doc"]))
-    meta, lo, size = meta[at], lo[at], size[at]
-    off = np.zeros(len(meta) + 1, np.int64)
-    np.cumsum(size, out=off[1:])
-    return meta, data[ranges(lo, size)], off
+    return meta, np.frombuffer(b"".join(strings), np.uint8), np.cumsum(size) - size
 
 
 def spans_table(doc: np.ndarray, fp: np.ndarray, s: np.ndarray, e: np.ndarray) -> pa.Table:

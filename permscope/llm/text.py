@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -125,26 +125,23 @@ def column_words(col: pa.Array) -> Words:
     return words_of(*raw_bytes(col))
 
 
-_BASE, _POWERS = 0x9E3779B97F4A7C15, [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    """``_BASE ** i`` and its inverse (mod 2**64) for i up to n; kept by the process."""
-    if len(_POWERS[0]) <= n:
-        n = max(n, 1 << 16)
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            step = np.full(n + 1, base, np.uint64)
-            step[0] = 1
-            _POWERS[k] = np.cumprod(step, dtype=np.uint64)
-    return _POWERS
+_BASE = 0x9E3779B97F4A7C15
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    """64-bit content hash of each word (for routing; equality is checked on the words)."""
-    up, down = _powers(len(w.buf))
-    total = np.zeros(len(w.buf) + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[w.buf] * up[:len(w.buf)], out=total[1:])
-    return mix((total[w.off[1:]] - total[w.off[:-1]]) * down[w.off[:-1]])
+    """64-bit content hash of each word, eight bytes at a time (for routing; equality is checked on words)."""
+    padded = np.append(w.buf, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(w.buf) + 1,), "<u8", padded, 0, (1,))
+    size = w.lengths()
+    out = mix(size.astype(np.uint64) + np.uint64(_BASE))
+    todo, done = np.arange(len(w)), 0
+    while len(todo):
+        left = size[todo] - done
+        out[todo] = mix(out[todo] ^ (eight[w.off[todo] + done] & _FIRST_BYTES[np.minimum(left, 8)]))
+        done += 8
+        todo = todo[left > 8]
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
