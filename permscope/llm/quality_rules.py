@@ -3,8 +3,9 @@
 Base rules look at counts of the whole text; documents that pass them are
 judged by an isolation forest over ratios of the same statistics.  The forest
 is fitted on a bounded sample of rows labelled good (``SAMPLE``, the smallest
-hashes): random splits isolate unusual documents on short paths.  The score
-threshold is calibrated on ALL labelled rows (a histogram of fixed size): the
+hashes).  A split is drawn from the rows' range in a node widened by ``MARGIN``
+standard deviations, so that documents outside the range of good ones end
+alone, on short paths.  The score threshold is calibrated on ALL labelled rows (a histogram of fixed size): the
 lowest one that rejects at most ``GOOD_LOSS`` of the good rows.
 
 Cases: null text has no words and fails the base rules, as does an empty one;
@@ -35,7 +36,10 @@ TREES, PSI = 100, 256
 SAMPLE = TREES * PSI      # rows labelled good that the forest sees at most
 SEED = 20240229
 BINS = 1 << 12
-GOOD_LOSS = 0.002
+GOOD_LOSS = 0.001
+MARGIN, LEAST = 3.0, 0.02  # standard deviations; least width of a ratio
+RULES = ["symbols", "upper", "marks", "bang", "pipes", "odd_words", "short_words", "sentence_marks", "digits", "word_length"]
+_COLUMNS = [FEATURES.index(k) for k in RULES]
 MIN_WORDS, MAX_REPEAT = 20, 30
 
 
@@ -73,18 +77,18 @@ def fit_forest(x: np.ndarray, trees: int = TREES, psi: int = PSI, seed: int = SE
     psi = min(psi, len(x))
     depth = max(1, math.ceil(math.log2(max(psi, 2))))
     nodes = 2 ** (depth + 1) - 1
+    widen = np.maximum(MARGIN * x.std(axis=0), LEAST)
     feature, split, length = np.full((trees, nodes), -1), np.zeros((trees, nodes)), np.zeros((trees, nodes))
     for t in range(trees):
         todo = [(0, 0, x[rng.choice(len(x), psi, replace=False)])]
         while todo:
             node, level, rows = todo.pop()
-            lo, hi = rows.min(axis=0), rows.max(axis=0)
-            usable = np.flatnonzero(hi > lo)
-            if level == depth or len(rows) < 2 or not len(usable):
+            if level == depth or len(rows) < 2:
                 length[t, node] = level + expected(len(rows))
                 continue
-            f = int(rng.choice(usable))
-            feature[t, node], split[t, node] = f, rng.uniform(lo[f], hi[f])
+            f = int(rng.integers(x.shape[1]))
+            lo, hi = rows[:, f].min() - widen[f], rows[:, f].max() + widen[f]
+            feature[t, node], split[t, node] = f, rng.uniform(lo, hi)
             right = rows[:, f] >= split[t, node]
             todo += [(2 * node + 1, level + 1, rows[~right]), (2 * node + 2, level + 1, rows[right])]
     return Forest(feature, split, length, psi)
@@ -115,10 +119,10 @@ def labelled(stats: DataFrame, labels: DataFrame, label: str) -> DataFrame:
 
 
 def good_sample(stats: DataFrame, labels: DataFrame, label: str, size: int) -> np.ndarray:
-    """Features of at most ``size`` rows labelled 1, those with the smallest hashes."""
-    rows = (labelled(stats, labels, label).where("y = 1 and n_words > 0")
+    """Statistics of at most ``size`` rows labelled 1 that pass the base rules, those with the smallest hashes."""
+    rows = (labelled(stats, labels, label).where("y = 1 and not base_failed")
             .orderBy(F.xxhash64("doc_id", "fp", F.lit(SEED)), "doc_id", "fp").limit(size).select("features").collect())
-    return np.array([r["features"] for r in rows]).reshape(-1, len(FEATURES))
+    return np.array([r["features"] for r in rows]).reshape(-1, len(FEATURES))[:, _COLUMNS]
 
 
 def score_column(stats: DataFrame, forest: Forest | None) -> DataFrame:
@@ -127,7 +131,7 @@ def score_column(stats: DataFrame, forest: Forest | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.asarray(b.column("features").flatten()).reshape(-1, len(FEATURES))
+            x = np.asarray(b.column("features").flatten()).reshape(-1, len(FEATURES))[:, _COLUMNS]
             s = forest.score(x) if forest is not None else np.zeros(b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=schema.names)
 
