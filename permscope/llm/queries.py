@@ -114,3 +114,25 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from permscope.llm.quality_classifier import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_warc", oracle=r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, coalesce(html, '') AS h FROM pages),
+first_page AS (SELECT h, min(page_id) AS lo FROM p GROUP BY h),
+x AS (SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, upper(sha1(b)) AS d, lo
+      FROM p JOIN first_page USING (h))
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+         (('0x' || substr(d, 1 + 5 * (k // 4), 5))::INT >> (15 - 5 * (k % 4))) % 32, 1)), '') AS payload_digest,
+       CASE WHEN page_id = lo THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = lo THEN NULL ELSE lo END AS refers_to
+FROM x
+""")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.tables import scratch_path
+    from permscope.llm.warc import read_pages, write_warc
+
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_pages(spark, path).drop("url", "payload").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
