@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from permscope.llm.text import mix, text_batches
+from permscope.llm.text import column_words, mix, text_batches
 
 BLOB_SCHEMA = "shard int, blob binary"
 
@@ -69,3 +69,42 @@ def rows_of(blobs: DataFrame, schema: str) -> DataFrame:
                 yield from pa.ipc.open_stream(x)
 
     return blobs.mapInArrow(unpack, schema)
+
+
+def without(docs: DataFrame, gone: DataFrame, shards: int, once: bool = False) -> DataFrame:
+    """The ``row`` structs of ``docs`` (doc_id, fp, text, row) whose (doc_id, fp) is not in ``gone``.
+
+    With ``once``, of rows that share both and have a word, one stays.  Null
+    doc_ids match null doc_ids.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    fields = docs.schema["row"].dataType
+    arrow = to_arrow_schema(StructType([docs.schema["row"]]))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield shard_table(pa.Table.from_batches([b]), shards)
+
+    def keys(t: pa.Table) -> list[tuple]:
+        return list(zip(t.column("doc_id").to_pylist(), t.column("fp").to_pylist()))
+
+    def keep(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, drop = unpack_blobs(left), unpack_blobs(right)
+        if rows is None:
+            return arrow.empty_table()
+        seen = set(keys(drop)) if drop is not None else set()
+        worded = np.diff(column_words(rows.column("text").combine_chunks()).doc) > 0
+        mask = []
+        for k, words in zip(keys(rows), worded.tolist()):
+            mask.append(k not in seen)
+            if once and words:
+                seen.add(k)
+        return pa.table({"row": rows.column("row").filter(pa.array(mask))}).cast(arrow)
+
+    gone = gone.select("doc_id", "fp").mapInArrow(pack, BLOB_SCHEMA)
+    kept = to_blobs(docs, shards).groupBy("shard").cogroup(gone.groupBy("shard")).applyInArrow(
+        keep, f"row {fields.simpleString()}")
+    return kept.select("row.*")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from permscope.llm.blobs import BLOB_SCHEMA, shard_table, to_blobs, unpack_blobs
+from permscope.llm.blobs import BLOB_SCHEMA, shard_table, to_blobs, unpack_blobs, without
 from permscope.llm.superkmers import default_buckets
 from permscope.llm.tables import components, stored
 from permscope.llm.text import keyed, mix, ranges, raw_bytes, rolling, text_batches, word_hashes, words_of
@@ -309,10 +309,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, places: DataFrame, n: int, percen
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4,
                        percent: int = 85, buckets: int | None = None) -> DataFrame:
-    """``doc_id, fp, n_shingles, component_id`` of every input row (fp: hash of its text).
+    """``doc_id, fp, n_shingles, component_id, component_fp`` of every input row (fp: hash of a text).
 
     Two rows link when ``100 * |intersection| >= percent * |union|``;
-    component_id is the smallest doc_id reachable by links.
+    component_id is the smallest doc_id reachable by links, component_fp the
+    smallest fp of its rows there.
     """
     spark = docs.sparkSession
     shards = buckets or default_buckets(spark)
@@ -360,7 +361,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         links = stored(links.unionByName(_verify(stored(pairs, "pairs"), docs, places, n, percent, shards)), "links")
         groups, used = groups.select("bucket", "sig", "node"), used + centres
     sets = sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    first = sets.where("size > 0").groupBy("comp").agg(F.min("doc_id").alias("low"))
+    first = sets.where("size > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("low"))
+    none = F.col("size") == 0
     return sets.join(first, "comp", "left").select(
         "doc_id", "fp", F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(none, F.col("doc_id")).otherwise(F.col("low.doc_id")).alias("component_id"),
+        F.when(none, F.col("fp")).otherwise(F.col("low.fp")).alias("component_fp"))
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
+                     percent: int = 80, buckets: int | None = None) -> DataFrame:
+    """The rows of ``docs`` (all columns) without all but the first of each component.
+
+    The first is the smallest doc_id's (then the smallest fp's) row; rows
+    without words all stay.
+    """
+    shards = buckets or default_buckets(docs.sparkSession)
+    found = jaccard_components(docs, id_col, text_col, n, percent, buckets)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("component_fp"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return without(keyed(docs, id_col, text_col, row), found.where(~first), shards, once=True)

@@ -136,3 +136,20 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_warc(table(spark, sf_dir, "pages"), path)
     return read_pages(spark, path).drop("url", "payload").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_decontamination")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.decontaminate import find_overlaps
+
+    found = find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.lit(True).alias("contaminated"), "item_id", "n_items", "first_word", "n_words", "n_equal")
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.licenses import scan_licenses
+
+    # a document's place: one tree per source, a directory per language
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    return scan_licenses(table(spark, sf_dir, "documents"), path)
