@@ -11,9 +11,11 @@ pair are worth c at least.  A set therefore indexes
 * for the first y segments the segment and its one-deletion neighbourhood.
   Segment hashes are sums, so a deletion is one subtraction.
 
-(c, y) of a band minimise signatures plus expected chance pairs, from the
-sizes of all sets.  Every signature group compares its members to a few of them
-(a star), the comparison counts tokens exactly, and groups that still hold
+(c, y) of a band minimise signatures plus expected chance pairs (a pair costs as
+much as shipping its texts), from the sizes of all sets.  Every signature group
+compares its members to a few of them (a star); pairs whose parity sketches
+differ in more bits than linked sets can differ in tokens are dropped; the rest
+is compared by counting tokens exactly.  Groups that still hold
 several components go on with four times as many centres until none is left:
 every linked pair is either compared or already in one component, and no group
 ever emits all its pairs at once.
@@ -42,6 +44,8 @@ from permscope.llm.superkmers import default_buckets
 from permscope.llm.tables import components, stored
 from permscope.llm.text import keyed, mix, ranges, raw_bytes, rolling, text_batches, word_hashes, words_of
 
+SKETCH = 1024        # bits: the parity of the tokens that hash to each
+PAIR = 0.5           # cost of comparing a pair, in signatures per token of a set
 CENTRES = 2          # of a signature group in the first round
 STAR = 512           # members that one centre meets in one place; more are dealt to several
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -121,17 +125,20 @@ def allocate(percent: int, lower: np.ndarray, counts: dict[int, int]) -> Plan:
         size = max(1.0, (lower[b] * percent / 100 + top) / 2)
         n = counts.get(b, 0) + counts.get(b - 1, 0)
         best = None
-        for slack in range(1, 14):
+        for slack in sorted({*range(1, 9), *(int(8 * 1.25**i) for i in range(1, 60) if 8 * 1.25**i < differ)}):
             units = differ + slack
             for dels in sorted({0, units // 8, units // 4, units // 2}):
                 seg = units - dels
                 if seg < 1 or dels > seg:
                     continue
                 k = size / seg
-                poor = seg * math.exp(-k) * (1 + min(k, 1))
-                tail = 1 - sum(math.exp(-poor) * poor**i / math.factorial(i) for i in range(slack))
-                chance = (seg - dels) * math.exp(-2 * k) * max(tail, 0.0) + dels * (math.exp(-k) * (1 + k))**2
-                cost = n * ((seg - dels) + dels * (1 + k)) + n * n / 2 * chance
+                poor = seg * math.exp(-k) * (1 + k)  # segments of one token at most, and of them left undropped
+                left, term = 1.0, math.exp(-poor)
+                for i in range(1, slack):
+                    left, term = left - term, term * poor / i
+                shared = max(left - term, 0.0) ** 2
+                chance = (seg - dels) * math.exp(-2 * k) * shared + dels * (math.exp(-k) * (1 + k))**2
+                cost = n * ((seg - dels) + dels * (1 + k)) + n * n / 2 * chance * PAIR * size
                 if best is None or cost < best[0]:
                     best = (cost, seg, dels, slack)
         _, m[b], y[b], c[b] = best
@@ -236,6 +243,33 @@ def _star(table: pa.Table) -> pa.Table:
 
 # ---------------------------------------------------------------- verification
 
+def sketches(sets: Sets) -> pa.Array:
+    """SKETCH parity bits of every set: two sets' sketches differ in at most as many bits as the sets in tokens."""
+    n = len(sets.off) - 1
+    row = np.repeat(np.arange(n), sets.sizes())
+    bit = (mix(sets.tokens ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(SKETCH)).astype(np.int64)
+    odd = np.bincount(row * SKETCH + bit, minlength=n * SKETCH).astype(np.uint8) & 1
+    packed = np.packbits(odd.reshape(n, SKETCH), axis=1)
+    return pa.array([x.tobytes() for x in packed], pa.binary())
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches do not rule out."""
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for c in ("sa", "sb"))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            m, n = b.column("na").to_numpy(), b.column("nb").to_numpy()
+            good = ((100 + percent) * differ <= (100 - percent) * (m + n)) & (
+                100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+            yield b.select(["a", "b"]).filter(pa.array(good))
+
+    known = nodes.select("node", "size", "sketch")
+    both = (pairs.join(known.toDF("a", "na", "sa"), "a").join(known.toDF("b", "nb", "sb"), "b")
+            .select("a", "b", "na", "nb", "sa", "sb"))
+    return both.mapInArrow(test, "a long, b long")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, places: DataFrame, n: int, percent: int, shards: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by counting common tokens.
 
@@ -322,12 +356,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
             sets = token_sets(b.column("text"), n)
-            yield pa.record_batch([b.column("doc_id"), b.column("fp"), pa.array(sets.node), pa.array(sets.sizes())],
-                                  names=["doc_id", "fp", "node", "size"])
+            yield pa.record_batch([b.column("doc_id"), b.column("fp"), pa.array(sets.node), pa.array(sets.sizes()),
+                                   sketches(sets)], names=["doc_id", "fp", "node", "size", "sketch"])
 
-    sets = stored(docs.mapInArrow(describe, "doc_id long, fp int, node long, size long"), "sets")
-    nodes = sets.where("size > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "fp")).alias("place"), F.first("size").alias("size"))
+    sets = stored(docs.mapInArrow(describe, "doc_id long, fp int, node long, size long, sketch binary"), "sets")
+    nodes = stored(sets.where("size > 0").groupBy("node").agg(
+        F.min(F.struct("doc_id", "fp")).alias("place"), F.max("size").alias("size"), F.max("sketch").alias("sketch")), "nodes")
+    sets = sets.drop("sketch")
     places = nodes.select("node", "place.doc_id", "place.fp")
     lower = bands(percent, (sets.agg(F.max("size")).first()[0] or 1) * 100 // percent + 1)
     bound = F.lit(-1)
@@ -340,10 +375,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         _star, "sig long, bucket int, a long, b long"), "stars")
     pairs = found.where("a is not null").select("a", "b").distinct()
     groups = found.where("a is null").select("bucket", "sig", F.col("b").alias("node"))
-    links = stored(_verify(stored(pairs, "pairs"), docs, places, n, percent, shards), "links")
-    used, centres = CENTRES, CENTRES
+    pairs = stored(_plausible(pairs, nodes, percent), "pairs")
+    links = stored(_verify(pairs, docs, places, n, percent, shards), "links")
+    used, centres, comp = CENTRES, CENTRES, components(links)
     while True:
-        comp = components(links)
         by = W.partitionBy("bucket", "sig")
         groups = groups.join(comp, "node", "left").select(
             "bucket", "sig", "node", F.coalesce("comp", "node").alias("comp"),
@@ -358,7 +393,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             "bucket", "sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("rank").alias("ra"))
         pairs = groups.join(middle, ["bucket", "sig"]).where("rank > ra and comp != ca").select(
             "a", F.col("node").alias("b")).distinct()
-        links = stored(links.unionByName(_verify(stored(pairs, "pairs"), docs, places, n, percent, shards)), "links")
+        pairs = stored(_plausible(pairs, nodes, percent), "pairs")
+        if not pairs.isEmpty():
+            links = stored(links.unionByName(_verify(pairs, docs, places, n, percent, shards)), "links")
+            comp = components(links)
         groups, used = groups.select("bucket", "sig", "node"), used + centres
     sets = sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     first = sets.where("size > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("low"))
