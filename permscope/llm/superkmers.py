@@ -195,7 +195,7 @@ def exchange(docs: DataFrame, units_of: Callable, window: int, m: int, buckets:
 
             key, string = mini.astype(np.uint64), strings(first, count)
             row, repeat = settled(first, string)
-            split = hot[mini >> 16] & ~repeat & (count > 1)
+            split = hot[mini >> 16] & ~repeat
             if split.any():
                 alone = ranges(first[split], count[split])
                 whole = np.zeros(len(alone), np.uint64)
