@@ -79,8 +79,12 @@ def encode(col: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     known = _known.setdefault(path, {})
     texts = coded.dictionary.to_pylist()
     new = [t for t in texts if t not in known]
-    found = load(path).encode_batch_fast([t.decode() for t in new], add_special_tokens=False)
-    fresh = {t: array("I", e.ids).tobytes() for t, e in zip(new, found)}
+    fresh: dict[bytes, bytes] = {}
+    tokenizer = load(path)
+    for i in range(0, len(new), 4096):  # the library's encodings are large: few at a time
+        part = new[i:i + 4096]
+        found = tokenizer.encode_batch_fast([t.decode() for t in part], add_special_tokens=False)
+        fresh.update((t, array("I", e.ids).tobytes()) for t, e in zip(part, found))
     ids = [known.get(t) or fresh.get(t, b"") for t in texts]
     if len(known) + len(fresh) <= KNOWN_MAX:
         known.update(fresh)
