@@ -82,32 +82,9 @@ def _has_word(t: Column, words) -> Column:
     return out
 
 
-def sql_cast_bigint(text) -> Column:
-    """Text -> BIGINT as the SQL reports' ``TRY_CAST(x AS BIGINT)`` reads it:
-    surrounding spaces ignored; decimal integers (``_`` between digits
-    allowed); ``0x`` hex and ``0b`` binary; decimals and exponents rounded
-    half away from zero; null when out of range or not a number.  Each form
-    is recognised by a pattern first, so no cast fails per row."""
-    s = F.trim(_c(text).cast("string"))
-    plain = F.regexp_replace(s, "_", "")
-    as_int = plain.try_cast("bigint")
-    hex_v = F.conv(F.substring(s, 3, 16), 16, 10).try_cast("bigint")
-    bin_v = F.conv(F.substring(s, 3, 63), 2, 10).try_cast("bigint")
-    dbl = s.try_cast("double")
-    from_dbl = F.when(F.abs(dbl) < F.lit(9.2e18), F.round(dbl, 0).cast("bigint"))
-    return (F.when(s.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$"), as_int)
-            .when(s.rlike(r"^0[xX][0-9a-fA-F]{1,16}$"), hex_v)
-            .when(s.rlike(r"^0[bB][01]{1,63}$"), bin_v)
-            .when(s.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), from_dbl))
-
-
 def high_perm_sql(mask) -> Column:
-    """SQL-report heuristic: text holds full/modify/write, or casts
-    (``sql_cast_bigint``) to a non-zero BIGINT."""
-    t = mask_text(mask)
-    as_int = sql_cast_bigint(t)
-    return F.coalesce(_has_word(t, HIGH_PERMISSION_WORDS) | (as_int.isNotNull() & (as_int != 0)),
-                      F.lit(False))
+    """SQL-report heuristic: text holds full/modify/write, or the integer mask is not zero."""
+    return F.coalesce(_has_word(mask_text(mask), HIGH_PERMISSION_WORDS), F.lit(False)) | (mask_to_int(mask) != 0)
 
 
 def high_perm_bitmask(mask) -> Column:
@@ -124,12 +101,14 @@ def high_perm_simple(mask) -> Column:
     return F.coalesce(_has_word(t, HIGH_PERMISSION_WORDS), F.lit(False)) | (mask_to_int(mask) > 0)
 
 
-def is_full_control(mask, numeric: bool = False) -> Column:
-    """Text holding ``full`` (any case); a numeric mask counts when > 0; null is false."""
-    m = _c(mask)
-    if numeric:
-        return F.coalesce(m > 0, F.lit(False))
-    return F.coalesce(F.lower(m).contains("full"), F.lit(False))
+def is_full_control(mask) -> Column:
+    """Full control: text holding ``full`` (any case), or an integer mask
+    (number, decimal or hex text) with GENERIC_ALL or every bit of
+    FILE_ALL_ACCESS; null is false."""
+    v = mask_to_int(mask)
+    return (F.coalesce(F.lower(mask_text(mask)).contains("full"), F.lit(False))
+            | (v.bitwiseAND(F.lit(GENERIC_ALL)) != 0)
+            | (v.bitwiseAND(F.lit(FILE_ALL_ACCESS)) == F.lit(FILE_ALL_ACCESS)))
 
 
 def rights_bucket(mask) -> Column:

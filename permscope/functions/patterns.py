@@ -35,9 +35,16 @@ class Pattern:
     def regex(self) -> str | None:
         """Regex text valid in both Java and RE2 (None for ``contains``)."""
         if self.kind == "wildcard":
-            out = []
-            for ch in self.text:
-                if ch == "*":
+            out, i = [], 0
+            while i < len(self.text):
+                ch = self.text[i]
+                end = self.text.find("]", i + 2) if ch == "[" else -1
+                i += 1
+                if end > 0:  # a class such as [0-9] or [abc]; an open bracket without its end is literal
+                    inside = self.text[i:end]
+                    out.append("[" + "".join("\\" + x if x in "\\^[&~" else x for x in inside) + "]")
+                    i = end + 1
+                elif ch == "*":
                     out.append(".*")
                 elif ch == "?":
                     out.append(".")
@@ -120,7 +127,7 @@ def fast_form(pattern: Pattern, ignore_case: bool = True):
     if pattern.kind == "contains":
         return ("contains", [t])
     if pattern.kind == "wildcard":
-        if "?" in t:
+        if "?" in t or "[" in t:
             return ("regex", pattern.regex)
         pieces = [x for x in t.split("*") if x != ""]
         if len(pieces) == 1:

@@ -18,6 +18,7 @@ from permscope.functions.patterns import Pattern, any_hits, classify, hits
 from permscope.functions.predicates import (ADMIN_PATTERNS_FULL, ADMIN_PATTERNS_SENSITIVE,
                                             is_admin_name, is_broad_identity, is_everyone,
                                             match_keyword_group)
+from permscope.operators.runs import run_keys
 from permscope.sources.ruleset import Ruleset, load_ruleset
 
 # Fallback targets of the broad-permission finder.
@@ -62,7 +63,7 @@ def folders_missing_admin_full(aces: DataFrame) -> DataFrame:
     """Folders with no ACE that is an admin identity with FullControl."""
     a = _with_res_name(aces).filter(valid_folder("folder_path"))
     admin_full = is_admin_name("res_name", ADMIN_PATTERNS_FULL) & is_full_control("ace_mask")
-    g = (a.groupBy(F.trim("folder_path").alias("folder_path"))
+    g = (a.groupBy(*run_keys(a), F.trim("folder_path").alias("folder_path"))
          .agg(F.bool_or(admin_full).alias("has_admin_full"), F.count(F.lit(1)).alias("ace_count")))
     return g.filter(~F.col("has_admin_full")).select("folder_path", "ace_count")
 
@@ -100,7 +101,7 @@ def missing_required(aces: DataFrame, patterns, perm: Pattern | None = None,
     inh = F.coalesce(_col(aces, "ace_inherited", "boolean"), F.lit(False))
     counts = F.lit(True) if include_inherited else ~inh
     qualifies = counts & _identity_hit(name, sid, pats) & perm_ok
-    g = (aces.groupBy(_col(aces, "source_file").alias("source_file"), F.col("folder_path"))
+    g = (aces.groupBy(*run_keys(aces), _col(aces, "source_file").alias("source_file"), F.col("folder_path"))
          .agg(F.bool_or(qualifies).alias("found")))
     return g.filter(~F.col("found")).select(
         "source_file", "folder_path",

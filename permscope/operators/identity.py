@@ -35,7 +35,7 @@ def _cp(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def membership_closure(edges: DataFrame, include_self: bool = False, max_rounds: int = 100,
+def membership_closure(edges: DataFrame, include_self: bool = False,
                        scope: DataFrame | None = None) -> DataFrame:
     """All (snapshot_id, member_sid, group_sid) pairs with a membership path.
 
@@ -51,7 +51,7 @@ def membership_closure(edges: DataFrame, include_self: bool = False, max_rounds:
     parts = [_cp(e)]
     delta = parts[0]
     step = e.select("snapshot_id", F.col("member_sid").alias("mid"), F.col("group_sid").alias("next_group"))
-    for _ in range(max_rounds):
+    while True:  # ends when no new pair appears: there are finitely many
         known = parts[0]
         for p in parts[1:]:
             known = known.unionByName(p)
@@ -64,8 +64,6 @@ def membership_closure(edges: DataFrame, include_self: bool = False, max_rounds:
             break
         parts.append(nxt)
         delta = nxt
-    else:  # pragma: no cover - a chain longer than max_rounds
-        raise RuntimeError(f"membership closure did not converge in {max_rounds} rounds")
     closure = parts[0]
     for p in parts[1:]:
         closure = closure.unionByName(p)
@@ -167,25 +165,16 @@ def security_context(users: DataFrame, closure: DataFrame, well_known=WELL_KNOWN
     return ctx.groupBy("snapshot_id", "user_sid", "context_sid").agg(F.min("via").alias("via"))
 
 
-BROADCAST_CONTEXT_MAX_USERS = 10_000
-
-
-def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_right: str = "read",
-                     broadcast_max_users: int = BROADCAST_CONTEXT_MAX_USERS) -> DataFrame:
+def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_right: str = "read") -> DataFrame:
     """(user, folder) -> effective rights bucket with one evidence ACE.
 
     Canonical-order approximation on the bucket ladder none<read<write<full:
     an explicit deny of bucket b caps everything at b-1; an inherited deny
-    caps inherited allows only (an explicit allow beats it).  ACE types
+    caps inherited allows only (an explicit allow beats it).  The evidence is
+    an allow ACE whose capped rank equals the effective one.  ACE types
     other than allow/deny count as allow and mark the row 'approximate'.
     """
     ctx = security_context(users, closure)
-    # size check before broadcasting: the context has (groups + well-known)
-    # rows per user, so a few users give a small table that is broadcast and
-    # the ACE side is never shuffled; beyond the limit the planner's
-    # (size-checked) join choice applies
-    if users.limit(broadcast_max_users + 1).count() <= broadcast_max_users:
-        ctx = F.broadcast(ctx)
     a = aces.select(
         "folder_path", "ace_sid", "ace_mask",
         F.lower(F.coalesce("ace_type", F.lit("allow"))).alias("t"),
@@ -203,12 +192,14 @@ def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_
         F.coalesce(F.min(deny_explicit), F.lit(4)).alias("ed"),
         F.coalesce(F.min(deny_inherited), F.lit(4)).alias("idn"),
         F.bool_or(~F.col("t").isin("allow", "deny")).alias("approx"),
-        # evidence: the highest allow (explicit first); ties broken on the
-        # ACE fields so the pick is deterministic
-        F.max(F.struct(
-            F.when(~is_deny, F.col("rank") * 4 + F.when(~F.col("inh"), 2).otherwise(0)).otherwise(-1).alias("k"),
-            "ace_sid", "ace_mask", "via")).alias("ev"))
-    eff = F.greatest(F.least("ea", F.col("ed") - 1), F.least("ia", F.col("ed") - 1, F.col("idn") - 1))
+        # the highest allow of each kind; ties broken on the ACE fields so
+        # the pick is deterministic
+        F.max(F.when(~is_deny & ~F.col("inh"), F.struct("rank", "ace_sid", "ace_mask", "via"))).alias("best_e"),
+        F.max(F.when(~is_deny & F.col("inh"), F.struct("rank", "ace_sid", "ace_mask", "via"))).alias("best_i"))
+    from_explicit = F.least("ea", F.col("ed") - 1)
+    eff = F.greatest(from_explicit, F.least("ia", F.col("ed") - 1, F.col("idn") - 1))
+    # evidence: the allow that survives its denies with the effective rank (explicit first)
+    g = g.withColumn("ev", F.when(from_explicit == eff, F.col("best_e")).otherwise(F.col("best_i")))
     names = F.array(F.lit("none"), F.lit("read"), F.lit("write"), F.lit("fullcontrol"))
     out = g.withColumn("eff", eff).filter(F.col("eff") >= bucket_rank(F.lit(min_right)))
     return out.select(
@@ -227,7 +218,8 @@ def effective_access_diff(before: DataFrame, after: DataFrame) -> DataFrame:
                       F.col("rights_bucket").alias("bucket_before"))
     a = after.select("user_sid", "folder_path", F.col("rights_rank").alias("rank_after"),
                      F.col("rights_bucket").alias("bucket_after"), "matched_sid", "matched_mask")
-    j = a.join(b, ["user_sid", "folder_path"], "left")
+    b = b.withColumnsRenamed({"user_sid": "_u", "folder_path": "_f"})
+    j = a.join(b, F.col("user_sid").eqNullSafe(F.col("_u")) & F.col("folder_path").eqNullSafe(F.col("_f")), "left")
     return (j.filter(F.col("rank_after") > F.coalesce("rank_before", F.lit(0)))
             .select("user_sid", "folder_path", F.coalesce("bucket_before", F.lit("none")).alias("bucket_before"),
                     "bucket_after", "matched_sid", "matched_mask"))

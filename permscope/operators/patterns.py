@@ -17,6 +17,7 @@ from permscope.functions.predicates import (ADMIN_PATTERNS_FULL, ADMIN_PATTERNS_
                                             GENERIC_LARGE_GROUPS, KEYWORD_GROUPS, SCRIPT_WORDS,
                                             SERVICE_ACCOUNT_WORDS, is_admin_name, is_broad_identity,
                                             match_keyword_group)
+from permscope.operators.runs import run_keys
 
 # The sensitive keyword groups of the pattern catalogue add an
 # Audit group to the finder's groups.
@@ -66,16 +67,18 @@ def broad_inherited_by_ancestor(aces: DataFrame, min_folders: int = 2) -> DataFr
     # pre-aggregate to one row per (folder, identity) before exploding the
     # ancestors: the explode then grows with folders, not with ACEs, and each
     # (ancestor, identity, folder) appears once, so a plain count is exact
-    per_folder = a.groupBy("folder_path", F.col("res_name").alias("identity")).agg(F.count(F.lit(1)).alias("n"))
-    x = per_folder.select("identity", "n", F.explode(ancestors("folder_path")).alias("ancestor"))
-    return (x.groupBy("ancestor", "identity")
+    runs = run_keys(aces)
+    per_folder = a.groupBy(*runs, "folder_path", F.col("res_name").alias("identity")).agg(F.count(F.lit(1)).alias("n"))
+    x = per_folder.select(*runs, "identity", "n", F.explode(ancestors("folder_path")).alias("ancestor"))
+    return (x.groupBy(*runs, "ancestor", "identity")
             .agg(F.count(F.lit(1)).alias("folders"), F.sum("n").alias("aces"))
-            .filter(F.col("folders") >= min_folders))
+            .filter(F.col("folders") >= min_folders).drop(*runs))
 
 
 def excessive_ace_count(aces: DataFrame, threshold: int = 100) -> DataFrame:
-    return (aces.groupBy("folder_path").agg(F.count(F.lit(1)).alias("ace_count"))
-            .filter(F.col("ace_count") > threshold))
+    runs = run_keys(aces)
+    return (aces.groupBy(*runs, "folder_path").agg(F.count(F.lit(1)).alias("ace_count"))
+            .filter(F.col("ace_count") > threshold).drop(*runs))
 
 
 def sensitive_keywords_exposed(aces: DataFrame) -> DataFrame:
@@ -92,7 +95,7 @@ def share_root_missing_admin(aces: DataFrame) -> DataFrame:
     """Share roots (path depth host+share) with no admin FullControl ACE."""
     a = _named(aces).filter(valid_folder("folder_path") & (path_depth("folder_path") == 2))
     admin_full = is_admin_name("res_name", ADMIN_PATTERNS_FULL) & is_full_control("ace_mask")
-    g = a.groupBy("folder_path").agg(F.bool_or(admin_full).alias("ok"), F.count(F.lit(1)).alias("ace_count"))
+    g = a.groupBy(*run_keys(aces), "folder_path").agg(F.bool_or(admin_full).alias("ok"), F.count(F.lit(1)).alias("ace_count"))
     return g.filter(~F.col("ok")).select("folder_path", "ace_count")
 
 
@@ -117,7 +120,7 @@ def remediation_backlog(aces: DataFrame) -> DataFrame:
     everyone = contains_any("res_name", ("everyone", "s-1-1-0"))
     domain_users = contains_any("res_name", ("domain users",))
     broad_high = is_broad_identity("res_name") & high_perm_bitmask("ace_mask")
-    g = a.groupBy("folder_path").agg(
+    g = a.groupBy(*run_keys(aces), "folder_path").agg(
         F.bool_or(everyone).alias("everyone_present"),
         F.bool_or(domain_users).alias("domain_users_present"),
         F.bool_or(broad_high & F.coalesce("ace_inherited", F.lit(False))).alias("inherited_exposure"),
@@ -130,4 +133,4 @@ def remediation_backlog(aces: DataFrame) -> DataFrame:
             + F.when(F.col("everyone_present"), 4).otherwise(0)
             + F.when(F.col("domain_users_present"), 2).otherwise(0)
             + F.when(F.col("inherited_exposure"), 1).otherwise(0))
-    return g.withColumn("priority", prio)
+    return g.withColumn("priority", prio).drop(*run_keys(aces))

@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 
 from permscope.functions.names import resolve_name
 from permscope.functions.patterns import Pattern, any_hits, hits
+from permscope.operators.runs import run_keys
 from permscope.sources.ruleset import Rule, Ruleset, load_ruleset, SEVERITY_RANK
 
 MATCH_COLUMNS = ["rule_id", "severity", "folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited"]
 
 
 def normalize_aces(aces: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Null-free rule inputs: folder, res_name, sid, mask, inherited."""
+    """Null-free rule inputs: folder, res_name, sid, mask, inherited (and ``run``)."""
     cols = set(aces.columns)
 
     def col_or_null(name, typ="string"):
@@ -41,20 +42,22 @@ def normalize_aces(aces: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.coalesce(col_or_null("ace_sid").cast("string"), F.lit("")).alias("sid"),
         F.coalesce(col_or_null("ace_mask").cast("string"), F.lit("")).alias("mask"),
         F.coalesce(col_or_null("ace_inherited", "boolean").cast("boolean"), F.lit(False)).alias("inherited"),
+        F.struct(*run_keys(aces), F.lit(0).alias("_")).alias("run"),
     )
 
 
 def with_folder_counts(norm: DataFrame) -> DataFrame:
-    """Attach ``folder_count`` (ACEs of the folder) and ``dup_count`` (ACEs of the
-    same folder and identity) by aggregate-then-join."""
-    pair = norm.groupBy("folder", "res_name").agg(F.count(F.lit(1)).alias("dup_count"))
-    folder = pair.groupBy("folder").agg(F.sum("dup_count").alias("folder_count"))
-    counts = pair.join(folder, "folder").select(
-        F.col("folder").alias("_cf"), F.col("res_name").alias("_cn"), "dup_count", "folder_count")
+    """Attach ``folder_count`` (ACEs of the folder in its run) and ``dup_count`` (ACEs
+    of the same run, folder and identity) by aggregate-then-join."""
+    pair = norm.groupBy("run", "folder", "res_name").agg(F.count(F.lit(1)).alias("dup_count"))
+    folder = pair.groupBy("run", "folder").agg(F.sum("dup_count").alias("folder_count"))
+    counts = pair.join(folder, ["run", "folder"]).select(
+        F.col("run").alias("_cr"), F.col("folder").alias("_cf"), F.col("res_name").alias("_cn"), "dup_count", "folder_count")
     # null-safe keys (they are never null): an inner equi-join would infer an
     # IS NOT NULL filter that re-evaluates the name resolution on every row
-    cond = norm["folder"].eqNullSafe(counts["_cf"]) & norm["res_name"].eqNullSafe(counts["_cn"])
-    return norm.join(counts, cond).drop("_cf", "_cn")
+    cond = (norm["folder"].eqNullSafe(counts["_cf"]) & norm["res_name"].eqNullSafe(counts["_cn"])
+            & norm["run"].eqNullSafe(counts["_cr"]))
+    return norm.join(counts, cond).drop("_cf", "_cn", "_cr")
 
 
 def _admin_hit(admins: tuple[Pattern, ...], name: Column, sid: Column, sid_for_contains: bool,

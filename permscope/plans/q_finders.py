@@ -63,14 +63,14 @@ def q_folders_missing_admin_full(spark, sf):
     return FD.folders_missing_admin_full(fx.aces(spark, sf))
 
 
-def _missing_sql(pats, perm, rule_id, include_inherited=False) -> str:
+def _missing_sql(pats, perm, rule_id, include_inherited=False, src="aces") -> str:
     hit = f"({sql_any_hits(PSN, pats)} OR {sql_any_hits(SID, pats)})"
     perm_sql = f"({sql_hits(MASK, perm)} AND {MASK} <> '')" if perm is not None else S.high_bitmask(MASK)
     inh = "true" if include_inherited else f"NOT {INH}"
     return f"""
 SELECT source_file, folder_path, {sql_quote(rule_id)} AS missing_rule,
        {sql_quote(','.join(p.text for p in pats))} AS expected_identities, '' AS found_identities
-FROM aces GROUP BY source_file, folder_path
+FROM {src} GROUP BY source_file, folder_path
 HAVING NOT COALESCE(bool_or({inh} AND {hit} AND {perm_sql}), false)"""
 
 
@@ -82,6 +82,16 @@ def q_missing_admins(spark, sf):
     return FD.missing_admins(fx.aces(spark, sf), DEFAULT)
 
 
+def _missing_both() -> str:
+    args = (DEFAULT.admin_identities, _AM.perm_match, _AM.id)
+    return _missing_sql(*args) + "\nUNION ALL\n" + _missing_sql(*args, src="aces_b")
+
+
+@register("missing_admins_two_runs", "2.4", oracle(_missing_both(), "aces", "aces_b"))
+def q_missing_admins_two_runs(spark, sf):
+    return FD.missing_admins(fx.aces(spark, sf, "a").unionByName(fx.aces(spark, sf, "b")), DEFAULT)
+
+
 _REQ = ("Domain Admins",)
 
 

@@ -156,15 +156,16 @@ SELECT user_sid, folder_path, {_BUCKET.format(r='eff')} AS rights_bucket, eff AS
        CASE WHEN approx THEN 'approximate' ELSE 'exact' END AS semantics,
        'snapshot, folder-level rights only' AS scope
 FROM (
-  SELECT *, greatest(least(ea, ed - 1), least(ia, ed - 1, idn - 1)) AS eff FROM (
+  SELECT *, greatest(least(ea, ed - 1), least(ia, ed - 1, idn - 1)) AS eff,
+         CASE WHEN least(ea, ed - 1) >= least(ia, ed - 1, idn - 1) THEN ev_e ELSE ev_i END AS ev FROM (
     SELECT user_sid, folder_path,
       COALESCE(MAX(CASE WHEN t <> 'deny' AND NOT inh THEN rk END), 0) AS ea,
       COALESCE(MAX(CASE WHEN t <> 'deny' AND inh THEN rk END), 0) AS ia,
       COALESCE(MIN(CASE WHEN t = 'deny' AND NOT inh AND rk > 0 THEN rk END), 4) AS ed,
       COALESCE(MIN(CASE WHEN t = 'deny' AND inh AND rk > 0 THEN rk END), 4) AS idn,
       bool_or(t NOT IN ('allow', 'deny')) AS approx,
-      MAX({{'k': CASE WHEN t <> 'deny' THEN rk * 4 + CASE WHEN NOT inh THEN 2 ELSE 0 END ELSE -1 END,
-            's': ace_sid, 'm': ace_mask, 'v': via}}) AS ev
+      MAX({{'k': rk, 's': ace_sid, 'm': ace_mask, 'v': via}}) FILTER (WHERE t <> 'deny' AND NOT inh) AS ev_e,
+      MAX({{'k': rk, 's': ace_sid, 'm': ace_mask, 'v': via}}) FILTER (WHERE t <> 'deny' AND inh) AS ev_i
     FROM (SELECT a.folder_path, a.ace_sid, a.ace_mask, lower(COALESCE(a.ace_type, 'allow')) AS t,
                  COALESCE(a.ace_inherited, false) AS inh, {_RANK} AS rk, c.user_sid, c.via
           FROM {aces} a JOIN {ctx} c ON a.ace_sid = c.context_sid)
@@ -196,7 +197,7 @@ def q_effective_access(spark, sf):
 @register("effective_access_diff", "2.11", oracle("""
 SELECT a.user_sid, a.folder_path, COALESCE(b.rights_bucket, 'none') AS bucket_before,
        a.rights_bucket AS bucket_after, a.matched_sid, a.matched_mask
-FROM eab a LEFT JOIN eaa b ON a.user_sid = b.user_sid AND a.folder_path = b.folder_path
+FROM eab a LEFT JOIN eaa b ON a.user_sid = b.user_sid AND a.folder_path IS NOT DISTINCT FROM b.folder_path
 WHERE a.rights_rank > COALESCE(b.rights_rank, 0)""",
     "aces", "aces_b", "edges", "edges_b", "principals", "principals_b", recursive=True,
     cl=CLOSURE, clb=CLOSURE_B, ctx=_ctx_sql("cl", "principals"), ctxb=_ctx_sql("clb", "principals_b"),

@@ -108,18 +108,18 @@ def q_duplicate_aces(spark, sf):
 
 # --- row-shaping and scalar functions, checked over every distinct value ---
 
-@register("mask_classification", "2.9", oracle("""
+@register("mask_classification", "2.9", oracle(f"""
 SELECT ace_mask,
-  CASE WHEN regexp_matches(trim(ace_mask), '^[+-]?[0-9]{1,19}$') OR regexp_matches(trim(ace_mask), '^0[xX][0-9a-fA-F]{1,16}$')
+  CASE WHEN regexp_matches(trim(ace_mask), '^[+-]?[0-9]{{1,19}}$') OR regexp_matches(trim(ace_mask), '^0[xX][0-9a-fA-F]{{1,16}}$')
        THEN COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) ELSE 0 END AS mask_int,
   ace_mask AS mask_normalized,
   (contains(lower(ace_mask), 'full') OR contains(lower(ace_mask), 'modify') OR contains(lower(ace_mask), 'write')
-     OR COALESCE(TRY_CAST(ace_mask AS BIGINT) <> 0, false)) AS high_sql,
+     OR COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT) <> 0, false)) AS high_sql,
   (regexp_matches(ace_mask, '(?i)full|fullcontrol|modify|write')
      OR (COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) & 3489660982) <> 0) AS high_bitmask,
   (regexp_matches(ace_mask, '(?i)full|fullcontrol|modify|write')
      OR COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) > 0) AS high_simple,
-  contains(lower(ace_mask), 'full') AS full_control,
+  {S.is_full()} AS full_control,
   CASE WHEN regexp_matches(lower(ace_mask), 'full|generic_all')
             OR (COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) & 268435456) <> 0
             OR (COALESCE(TRY_CAST(trim(ace_mask) AS BIGINT), 0) & 2032127) = 2032127 THEN 'fullcontrol'

@@ -7,12 +7,15 @@ folder counts from a window over the grouped pairs.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from permscope.functions.patterns import Pattern, sql_any_hits, sql_contains_any, sql_hits, sql_quote
 from permscope.operators import rules as RU
 from permscope.plans import sqlparts as S
 from permscope.plans.registry import oracle, register
+from permscope.session import checkpoint_dir
 from permscope.sources import fixtures as fx
 from permscope.sources.ruleset import Rule, Ruleset, load_ruleset
 
@@ -91,6 +94,17 @@ def q_apply_rules(spark, sf):
     return RU.apply_rules(fx.aces(spark, sf), DEFAULT)
 
 
+def _two_runs(spark, sf):
+    return fx.aces(spark, sf, "a").unionByName(fx.aces(spark, sf, "b"))
+
+
+@register("apply_rules_two_runs", "2.11", oracle("SELECT * FROM ma UNION ALL SELECT * FROM mb",
+                                                 ma=rules_oracle(DEFAULT), mb=rules_oracle(DEFAULT, src="aces_b")))
+def q_apply_rules_two_runs(spark, sf):
+    # counts never mix runs: both runs at once equal the union of one at a time
+    return RU.apply_rules(_two_runs(spark, sf), DEFAULT)
+
+
 @register("rules_cross_aces", "2.4", rules_oracle(DEFAULT))
 def q_rules_cross_aces(spark, sf):
     # the nested loop "every rule x every ACE" is the same single-scan plan
@@ -127,10 +141,10 @@ for _r in DEFAULT.rules:
 SELECT lower(severity) AS severity, rule_id, COUNT(*) AS match_count
 FROM m WHERE lower(severity) IN ('low', 'medium', 'high') GROUP BY 1, 2""", m=rules_oracle(DEFAULT)))
 def q_split_by_severity(spark, sf):
-    # the routing step of the severity sink, as a table (the sink writes
-    # these partitions with write.partitionBy("severity"))
-    m = RU.apply_rules(fx.aces(spark, sf), DEFAULT).withColumn("severity", F.lower("severity"))
-    m = m.filter(F.col("severity").isin("low", "medium", "high"))
+    # the severity sink itself, read back from its partitions
+    out = f"{checkpoint_dir(spark).rstrip('/')}/severity-{uuid.uuid4().hex}"
+    RU.split_by_severity(RU.apply_rules(fx.aces(spark, sf), DEFAULT), out, fmt="parquet")
+    m = spark.read.schema("rule_id string, severity string").parquet(out)
     return m.groupBy("severity", "rule_id").agg(F.count(F.lit(1)).alias("match_count"))
 
 

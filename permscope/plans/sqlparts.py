@@ -8,7 +8,7 @@ from permscope.functions.names import RAW_NAME_KEYS
 def high_perm(col: str = "ace_mask") -> str:
     m = f"lower(CAST({col} AS VARCHAR))"
     return (f"(({col} IS NOT NULL AND ({m} LIKE '%full%' OR {m} LIKE '%modify%' OR {m} LIKE '%write%'))"
-            f" OR (TRY_CAST({col} AS BIGINT) IS NOT NULL AND TRY_CAST({col} AS BIGINT) <> 0))")
+            f" OR {mask_int(col)} <> 0)")
 
 
 def name_from_raw(raw: str = "ace_raw") -> str:
@@ -37,7 +37,9 @@ def contains_any(col: str, words) -> str:
 
 
 def is_full(col: str = "ace_mask") -> str:
-    return f"COALESCE(contains(lower({col}), 'full'), false)"
+    v = mask_int(col)
+    return (f"(COALESCE(contains(lower({col}), 'full'), false) OR ({v} & 268435456) <> 0 "
+            f"OR ({v} & 2032127) = 2032127)")
 
 
 def normalized(src: str = "aces") -> str:

@@ -73,8 +73,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints / intermediate tables.
 
     Read ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared, fault-tolerant folder there).  Only when it is unset — local
-    tests — a private scratch folder is created and registered.
+    shared, fault-tolerant folder there).  Only in local mode, when it is
+    unset, a private scratch folder is created and registered; any other
+    master without the setting is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -84,6 +85,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     if not d and sc is not None:
         d = sc.getCheckpointDir()
+    if not d and sc is not None and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="permscope-ckpt-")
         try:

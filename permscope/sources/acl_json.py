@@ -9,8 +9,10 @@ Shape-agnostic node search, level by level: each level maps a row to an
 array of rows and explodes it.  A JSON array becomes its elements; a JSON
 object whose key (any case) is one of ``ACL_KEYS`` with a list value is an
 *ACL node* (emitted once); the object's other object/array values become
-the next level's items.  Levels are persisted so each is parsed once; the
-search stops when no item is left or after ``max_depth`` levels (20).
+the next level's items.  Each level is checkpointed (shared folder), so it is
+parsed once and no executor holds it; the search goes on until no item is left,
+however deep the document.  Files that are no single JSON value (unparsable,
+or with text after the value) are quarantined as a whole.
 
 Each node then yields one row per ACE of its first ACL list (document
 order).  Field names are matched case-insensitively through a lower-cased
@@ -19,12 +21,11 @@ order).  Field names are matched case-insensitively through a lower-cased
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from permscope.functions.paths import canonical_folder_path
-from permscope.session import apply_engine_conf
+from permscope.session import apply_engine_conf, checkpoint_dir
 
 # Keys that hold an ACL list.
 ACL_KEYS = ("acl", "acls", "aces", "acllist", "access", "accesslist", "rights", "permissions")
@@ -82,8 +83,7 @@ def read_folderacl_files(spark: SparkSession, root: str, schema_name_pattern: st
     return df.withColumn("run_id", F.regexp_extract("source_file", r"([^/]+)/folderacls/[^/]*$", 1))
 
 
-def folderacl_file_audit(spark: SparkSession, root: str, schema_name_pattern: str = "(?i)schema",
-                         max_depth: int = 20) -> DataFrame:
+def folderacl_file_audit(spark: SparkSession, root: str, schema_name_pattern: str = "(?i)schema") -> DataFrame:
     """Per run: JSON files found under ``folderacls``, skipped as schema
     artifacts, malformed, holding at least one ACL node, and without one —
     reported apart instead of folded into one file count."""
@@ -96,7 +96,7 @@ def folderacl_file_audit(spark: SparkSession, root: str, schema_name_pattern: st
     skipped = F.col("file_name").rlike(schema_name_pattern)
     files = raw.filter(~skipped)
     bad = malformed_files(files).select("source_file").withColumn("_bad", F.lit(True))
-    with_acl = acl_nodes(files, max_depth).select("source_file").distinct().withColumn("_acl", F.lit(True))
+    with_acl = acl_nodes(files).select("source_file").distinct().withColumn("_acl", F.lit(True))
     per_file = (raw.select("run_id", "source_file", skipped.alias("_skip"))
                 .join(bad, "source_file", "left").join(with_acl, "source_file", "left"))
     flag = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint")
@@ -114,7 +114,7 @@ def _strip_bom(c: Column) -> Column:
 
 
 def _starts(c: Column, ch: str) -> Column:
-    return F.ltrim(c).startswith(ch)
+    return F.ltrim(c, F.lit(" \t\r\n")).startswith(ch)  # JSON white space
 
 
 def _lower_map(text: Column) -> Column:
@@ -156,20 +156,36 @@ def _parsed(cur: DataFrame) -> DataFrame:
                       F.when(item & _starts(text, "{"), F.from_json(text, "map<string,string>")).alias("_m"))
 
 
-def acl_nodes(files: DataFrame, max_depth: int = 20) -> DataFrame:
-    """(run_id, source_file, node) — every ACL node of every file.
+def well_formed(text: Column) -> Column:
+    """Is the text exactly one JSON value (an object or an array)?
 
-    Level by level: each level is expanded once and persisted, its nodes are
-    set aside and only its remaining items go on; the loop ends when no item
-    is left (two or three levels for exporter files) or at ``max_depth``.
+    ``from_json`` stops after the first value, so the text is also parsed
+    inside an array and inside an object: whatever follows the value breaks
+    one of the two.
     """
-    cur = files.select("run_id", "source_file",
-                       F.struct(F.lit("item").alias("kind"), _strip_bom(F.col("text")).alias("text")).alias("it"))
+    t = _strip_bom(text)
+    in_array = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>")
+    in_object = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "map<string,string>")
+    container = F.from_json(t, "map<string,string>").isNotNull() | F.from_json(t, "array<string>").isNotNull()
+    return F.coalesce(container & (F.size(in_array) == 1) & (F.size(in_object) == 1), F.lit(False))
+
+
+def acl_nodes(files: DataFrame) -> DataFrame:
+    """(run_id, source_file, node) — every ACL node of every well-formed file.
+
+    Level by level: each level is expanded once and checkpointed, its nodes
+    are set aside and only its remaining items go on; the loop ends when no
+    item is left (two or three levels for exporter files).
+    """
+    checkpoint_dir(files.sparkSession)
+    cur = files.filter(well_formed(F.col("text"))).select(
+        "run_id", "source_file",
+        F.struct(F.lit("item").alias("kind"), _strip_bom(F.col("text")).alias("text")).alias("it"))
     found = []
-    for _ in range(max_depth):
+    while True:
         nxt = _parsed(cur).select("run_id", "source_file",
                                   F.explode(_expand(F.col("it"), F.col("_arr"), F.col("_m"))).alias("it"))
-        nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        nxt = nxt.checkpoint()
         found.append(nxt.filter(F.col("it.kind") == "node"))
         cur = nxt.filter(F.col("it.kind") == "item")
         if cur.isEmpty():
@@ -181,10 +197,8 @@ def acl_nodes(files: DataFrame, max_depth: int = 20) -> DataFrame:
 
 
 def malformed_files(files: DataFrame) -> DataFrame:
-    """Files that parse neither as a JSON object nor as an array (quarantine)."""
-    t = _strip_bom(F.col("text"))
-    bad = F.from_json(t, "map<string,string>").isNull() & F.from_json(t, "array<string>").isNull()
-    return files.filter(bad).select("run_id", "source_file", F.lit("unparsable JSON").alias("reason"))
+    """Files that are not exactly one JSON object or array (quarantine)."""
+    return files.filter(~well_formed(F.col("text"))).select("run_id", "source_file", F.lit("unparsable JSON").alias("reason"))
 
 
 def _pick(m: Column, keys) -> Column:
@@ -250,12 +264,12 @@ def nodes_to_aces(nodes: DataFrame, compat_any_list: bool = False) -> DataFrame:
     return out.select(*ACE_SCHEMA_COLUMNS, "ace_pos")
 
 
-def ingest_acl_json(spark: SparkSession, root: str, max_depth: int = 20, compat_any_list: bool = False,
+def ingest_acl_json(spark: SparkSession, root: str, compat_any_list: bool = False,
                     json_lines: bool = False) -> DataFrame:
     """Folder-ACL JSON files below ``root`` -> ACE rows (canonical columns)."""
     apply_engine_conf(spark)
     files = read_folderacl_files(spark, root, json_lines=json_lines)
-    return nodes_to_aces(acl_nodes(files, max_depth), compat_any_list).drop("ace_pos")
+    return nodes_to_aces(acl_nodes(files), compat_any_list).drop("ace_pos")
 
 
 def ingest_candidates(spark: SparkSession, root: str, out_dir: str, n: int = 20) -> DataFrame:
@@ -309,28 +323,43 @@ def aces_to_documents(aces: DataFrame) -> DataFrame:
 # Fixed-schema fast path for the two exporter schema versions
 # ---------------------------------------------------------------------------
 
-# Record and ACE fields of the exporter schemas 1.0.0 / 1.0.1.
+# Record fields of the exporter schemas 1.0.0 / 1.0.1.
 TYPED_RECORD_FIELDS = ("UncPath", "Path", "CollectedUtc", "CollectionHost", "Host", "ApplianceHostname",
                        "ApplianceDescription", "ApplianceSerialNumber", "VolumeName", "VolumeGuid", "ShareName",
                        "SharePath", "Collector", "Owner", "Sddl", "FingerprintSha256", "CollectionSha256")
-TYPED_ACE_FIELDS = ("Identity", "Sid", "Rights", "Type", "IsInherited", "InheritanceFlags", "PropagationFlags")
 
 
 def _typed_record_schema() -> str:
-    ace = ",".join(f"{f}:string" for f in TYPED_ACE_FIELDS)
     rec = ",".join(f"{f}:string" for f in TYPED_RECORD_FIELDS)
-    return f"struct<{rec},Attributes:array<string>,Access:array<struct<{ace}>>>"
+    return f"struct<{rec},Attributes:array<string>,Access:string>"
+
+
+def _typed_records(files: DataFrame) -> DataFrame:
+    """(run_id, source_file, text, recs): ``recs`` is null unless every record
+    has an ``Access`` list and no field that another ACL list could hide in."""
+    rec_t = _typed_record_schema()
+    text = _strip_bom(F.col("text"))
+    one = F.when(_starts(text, "{"), F.array(text)).otherwise(F.from_json(text, "array<string>"))
+    known = [F.lit(k) for k in (*TYPED_RECORD_FIELDS, "Attributes", "Access")]
+    # array_except of a record's keys and the known ones: an unknown key that holds a container
+    def fits(r):
+        m = F.from_json(r, "map<string,string>")
+        other = F.exists(F.array_except(F.map_keys(m), F.array(*known)),
+                         lambda k: F.coalesce(_starts(m[k], "{") | _starts(m[k], "["), F.lit(False)))
+        return F.coalesce(F.from_json(m["Access"], "array<string>").isNotNull() & ~other, F.lit(False))
+    parsed = files.filter(well_formed(F.col("text"))).select("run_id", "source_file", "text", one.alias("_one"))
+    return parsed.select("run_id", "source_file", "text", F.when(
+        F.col("_one").isNotNull() & F.forall("_one", fits),
+        F.transform("_one", lambda r: F.from_json(r, rec_t))).alias("recs"))
 
 
 def typed_aces(files: DataFrame) -> DataFrame:
     """Fast path for exporter files of the known schemas (an array of records
     or one record, each with an ``Access`` list): one ``from_json`` with a
-    fixed schema, no node search.  Other shapes yield nothing here — use the
-    generic path for them.  ``ace_raw`` is the ACE re-serialized as JSON."""
-    rec_t = _typed_record_schema()
-    text = _strip_bom(F.col("text"))
-    recs = F.coalesce(F.from_json(text, f"array<{rec_t}>"), F.array(F.from_json(text, rec_t)))
-    r = files.select("run_id", "source_file", F.explode(recs).alias("r")).filter(F.col("r").isNotNull())
+    fixed record schema, no node search.  ACEs of any form (objects with any
+    of the known keys, bare strings) are read as the generic path reads them.
+    Files of other shapes yield nothing here; ``untyped_files`` names them."""
+    r = _typed_records(files).select("run_id", "source_file", F.explode("recs").alias("r"))
     g = lambda f: F.nullif(F.col(f"r.{f}"), F.lit(""))  # noqa: E731 - Python ``or`` semantics
     unc = F.coalesce(g("UncPath"), g("Path"))
     base = r.select(
@@ -344,10 +373,22 @@ def typed_aces(files: DataFrame) -> DataFrame:
         g("VolumeGuid").alias("volume_guid"), g("ShareName").alias("share_name"), g("Owner").alias("owner"),
         g("Sddl").alias("sddl"), g("FingerprintSha256").alias("fingerprint_sha256"),
         g("CollectionSha256").alias("collection_sha256"), F.col("r.Attributes").alias("attributes"),
-        F.posexplode("r.Access").alias("ace_pos", "a"))
+        F.posexplode(F.from_json("r.Access", "array<string>")).alias("ace_pos", "ace_text"))
+    base = base.select("*", F.when(_starts(F.col("ace_text"), "{"), _lower_map(F.col("ace_text"))).alias("_a"))
+    a = F.col("_a")
     return base.select(
         "run_id", "source_file", "folder_path", "unc_path",
-        F.col("a.Sid").alias("ace_sid"), F.col("a.Identity").alias("ace_name"), F.col("a.Type").alias("ace_type"),
-        F.col("a.Rights").alias("ace_mask"), _parse_bool(F.col("a.IsInherited")).alias("ace_inherited"),
-        F.to_json("a").alias("ace_raw"),
+        _pick(a, SID_KEYS).alias("ace_sid"), _pick(a, NAME_KEYS).alias("ace_name"), _pick(a, TYPE_KEYS).alias("ace_type"),
+        _pick(a, MASK_KEYS).alias("ace_mask"), _parse_bool(_pick(a, INHERITED_KEYS)).alias("ace_inherited"),
+        F.col("ace_text").alias("ace_raw"),
         *META_KEYS.keys(), "attributes", "ace_pos").select(*ACE_SCHEMA_COLUMNS, "ace_pos")
+
+
+def untyped_files(files: DataFrame) -> DataFrame:
+    """Well-formed files whose shape the typed path does not read."""
+    return _typed_records(files).filter(F.col("recs").isNull()).select("run_id", "source_file", "text")
+
+
+def all_aces(files: DataFrame) -> DataFrame:
+    """Typed path where the shape is known, generic node search for the rest."""
+    return typed_aces(files).unionByName(nodes_to_aces(acl_nodes(untyped_files(files))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from permscope.sources.acl_json import ACE_SCHEMA_COLUMNS
 
@@ -30,11 +31,41 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
+def _reader(spark: SparkSession):
+    # options of this read alone: other scans of the session stay strict
+    return spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
+
+
+def _read_by_schema(spark: SparkSession, path: str) -> DataFrame:
+    """Files grouped by their own schema (from the footers), each group cast
+    to the canonical types, and the groups' union."""
+    groups: dict[str, list[str]] = {}
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+             .load(path).select("path").orderBy("path"))
+    for r in names.toLocalIterator():
+        try:
+            schema = spark.read.option("ignoreCorruptFiles", True).parquet(r["path"]).schema.simpleString()
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            continue  # unreadable: skipped like any corrupt file
+        groups.setdefault(schema, []).append(r["path"])
+    out = None
+    for files in groups.values():
+        part = conform(_reader(spark).option("basePath", path).parquet(*files))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def read_aces(spark: SparkSession, path: str, run_ids=None) -> DataFrame:
     """ACE table from Parquet (``run_id=...`` partitions), schemas merged,
     unreadable files skipped.  ``run_ids`` prunes partitions."""
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
-    df = conform(spark.read.option("mergeSchema", True).parquet(path))
+    try:
+        df = conform(_reader(spark).parquet(path))
+    except Exception as e:  # files that store a column (say, the mask) with different types
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+        df = _read_by_schema(spark, path)
     if run_ids:
         df = df.filter(F.col("run_id").isin(list(run_ids)))
     return df
@@ -45,10 +76,11 @@ def write_aces(aces: DataFrame, path: str, mode: str = "overwrite", extra_partit
     rewritten run replaces only its own partition).  Rows are clustered by
     folder inside each file so point lookups prune row groups."""
     spark = aces.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = ["run_id", *extra_partitions]
-    (aces.repartition(*parts, "folder_path").sortWithinPartitions("folder_path")
-     .write.mode(mode).partitionBy(*parts).parquet(path))
+    # a rebalance, not a repartition: adaptive execution splits the partition
+    # of a hot folder into several files
+    (aces.hint("rebalance", *[F.col(c) for c in (*parts, "folder_path")]).sortWithinPartitions("folder_path")
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
 
 
 def read_shares_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +91,10 @@ def read_shares_csv(spark: SparkSession, path: str) -> DataFrame:
     try:
         df = spark.read.option("header", True).schema(SHARES_SCHEMA).csv(path)
         df.schema  # noqa: B018 - resolves the path
-    except Exception:  # missing inventory -> empty table
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        # missing inventory -> empty table
         empty = T.StructType(SHARES_SCHEMA.fields + [T.StructField("row_no", T.LongType())])
         return spark.createDataFrame([], empty)
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in SHARES_SCHEMA.names],
@@ -67,8 +102,8 @@ def read_shares_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_findings_csv(matches: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Findings with a header; an empty result still writes a header-only file."""
-    matches.coalesce(1).write.mode(mode).option("header", True).csv(path)
+    """Findings with a header, one file per task; an empty result still writes a header-only file."""
+    matches.write.mode(mode).option("header", True).csv(path)
 
 
 def read_broad_csv(spark: SparkSession, path: str) -> DataFrame:
