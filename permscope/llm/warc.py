@@ -266,10 +266,10 @@ class WarcReader(DataSourceReader):
             room -= f.size
         return out
 
-    def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Files | None) -> Iterator[pa.RecordBatch]:
         fs, _ = pafs.FileSystem.from_uri(self.path)
         rows, size = [], 0
-        for name in partition.names:
+        for name in partition.names if partition is not None else []:  # no file: no partition
             with fs.open_input_file(name) as stream:
                 source = (_Gzip if name.endswith(".gz") else _Plain)(stream, name)
                 for position, head, block in source.records():

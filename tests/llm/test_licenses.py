@@ -18,9 +18,9 @@ def test_headers_files_and_nearest_ancestor(spark):
     prose = "some words of a text that has nothing to do with it at all and goes on for a while\n"
     got = scan(spark, [
         (1, "a/LICENSE", prose * 20 + MIT + "\n" + prose), (2, "a/x.py", prose), (3, "a/b/y.py", prose),
-        (4, "a/b/c/COPYING", APACHE), (5, "a/b/c/z.py", prose), (6, "a/b/c/d/e/w.py", prose), (7, "a/b/c/v.py", MIT + "\n" + prose),
+        (4, "a/b/c/COPYING", APACHE), (5, "a/b/c/z.py", prose), (6, "a/b/c/d/e/w.py", prose), (7, "a/b/c/v.py", MIT + "\n" + prose * 20),
         (8, "q/u.py", prose), (9, "top.py", prose), (10, None, prose), (11, None, APACHE), (12, "a/b/n", None), (13, "ab/n", ""),
-        (14, "a/b/m.py", "# Licensed under the Apache License,\n# Version 2.0.\n" + prose)])
+        (14, "a/b/m.py", "# Licensed under the Apache License,\n# Version 2.0.\n" + prose * 20)])
     assert {k: (r.license, r.inherited_from) for k, r in got.items()} == {
         1: ("MIT", None), 2: ("MIT", "a"), 3: ("MIT", "a"), 4: ("Apache-2.0", None), 5: ("Apache-2.0", "a/b/c"),
         6: ("Apache-2.0", "a/b/c"), 7: ("MIT", None), 8: (None, None), 9: (None, None), 10: (None, None),
