@@ -15,10 +15,10 @@ pair are worth c at least.  A set therefore indexes
 much as shipping its texts), from the sizes of all sets.  Every signature group
 compares its members to a few of them (a star); pairs whose parity sketches
 differ in more bits than linked sets can differ in tokens are dropped; the rest
-is compared by counting tokens exactly.  Groups that still hold
-several components go on with four times as many centres until none is left:
-every linked pair is either compared or already in one component, and no group
-ever emits all its pairs at once.
+is compared by counting tokens exactly.  Groups that then still hold several
+components are compared in blocks, sketch against sketch inside a task, and
+only plausible pairs of different components are counted: every linked pair is
+either compared or already in one component, and no group emits all its pairs.
 
 Cases: equal sets are one node, whatever their number; null or wordless text
 has an empty set (0 shingles, a component of its own); fewer than n words are
@@ -37,7 +37,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from permscope.llm.blobs import BLOB_SCHEMA, shard_table, to_blobs, unpack_blobs, without
 from permscope.llm.superkmers import default_buckets
@@ -47,6 +46,7 @@ from permscope.llm.text import keyed, mix, ranges, raw_bytes, rolling, text_batc
 SKETCH = 1024        # bits: the parity of the tokens that hash to each
 PAIR = 0.5           # cost of comparing a pair, in signatures per token of a set
 CENTRES = 2          # of a signature group in the first round
+BLOCK = 2048         # members of a group that are compared in one place
 STAR = 512           # members that one centre meets in one place; more are dealt to several
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -270,6 +270,49 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(test, "a long, b long")
 
 
+def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int, shards: int) -> DataFrame:
+    """Plausible pairs (a, b) of different components within signature groups (bucket, sig, node).
+
+    Groups that already are one component have nothing to find.  The others
+    are compared in blocks of at most BLOCK members, sketch against sketch
+    inside the task; only plausible pairs leave it.
+    """
+    groups = groups.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    mixed = groups.groupBy("bucket", "sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("k"))
+    mixed = mixed.where("lo != hi").select("bucket", "sig", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    members = groups.join(mixed, ["bucket", "sig"]).join(nodes.select("node", "size", "sketch"), "node")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = members.withColumn("own", mine).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    place = F.xxhash64("bucket", "sig", F.least("own", "other"), F.greatest("own", "other"))
+    placed = placed.select("node", "comp", "size", "sketch", "own", (F.col("own") == F.col("other")).alias("one"),
+                           place.alias("place"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("place").combine_chunks()
+        place, node, comp, size, own = (table.column(c).to_numpy() for c in ("place", "node", "comp", "size", "own"))
+        one = table.column("one").to_numpy()
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        i, step = np.arange(len(place)), 0
+        while len(i):  # every member with the one `step` places behind it
+            step += 1
+            i = i[i + step < len(place)]
+            i = i[place[i] == place[i + step]]
+            j = i + step
+            ok = (comp[i] != comp[j]) & ((own[i] != own[j]) | one[i])
+            ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+            x, y = i[ok], j[ok]
+            differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+            good = (100 + percent) * differ <= (100 - percent) * (size[x] + size[y])
+            x, y = node[x[good]], node[y[good]]
+            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    shard = F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int")
+    return placed.groupBy(shard.alias("shard")).applyInArrow(compare, "a long, b long").distinct()
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, places: DataFrame, n: int, percent: int, shards: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by counting common tokens.
 
@@ -377,27 +420,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     groups = found.where("a is null").select("bucket", "sig", F.col("b").alias("node"))
     pairs = stored(_plausible(pairs, nodes, percent), "pairs")
     links = stored(_verify(pairs, docs, places, n, percent, shards), "links")
-    used, centres, comp = CENTRES, CENTRES, components(links)
-    while True:
-        by = W.partitionBy("bucket", "sig")
-        groups = groups.join(comp, "node", "left").select(
-            "bucket", "sig", "node", F.coalesce("comp", "node").alias("comp"),
-            F.row_number().over(by.orderBy("node")).alias("rank"))
-        mixed = groups.groupBy("bucket", "sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                                    F.max("rank").alias("k")).where(f"lo != hi and k > {used + 1}")
-        groups = stored(groups.join(mixed.select("bucket", "sig"), ["bucket", "sig"]), "groups")
-        if groups.isEmpty():
-            break
-        centres *= 4
-        middle = groups.where(f"rank > {used} and rank <= {used + centres}").select(
-            "bucket", "sig", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("rank").alias("ra"))
-        pairs = groups.join(middle, ["bucket", "sig"]).where("rank > ra and comp != ca").select(
-            "a", F.col("node").alias("b")).distinct()
-        pairs = stored(_plausible(pairs, nodes, percent), "pairs")
-        if not pairs.isEmpty():
-            links = stored(links.unionByName(_verify(pairs, docs, places, n, percent, shards)), "links")
-            comp = components(links)
-        groups, used = groups.select("bucket", "sig", "node"), used + centres
+    comp = components(links)
+    pairs = stored(_between(groups, comp, nodes, percent, shards), "pairs")
+    if not pairs.isEmpty():
+        links = stored(links.unionByName(_verify(pairs, docs, places, n, percent, shards)), "links")
+        comp = components(links)
     sets = sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     first = sets.where("size > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("low"))
     none = F.col("size") == 0
