@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -108,8 +110,12 @@ def holds(text, item, window=13, subs=2, shortest=8):
         return False
     if len(b) < window:
         return any(a[k:k + len(b)] == b for k in range(len(a) - len(b) + 1))
-    return any(sum(x == y for x, y in zip(a[i:i + window], b[j:j + window])) >= window - subs
-               for i in range(len(a) - window + 1) for j in range(len(b) - window + 1))
+    if len(a) < window:
+        return False
+    ids: dict = {}
+    a, b = (np.array([ids.setdefault(x, len(ids)) for x in w]) for w in (a, b))
+    rows = np.lib.stride_tricks.sliding_window_view(a, window)
+    return any(((rows == b[j:j + window]).sum(axis=1) >= window - subs).any() for j in range(len(b) - window + 1))
 
 
 def sha256(x):
