@@ -10,7 +10,8 @@ Skew.  (1) Equal packed strings of a map batch are settled there and only the
 first document's travel.  (2) A fixed histogram of 65,536 counters over the
 minimisers of ALL rows is summed first; the windows of bins far above the mean
 travel one by one to the bucket of their own content instead, so a frequent
-m-gram in many contexts spreads over all buckets.
+m-gram in many contexts spreads over all buckets.  Splitting repeats the shared
+bytes, so bins that a task holds easily are left whole.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from permscope.llm.text import mix, ranges, rolling, text_batches
 
 BINS = 1 << 16
 # a bin is split by window content when it holds more than HOT_BUCKET of a bucket's
-# mean load and 4 times the mean bin
-HOT_BUCKET, HOT_BIN = 0.5, 4.0 / BINS
+# mean load, 4 times the mean bin, and more super-k-mers than a task easily holds
+HOT_BUCKET, HOT_BIN, LARGE = 0.5, 4.0 / BINS, 1 << 17
 LEVEL = 3  # of zstd
 
 PACKED_SCHEMA = "bucket int, n int, meta binary, packed binary, size long"
@@ -144,7 +145,7 @@ def histogram(docs: DataFrame, units_of: Callable, window: int, m: int, buckets:
     total = np.zeros(BINS, np.int64)  # at most BINS rows reach the driver
     for r in rows:
         total[r["bin"]] = r["n"]
-    return total > max(total.sum() * HOT_BIN, total.sum() / buckets * HOT_BUCKET, 64)
+    return total > max(total.sum() * HOT_BIN, total.sum() / buckets * HOT_BUCKET, LARGE)
 
 
 def settle(group: np.ndarray, doc: np.ndarray, fp: np.ndarray, within: bool) -> np.ndarray:
