@@ -16,8 +16,9 @@ much as shipping its texts), from the sizes of all sets.  Every signature group
 compares its members to a few of them (a star); pairs whose parity sketches
 differ in more bits than linked sets can differ in tokens are dropped; the rest
 is compared by counting tokens exactly.  Groups that then still hold several
-components are compared in blocks, sketch against sketch inside a task, and
-only plausible pairs of different components are counted: every linked pair is
+components are compared in blocks, sketch against sketch inside a task: first
+the nearest plausible pair of each two components is counted, then every
+plausible pair of components that are still apart.  So every linked pair is
 either compared or already in one component, and no group emits all its pairs.
 
 Cases: equal sets are one node, whatever their number; null or wordless text
@@ -270,9 +271,20 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(test, "a long, b long")
 
 
-def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int, shards: int) -> DataFrame:
+def _first_of_each(pairs: np.ndarray) -> np.ndarray:
+    """Of rows (component, component, distance, a, b) the nearest of each two components."""
+    pairs = pairs[np.lexsort(pairs.T[::-1])]
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:, :2] != pairs[:-1, :2]).any(axis=1)
+    return pairs[new]
+
+
+def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int, shards: int,
+             nearest: bool) -> DataFrame:
     """Plausible pairs (a, b) of different components within signature groups (bucket, sig, node).
 
+    With ``nearest`` a task names only the nearest pair of each two components.
+
     Groups that already are one component have nothing to find.  The others
     are compared in blocks of at most BLOCK members, sketch against sketch
     inside the task; only plausible pairs leave it.
@@ -292,7 +304,7 @@ def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int,
         place, node, comp, size, own = (table.column(c).to_numpy() for c in ("place", "node", "comp", "size", "own"))
         one = table.column("one").to_numpy()
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
-        found: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
+        found: list[np.ndarray] = [np.zeros((0, 5), np.int64)]
         i, step = np.arange(len(place)), 0
         while len(i):  # every member with the one `step` places behind it
             step += 1
@@ -304,9 +316,13 @@ def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int,
             x, y = i[ok], j[ok]
             differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
             good = (100 + percent) * differ <= (100 - percent) * (size[x] + size[y])
-            x, y = node[x[good]], node[y[good]]
-            found.append(np.column_stack([np.minimum(x, y), np.maximum(x, y)]))
-        pairs = np.unique(np.concatenate(found), axis=0)
+            x, y, differ = x[good], y[good], differ[good]
+            found.append(np.column_stack([np.minimum(comp[x], comp[y]), np.maximum(comp[x], comp[y]), differ,
+                                          np.minimum(node[x], node[y]), np.maximum(node[x], node[y])]))
+            if nearest and sum(map(len, found)) > 1 << 18:
+                found = [_first_of_each(np.concatenate(found))]
+        pairs = np.concatenate(found)
+        pairs = np.unique((_first_of_each(pairs) if nearest else pairs)[:, 3:], axis=0)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
     shard = F.pmod(F.xxhash64("place"), F.lit(shards)).cast("int")
@@ -421,10 +437,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = stored(_plausible(pairs, nodes, percent), "pairs")
     links = stored(_verify(pairs, docs, places, n, percent, shards), "links")
     comp = components(links)
-    pairs = stored(_between(groups, comp, nodes, percent, shards), "pairs")
-    if not pairs.isEmpty():
-        links = stored(links.unionByName(_verify(pairs, docs, places, n, percent, shards)), "links")
-        comp = components(links)
+    for nearest in (True, False):  # most components of a family join by their nearest pairs; then all pairs that are left
+        pairs = stored(_between(groups, comp, nodes, percent, shards, nearest), "pairs")
+        if not pairs.isEmpty():
+            links = stored(links.unionByName(_verify(pairs, docs, places, n, percent, shards)), "links")
+            comp = components(links)
     sets = sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     first = sets.where("size > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("low"))
     none = F.col("size") == 0

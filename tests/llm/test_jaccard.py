@@ -70,7 +70,7 @@ def test_groups_beyond_the_first_centres_go_on(spark, monkeypatch):
             rows.append((len(rows), " ".join(w)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(docs, n=1, percent=90) == order(jaccard(rows, 1, 90))
-    assert len(calls) == 1
+    assert len(calls) == 2
 
 
 def test_empty_table(no_docs):
