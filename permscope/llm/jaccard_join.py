@@ -44,7 +44,7 @@ from permscope.llm.superkmers import default_buckets
 from permscope.llm.tables import components, stored
 from permscope.llm.text import keyed, mix, ranges, raw_bytes, rolling, text_batches, word_hashes, words_of
 
-SKETCH = 1024        # bits: the parity of the tokens that hash to each
+SKETCH = 1024        # least bits of a sketch: the parity of the tokens that hash to each
 PAIR = 0.5           # cost of comparing a pair, in signatures per token of a set
 CENTRES = 2          # of a signature group in the first round
 BLOCK = 2048         # members of a group that are compared in one place
@@ -245,21 +245,58 @@ def _star(table: pa.Table) -> pa.Table:
 # ---------------------------------------------------------------- verification
 
 def sketches(sets: Sets) -> pa.Array:
-    """SKETCH parity bits of every set: two sets' sketches differ in at most as many bits as the sets in tokens."""
-    n = len(sets.off) - 1
-    row = np.repeat(np.arange(n), sets.sizes())
-    bit = (mix(sets.tokens ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(SKETCH)).astype(np.int64)
-    odd = np.bincount(row * SKETCH + bit, minlength=n * SKETCH).astype(np.uint8) & 1
-    packed = np.packbits(odd.reshape(n, SKETCH), axis=1)
-    return pa.array([x.tobytes() for x in packed], pa.binary())
+    """Parity bits of every set, as many as the next power of two of its size (SKETCH at least).
+
+    Two sets' sketches, folded to one length, differ in at most as many bits
+    as the sets in tokens.
+    """
+    size = sets.sizes()
+    bits = np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    base = np.cumsum(bits) - bits
+    row = np.repeat(np.arange(len(size)), size)
+    bit = (mix(sets.tokens ^ np.uint64(0xA24BAED4963EE407)) & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(base[row] + bit, minlength=int(bits.sum())).astype(np.uint8) & 1
+    packed = np.packbits(odd, bitorder="little").tobytes()
+    lo, hi = base // 8, (base + bits) // 8
+    return pa.array([packed[i:j] for i, j in zip(lo.tolist(), hi.tolist())], pa.binary())
+
+
+class Sketches:
+    """A column of sketches of several lengths."""
+
+    def __init__(self, column: list[bytes]):
+        self.words = np.array([len(x) // 8 for x in column], np.int64)
+        self.start = np.cumsum(self.words) - self.words
+        self.data = np.frombuffer(b"".join(column), np.uint64)
+
+    def rows(self, at: np.ndarray, words: int, own: int) -> np.ndarray:
+        """Sketches ``at`` (all of ``own`` words), folded to ``words`` words."""
+        got = self.data[self.start[at][:, None] + np.arange(own)]
+        return np.bitwise_xor.reduce(got.reshape(len(at), own // words, words), axis=1)
+
+
+def sketch_distance(a: Sketches, x: np.ndarray, b: Sketches, y: np.ndarray) -> np.ndarray:
+    """Bits in which sketch ``a[x]`` and ``b[y]`` differ."""
+    out = np.zeros(len(x), np.int64)
+    wide = a.words[x] * (1 << 32) + b.words[y]
+    for w in np.unique(wide).tolist():
+        m, n = w >> 32, w & 0xFFFFFFFF
+        mine = np.flatnonzero(wide == w)
+        step = max(1, (1 << 21) // max(m, n))
+        for i in range(0, len(mine), step):
+            k = mine[i:i + step]
+            both = a.rows(x[k], min(m, n), m) ^ b.rows(y[k], min(m, n), n)
+            out[k] = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and sketches do not rule out."""
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for c in ("sa", "sb"))
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            x, y = (Sketches(b.column(c).to_pylist()) for c in ("sa", "sb"))
+            at = np.arange(b.num_rows)
+            differ = sketch_distance(x, at, y, at)
             m, n = b.column("na").to_numpy(), b.column("nb").to_numpy()
             good = ((100 + percent) * differ <= (100 - percent) * (m + n)) & (
                 100 * np.minimum(m, n) >= percent * np.maximum(m, n))
@@ -303,7 +340,7 @@ def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int,
         table = table.sort_by("place").combine_chunks()
         place, node, comp, size, own = (table.column(c).to_numpy() for c in ("place", "node", "comp", "size", "own"))
         one = table.column("one").to_numpy()
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+        sketch = Sketches(table.column("sketch").to_pylist())
         found: list[np.ndarray] = [np.zeros((0, 5), np.int64)]
         i, step = np.arange(len(place)), 0
         while len(i):  # every member with the one `step` places behind it
@@ -314,7 +351,7 @@ def _between(groups: DataFrame, comp: DataFrame, nodes: DataFrame, percent: int,
             ok = (comp[i] != comp[j]) & ((own[i] != own[j]) | one[i])
             ok &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
             x, y = i[ok], j[ok]
-            differ = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
+            differ = sketch_distance(sketch, x, sketch, y)
             good = (100 + percent) * differ <= (100 - percent) * (size[x] + size[y])
             x, y, differ = x[good], y[good], differ[good]
             found.append(np.column_stack([np.minimum(comp[x], comp[y]), np.maximum(comp[x], comp[y]), differ,

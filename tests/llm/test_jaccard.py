@@ -145,3 +145,21 @@ def test_components_of_random_graphs(spark):
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     touched = {x for e in edges if e[0] != e[1] for x in e}
     assert got == {x: min(y for y in touched if find(y) == find(x)) for x in touched}
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    rng = random.Random(6)
+    texts = []
+    for n in (1, 30, 1000, 1024, 1025, 3000, 9000):
+        w = [f"t{rng.randint(0, 10**6)}" for _ in range(n)]
+        texts += [" ".join(w), " ".join(w[n // 9:]), " ".join(w[:n // 2] + [f"x{k}" for k in range(n // 3)])]
+    sets = jj.token_sets(pa.array(texts), 1)
+    sketch = jj.Sketches(jj.sketches(sets).to_pylist())
+    assert {len(x) * 8 for x in jj.sketches(sets).to_pylist()} == {1024, 2048, 4096, 8192, 16384}
+    x, y = (k.ravel() for k in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    got = jj.sketch_distance(sketch, x, sketch, y)
+    each = [set(t.split()) for t in texts]
+    want = np.array([len(each[i] ^ each[j]) for i, j in zip(x.tolist(), y.tolist())])
+    assert (got <= want).all() and (got[x == y] == 0).all()
+    far = want > 2000
+    assert (got[far] > 400).all()
