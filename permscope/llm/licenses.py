@@ -7,8 +7,11 @@ vectors; a term outside the templates weighs ``OTHER``.  Only lines that hold a
 *telling* term are scored: the terms left out are so light in every template
 that without a telling one no segment can reach the threshold.
 
-A text that as a whole is close to a template, or whose file is called LICENSE,
-LICENCE, COPYING or NOTICE, is a licence file of its directory.  Files without a
+A licence file of its directory is a text that is nearly all licence text (its
+cosine, without copyright lines, to a full text of ``license_texts`` is
+``FILE_THRESHOLD`` or more, or it is a notice and nothing else), or one that
+holds a notice in a file called LICENSE, LICENCE, COPYING or NOTICE.  A notice in
+prose licenses its own text alone.  Files without a
 licence of their own take that of the nearest ancestor directory with a licence
 file (the commonest licence there, then the first by name): directories are
 joined with their ancestors, files with their directory.
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ from permscope.llm.tables import stored
 from permscope.llm.text import Words, ranges, raw_bytes, text_batches, words_of
 
 THRESHOLD = 0.6      # cosine of a segment
-FILE_THRESHOLD = 0.6  # cosine of a whole text that makes it a licence file
+FILE_THRESHOLD = 0.8  # cosine of a whole text to a full licence text that makes it a licence file
 OTHER = 1.0          # weight of a term outside the templates
 LINES = 4            # of a header window
 
@@ -69,6 +73,7 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+TEXTS = {p.stem: [p.read_text()] for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 _EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>*/#-="
 
 
@@ -90,40 +95,69 @@ class Model:
     names: list[str]
     vectors: np.ndarray
     telling: np.ndarray
+    full_names: list[str]
+    full: np.ndarray          # unit vectors of the full texts
+    full_telling: np.ndarray
+
+
+def _no_copyright(w: Words, term: list[str], data: np.ndarray) -> np.ndarray:
+    """True of words outside copyright lines ("Copyright (c) 2020 Name")."""
+    line = np.searchsorted(np.flatnonzero(data == 0x0A), w.begin)
+    line = line + np.repeat(np.arange(len(w.doc) - 1), np.diff(w.doc))
+    mark = np.array([t == "copyright" for t in term], bool)
+    after = np.array([t in ("c", "\u00a9") or t[:4].isdigit() for t in term[1:]] + [False], bool)
+    return ~np.isin(line, line[mark & after])
 
 
 def vocabulary(templates: dict[str, list[str]]) -> list[str]:
     return sorted({t for texts in templates.values() for t in _split(texts)[1] if t})
 
 
-def build(templates: dict[str, list[str]], terms: list[str], df: np.ndarray, n: int, threshold: float) -> Model:
-    idf = np.log((1 + n) / (1 + df)) + 1
+def _vectors(texts: dict[str, list[str]], terms: list[str], idf: np.ndarray) -> tuple[list[str], np.ndarray]:
+    at = {t: k for k, t in enumerate(terms)}
     names, rows = [], []
-    for name in sorted(templates):
-        for text in templates[name]:
+    for name in sorted(texts):
+        for text in texts[name]:
+            w, words = _split([text])
             v = np.zeros(len(terms))
-            for t in _split([text])[1]:
-                if t:
-                    v[terms.index(t)] += 1
+            for t, ok in zip(words, _no_copyright(w, words, raw_bytes(pa.array([text]))[0])):
+                if t and ok:
+                    v[at[t]] += 1
             v *= idf
             names.append(name)
             rows.append(v / np.linalg.norm(v))
-    vectors = np.array(rows)
-    telling = np.zeros(len(terms), bool)
-    for t in np.argsort(-idf, kind="stable"):  # the rarest first, until the rest of no template can reach the threshold
-        if np.sqrt((vectors[:, ~telling] ** 2).sum(axis=1)).max() < threshold:
+    return names, np.array(rows).reshape(len(rows), len(terms))
+
+
+def _telling(vectors: np.ndarray, idf: np.ndarray, threshold: float) -> np.ndarray:
+    """The rarest terms, until the rest of no vector can reach the threshold."""
+    telling = np.zeros(len(idf), bool)
+    rest = (vectors**2).sum(axis=1)
+    for t in np.argsort(-idf, kind="stable"):
+        if rest.max(initial=0) < (threshold - 1e-9) ** 2:
             break
+        rest = rest - vectors[:, t] ** 2
         telling[t] = True
-    return Model(terms, idf, names, vectors, telling)
+    return telling
+
+
+def build(templates: dict[str, list[str]], terms: list[str], df: np.ndarray, n: int, threshold: float,
+          texts: dict[str, list[str]] | None = None) -> Model:
+    idf = np.log((1 + n) / (1 + df)) + 1
+    names, vectors = _vectors(templates, terms, idf)
+    full_names, full = _vectors(texts or {}, terms, idf)
+    return Model(terms, idf, names, vectors, _telling(vectors, idf, threshold),
+                 full_names, full, _telling(full, idf, FILE_THRESHOLD))
 
 
-def _term_ids(w: Words, terms: pa.Array) -> np.ndarray:
-    """Index of each word's term; -1 outside the templates, -2 for a word of edge marks alone."""
+def _term_ids(w: Words, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(index of each word's term, its index in the batch's terms, these): -1 outside the templates, -2 for edge marks alone."""
     d = w.array().dictionary_encode()
-    term = _terms(d.dictionary)
-    at = pc.fill_null(pc.index_in(term, terms), -1).to_numpy(zero_copy_only=False)
-    at = np.where(pc.equal(pc.binary_length(term), 0).to_numpy(zero_copy_only=False), -2, at)
-    return at[d.indices.to_numpy(zero_copy_only=False)]
+    own = _terms(d.dictionary).dictionary_encode()
+    at = pc.fill_null(pc.index_in(own.dictionary, terms), -1).to_numpy(zero_copy_only=False)
+    at = np.where(pc.equal(pc.binary_length(own.dictionary), 0).to_numpy(zero_copy_only=False), -2, at)
+    ident = own.indices.to_numpy(zero_copy_only=False)[d.indices.to_numpy(zero_copy_only=False)]
+    return at[ident], ident, own.dictionary
 
 
 def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
@@ -132,7 +166,7 @@ def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
         known, total, rows = pa.array(terms, pa.large_string()), np.zeros(len(terms), np.int64), 0
         for b in text_batches(batches):
             w = words_of(*raw_bytes(b.column("text")))
-            at = _term_ids(w, known)
+            at = _term_ids(w, known)[0]
             row = np.repeat(np.arange(b.num_rows), np.diff(w.doc))
             once = np.unique(row[at >= 0] * len(terms) + at[at >= 0]) % len(terms)
             total += np.bincount(once, minlength=len(terms))
@@ -147,12 +181,37 @@ def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
     return out[:-1], int(out[-1])
 
 
+def full_scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(best cosine of the whole text to a full licence text, that text, first line with a word) of each text."""
+    data, off = raw_bytes(col)
+    n = len(off) - 1
+    w = words_of(data, off)
+    at, ident, terms = _term_ids(w, pa.array(model.terms, pa.large_string()))
+    row = np.repeat(np.arange(n), np.diff(w.doc))
+    best, text, where = np.zeros(n), np.full(n, -1), np.zeros(n, np.int64)
+    if not len(model.full):
+        return best, text, where
+    some = np.unique(row[(at >= 0) & model.full_telling[np.maximum(at, 0)]])
+    for r in some:
+        a, b = int(w.doc[r]), int(w.doc[r + 1])
+        t, i = at[a:b], ident[a:b]
+        one = words_of(data[off[r]:off[r + 1]], np.array([0, off[r + 1] - off[r]]))
+        keep = (t != -2) & _no_copyright(one, terms.take(pa.array(i)).to_pylist(), data[off[r]:off[r + 1]])
+        _, first, tf = np.unique(i[keep], return_index=True, return_counts=True)
+        t = t[keep][first]
+        x = tf * np.where(t >= 0, model.idf[np.maximum(t, 0)], OTHER)
+        cos = model.full[:, t[t >= 0]] @ x[t >= 0] / max(np.linalg.norm(x), 1e-12)
+        k = int(cos.argmax())
+        best[r], text[r], where[r] = cos[k], k, (data[off[r]:w.begin[a]] == 0x0A).sum()
+    return best, text, where
+
+
 def scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(best cosine of a segment, its notice, its first line, best cosine of the whole text) of each text."""
     data, off = raw_bytes(col)
     n = len(off) - 1
     w = words_of(data, off)
-    at = _term_ids(w, pa.array(model.terms, pa.large_string()))
+    at = _term_ids(w, pa.array(model.terms, pa.large_string()))[0]
     breaks = np.flatnonzero(data == 0x0A)
     line = np.searchsorted(breaks, w.begin) + np.repeat(np.arange(n), np.diff(w.doc))  # unique over the batch
     row = np.repeat(np.arange(n), np.diff(w.doc))
@@ -170,8 +229,8 @@ def scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndar
     lo, hi = np.maximum(lo, first_line[who]), np.minimum(hi, last_line[who])
     full = np.unique(owner)
     lo, hi, who = np.append(lo, first_line[full]), np.append(hi, last_line[full]), np.append(who, full)
-    for k in range(0, len(lo), 4096):
-        a, b = np.searchsorted(line, lo[k:k + 4096]), np.searchsorted(line, hi[k:k + 4096], side="right")
+    for k in range(0, len(lo), 512):
+        a, b = np.searchsorted(line, lo[k:k + 512]), np.searchsorted(line, hi[k:k + 512], side="right")
         seg = np.repeat(np.arange(len(a)), b - a)
         term = at[ranges(a, b - a)]
         count = np.zeros((len(a), len(model.terms)))
@@ -196,23 +255,27 @@ def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_c
     templates = templates or TEMPLATES
     texts = files.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), path.cast("string").alias("path"),
                          F.col(f"`{text_col}`").cast("string").alias("text"))
-    terms = vocabulary(templates)
-    model = build(templates, terms, *_frequencies(texts, terms), threshold)
+    terms = vocabulary({"notices": sum(templates.values(), []), "texts": sum(TEXTS.values(), [])})
+    model = build(templates, terms, *_frequencies(texts, terms), threshold, TEXTS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
             best, notice, where, whole = scores(b.column("text"), model)
             hit = best >= threshold
             name = [model.names[k] if ok else None for k, ok in zip(notice.tolist(), hit.tolist())]
+            like, text, first = full_scores(b.column("text"), model)
+            for r in np.flatnonzero(like >= FILE_THRESHOLD):  # the licence of a full text goes before the notices in it
+                hit[r], best[r], name[r], where[r] = True, like[r], model.full_names[text[r]], first[r]
+            whole = (like >= FILE_THRESHOLD) | (whole > 1 - 1e-9)
             yield pa.record_batch([b.column("doc_id"), b.column("path"), pa.array(name, pa.string()),
                                    pa.array(np.where(hit, np.minimum(best, 1.0), 0.0)), pa.array(where.astype(np.int32), mask=~hit),
                                    pa.array(whole)], names=["doc_id", "path", "own_license", "score", "line", "whole"])
 
-    own = stored(texts.mapInArrow(scan, "doc_id long, path string, own_license string, score double, line int, whole double"),
+    own = stored(texts.mapInArrow(scan, "doc_id long, path string, own_license string, score double, line int, whole boolean"),
                  "licenses")
     base = F.upper(F.element_at(F.split("path", "/"), -1))
     own = own.withColumn("license_file", F.col("own_license").isNotNull() & F.coalesce(
-        (F.col("whole") >= FILE_THRESHOLD) | base.rlike(r"^(LICEN[SC]E|COPYING|NOTICE)([.-].*)?$"), F.lit(False)))
+        F.col("whole") | base.rlike(r"^(LICEN[SC]E|COPYING|NOTICE)([.-].*)?$"), F.lit(False)))
     # "" is the root directory of a relative path
     own = own.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_extract("path", "^(.*)/[^/]*$", 1)).otherwise(
         F.when(F.col("path").isNotNull(), F.lit(""))))

@@ -29,6 +29,19 @@ def test_headers_files_and_nearest_ancestor(spark):
     assert got[7].line == 0 and got[1].line == 20 and got[2].line is None
 
 
+def test_a_note_with_a_notice_licenses_nothing_but_itself(spark):
+    got = scan(spark, [(1, "a/note", "Seven words of a short prose note.\n" + MIT), (2, "a/x", "other text"), (3, "a/b/y", "more"),
+                       *((k, f"c/{k}", "words that many other texts have, of a note") for k in range(10, 30))])
+    assert (got[1].own_license, got[1].license_file) == ("MIT", False)
+    assert [got[k].license for k in (2, 3)] == [None, None]
+
+
+def test_full_licence_texts_are_licence_files_whatever_their_name(spark):
+    rows = [(k, f"d{k}/x{k}", "Copyright (c) 2019 Some Unheard Name Ltd.\n\n" + t[0]) for k, t in enumerate(lc.TEXTS.values())]
+    got = scan(spark, rows + [(100 + k, f"d{k}/e/f", "text") for k in range(len(rows))])
+    assert all(got[k].license_file and got[100 + k].license == name and got[k].own_license == name for k, name in enumerate(lc.TEXTS))
+
+
 def test_a_licence_at_the_root_reaches_all(spark):
     got = scan(spark, [(1, "LICENSE", MIT), (2, "a/b", "text"), (3, "c", "text"), (4, None, "text")])
     assert [got[k].license for k in (1, 2, 3, 4)] == ["MIT", "MIT", "MIT", None]
