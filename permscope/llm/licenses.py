@@ -1,9 +1,11 @@
 """Operator 10: licence scan by sparse TF-IDF cosine, and inheritance along directories.
 
-Terms are those of the licence templates; their document frequencies are
-counted over all texts.  A segment of a text (each line, and the four-line
+Document frequencies of all terms are counted over all texts: exactly for the
+terms of the templates, in ``BUCKETS`` hashed counters for the others (two terms
+that share a counter weigh as their sum, too little).  A segment of a text (each line, and the four-line
 windows around it) is compared with every template by the cosine of TF-IDF
-vectors; a term outside the templates weighs ``OTHER``.  Only lines that hold a
+vectors.  A template matches only a segment that holds all its naming terms
+(``NAMING``: the words and versions that tell licences apart).  Only lines that hold a
 *telling* term are scored: the terms left out are so light in every template
 that without a telling one no segment can reach the threshold.
 
@@ -36,43 +38,86 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from permscope.llm.tables import stored
-from permscope.llm.text import Words, ranges, raw_bytes, text_batches, words_of
+from permscope.llm.text import Words, column_words, ranges, raw_bytes, text_batches, word_hashes, words_of
 
 THRESHOLD = 0.6      # cosine of a segment
 FILE_THRESHOLD = 0.8  # cosine of a whole text to a full licence text that makes it a licence file
-OTHER = 1.0          # weight of a term outside the templates
+BUCKETS = 1 << 20    # counters of the terms outside the templates
 LINES = 4            # of a header window
 
 # The short notices by which licences ask to be applied.
-TEMPLATES = {
+_NOTICES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.",
                    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License. You may obtain a copy of the License at "
                    "http://www.apache.org/licenses/LICENSE-2.0"],
     "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted "
                      "provided that the following conditions are met",
-                     "Licensed under the BSD 3-Clause License."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.",
-                  "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.",
-                     "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.",
-                     "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+                     "may be used to endorse or promote products derived from this software without specific prior written "
+                     "permission"],
     "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation; either version 2 of the License"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.",
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation, either version 3 of the License"],
+    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License"],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted"],
-    "LGPL-3.0": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
-                 "Lesser General Public License"],
+    "LGPL": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+             "Lesser General Public License"],
+    "LGPL-2.1": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation; either version 2.1 of the License"],
+    "LGPL-3.0": ["This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License"],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+# Names by which notices call a licence; each makes the usual short notices.
+_CALLED = {
+    "AGPL-3.0": ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0"],
+    "Apache-1.1": ["Apache License, Version 1.1"], "Apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0"],
+    "Artistic-2.0": ["Artistic License 2.0"], "BSD-2-Clause": ["BSD 2-Clause License"], "BSD-3-Clause": ["BSD 3-Clause License"],
+    "BSL-1.0": ["Boost Software License, Version 1.0"], "CDDL-1.0": ["Common Development and Distribution License, Version 1.0"],
+    "EPL-1.0": ["Eclipse Public License, Version 1.0", "Eclipse Public License v1.0"],
+    "EPL-2.0": ["Eclipse Public License, Version 2.0", "Eclipse Public License v2.0"],
+    "EUPL-1.2": ["European Union Public Licence, Version 1.2"], "GPL": ["GNU General Public License"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2.0"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3.0"],
+    "ISC": ["ISC License"], "LGPL": ["GNU Lesser General Public License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0"],
+    "MIT": ["MIT License"], "MPL-1.1": ["Mozilla Public License, Version 1.1"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"], "Zlib": ["zlib License"],
+    "CC0-1.0": ["Creative Commons CC0 1.0 Universal"],
+}
+_PARTS = {"BY": "Attribution", "BY-NC": "Attribution-NonCommercial", "BY-SA": "Attribution-ShareAlike",
+          "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+          "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def _templates() -> dict[str, list[str]]:
+    out = {k: list(v) for k, v in _NOTICES.items()}
+    for part, long in _PARTS.items():
+        for version, scope in (("2.0", "Generic"), ("3.0", "Unported"), ("4.0", "International")):
+            out[f"CC-{part}-{version}"] = [
+                f"Licensed under CC {part} {version}.",
+                f"This work is licensed under a Creative Commons {long} {version} {scope} License."]
+    for name, called in _CALLED.items():
+        out.setdefault(name, []).extend(f"{how} under the {c}." for c in called for how in ("Licensed", "Released", "Distributed"))
+    for name, notices in out.items():
+        notices.append(f"SPDX-License-Identifier: {name}")
+    return {k: list(dict.fromkeys(v)) for k, v in out.items()}
+
+
+TEMPLATES = _templates()
+NAMING = {t.lower() for t in [
+    *TEMPLATES, *(f"CC-{p}" for p in _PARTS), *_PARTS, *_PARTS.values(), "Affero", "Apache", "Artistic", "BSD", "2-Clause", "3-Clause",
+    "Boost", "CC0", "Distribution", "Eclipse", "European", "GNU", "Lesser", "Mozilla", "zlib", "1.0", "1.1", "1.2", "2", "2.0", "2.1",
+    "3", "3.0", "4.0", "v1.0", "v2.0", "v2.1", "v3.0"]}
 TEXTS = {p.stem: [p.read_text()] for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 _EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>*/#-="
 
@@ -98,6 +143,7 @@ class Model:
     full_names: list[str]
     full: np.ndarray          # unit vectors of the full texts
     full_telling: np.ndarray
+    other: np.ndarray         # idf of the counters
 
 
 def _no_copyright(w: Words, term: list[str], data: np.ndarray) -> np.ndarray:
@@ -142,12 +188,14 @@ def _telling(vectors: np.ndarray, idf: np.ndarray, threshold: float) -> np.ndarr
 
 
 def build(templates: dict[str, list[str]], terms: list[str], df: np.ndarray, n: int, threshold: float,
-          texts: dict[str, list[str]] | None = None) -> Model:
+          texts: dict[str, list[str]] | None = None, other: np.ndarray | None = None) -> Model:
     idf = np.log((1 + n) / (1 + df)) + 1
+    other = np.zeros(1) if other is None else other
     names, vectors = _vectors(templates, terms, idf)
     full_names, full = _vectors(texts or {}, terms, idf)
     return Model(terms, idf, names, vectors, _telling(vectors, idf, threshold),
-                 full_names, full, _telling(full, idf, FILE_THRESHOLD))
+                 full_names, full, _telling(full, idf, FILE_THRESHOLD),
+                 (np.log((1 + n) / (1 + other)) + 1).astype(np.float32))
 
 
 def _term_ids(w: Words, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -160,25 +208,40 @@ def _term_ids(w: Words, terms: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Arr
     return at[ident], ident, own.dictionary
 
 
-def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[np.ndarray, int]:
-    """(documents that hold each term, documents): all rows."""
+def _bucket(terms: pa.Array, size: int) -> np.ndarray:
+    """Counter of each term; 0 for the empty one."""
+    w = column_words(terms)
+    out = np.zeros(len(terms), np.int64)
+    out[np.diff(w.doc) > 0] = (word_hashes(w) % np.uint64(size)).astype(np.int64)
+    return out
+
+
+def _weights(at: np.ndarray, ident: np.ndarray, terms: pa.Array, model: Model) -> np.ndarray:
+    """idf of each word's term."""
+    return np.where(at >= 0, model.idf[np.maximum(at, 0)], model.other[_bucket(terms, len(model.other))][ident])
+
+
+def _frequencies(texts: DataFrame, terms: list[str]) -> tuple[np.ndarray, int, np.ndarray]:
+    """(documents that hold each term, documents, documents by counter of the other terms): all rows."""
+    size = len(terms) + BUCKETS
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total, rows = pa.array(terms, pa.large_string()), np.zeros(len(terms), np.int64), 0
+        known, total = pa.array(terms, pa.large_string()), np.zeros(size + 1, np.int64)
         for b in text_batches(batches):
             w = words_of(*raw_bytes(b.column("text")))
-            at = _term_ids(w, known)[0]
+            at, ident, own = _term_ids(w, known)
             row = np.repeat(np.arange(b.num_rows), np.diff(w.doc))
-            once = np.unique(row[at >= 0] * len(terms) + at[at >= 0]) % len(terms)
-            total += np.bincount(once, minlength=len(terms))
-            rows += b.num_rows
-        yield pa.record_batch([pa.array(np.arange(len(terms) + 1, dtype=np.int32)), pa.array(np.append(total, rows))],
-                              names=["term", "n"])
+            slot = np.where(at >= 0, at, len(terms) + _bucket(own, BUCKETS)[ident])[at != -2]
+            _, first = np.unique(row[at != -2] * max(len(own), 1) + ident[at != -2], return_index=True)  # a term once a document
+            total += np.bincount(slot[first], minlength=size + 1)
+            total[-1] += b.num_rows
+        held = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(held.astype(np.int32)), pa.array(total[held])], names=["term", "n"])
 
-    sums = texts.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(len(terms) + 1, np.int64)  # as many numbers as the templates have terms
-    for r in sums:
-        out[r["term"]] = r["n"]
-    return out[:-1], int(out[-1])
+    sums = texts.select("text").mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size + 1, np.int64)  # a fixed number of counters
+    out[sums.column("term").to_numpy()] = sums.column("n").to_numpy()
+    return out[:len(terms)], int(out[-1]), out[len(terms):-1]
 
 
 def full_scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,6 +254,7 @@ def full_scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np
     best, text, where = np.zeros(n), np.full(n, -1), np.zeros(n, np.int64)
     if not len(model.full):
         return best, text, where
+    weight = _weights(at, ident, terms, model)
     some = np.unique(row[(at >= 0) & model.full_telling[np.maximum(at, 0)]])
     for r in some:
         a, b = int(w.doc[r]), int(w.doc[r + 1])
@@ -199,7 +263,7 @@ def full_scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np
         keep = (t != -2) & _no_copyright(one, terms.take(pa.array(i)).to_pylist(), data[off[r]:off[r + 1]])
         _, first, tf = np.unique(i[keep], return_index=True, return_counts=True)
         t = t[keep][first]
-        x = tf * np.where(t >= 0, model.idf[np.maximum(t, 0)], OTHER)
+        x = tf * weight[a:b][keep][first]
         cos = model.full[:, t[t >= 0]] @ x[t >= 0] / max(np.linalg.norm(x), 1e-12)
         k = int(cos.argmax())
         best[r], text[r], where[r] = cos[k], k, (data[off[r]:w.begin[a]] == 0x0A).sum()
@@ -211,7 +275,9 @@ def scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndar
     data, off = raw_bytes(col)
     n = len(off) - 1
     w = words_of(data, off)
-    at = _term_ids(w, pa.array(model.terms, pa.large_string()))[0]
+    at, ident, own = _term_ids(w, pa.array(model.terms, pa.large_string()))
+    weight = _weights(at, ident, own, model)
+    named = ((model.vectors > 0) & np.array([t in NAMING for t in model.terms])).astype(float)
     breaks = np.flatnonzero(data == 0x0A)
     line = np.searchsorted(breaks, w.begin) + np.repeat(np.arange(n), np.diff(w.doc))  # unique over the batch
     row = np.repeat(np.arange(n), np.diff(w.doc))
@@ -232,12 +298,15 @@ def scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndar
     for k in range(0, len(lo), 512):
         a, b = np.searchsorted(line, lo[k:k + 512]), np.searchsorted(line, hi[k:k + 512], side="right")
         seg = np.repeat(np.arange(len(a)), b - a)
-        term = at[ranges(a, b - a)]
+        word = ranges(a, b - a)
+        term = at[word]
         count = np.zeros((len(a), len(model.terms)))
         np.add.at(count, (seg[term >= 0], term[term >= 0]), 1)
-        other = np.bincount(seg[term == -1], minlength=len(a))
+        _, first, tf = np.unique(seg[term == -1] * len(own) + ident[word[term == -1]], return_index=True, return_counts=True)
+        other = np.bincount(seg[term == -1][first], (tf * weight[word[term == -1]][first]) ** 2, minlength=len(a))
+        whole_name = (count > 0) @ named.T >= named.sum(axis=1) - 0.5
         count *= model.idf
-        cos = (count @ model.vectors.T) / np.maximum(np.sqrt((count**2).sum(axis=1) + OTHER**2 * other), 1e-12)[:, None]
+        cos = (count @ model.vectors.T) / np.maximum(np.sqrt((count**2).sum(axis=1) + other), 1e-12)[:, None] * whole_name
         top = cos.argmax(axis=1)
         value = cos[np.arange(len(a)), top]
         for s in range(len(a)):
@@ -256,7 +325,8 @@ def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_c
     texts = files.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), path.cast("string").alias("path"),
                          F.col(f"`{text_col}`").cast("string").alias("text"))
     terms = vocabulary({"notices": sum(templates.values(), []), "texts": sum(TEXTS.values(), [])})
-    model = build(templates, terms, *_frequencies(texts, terms), threshold, TEXTS)
+    df, n, other = _frequencies(texts, terms)
+    model = build(templates, terms, df, n, threshold, TEXTS, other)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):

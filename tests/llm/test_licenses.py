@@ -42,6 +42,27 @@ def test_full_licence_texts_are_licence_files_whatever_their_name(spark):
     assert all(got[k].license_file and got[100 + k].license == name and got[k].own_license == name for k, name in enumerate(lc.TEXTS))
 
 
+def test_near_names_are_told_apart(spark):
+    want = {"Released under the ISC License.": "ISC", "Released under the XYZ Commercial License.": None,
+            "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0", "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+            "Licensed under CC BY 4.0.": "CC-BY-4.0",
+            "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+            "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+            "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+            "Licensed under the Eclipse Public License, Version 2.0.": "EPL-2.0", "Released under the MIT License.": "MIT",
+            "Released under the NIT License.": None}
+    prose = [(100 + k, f"p{k}", "the work is under a version of the text and licensed words") for k in range(40)]
+    got = scan(spark, [(k, f"d{k}/f", f"Some prose.\n{t}\nMore.") for k, t in enumerate(want)] + prose)
+    assert {t: got[k].own_license for k, t in enumerate(want)} == want
+
+
+def test_frequencies_of_all_terms(spark):
+    df = spark.createDataFrame([(t,) for t in ["a rare word", "a word, a Word", "a", None, ""]], "text string")
+    known, n, other = lc._frequencies(df.repartition(3), ["a"])
+    at = lc._bucket(pa.array(["word", "rare", "none"]), lc.BUCKETS)
+    assert (known.tolist(), n, other[at].tolist(), other.sum()) == ([3], 5, [2, 1, 0], 3)
+
+
 def test_a_licence_at_the_root_reaches_all(spark):
     got = scan(spark, [(1, "LICENSE", MIT), (2, "a/b", "text"), (3, "c", "text"), (4, None, "text")])
     assert [got[k].license for k in (1, 2, 3, 4)] == ["MIT", "MIT", "MIT", None]
