@@ -2,12 +2,14 @@
 
 Document frequencies of all terms are counted over all texts: exactly for the
 terms of the templates, in ``BUCKETS`` hashed counters for the others (two terms
-that share a counter weigh as their sum, too little).  A segment of a text (each line, and the four-line
-windows around it) is compared with every template by the cosine of TF-IDF
-vectors.  A template matches only a segment that holds all its naming terms
-(``NAMING``: the words and versions that tell licences apart).  Only lines that hold a
-*telling* term are scored: the terms left out are so light in every template
-that without a telling one no segment can reach the threshold.
+that share a counter weigh as their sum, too little).  Every window of a text that
+has as many words as a template, whatever the line breaks, is compared with it by
+the cosine of TF-IDF vectors.  A template matches only a window that holds all its
+naming terms (``NAMING``: the words and versions that tell licences apart), with no
+other naming term among them.  Only windows with a naming term of the template, or
+with a *telling* one where it has none, are scored: the terms left out are so light
+that without a telling one no window can reach the threshold.  Of windows that
+overlap, the one with the most matching weight counts.
 
 A licence file of its directory is a text that is nearly all licence text (its
 cosine, without copyright lines, to a full text of ``license_texts`` is
@@ -42,8 +44,8 @@ from permscope.llm.text import Words, column_words, ranges, raw_bytes, text_batc
 
 THRESHOLD = 0.6      # cosine of a segment
 FILE_THRESHOLD = 0.8  # cosine of a whole text to a full licence text that makes it a licence file
+PLACES = 2048        # compared at a time
 BUCKETS = 1 << 20    # counters of the terms outside the templates
-LINES = 4            # of a header window
 
 # The short notices by which licences ask to be applied.
 _NOTICES = {
@@ -140,6 +142,8 @@ class Model:
     names: list[str]
     vectors: np.ndarray
     telling: np.ndarray
+    lengths: np.ndarray       # words of each notice
+    weights: np.ndarray       # norm of each notice
     full_names: list[str]
     full: np.ndarray          # unit vectors of the full texts
     full_telling: np.ndarray
@@ -159,9 +163,10 @@ def vocabulary(templates: dict[str, list[str]]) -> list[str]:
     return sorted({t for texts in templates.values() for t in _split(texts)[1] if t})
 
 
-def _vectors(texts: dict[str, list[str]], terms: list[str], idf: np.ndarray) -> tuple[list[str], np.ndarray]:
+def _vectors(texts: dict[str, list[str]], terms: list[str], idf: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(name, unit vector, words, norm) of each text."""
     at = {t: k for k, t in enumerate(terms)}
-    names, rows = [], []
+    names, rows, lengths, norms = [], [], [], []
     for name in sorted(texts):
         for text in texts[name]:
             w, words = _split([text])
@@ -169,10 +174,12 @@ def _vectors(texts: dict[str, list[str]], terms: list[str], idf: np.ndarray) ->
             for t, ok in zip(words, _no_copyright(w, words, raw_bytes(pa.array([text]))[0])):
                 if t and ok:
                     v[at[t]] += 1
+            lengths.append(int(v.sum()))
             v *= idf
             names.append(name)
-            rows.append(v / np.linalg.norm(v))
-    return names, np.array(rows).reshape(len(rows), len(terms))
+            norms.append(np.linalg.norm(v))
+            rows.append(v / norms[-1])
+    return names, np.array(rows).reshape(len(rows), len(terms)), np.array(lengths), np.array(norms)
 
 
 def _telling(vectors: np.ndarray, idf: np.ndarray, threshold: float) -> np.ndarray:
@@ -191,9 +198,9 @@ def build(templates: dict[str, list[str]], terms: list[str], df: np.ndarray, n:
           texts: dict[str, list[str]] | None = None, other: np.ndarray | None = None) -> Model:
     idf = np.log((1 + n) / (1 + df)) + 1
     other = np.zeros(1) if other is None else other
-    names, vectors = _vectors(templates, terms, idf)
-    full_names, full = _vectors(texts or {}, terms, idf)
-    return Model(terms, idf, names, vectors, _telling(vectors, idf, threshold),
+    names, vectors, lengths, weights = _vectors(templates, terms, idf)
+    full_names, full, *_ = _vectors(texts or {}, terms, idf)
+    return Model(terms, idf, names, vectors, _telling(vectors, idf, threshold), lengths, weights,
                  full_names, full, _telling(full, idf, FILE_THRESHOLD),
                  (np.log((1 + n) / (1 + other)) + 1).astype(np.float32))
 
@@ -270,52 +277,96 @@ def full_scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np
     return best, text, where
 
 
-def scores(col: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(best cosine of a segment, its notice, its first line, best cosine of the whole text) of each text."""
+@dataclass
+class Found:
+    """Matches of notices that do not overlap, by row and place."""
+
+    row: np.ndarray
+    notice: np.ndarray
+    score: np.ndarray
+    first: np.ndarray  # word of the row, words of edge marks alone not counted
+    line: np.ndarray
+
+
+def notices(col: pa.Array, model: Model, threshold: float = THRESHOLD) -> tuple[Found, np.ndarray]:
+    """(matches, true for rows that are notices and nothing else)."""
     data, off = raw_bytes(col)
     n = len(off) - 1
     w = words_of(data, off)
     at, ident, own = _term_ids(w, pa.array(model.terms, pa.large_string()))
-    weight = _weights(at, ident, own, model)
-    named = ((model.vectors > 0) & np.array([t in NAMING for t in model.terms])).astype(float)
+    real = np.flatnonzero(at != -2)
+    square = _weights(at, ident, own, model)[real] ** 2
+    row, at, ident = np.repeat(np.arange(n), np.diff(w.doc))[real], at[real], ident[real]
+    doc = np.searchsorted(row, np.arange(n + 1))
+    naming = pc.is_in(own, pa.array(sorted(NAMING), pa.large_string())).to_numpy(zero_copy_only=False)[ident]
+    held = np.flatnonzero(at >= 0)
+    held = held[np.argsort(at[held], kind="stable")]
+    start = np.searchsorted(at[held], np.arange(len(model.terms) + 1))  # places of each term
+    is_name = np.array([t in NAMING for t in model.terms])
+    some = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for k, (v, size) in enumerate(zip(model.vectors, model.lengths)):
+        names = np.flatnonzero((v > 0) & is_name)
+        if len(names):  # all of them are in a match: the rarest here tells where
+            t = names[np.argmin(start[names + 1] - start[names])]
+            p = held[start[t]:start[t + 1]]
+        else:
+            p = np.sort(np.concatenate([held[start[t]:start[t + 1]] for t in np.flatnonzero((v > 0) & model.telling)] or [held[:0]]))
+        for p in np.split(p, range(PLACES, len(p), PLACES)):
+            low, high = doc[row[p]], doc[row[p] + 1]
+            a = np.maximum(p - size + 1, low)
+            near = np.unique(ranges(a, np.minimum(p + size, high) - a))
+            a = np.unique(ranges(a, p + 1 - a))
+            b = np.minimum(a + size, doc[row[a] + 1])
+            i = np.searchsorted(near, a)
+            j = i + b - a
+            part = np.append(0, np.cumsum(np.where(at[near] >= 0, v[at[near]] * model.idf[at[near]], 0)))
+            least = np.append(0, np.cumsum(square[near]))  # as if no term came twice: the cosine is at most
+            ok = part[j] - part[i] >= (threshold - 1e-6) * np.sqrt(np.maximum(least[j] - least[i], 1e-12))
+            a, b, dot = a[ok], b[ok], (part[j] - part[i])[ok]
+            if not len(a):
+                continue
+            word = ranges(a, b - a)
+            seg = np.repeat(np.arange(len(a)), b - a)
+            _, first, tf = np.unique(seg * len(own) + ident[word], return_index=True, return_counts=True)
+            cos = dot / np.sqrt(np.bincount(seg[first], tf**2 * square[word[first]], minlength=len(a)))
+            ok = cos >= threshold - 1e-12
+            if len(names):
+                mine = np.isin(at[word], names)
+                _, one = np.unique(seg[mine] * len(model.terms) + at[word[mine]], return_index=True)
+                ok &= np.bincount(seg[mine][one], minlength=len(a)) == len(names)
+                lo, hi = np.full(len(a), len(at)), np.full(len(a), -1)
+                np.minimum.at(lo, seg[mine], word[mine])
+                np.maximum.at(hi, seg[mine], word[mine])
+                strange = naming[word] & ~mine & (word > lo[seg]) & (word < hi[seg])
+                ok &= np.bincount(seg[strange], minlength=len(a)) == 0
+            some.append((np.full(ok.sum(), k), a[ok], b[ok], cos[ok]))
+    notice, a, b, cos = (np.concatenate(x) for x in zip(*some))
+    order = np.lexsort((a, notice, -np.round(cos**2 * model.weights[notice], 9)))
+    taken, exact, keep = np.zeros(len(at), bool), np.zeros(len(at), bool), []
+    for h in order.tolist():
+        if not taken[a[h]:b[h]].any():
+            taken[a[h]:b[h]] = True
+            exact[a[h]:b[h]] = cos[h] > 1 - 1e-6
+            keep.append(h)
+    keep = np.array(sorted(keep, key=lambda h: a[h]), np.int64)
+    notice, a, cos = notice[keep], a[keep], np.minimum(cos[keep], 1.0)
     breaks = np.flatnonzero(data == 0x0A)
-    line = np.searchsorted(breaks, w.begin) + np.repeat(np.arange(n), np.diff(w.doc))  # unique over the batch
-    row = np.repeat(np.arange(n), np.diff(w.doc))
-    tells = (at >= 0) & model.telling[np.maximum(at, 0)]
-    best, notice, where, whole = np.zeros(n), np.full(n, -1), np.zeros(n, np.int64), np.zeros(n)
-    if not tells.any():
-        return best, notice, where, whole
-    lines, pick = np.unique(line[tells], return_index=True)
-    owner = row[tells][pick]
-    first_line = np.searchsorted(breaks, off[:-1]) + np.arange(n)
-    last_line = np.searchsorted(breaks, off[1:]) + np.arange(n)
-    lo = np.concatenate([lines, *[lines - LINES + 1 + k for k in range(LINES)]])
-    hi = np.concatenate([lines, *[lines + k for k in range(LINES)]])
-    who = np.tile(owner, LINES + 1)
-    lo, hi = np.maximum(lo, first_line[who]), np.minimum(hi, last_line[who])
-    full = np.unique(owner)
-    lo, hi, who = np.append(lo, first_line[full]), np.append(hi, last_line[full]), np.append(who, full)
-    for k in range(0, len(lo), 512):
-        a, b = np.searchsorted(line, lo[k:k + 512]), np.searchsorted(line, hi[k:k + 512], side="right")
-        seg = np.repeat(np.arange(len(a)), b - a)
-        word = ranges(a, b - a)
-        term = at[word]
-        count = np.zeros((len(a), len(model.terms)))
-        np.add.at(count, (seg[term >= 0], term[term >= 0]), 1)
-        _, first, tf = np.unique(seg[term == -1] * len(own) + ident[word[term == -1]], return_index=True, return_counts=True)
-        other = np.bincount(seg[term == -1][first], (tf * weight[word[term == -1]][first]) ** 2, minlength=len(a))
-        whole_name = (count > 0) @ named.T >= named.sum(axis=1) - 0.5
-        count *= model.idf
-        cos = (count @ model.vectors.T) / np.maximum(np.sqrt((count**2).sum(axis=1) + other), 1e-12)[:, None] * whole_name
-        top = cos.argmax(axis=1)
-        value = cos[np.arange(len(a)), top]
-        for s in range(len(a)):
-            i, r = k + s, who[k + s]
-            if i >= len(lo) - len(full):
-                whole[r] = value[s]
-            if value[s] > best[r] + 1e-12:
-                best[r], notice[r], where[r] = value[s], top[s], lo[i] - first_line[r]
-    return best, notice, where, whole
+    line = np.searchsorted(breaks, w.begin[real[a]]) - np.searchsorted(breaks, off[row[a]])
+    bare = np.bincount(row[~exact], minlength=n) == 0
+    return Found(row[a], notice, cos, a - doc[row[a]], line), bare & (np.diff(doc) > 0)
+
+
+def scores(col: pa.Array, model: Model, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(best cosine of a window, its notice, its first line, whether the text is nothing but notices) of each text."""
+    found, bare = notices(col, model, threshold)
+    n = len(col)
+    best, notice, where = np.zeros(n), np.full(n, -1), np.zeros(n, np.int64)
+    # equal scores: the first by name, then by place
+    order = np.lexsort((found.first, found.notice, -np.round(found.score, 9), found.row))
+    rows, top = np.unique(found.row[order], return_index=True)
+    top = order[top]
+    best[rows], notice[rows], where[rows] = found.score[top], found.notice[top], found.line[top]
+    return best, notice, where, bare
 
 
 def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -330,16 +381,16 @@ def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_c
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
-            best, notice, where, whole = scores(b.column("text"), model)
-            hit = best >= threshold
+            best, notice, where, whole = scores(b.column("text"), model, threshold)
+            hit = notice >= 0
             name = [model.names[k] if ok else None for k, ok in zip(notice.tolist(), hit.tolist())]
             like, text, first = full_scores(b.column("text"), model)
             for r in np.flatnonzero(like >= FILE_THRESHOLD):  # the licence of a full text goes before the notices in it
                 hit[r], best[r], name[r], where[r] = True, like[r], model.full_names[text[r]], first[r]
-            whole = (like >= FILE_THRESHOLD) | (whole > 1 - 1e-9)
+            whole = whole | (like >= FILE_THRESHOLD)
             yield pa.record_batch([b.column("doc_id"), b.column("path"), pa.array(name, pa.string()),
                                    pa.array(np.where(hit, np.minimum(best, 1.0), 0.0)), pa.array(where.astype(np.int32), mask=~hit),
-                                   pa.array(whole)], names=["doc_id", "path", "own_license", "score", "line", "whole"])
+                                   pa.array(whole, pa.bool_())], names=["doc_id", "path", "own_license", "score", "line", "whole"])
 
     own = stored(texts.mapInArrow(scan, "doc_id long, path string, own_license string, score double, line int, whole boolean"),
                  "licenses")

@@ -56,6 +56,16 @@ def test_near_names_are_told_apart(spark):
     assert {t: got[k].own_license for k, t in enumerate(want)} == want
 
 
+def test_notices_inside_long_lines_and_over_many_short_ones(spark):
+    prose = " ".join(f"word{k}" for k in range(300))
+    want = {f"{prose} Released under the MIT License. {prose}": "MIT", f"{prose} Licensed under CC BY-NC 4.0. {prose}": "CC-BY-NC-4.0",
+            f"{prose} {APACHE} {prose}": "Apache-2.0", f"{prose} {lc.TEMPLATES['GPL-3.0'][0]} {prose}": "GPL-3.0",
+            "# " + "\n# ".join(lc.TEMPLATES["GPL-3.0"][1].split()) + "\n" + prose: "GPL-3.0", f"{prose}\n{prose}": None}
+    got = scan(spark, [(k, f"d{k}/f", t) for k, t in enumerate(want)])
+    assert [got[k].own_license for k in range(len(want))] == list(want.values())
+    assert got[0].line == 0 and got[4].line == 0 and got[0].score > 0.99
+
+
 def test_frequencies_of_all_terms(spark):
     df = spark.createDataFrame([(t,) for t in ["a rare word", "a word, a Word", "a", None, ""]], "text string")
     known, n, other = lc._frequencies(df.repartition(3), ["a"])
