@@ -36,7 +36,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from permscope.llm.tables import stored
@@ -45,6 +44,7 @@ from permscope.llm.text import Words, column_words, ranges, raw_bytes, text_batc
 THRESHOLD = 0.6      # cosine of a segment
 FILE_THRESHOLD = 0.8  # cosine of a whole text to a full licence text that makes it a licence file
 PLACES = 2048        # compared at a time
+TITLE = 12           # first words of a full text that may name it
 BUCKETS = 1 << 20    # counters of the terms outside the templates
 
 # The short notices by which licences ask to be applied.
@@ -63,7 +63,8 @@ _NOTICES = {
                 "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
                 "General Public License as published by the Free Software Foundation, either version 3 of the License"],
     "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
-                 "General Public License as published by the Free Software Foundation, either version 3 of the License"],
+                 "General Public License as published by the Free Software Foundation, either version 3 of the License",
+                 "GNU Affero General Public License Version 3, 19 November 2007"],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
             "hereby granted"],
     "LGPL": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
@@ -120,6 +121,8 @@ NAMING = {t.lower() for t in [
     *TEMPLATES, *(f"CC-{p}" for p in _PARTS), *_PARTS, *_PARTS.values(), "Affero", "Apache", "Artistic", "BSD", "2-Clause", "3-Clause",
     "Boost", "CC0", "Distribution", "Eclipse", "European", "GNU", "Lesser", "Mozilla", "zlib", "1.0", "1.1", "1.2", "2", "2.0", "2.1",
     "3", "3.0", "4.0", "v1.0", "v2.0", "v2.1", "v3.0"]}
+RESERVED = {"all-rights-reserved": ["All rights reserved."]}  # listed among the notices, grants nothing
+_NOTICE = pa.list_(pa.struct([("license", pa.string()), ("line", pa.int32()), ("score", pa.float64())]))
 TEXTS = {p.stem: [p.read_text()] for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
 _EDGE = " \t\r\n\v\f.,;:!?\"'()[]{}<>*/#-="
 
@@ -356,23 +359,33 @@ def notices(col: pa.Array, model: Model, threshold: float = THRESHOLD) -> tuple[
     return Found(row[a], notice, cos, a - doc[row[a]], line), bare & (np.diff(doc) > 0)
 
 
-def scores(col: pa.Array, model: Model, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(best cosine of a window, its notice, its first line, whether the text is nothing but notices) of each text."""
-    found, bare = notices(col, model, threshold)
-    n = len(col)
+def _best(found: Found, n: int, only: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     best, notice, where = np.zeros(n), np.full(n, -1), np.zeros(n, np.int64)
     # equal scores: the first by name, then by place
     order = np.lexsort((found.first, found.notice, -np.round(found.score, 9), found.row))
+    order = order[only[order]]
     rows, top = np.unique(found.row[order], return_index=True)
     top = order[top]
     best[rows], notice[rows], where[rows] = found.score[top], found.notice[top], found.line[top]
-    return best, notice, where, bare
+    return best, notice, where
+
+
+def scores(col: pa.Array, model: Model, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(best cosine of a window, its notice, its first line, whether the text is nothing but notices) of each text."""
+    found, bare = notices(col, model, threshold)
+    return (*_best(found, len(col), np.ones(len(found.row), bool)), bare)
 
 
 def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text",
                   templates: dict[str, list[str]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, path, own_license, score, line, license_file, license, inherited_from`` of every input row."""
-    templates = templates or TEMPLATES
+    """``doc_id, path, own_license, score, line, license_file, license, inherited_from, licenses, dir_licenses`` of every row.
+
+    ``licenses`` are all matches in the text by place (a full licence text
+    first), ``dir_licenses`` all licences of the nearest directory with a
+    licence file, the commonest first; ``own_license`` and ``license`` are the
+    best of them.
+    """
+    templates = templates or TEMPLATES | RESERVED
     texts = files.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), path.cast("string").alias("path"),
                          F.col(f"`{text_col}`").cast("string").alias("text"))
     terms = vocabulary({"notices": sum(templates.values(), []), "texts": sum(TEXTS.values(), [])})
@@ -381,37 +394,53 @@ def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_c
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
-            best, notice, where, whole = scores(b.column("text"), model, threshold)
+            found, whole = notices(b.column("text"), model, threshold)
+            names = [model.names[k] for k in found.notice]
+            best, notice, where = _best(found, b.num_rows, np.array([x not in RESERVED for x in names], bool))
             hit = notice >= 0
             name = [model.names[k] if ok else None for k, ok in zip(notice.tolist(), hit.tolist())]
+            every = [[] for _ in range(b.num_rows)]
+            for r, *x in zip(found.row.tolist(), names, found.line.tolist(), found.score.tolist()):
+                every[r].append(tuple(x))
             like, text, first = full_scores(b.column("text"), model)
             for r in np.flatnonzero(like >= FILE_THRESHOLD):  # the licence of a full text goes before the notices in it
-                hit[r], best[r], name[r], where[r] = True, like[r], model.full_names[text[r]], first[r]
+                full = model.full_names[text[r]]
+                for k in np.flatnonzero((found.row == r) & (found.first < TITLE)):
+                    # the title of a licence whose full text is not here, close to one that is (AGPL)
+                    if names[k] not in RESERVED and names[k] not in model.full_names and not full.startswith(names[k]):
+                        full = names[k]
+                hit[r], best[r], name[r], where[r] = True, min(like[r], 1.0), full, first[r]
+                every[r].insert(0, (full, int(first[r]), float(best[r])))
             whole = whole | (like >= FILE_THRESHOLD)
             yield pa.record_batch([b.column("doc_id"), b.column("path"), pa.array(name, pa.string()),
                                    pa.array(np.where(hit, np.minimum(best, 1.0), 0.0)), pa.array(where.astype(np.int32), mask=~hit),
-                                   pa.array(whole, pa.bool_())], names=["doc_id", "path", "own_license", "score", "line", "whole"])
+                                   pa.array(whole, pa.bool_()), pa.array(like >= FILE_THRESHOLD), pa.array(every, _NOTICE)],
+                                  names=["doc_id", "path", "own_license", "score", "line", "whole", "full", "licenses"])
 
-    own = stored(texts.mapInArrow(scan, "doc_id long, path string, own_license string, score double, line int, whole boolean"),
-                 "licenses")
+    own = stored(texts.mapInArrow(scan, "doc_id long, path string, own_license string, score double, line int, whole boolean, full boolean, "
+                                         "licenses array<struct<license string, line int, score double>>"), "licenses")
     base = F.upper(F.element_at(F.split("path", "/"), -1))
     own = own.withColumn("license_file", F.col("own_license").isNotNull() & F.coalesce(
         F.col("whole") | base.rlike(r"^(LICEN[SC]E|COPYING|NOTICE)([.-].*)?$"), F.lit(False)))
     # "" is the root directory of a relative path
     own = own.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_extract("path", "^(.*)/[^/]*$", 1)).otherwise(
         F.when(F.col("path").isNotNull(), F.lit(""))))
-    held = own.where("license_file and dir is not null").groupBy("dir", "own_license").agg(F.count("*").alias("n"))
-    top = W.partitionBy("dir").orderBy(F.desc("n"), "own_license")  # one row per licence of a directory
-    held = held.withColumn("k", F.row_number().over(top)).where("k = 1").select(
-        F.col("dir").alias("ancestor"), F.col("own_license").alias("dir_license"))
+    # each licence of each licence file; a full text speaks for itself, not the notices in it
+    held = own.where("license_file and dir is not null").withColumn("l", F.explode(F.when(
+        F.col("full"), F.array("own_license")).otherwise(F.array_distinct(F.transform("licenses", lambda x: x["license"]))))).where(
+        ~F.col("l").isin(list(RESERVED))).groupBy("dir", "l").agg(
+        F.count("*").alias("n"), F.sum((F.col("l") == F.col("own_license")).cast("int")).alias("best"))
+    held = held.groupBy(F.col("dir").alias("ancestor")).agg(F.transform(F.array_sort(F.collect_list(  # as many as there are licences
+        F.struct((-F.col("best")).alias("best"), (-F.col("n")).alias("n"), "l"))), lambda x: x["l"]).alias("dir_licenses"))
     parts = F.split("dir", "/")
     dirs = own.where("dir is not null").select("dir").distinct().select(
         "dir", F.explode(F.array_union(F.array(F.lit("")), F.transform(
             F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/")))).alias("ancestor"))
     nearest = dirs.join(held, "ancestor").groupBy("dir").agg(
-        F.max_by(F.struct("ancestor", "dir_license"), F.length("ancestor")).alias("near"))
+        F.max_by(F.struct("ancestor", "dir_licenses"), F.length("ancestor")).alias("near"))
     out = own.join(nearest, "dir", "left")
     mine = F.col("own_license").isNotNull()
     return out.select("doc_id", "path", "own_license", "score", "line", "license_file",
-                      F.coalesce("own_license", "near.dir_license").alias("license"),
-                      F.when(~mine, F.col("near.ancestor")).alias("inherited_from"))
+                      F.coalesce("own_license", F.col("near.dir_licenses")[0]).alias("license"),
+                      F.when(~mine, F.col("near.ancestor")).alias("inherited_from"), "licenses",
+                      F.col("near.dir_licenses").alias("dir_licenses"))

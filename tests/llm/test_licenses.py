@@ -66,6 +66,22 @@ def test_notices_inside_long_lines_and_over_many_short_ones(spark):
     assert got[0].line == 0 and got[4].line == 0 and got[0].score > 0.99
 
 
+def test_all_notices_and_all_licences_of_a_directory(spark):
+    prose = " ".join(f"word{k}" for k in range(50))
+    agpl = lc.TEXTS["GPL-3.0"][0].replace("GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007",
+                                          "GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007")
+    got = scan(spark, [(1, "a/x.py", f"{prose}\n{MIT}\n{prose} {APACHE}\n{prose}\nAll rights reserved."), (2, "b/LICENSE-MIT", lc.TEXTS["MIT"][0]),
+                       (3, "b/LICENSE-APACHE", lc.TEXTS["Apache-2.0"][0]), (4, "b/c/y", prose), (5, "b/COPYING", lc.TEXTS["MIT"][0]),
+                       (6, "d/NOTICE", f"{MIT}\n{prose}\n{APACHE}"), (7, "d/z", prose), (8, "e/f", f"{prose}\nAll rights reserved."),
+                       (9, "g/h", agpl), (10, "i/j", lc.TEXTS["GPL-3.0"][0])])
+    assert [(x.license, x.line) for x in got[1].licenses] == [("MIT", 1), ("Apache-2.0", 2), ("all-rights-reserved", 4)]
+    assert got[1].own_license == "Apache-2.0" and not got[1].license_file
+    assert got[4].dir_licenses == ["MIT", "Apache-2.0"] and got[4].license == "MIT"
+    assert sorted(got[7].dir_licenses) == ["Apache-2.0", "MIT"] and got[4].licenses == []
+    assert [x.license for x in got[8].licenses] == ["all-rights-reserved"] and got[8].own_license is None
+    assert got[9].own_license == "AGPL-3.0" and got[10].own_license == "GPL-3.0"
+
+
 def test_frequencies_of_all_terms(spark):
     df = spark.createDataFrame([(t,) for t in ["a rare word", "a word, a Word", "a", None, ""]], "text string")
     known, n, other = lc._frequencies(df.repartition(3), ["a"])
