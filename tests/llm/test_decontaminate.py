@@ -61,6 +61,18 @@ def test_overlaps_equal_brute_force(case):
     assert all(r.n_equal <= r.n_words and r.first_word >= 0 for r in got)
 
 
+def test_every_overlap_and_short_items(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(20)) for x in "ab")
+    items = [(1, a), (2, b), (3, "Four short plain words"), (4, "answer"), (5, "日本語の問題"), (6, "猫")]
+    docs = [(1, f"x {a} y z {b} x {a}"), (2, "say FOUR short plain words and four short plain words"), (3, "answers are not the answer"),
+            (4, "これは日本語の問題です"), (5, "four short plain"), (6, "答え 猫が"), (7, None), (8, "猫"), (9, "Answer")]
+    got = dc.every_overlap(spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+                           spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.first_word, r.n_words) for r in got) == [
+        (1, 1, 1, 20), (1, 1, 44, 20), (1, 2, 23, 20), (2, 3, 1, 4), (2, 3, 6, 4), (3, 4, 4, 1), (4, 5, 0, 1), (6, 6, 1, 1), (8, 6, 0, 1),
+        (9, 4, 0, 1)]
+
+
 def test_a_full_bitmap_changes_nothing(case, monkeypatch):
     import numpy as np
 
