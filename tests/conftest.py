@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,18 +13,3 @@ def spark():
     s = get_spark("local[8]", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-ACE_COLS = ["folder_path", "ace_name", "ace_sid", "ace_mask", "ace_inherited", "ace_raw"]
-
-
-def ace_df(spark, rows):
-    """Tiny ACE frame: rows of (folder, name, sid, mask[, inherited[, raw]])."""
-    full = []
-    for r in rows:
-        r = list(r) + [None] * (6 - len(r))
-        if r[4] is None:
-            r[4] = False
-        full.append(tuple(r))
-    return spark.createDataFrame(full, "folder_path string, ace_name string, ace_sid string, ace_mask string, "
-                                       "ace_inherited boolean, ace_raw string")

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import ace_df
+from helpers import ace_df
 
 from permscope.operators import finders as FD
 from permscope.operators.rules import run_checks

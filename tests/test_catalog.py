@@ -3,7 +3,7 @@ driver contract of ``__spark_entry__``."""
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as entry_mod
 from permscope.plans.verify import compare, duck_connect

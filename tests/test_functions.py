@@ -66,7 +66,7 @@ def test_keyword_group_first_match(spark):
 
 
 def test_no_python_udf_in_rule_plan(spark):
-    from conftest import ace_df
+    from helpers import ace_df
     from permscope.operators.rules import apply_rules
 
     df = apply_rules(ace_df(spark, [("\\\\f\\s\\x", "A", "S-1", "Read")]))

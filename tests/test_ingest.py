@@ -118,7 +118,7 @@ def test_json_lines_mode(spark, tmp_path):
 
 
 def test_sinks(spark, tmp_path):
-    from conftest import ace_df
+    from helpers import ace_df
     from permscope.operators.rules import apply_rules, split_by_severity
     from permscope.sources.parquet import write_findings_csv
 

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, ace_df
+from helpers import SF_SMALL, ace_df
 
 from permscope.operators import drift as DR
 from permscope.operators import identity as ID

@@ -1,7 +1,7 @@
 """Orientation numbers of FIXTURES.md §2 at sf0.01 (computed independently
 when the derived estate was specified)."""
 
-from conftest import SF_CHECK
+from helpers import SF_CHECK
 
 from permscope.operators.patterns import excessive_ace_count
 from permscope.operators.rules import apply_rules

@@ -3,19 +3,21 @@ product or nested-loop join, and pushdown where a point filter exists."""
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 import __spark_entry__ as entry_mod
+from permscope.plans import catalog
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
-             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+             "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF", "MapInArrow", "FlatMapGroupsInArrow",
+             "FlatMapCoGroupsInArrow", "FlatMapCoGroupsInPandas", "PythonDataSource")
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_plan_has_no_python_or_cross_join(spark, name):
     plan = _plan(entry_mod.queries()[name](spark, SF_SMALL))
     bad = [f for f in FORBIDDEN if f in plan]

@@ -1,6 +1,6 @@
 """Rule engine cases (one per shipped rule) and severity filtering."""
 
-from conftest import ace_df
+from helpers import ace_df
 
 from permscope.operators.rules import apply_rules
 from permscope.sources.ruleset import load_ruleset
