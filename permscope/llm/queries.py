@@ -153,3 +153,75 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a document's place: one tree per source, a directory per language
     path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
     return scan_licenses(table(spark, sf_dir, "documents"), path)
+
+
+# of seven documents one is tampered with: its count of characters grows by one (nulls stay)
+_CRC32 = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)) AS t),
+crc AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                                 lambda x, c: xor(x // 256, t[(xor(x, c) % 256) + 1])), 4294967295) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_table)"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    parts = ["doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({p})::VARCHAR || ':' || {p}, '-')" for p in parts) + ")"
+
+
+@query("op13_merkle_manifest", oracle=f"""
+WITH RECURSIVE {_CRC32},
+d AS (
+  SELECT documents.doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+         CASE WHEN crc % 7 = 0 THEN {_leaf_sql("n_chars + 1")} ELSE {_leaf_sql("n_chars")} END AS claimed
+  FROM documents LEFT JOIN crc USING (doc_id)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+         count(*) OVER (PARTITION BY lang) AS n FROM d),
+node AS (
+  SELECT lang, 0 AS level, rank AS pos, leaf AS digest, n FROM ranked
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM node WHERE n > 1 GROUP BY lang, level, pos // 2),
+sub AS (SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank, count(*) OVER () AS n
+        FROM node WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, rank AS pos, subroot AS digest, n FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM upper WHERE n > 1 GROUP BY level, pos // 2),
+walk AS (
+  SELECT r.doc_id, r.leaf, r.claimed, s.subroot, r.lang, r.rank AS low, s.rank AS high, u.digest AS root
+  FROM ranked r JOIN sub s ON s.lang IS NOT DISTINCT FROM r.lang, upper u WHERE u.n = 1),
+height AS (SELECT lang, max(level) AS h FROM node GROUP BY lang),
+step AS (
+  SELECT w.lang, w.low, x.level, x.digest AS sibling, (w.low >> x.level) % 2 = 1 AS lefty
+  FROM walk w JOIN node x ON x.lang IS NOT DISTINCT FROM w.lang AND x.pos = xor(w.low >> x.level, 1) AND x.n > 1
+  UNION ALL
+  SELECT w.lang, w.low, h.h + x.level, x.digest, (w.high >> x.level) % 2 = 1
+  FROM walk w JOIN height h ON h.lang IS NOT DISTINCT FROM w.lang JOIN upper x ON x.pos = xor(w.high >> x.level, 1) AND x.n > 1),
+proof AS (SELECT lang, low, string_agg(sibling, '' ORDER BY level) AS p FROM step GROUP BY lang, low),
+fold AS (
+  SELECT w.lang, w.low, 0 AS level, w.claimed AS digest, h.h + (SELECT max(level) FROM upper) AS last
+  FROM walk w JOIN height h ON h.lang IS NOT DISTINCT FROM w.lang
+  UNION ALL
+  SELECT f.lang, f.low, f.level + 1, sha256(CASE WHEN s.lefty THEN s.sibling || f.digest ELSE f.digest || coalesce(s.sibling, '') END), f.last
+  FROM fold f LEFT JOIN step s ON s.lang IS NOT DISTINCT FROM f.lang AND s.low = f.low AND s.level = f.level
+  WHERE f.level < f.last)
+SELECT w.doc_id, w.leaf, w.subroot, w.root, sha256(coalesce(p.p, '')) AS proof_sha256, f.digest AS folded_root,
+       f.digest = w.root AS verified
+FROM walk w LEFT JOIN proof p ON p.lang IS NOT DISTINCT FROM w.lang AND p.low = w.low
+JOIN fold f ON f.lang IS NOT DISTINCT FROM w.lang AND f.low = w.low AND f.level = f.last
+""")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.merkle import folded, prove, siblings, write_manifest
+
+    moved = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    docs = table(spark, sf_dir, "documents")
+    made = write_manifest(docs, claim={"n_chars": F.when(moved, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+    out = prove(made).withColumn("folded_root", folded(F.col("claimed"), F.col("path")))
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+                      F.sha2(F.array_join(siblings(F.col("path")), ""), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
