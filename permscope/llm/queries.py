@@ -225,3 +225,43 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root",
                       F.sha2(F.array_join(siblings(F.col("path")), ""), 256).alias("proof_sha256"),
                       "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _cluster_sql(rounds: int) -> str:
+    nearest = """
+SELECT v.vec_id, v.nth, arg_min(c.c, (d, c.c)) AS cluster, min(d) AS distance
+FROM (SELECT vec_id, nth, {c}.c, list_sum(list_transform(list_zip(x, {c}.p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+      FROM v, {c}) AS q JOIN v USING (vec_id, nth) JOIN {c} AS c ON c.c = q.c GROUP BY v.vec_id, v.nth"""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS ({nearest.format(c=f'c{r}')})")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT cluster, i, sum(x[i]::HUGEINT) AS s, count(*) AS n
+         FROM a{r} JOIN v USING (vec_id, nth), range(1, 65) AS t(i) GROUP BY cluster, i),
+c{r + 1} AS (
+  SELECT c, coalesce(p2, p) AS p FROM c{r} LEFT JOIN (
+    SELECT cluster, list((s // n - CASE WHEN s % n < 0 THEN 1 ELSE 0 END)::BIGINT ORDER BY i) AS p2 FROM m{r} GROUP BY cluster) ON cluster = c)""")
+    return f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS x,
+         row_number() OVER (PARTITION BY vec_id ORDER BY embedding) AS nth
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x AS p
+  FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '-')) AS h, x FROM v ORDER BY h, x LIMIT 16)),
+{", ".join(steps)}
+SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = cluster
+"""
+
+
+@query("op12_centroid_clustering", oracle=_cluster_sql(3))
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.centroids import cluster_vectors
+
+    out = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                      F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
