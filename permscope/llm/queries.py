@@ -265,3 +265,14 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cluster_vectors(table(spark, sf_dir, "embeddings"))
     return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
                       F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
+@query("op11_word_bpe")
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from permscope.llm.tokens import tokenizer_path, vocabularies
+    from permscope.llm.word_bpe import decode_ids, encode_texts
+
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    out = decode_ids(encode_texts(table(spark, sf_dir, "documents"), ranks, vocabularies().PATTERN), ranks)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

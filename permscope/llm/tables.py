@@ -22,6 +22,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shards_for(df: DataFrame, each: int) -> int:
+    """Shards for work on ``df``: one for every ``each`` bytes of its sources, at least the session's partitions."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size if size < 1 << 60 else 0  # no estimate
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-known // each), 1 << 20))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, comp`` of every node of the undirected ``edges`` (a, b); comp is its smallest node.
 

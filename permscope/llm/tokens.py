@@ -21,7 +21,8 @@ import pyarrow as pa
 from permscope.llm.text import _SEPARATOR, ranges, raw_bytes
 
 
-def tokenizer_path(name: str) -> str:
+def vocabularies():
+    """The module of public vocabularies (its ``path`` and ``PATTERN``)."""
     import importlib.util
     import sys
 
@@ -32,7 +33,11 @@ def tokenizer_path(name: str) -> str:
         sys.modules["public_tokenizers"] = module
     import public_tokenizers
 
-    return str(public_tokenizers.path(name))
+    return public_tokenizers
+
+
+def tokenizer_path(name: str) -> str:
+    return str(vocabularies().path(name))
 
 
 KNOWN_MAX = 600_000  # chunks whose ids a process remembers (only speed depends on it)

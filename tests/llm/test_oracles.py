@@ -11,7 +11,7 @@ def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 
