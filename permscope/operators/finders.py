@@ -65,7 +65,7 @@ def folders_missing_admin_full(aces: DataFrame) -> DataFrame:
     admin_full = is_admin_name("res_name", ADMIN_PATTERNS_FULL) & is_full_control("ace_mask")
     g = (a.groupBy(*run_keys(a), F.trim("folder_path").alias("folder_path"))
          .agg(F.bool_or(admin_full).alias("has_admin_full"), F.count(F.lit(1)).alias("ace_count")))
-    return g.filter(~F.col("has_admin_full")).select("folder_path", "ace_count")
+    return g.filter(~F.col("has_admin_full")).select(*run_keys(aces), "folder_path", "ace_count")
 
 
 def _ps_name(aces: DataFrame) -> Column:

@@ -5,14 +5,15 @@ Inputs are two snapshot tables:
 * principals(snapshot_id, sid, samaccountname, principal_type, enabled)
 * membership_edges(snapshot_id, member_sid, group_sid)
 
-``membership_closure`` is a semi-naive fixpoint: each round joins only the
-pairs found in the previous round (``delta``) to the edges and keeps the
-pairs not seen before (``left_anti``).  Cycles end because no new pair
-appears; the number of rounds is the longest membership chain.  Each
-round's delta is ``checkpoint()``-ed into the session's checkpoint folder
-(``spark.checkpoint.dir``), which cuts lineage and survives executor loss;
-the closure is the union of the checkpointed deltas.  A very large group is a hot join key; AQE's skew
-join splits it.
+``membership_closure`` works on the graph of groups alone, which is far smaller
+than the memberships: path doubling (a round joins the pairs found so far with
+themselves, so rounds grow with the logarithm of the nesting depth), and nodes
+found to reach each other are merged into one, so a cycle is one node in the
+later rounds and its pairs are written out once, at the end.  Users and other
+members that nobody belongs to join the groups' closure once.  Each round is
+``checkpoint()``-ed into the session's checkpoint folder
+(``spark.checkpoint.dir``), which cuts lineage and survives executor loss.  A
+very large group is a hot join key; AQE's skew join splits it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permscope.functions.masks import bucket_rank, rights_bucket
-from permscope.session import checkpoint_dir
+from permscope.operators.runs import run_keys
+from permscope.session import checkpointed
 
 # Well-known SIDs in every user's security context —
 # Everyone, Authenticated Users, BUILTIN\Users.
@@ -30,48 +32,110 @@ WELL_KNOWN_CONTEXT_SIDS = ("S-1-1-0", "S-1-5-11", "S-1-5-32-545")
 SCOPE_NOTE = "snapshot, folder-level rights only"
 
 
-def _cp(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def membership_closure(edges: DataFrame, include_self: bool = False,
-                       scope: DataFrame | None = None) -> DataFrame:
+def _edges(edges: DataFrame) -> DataFrame:
+    return (edges.select("snapshot_id", "member_sid", "group_sid")
+            .where("member_sid is not null and group_sid is not null").distinct())
+
+
+def _reach(pairs: DataFrame) -> DataFrame:
+    """All pairs (snapshot_id, a, b) with a path, from the edges ``pairs``."""
+    key = "snapshot_id"
+    now, merged = checkpointed(pairs), None   # merged: node -> the node that stands for it
+    fresh = now                               # pairs that may be half of a cycle not yet seen
+    while not fresh.isEmpty():
+        back = now.select(key, F.col("a").alias("b"), F.col("b").alias("a"))
+        both = fresh.where("a != b").join(back, [key, "a", "b"], "left_semi")
+        if not both.isEmpty():
+            ends = both.unionByName(both.select(key, F.col("a").alias("b"), F.col("b").alias("a")))
+            stands = checkpointed(ends.groupBy(key, "a").agg(F.least("a", F.min("b")).alias("to")).where("a != to"))
+
+            def moved(df: DataFrame, col: str) -> DataFrame:
+                to = stands.select(key, F.col("a").alias(col), F.col("to").alias("_to"))
+                return df.join(to, [key, col], "left").withColumn(col, F.coalesce("_to", col)).drop("_to")
+
+            fresh = now = checkpointed(moved(moved(now, "a"), "b").select(key, "a", "b").distinct())
+            new = stands.select(key, F.col("a").alias("node"), F.col("to").alias("rep"))
+            merged = checkpointed(new if merged is None else
+                                  moved(merged, "rep").unionByName(new.join(merged.select(key, "node"), [key, "node"], "left_anti")))
+            continue
+        step = now.select(key, "a", F.col("b").alias("mid")).join(now.select(key, F.col("a").alias("mid"), "b"), [key, "mid"])
+        fresh = checkpointed(step.select(key, "a", "b").distinct().join(now, [key, "a", "b"], "left_anti"))
+        now = now.unionByName(fresh)
+    if merged is None:
+        return now
+
+    def spread(df: DataFrame, col: str) -> DataFrame:
+        own = merged.select(key, F.col("rep").alias(col)).distinct().withColumn("_x", F.col(col))
+        of = merged.select(key, F.col("rep").alias(col), F.col("node").alias("_x")).unionByName(own)
+        return df.join(of, [key, col], "left").withColumn(col, F.coalesce("_x", col)).drop("_x")
+
+    return checkpointed(spread(spread(now, "a"), "b").select(key, "a", "b").distinct())
+
+
+def membership_closure(edges: DataFrame, include_self: bool = False, scope: DataFrame | None = None,
+                       members: DataFrame | None = None) -> DataFrame:
     """All (snapshot_id, member_sid, group_sid) pairs with a membership path.
 
     ``scope`` (a DataFrame with a ``sid`` column) keeps only groups that are
-    seen in ACLs.  Self pairs (from cycles) are dropped unless
-    ``include_self``.
+    seen in ACLs; ``members`` (also ``sid``) asks for these members only.  Self
+    pairs (from cycles) are dropped unless ``include_self``.
     """
-    e = (edges.select("snapshot_id", "member_sid", "group_sid")
-         .filter(F.col("member_sid").isNotNull() & F.col("group_sid").isNotNull())
-         .distinct())
-    # closure = union of checkpointed deltas: one checkpoint per round and a
-    # lineage that stays one union deep
-    parts = [_cp(e)]
-    delta = parts[0]
-    step = e.select("snapshot_id", F.col("member_sid").alias("mid"), F.col("group_sid").alias("next_group"))
-    while True:  # ends when no new pair appears: there are finitely many
-        known = parts[0]
-        for p in parts[1:]:
-            known = known.unionByName(p)
-        nxt = (delta.join(step, (delta["snapshot_id"] == step["snapshot_id"]) & (delta["group_sid"] == step["mid"]))
-               .select(delta["snapshot_id"], delta["member_sid"], step["next_group"].alias("group_sid"))
-               .distinct()
-               .join(known, ["snapshot_id", "member_sid", "group_sid"], "left_anti"))
-        nxt = _cp(nxt)
-        if nxt.isEmpty():
-            break
-        parts.append(nxt)
-        delta = nxt
-    closure = parts[0]
-    for p in parts[1:]:
-        closure = closure.unionByName(p)
+    e = checkpointed(_edges(edges))
+    groups = e.select("snapshot_id", F.col("group_sid").alias("member_sid")).distinct()
+    nested = e.join(groups, ["snapshot_id", "member_sid"], "left_semi")  # edges between groups
+    reach = _reach(nested.select("snapshot_id", F.col("member_sid").alias("a"), F.col("group_sid").alias("b")))
+    among = reach.select("snapshot_id", F.col("a").alias("member_sid"), F.col("b").alias("group_sid"))
+    plain = e.join(groups, ["snapshot_id", "member_sid"], "left_anti")
+    if members is not None:
+        asked = members.select(F.col("sid").alias("member_sid")).distinct()
+        among, plain = among.join(asked, "member_sid", "left_semi"), plain.join(asked, "member_sid", "left_semi")
+    above = plain.join(reach.select("snapshot_id", F.col("a").alias("group_sid"), F.col("b").alias("next")), ["snapshot_id", "group_sid"])
+    above = above.select("snapshot_id", "member_sid", F.col("next").alias("group_sid"))
+    closure = plain.unionByName(above).distinct().unionByName(among)
     if not include_self:
-        closure = closure.filter(F.col("member_sid") != F.col("group_sid"))
+        closure = closure.where("member_sid != group_sid")
     if scope is not None:
         closure = closure.join(scope.select(F.col("sid").alias("group_sid")).distinct(), "group_sid", "left_semi")
-    return closure.select("snapshot_id", "member_sid", "group_sid")
+    return checkpointed(closure.select("snapshot_id", "member_sid", "group_sid"))
+
+
+def membership_chains(edges: DataFrame, members: DataFrame | None = None) -> DataFrame:
+    """snapshot_id, member_sid, group_sid, depth, chain: how a member comes to be in a group.
+
+    ``chain`` is the shortest way, from the first group to ``group_sid``; of
+    equally short ways the smallest.  Breadth first over the groups, one round
+    a level of nesting; members that nobody belongs to join the groups' chains
+    once.  A way back to its own start is no membership.
+    """
+    e = checkpointed(_edges(edges))
+    groups = e.select("snapshot_id", F.col("group_sid").alias("member_sid")).distinct()
+    step = e.join(groups, ["snapshot_id", "member_sid"], "left_semi").where("member_sid != group_sid")
+    pair = ["snapshot_id", "member_sid", "group_sid"]
+    parts = [checkpointed(step.withColumn("chain", F.array("group_sid")))]
+    while not parts[-1].isEmpty():
+        seen = parts[0].select(*pair)
+        for p in parts[1:]:
+            seen = seen.unionByName(p.select(*pair))
+        further = parts[-1].join(step.select("snapshot_id", F.col("member_sid").alias("group_sid"), F.col("group_sid").alias("next")),
+                                 ["snapshot_id", "group_sid"]).where("next != member_sid")
+        found = (further.select("snapshot_id", "member_sid", F.col("next").alias("group_sid"), F.concat("chain", F.array("next")).alias("chain"))
+                 .groupBy(*pair).agg(F.min("chain").alias("chain")).join(seen, pair, "left_anti"))
+        parts.append(checkpointed(found))
+    among = parts[0]
+    for p in parts[1:]:
+        among = among.unionByName(p)
+    plain = e.join(groups, ["snapshot_id", "member_sid"], "left_anti")
+    if members is not None:
+        asked = members.select(F.col("sid").alias("member_sid")).distinct()
+        plain = plain.join(asked, "member_sid", "left_semi")
+    above = plain.join(among.select("snapshot_id", F.col("member_sid").alias("group_sid"), F.col("group_sid").alias("next"), "chain"),
+                       ["snapshot_id", "group_sid"])
+    ways = plain.withColumn("chain", F.array("group_sid")).unionByName(
+        above.select("snapshot_id", "member_sid", F.col("next").alias("group_sid"), F.concat(F.array("group_sid"), "chain").alias("chain")))
+    best = ways.groupBy(*pair).agg(F.min(F.struct(F.size("chain").alias("depth"), "chain")).alias("x"))
+    if members is not None:
+        among = among.join(asked, "member_sid", "left_semi")
+    return best.select(*pair, "x.depth", "x.chain").unionByName(among.select(*pair, F.size("chain").alias("depth"), "chain"))
 
 
 def group_members(closure: DataFrame) -> DataFrame:
@@ -86,16 +150,24 @@ def acl_principal_scope(aces: DataFrame) -> DataFrame:
 
 
 def sid_resolution(aces: DataFrame, principals: DataFrame) -> DataFrame:
-    """Each ACE SID with its principal (null when unresolved)."""
-    scope = acl_principal_scope(aces)
-    p = principals.select(F.col("sid").alias("ace_sid"), "samaccountname", "principal_type", "enabled")
-    r = scope.join(p, "ace_sid", "left")
+    """Each ACE SID with its principal in each identity snapshot (null when unresolved there)."""
+    scope = _per_snapshot(acl_principal_scope(aces), principals)
+    p = principals.select("snapshot_id", F.col("sid").alias("ace_sid"), "samaccountname", "principal_type", "enabled")
+    r = scope.join(p, ["snapshot_id", "ace_sid"], "left")
     return r.withColumn("resolved", F.col("principal_type").isNotNull())
 
 
+def _per_snapshot(rows: DataFrame, principals: DataFrame) -> DataFrame:
+    """``rows`` once for each snapshot of ``principals`` (snapshots are few: their names come to the driver)."""
+    names = sorted(r["snapshot_id"] for r in principals.select("snapshot_id").distinct().collect())
+    every = F.array(*map(F.lit, names)) if names else F.array(F.lit(None).cast("string"))
+    return rows.withColumn("snapshot_id", F.explode(every))
+
+
 def unresolved_sids(aces: DataFrame, principals: DataFrame) -> DataFrame:
-    scope = acl_principal_scope(aces)
-    return scope.join(principals.select(F.col("sid").alias("ace_sid")), "ace_sid", "left_anti")
+    """ACE SIDs that a snapshot has no principal for, one row per snapshot."""
+    scope = _per_snapshot(acl_principal_scope(aces), principals)
+    return scope.join(principals.select("snapshot_id", F.col("sid").alias("ace_sid")), ["snapshot_id", "ace_sid"], "left_anti")
 
 
 def blast_radius(principals: DataFrame, closure: DataFrame, exclude_service: bool = False) -> DataFrame:
@@ -166,7 +238,9 @@ def security_context(users: DataFrame, closure: DataFrame, well_known=WELL_KNOWN
 
 
 def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_right: str = "read") -> DataFrame:
-    """(user, folder) -> effective rights bucket with one evidence ACE.
+    """(run, snapshot, user, folder) -> effective rights bucket with one evidence ACE.
+
+    For some users; ``access.access_table`` answers for all of them.
 
     Canonical-order approximation on the bucket ladder none<read<write<full:
     an explicit deny of bucket b caps everything at b-1; an inherited deny
@@ -175,18 +249,19 @@ def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_
     other than allow/deny count as allow and mark the row 'approximate'.
     """
     ctx = security_context(users, closure)
+    runs = run_keys(aces)
     a = aces.select(
-        "folder_path", "ace_sid", "ace_mask",
+        *runs, "folder_path", "ace_sid", "ace_mask",
         F.lower(F.coalesce("ace_type", F.lit("allow"))).alias("t"),
         F.coalesce("ace_inherited", F.lit(False)).alias("inh"),
         bucket_rank(rights_bucket("ace_mask")).alias("rank"))
-    j = a.join(ctx.select(F.col("context_sid").alias("ace_sid"), "user_sid", "via"), "ace_sid")
+    j = a.join(ctx.select("snapshot_id", F.col("context_sid").alias("ace_sid"), "user_sid", "via"), "ace_sid")
     is_deny = F.col("t") == "deny"
     allow_explicit = F.when(~is_deny & ~F.col("inh"), F.col("rank"))
     allow_inherited = F.when(~is_deny & F.col("inh"), F.col("rank"))
     deny_explicit = F.when(is_deny & ~F.col("inh") & (F.col("rank") > 0), F.col("rank"))
     deny_inherited = F.when(is_deny & F.col("inh") & (F.col("rank") > 0), F.col("rank"))
-    g = j.groupBy("user_sid", "folder_path").agg(
+    g = j.groupBy(*runs, "snapshot_id", "user_sid", "folder_path").agg(
         F.coalesce(F.max(allow_explicit), F.lit(0)).alias("ea"),
         F.coalesce(F.max(allow_inherited), F.lit(0)).alias("ia"),
         F.coalesce(F.min(deny_explicit), F.lit(4)).alias("ed"),
@@ -203,7 +278,7 @@ def effective_access(aces: DataFrame, users: DataFrame, closure: DataFrame, min_
     names = F.array(F.lit("none"), F.lit("read"), F.lit("write"), F.lit("fullcontrol"))
     out = g.withColumn("eff", eff).filter(F.col("eff") >= bucket_rank(F.lit(min_right)))
     return out.select(
-        "user_sid", "folder_path",
+        *runs, "snapshot_id", "user_sid", "folder_path",
         F.try_element_at(names, (F.col("eff") + 1).cast("int")).alias("rights_bucket"),
         F.col("eff").alias("rights_rank"),
         F.col("ev.ace_sid").alias("matched_sid"), F.col("ev.ace_mask").alias("matched_mask"),

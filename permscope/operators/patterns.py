@@ -72,13 +72,13 @@ def broad_inherited_by_ancestor(aces: DataFrame, min_folders: int = 2) -> DataFr
     x = per_folder.select(*runs, "identity", "n", F.explode(ancestors("folder_path")).alias("ancestor"))
     return (x.groupBy(*runs, "ancestor", "identity")
             .agg(F.count(F.lit(1)).alias("folders"), F.sum("n").alias("aces"))
-            .filter(F.col("folders") >= min_folders).drop(*runs))
+            .filter(F.col("folders") >= min_folders))
 
 
 def excessive_ace_count(aces: DataFrame, threshold: int = 100) -> DataFrame:
     runs = run_keys(aces)
     return (aces.groupBy(*runs, "folder_path").agg(F.count(F.lit(1)).alias("ace_count"))
-            .filter(F.col("ace_count") > threshold).drop(*runs))
+            .filter(F.col("ace_count") > threshold))
 
 
 def sensitive_keywords_exposed(aces: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def share_root_missing_admin(aces: DataFrame) -> DataFrame:
     a = _named(aces).filter(valid_folder("folder_path") & (path_depth("folder_path") == 2))
     admin_full = is_admin_name("res_name", ADMIN_PATTERNS_FULL) & is_full_control("ace_mask")
     g = a.groupBy(*run_keys(aces), "folder_path").agg(F.bool_or(admin_full).alias("ok"), F.count(F.lit(1)).alias("ace_count"))
-    return g.filter(~F.col("ok")).select("folder_path", "ace_count")
+    return g.filter(~F.col("ok")).select(*run_keys(aces), "folder_path", "ace_count")
 
 
 def _path_broad_write(aces: DataFrame, words) -> DataFrame:
@@ -133,4 +133,4 @@ def remediation_backlog(aces: DataFrame) -> DataFrame:
             + F.when(F.col("everyone_present"), 4).otherwise(0)
             + F.when(F.col("domain_users_present"), 2).otherwise(0)
             + F.when(F.col("inherited_exposure"), 1).otherwise(0))
-    return g.withColumn("priority", prio).drop(*run_keys(aces))
+    return g.withColumn("priority", prio)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permscope.functions.masks import high_perm_sql
+from permscope.operators.runs import run_keys
 
 
 def _topk(df: DataFrame, order, k: int | None) -> DataFrame:
@@ -69,15 +70,15 @@ def sid_set(aces: DataFrame) -> DataFrame:
 
 
 def folder_ace_counts(aces: DataFrame) -> DataFrame:
-    """ACEs per folder (null folders grouped as '')."""
-    return (aces.groupBy(F.coalesce("folder_path", F.lit("")).alias("folder_path"))
+    """ACEs per run and folder (null folders grouped as '')."""
+    return (aces.groupBy(*run_keys(aces), F.coalesce("folder_path", F.lit("")).alias("folder_path"))
             .agg(F.count(F.lit(1)).alias("ace_count")))
 
 
 def duplicate_aces(aces: DataFrame) -> DataFrame:
-    """(folder, resolved identity) groups holding more than one ACE."""
+    """(run, folder, resolved identity) groups holding more than one ACE."""
     from permscope.operators.rules import normalize_aces
     n = normalize_aces(aces)
-    return (n.groupBy(F.col("folder").alias("folder_path"), F.col("res_name").alias("ace_name"))
+    return (n.groupBy(*(F.col(f"run.{c}").alias(c) for c in run_keys(aces)), F.col("folder").alias("folder_path"), F.col("res_name").alias("ace_name"))
             .agg(F.count(F.lit(1)).alias("ace_count"))
             .filter(F.col("ace_count") > 1))

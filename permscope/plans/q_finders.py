@@ -55,9 +55,9 @@ def q_sensitive_shares(spark, sf):
 
 
 @register("folders_missing_admin_full", "2.4", oracle(f"""
-SELECT TRIM(folder_path) AS folder_path, COUNT(*) AS ace_count
+SELECT run_id, TRIM(folder_path) AS folder_path, COUNT(*) AS ace_count
 FROM (SELECT *, {RES} AS res_name FROM aces WHERE {S.valid_folder()})
-GROUP BY TRIM(folder_path)
+GROUP BY run_id, TRIM(folder_path)
 HAVING NOT bool_or({S.contains_any('res_name', ADMIN_PATTERNS_FULL)} AND {S.is_full()})""", "aces"))
 def q_folders_missing_admin_full(spark, sf):
     return FD.folders_missing_admin_full(fx.aces(spark, sf))

@@ -95,14 +95,17 @@ def q_rules_on_definitions(spark, sf):
     return FP.rules_on_definitions(fx.aces(spark, sf), DEFAULT)
 
 
-@register("findings_standard", "2.11", oracle(f"""
+FINDINGS = f"""
 SELECT m.run_id, m.rule_id, m.severity, o.object_id, m.folder_path, m.ace_name, m.ace_sid, m.ace_mask,
        m.ace_inherited, 'rule ' || m.rule_id || ' matched mask ' || m.ace_mask AS reason, o.source_file
 FROM (SELECT 'run-a' AS run_id, * FROM m) m
 LEFT JOIN (SELECT run_id, COALESCE(folder_path, '') AS folder_path, {_OBJID} AS object_id,
                   MIN(source_file) AS source_file
            FROM aces GROUP BY run_id, folder_path) o
-  ON o.run_id = m.run_id AND o.folder_path = m.folder_path""", "aces", m=rules_oracle(DEFAULT)))
+  ON o.run_id = m.run_id AND o.folder_path = m.folder_path"""
+
+
+@register("findings_standard", "2.11", oracle(FINDINGS, "aces", m=rules_oracle(DEFAULT)))
 def q_findings_standard(spark, sf):
     aces = fx.aces(spark, sf)
     from permscope.operators.rules import apply_rules

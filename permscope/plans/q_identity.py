@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from permscope.operators import access as AC
 from permscope.operators import identity as ID
 from permscope.operators import rules as RU
+from permscope.plans.q_fingerprints import FINDINGS, LINES, OBJECT_ACL
 from permscope.plans.q_rules import rules_oracle
 from permscope.plans.registry import oracle, register
 from permscope.sources import fixtures as fx
@@ -13,10 +15,6 @@ from permscope.sources.ruleset import load_ruleset
 
 DEFAULT = load_ruleset()
 
-# The user whose access is asked about ("what can this user access, and
-# why"); customer 1 exists at every scale factor.
-EA_USER = "S-1-5-21-1-1"
-
 CLOSURE = """
 SELECT snapshot_id, member_sid, group_sid FROM edges
 UNION
@@ -56,6 +54,25 @@ def q_membership_closure(spark, sf):
     return _closure(spark, sf)
 
 
+# breadth first: each round takes the smallest chain of the pairs it reaches first
+_CHAINS = """
+SELECT snapshot_id, member_sid, group_sid, 1 AS depth, [group_sid] AS chain FROM edges WHERE member_sid <> group_sid
+UNION ALL
+SELECT c.snapshot_id, c.member_sid, e.group_sid, c.depth + 1, min(list_append(c.chain, e.group_sid))
+FROM ch c JOIN edges e ON e.member_sid = c.group_sid AND e.snapshot_id = c.snapshot_id
+WHERE e.group_sid <> c.member_sid AND NOT list_contains(c.chain, e.group_sid)
+GROUP BY c.snapshot_id, c.member_sid, e.group_sid, c.depth"""
+
+
+@register("membership_chains", "2.11", oracle("""
+SELECT snapshot_id, member_sid, group_sid, depth, array_to_string(chain, ' > ') AS chain FROM (
+  SELECT *, row_number() OVER (PARTITION BY snapshot_id, member_sid, group_sid ORDER BY depth, chain) AS k FROM ch)
+WHERE k = 1""", "edges", recursive=True, ch=_CHAINS))
+def q_membership_chains(spark, sf):
+    out = ID.membership_chains(fx.membership_edges(spark, sf))
+    return out.withColumn("chain", F.array_join("chain", " > "))
+
+
 @register("group_members", "2.11", oracle(
     "SELECT snapshot_id, group_sid, COUNT(*) AS members FROM cl WHERE member_sid <> group_sid GROUP BY 1, 2",
     "edges", recursive=True, cl=CLOSURE))
@@ -71,22 +88,31 @@ def q_acl_principal_scope(spark, sf):
     return ID.acl_principal_scope(fx.aces(spark, sf))
 
 
+_BOTH = "SELECT * FROM principals UNION ALL SELECT * FROM principals_b"
+
+
+def _both_principals(spark, sf):
+    return fx.principals(spark, sf, "a").unionByName(fx.principals(spark, sf, "b"))
+
+
 @register("sid_resolution", "2.4", oracle("""
-SELECT s.ace_sid, s.ace_name, s.ace_count, p.samaccountname, p.principal_type, p.enabled,
+SELECT n.snapshot_id, s.ace_sid, s.ace_name, s.ace_count, p.samaccountname, p.principal_type, p.enabled,
        p.principal_type IS NOT NULL AS resolved
 FROM (SELECT ace_sid, MIN(ace_name) AS ace_name, COUNT(*) AS ace_count FROM aces
       WHERE ace_sid IS NOT NULL AND ace_sid <> '' GROUP BY ace_sid) s
-LEFT JOIN principals p ON p.sid = s.ace_sid""", "aces", "principals"))
+CROSS JOIN (SELECT DISTINCT snapshot_id FROM both_snapshots) n
+LEFT JOIN both_snapshots p ON p.sid = s.ace_sid AND p.snapshot_id = n.snapshot_id""", "aces", "principals", "principals_b", both_snapshots=_BOTH))
 def q_sid_resolution(spark, sf):
-    return ID.sid_resolution(fx.aces(spark, sf), fx.principals(spark, sf))
+    return ID.sid_resolution(fx.aces(spark, sf), _both_principals(spark, sf))
 
 
 @register("unresolved_sids", "2.4", oracle("""
-SELECT ace_sid, MIN(ace_name) AS ace_name, COUNT(*) AS ace_count FROM aces
-WHERE ace_sid IS NOT NULL AND ace_sid <> '' AND ace_sid NOT IN (SELECT sid FROM principals)
-GROUP BY ace_sid""", "aces", "principals"))
+SELECT n.snapshot_id, ace_sid, MIN(ace_name) AS ace_name, COUNT(*) AS ace_count
+FROM aces CROSS JOIN (SELECT DISTINCT snapshot_id FROM both_snapshots) n
+WHERE ace_sid IS NOT NULL AND ace_sid <> '' AND (n.snapshot_id, ace_sid) NOT IN (SELECT (snapshot_id, sid) FROM both_snapshots)
+GROUP BY n.snapshot_id, ace_sid""", "aces", "principals", "principals_b", both_snapshots=_BOTH))
 def q_unresolved_sids(spark, sf):
-    return ID.unresolved_sids(fx.aces(spark, sf), fx.principals(spark, sf))
+    return ID.unresolved_sids(fx.aces(spark, sf), _both_principals(spark, sf))
 
 
 @register("rights_bucket", "2.11", oracle(f"""
@@ -137,70 +163,204 @@ def q_finding_principal(spark, sf):
     return ID.finding_principal(RU.apply_rules(fx.aces(spark, sf), DEFAULT), fx.principals(spark, sf), "snap-a")
 
 
-def _ctx_sql(cl: str, principals: str) -> str:
-    return f"""
-SELECT user_sid, context_sid, MIN(via) AS via FROM (
-  SELECT sid AS user_sid, sid AS context_sid, 'self' AS via FROM {principals} WHERE sid = '{EA_USER}'
+_WK = "('S-1-1-0', 'S-1-5-11', 'S-1-5-32-545')"
+
+
+@register("security_context", "2.11", oracle("""
+SELECT snapshot_id, user_sid, context_sid, MIN(via) AS via FROM (
+  SELECT snapshot_id, sid AS user_sid, sid AS context_sid, 'self' AS via FROM users
   UNION ALL
-  SELECT member_sid, group_sid, 'group' FROM {cl} WHERE member_sid = '{EA_USER}' AND member_sid <> group_sid
-  UNION ALL SELECT '{EA_USER}', 'S-1-1-0', 'well-known'
-  UNION ALL SELECT '{EA_USER}', 'S-1-5-11', 'well-known'
-  UNION ALL SELECT '{EA_USER}', 'S-1-5-32-545', 'well-known'
-) GROUP BY 1, 2"""
+  SELECT c.snapshot_id, member_sid, group_sid, 'group' FROM cl c JOIN users u ON u.sid = c.member_sid AND u.snapshot_id = c.snapshot_id
+  WHERE member_sid <> group_sid
+  UNION ALL SELECT snapshot_id, sid, unnest(['S-1-1-0', 'S-1-5-11', 'S-1-5-32-545']), 'well-known' FROM users
+) GROUP BY 1, 2, 3""", "edges", "principals", recursive=True, cl=CLOSURE,
+    users="SELECT DISTINCT snapshot_id, sid FROM principals WHERE principal_type IN ('user', 'service')"))
+def q_security_context(spark, sf):
+    users = fx.principals(spark, sf).where(AC.is_user(F.col("principal_type")))
+    return ID.security_context(users, _closure(spark, sf))
+
 
+def _judged(src: str, keys: str) -> str:
+    """Effective rank and evidence of each group of ``src`` rows (t, inh, rk, s, m, v)."""
+    return f"""
+SELECT {keys}, greatest(least(ea, ed - 1), least(ia, ed - 1, idn - 1)) AS eff,
+       CASE WHEN least(ea, ed - 1) >= least(ia, ed - 1, idn - 1) THEN ev_e ELSE ev_i END AS ev, approx FROM (
+  SELECT {keys},
+    COALESCE(MAX(CASE WHEN t <> 'deny' AND NOT inh THEN rk END), 0) AS ea,
+    COALESCE(MAX(CASE WHEN t <> 'deny' AND inh THEN rk END), 0) AS ia,
+    COALESCE(MIN(CASE WHEN t = 'deny' AND NOT inh AND rk > 0 THEN rk END), 4) AS ed,
+    COALESCE(MIN(CASE WHEN t = 'deny' AND inh AND rk > 0 THEN rk END), 4) AS idn,
+    bool_or(t NOT IN ('allow', 'deny')) AS approx,
+    MAX({{'k': rk, 's': s, 'm': m, 'v': v}}) FILTER (WHERE t <> 'deny' AND NOT inh) AS ev_e,
+    MAX({{'k': rk, 's': s, 'm': m, 'v': v}}) FILTER (WHERE t <> 'deny' AND inh) AS ev_i
+  FROM ({src}) GROUP BY {keys})"""
+
+
+def _access_ctes(aces: str = "aces", principals: str = "principals", cl: str = "cl", tag: str = "") -> dict[str, str]:
+    """CTEs that evaluate every (holder, ACL) on its whole set of ACL lines."""
+    al, ug, cls, usr, cg, defs, w, g, u = (f"{n}{tag}" for n in ("al", "ug", "cls", "usr", "cg", "defs", "w", "g", "u"))
+    md5s = ", ".join(f"sum(('0x' || substr(md5(group_sid), {1 + 8 * i}, 8))::BIGINT)::VARCHAR" for i in range(4))
+    cols = "al.t, al.inh, al.rk, al.ace_sid AS s, al.ace_mask AS m"
+    return {
+        f"lines{tag}": LINES.replace("FROM aces", f"FROM {aces}"),
+        f"oa{tag}": OBJECT_ACL.replace("FROM lines", f"FROM lines{tag}"),
+        defs: f"SELECT run_id, acl_fingerprint, COUNT(*) AS folders FROM oa{tag} GROUP BY 1, 2",
+        al: f"""SELECT DISTINCT oa.run_id, oa.acl_fingerprint, p.ace_sid, p.ace_mask, p.ace_inherited AS inh,
+       CASE WHEN p.ace_type = '' THEN 'allow' ELSE p.ace_type END AS t, {_RANK.replace('ace_mask', 'p.ace_mask')} AS rk
+FROM lines{tag} p JOIN oa{tag} oa ON p.run_id = oa.run_id AND p.folder_path IS NOT DISTINCT FROM oa.folder_path""",
+        ug: f"""SELECT c.snapshot_id, c.member_sid AS user_sid, c.group_sid FROM {cl} c
+JOIN {principals} p ON p.sid = c.member_sid AND p.snapshot_id = c.snapshot_id
+WHERE c.member_sid <> c.group_sid AND p.principal_type IN ('user', 'service') AND c.group_sid IN (SELECT ace_sid FROM {al})""",
+        cls: f"SELECT snapshot_id, user_sid, sha256(concat_ws(':', count(*)::VARCHAR, {md5s})) AS class_id FROM {ug} GROUP BY 1, 2",
+        usr: f"""SELECT p.snapshot_id, p.sid AS user_sid, COALESCE(class_id, 'none') AS class_id
+FROM {principals} p LEFT JOIN {cls} c ON c.user_sid = p.sid AND c.snapshot_id = p.snapshot_id WHERE p.principal_type IN ('user', 'service')""",
+        cg: f"SELECT DISTINCT c.snapshot_id, c.class_id, g.group_sid FROM {cls} c JOIN {ug} g USING (snapshot_id, user_sid)",
+        w: _judged(f"SELECT run_id, acl_fingerprint, {cols}, 'well-known' AS v FROM {al} al WHERE ace_sid IN {_WK}", "run_id, acl_fingerprint"),
+        f"gk{tag}": f"SELECT DISTINCT al.run_id, cg.snapshot_id, cg.class_id, al.acl_fingerprint FROM {al} al JOIN {cg} cg ON cg.group_sid = al.ace_sid",
+        g: _judged(f"""
+SELECT k.run_id, k.snapshot_id, k.class_id, k.acl_fingerprint, {cols}, 'well-known' AS v
+FROM gk{tag} k JOIN {al} al USING (run_id, acl_fingerprint) WHERE al.ace_sid IN {_WK}
+UNION ALL
+SELECT al.run_id, cg.snapshot_id, cg.class_id, al.acl_fingerprint, {cols}, 'group' FROM {al} al JOIN {cg} cg ON cg.group_sid = al.ace_sid""",
+                   "run_id, snapshot_id, class_id, acl_fingerprint"),
+        f"uk{tag}": f"""SELECT DISTINCT al.run_id, x.snapshot_id, x.user_sid, x.class_id, al.acl_fingerprint
+FROM {al} al JOIN {usr} x ON x.user_sid = al.ace_sid""",
+        u: _judged(f"""
+SELECT k.run_id, k.snapshot_id, k.user_sid, k.class_id, k.acl_fingerprint, {cols}, 'well-known' AS v
+FROM uk{tag} k JOIN {al} al USING (run_id, acl_fingerprint) WHERE al.ace_sid IN {_WK}
+UNION ALL
+SELECT k.run_id, k.snapshot_id, k.user_sid, k.class_id, k.acl_fingerprint, {cols}, 'self'
+FROM uk{tag} k JOIN {al} al ON al.run_id = k.run_id AND al.acl_fingerprint = k.acl_fingerprint AND al.ace_sid = k.user_sid
+UNION ALL
+SELECT k.run_id, k.snapshot_id, k.user_sid, k.class_id, k.acl_fingerprint, {cols}, 'group'
+FROM uk{tag} k JOIN {cg} cg ON cg.snapshot_id = k.snapshot_id AND cg.class_id = k.class_id
+JOIN {al} al ON al.run_id = k.run_id AND al.acl_fingerprint = k.acl_fingerprint AND al.ace_sid = cg.group_sid""",
+                   "run_id, snapshot_id, user_sid, class_id, acl_fingerprint"),
+    }
 
-def _ea_sql(aces: str, ctx: str) -> str:
+
+def _holder_sql(kind: str, holder: str, snapshot: str, src: str, below: str) -> str:
     return f"""
-SELECT user_sid, folder_path, {_BUCKET.format(r='eff')} AS rights_bucket, eff AS rights_rank,
-       ev.s AS matched_sid, ev.m AS matched_mask, ev.v AS via,
-       CASE WHEN approx THEN 'approximate' ELSE 'exact' END AS semantics,
+SELECT x.run_id, {snapshot} AS snapshot_id, '{kind}' AS holder_kind, {holder} AS holder, x.acl_fingerprint, d.folders,
+       x.eff AS rights_rank, {below} AS rank_below, {_BUCKET.format(r='x.eff')} AS rights_bucket,
+       CASE WHEN x.eff > 0 THEN x.ev.s END AS matched_sid, CASE WHEN x.eff > 0 THEN x.ev.m END AS matched_mask,
+       CASE WHEN x.eff > 0 THEN x.ev.v END AS via, CASE WHEN x.approx THEN 'approximate' ELSE 'exact' END AS semantics,
        'snapshot, folder-level rights only' AS scope
-FROM (
-  SELECT *, greatest(least(ea, ed - 1), least(ia, ed - 1, idn - 1)) AS eff,
-         CASE WHEN least(ea, ed - 1) >= least(ia, ed - 1, idn - 1) THEN ev_e ELSE ev_i END AS ev FROM (
-    SELECT user_sid, folder_path,
-      COALESCE(MAX(CASE WHEN t <> 'deny' AND NOT inh THEN rk END), 0) AS ea,
-      COALESCE(MAX(CASE WHEN t <> 'deny' AND inh THEN rk END), 0) AS ia,
-      COALESCE(MIN(CASE WHEN t = 'deny' AND NOT inh AND rk > 0 THEN rk END), 4) AS ed,
-      COALESCE(MIN(CASE WHEN t = 'deny' AND inh AND rk > 0 THEN rk END), 4) AS idn,
-      bool_or(t NOT IN ('allow', 'deny')) AS approx,
-      MAX({{'k': rk, 's': ace_sid, 'm': ace_mask, 'v': via}}) FILTER (WHERE t <> 'deny' AND NOT inh) AS ev_e,
-      MAX({{'k': rk, 's': ace_sid, 'm': ace_mask, 'v': via}}) FILTER (WHERE t <> 'deny' AND inh) AS ev_i
-    FROM (SELECT a.folder_path, a.ace_sid, a.ace_mask, lower(COALESCE(a.ace_type, 'allow')) AS t,
-                 COALESCE(a.ace_inherited, false) AS inh, {_RANK} AS rk, c.user_sid, c.via
-          FROM {aces} a JOIN {ctx} c ON a.ace_sid = c.context_sid)
-    GROUP BY user_sid, folder_path))
-WHERE eff >= 1"""
-
-
-def _users(spark, sf, snapshot="a"):
-    return fx.principals(spark, sf, snapshot).filter(F.col("sid") == EA_USER)
-
-
-def _ea(spark, sf, snapshot="a"):
-    return ID.effective_access(fx.aces(spark, sf, snapshot), _users(spark, sf, snapshot),
-                               _closure(spark, sf, snapshot))
-
-
-@register("security_context", "2.11", oracle("SELECT 'snap-a' AS snapshot_id, * FROM ctx", "edges", "principals",
-                                             recursive=True, cl=CLOSURE, ctx=_ctx_sql("cl", "principals")))
-def q_security_context(spark, sf):
-    return ID.security_context(_users(spark, sf), _closure(spark, sf))
+FROM {src} x JOIN defs d USING (run_id, acl_fingerprint)
+LEFT JOIN w ON w.run_id = x.run_id AND w.acl_fingerprint = x.acl_fingerprint"""
+
+
+_ACCESS = (_holder_sql("everyone", "'everyone'", "NULL::VARCHAR", "w", "0").replace("FROM w x", "FROM w AS x")
+           + "\nUNION ALL" + _holder_sql("class", "x.class_id", "x.snapshot_id", "g", "COALESCE(w.eff, 0)")
+           + "\nUNION ALL" + _holder_sql("user", "x.user_sid", "x.snapshot_id", "u", "COALESCE(g.eff, w.eff, 0)")
+           + """
+LEFT JOIN g ON g.run_id = x.run_id AND g.snapshot_id = x.snapshot_id AND g.class_id = x.class_id AND g.acl_fingerprint = x.acl_fingerprint""")
 
 
-@register("effective_access", "2.11", oracle(_ea_sql("aces", "ctx"), "aces", "edges", "principals",
-                                             recursive=True, cl=CLOSURE, ctx=_ctx_sql("cl", "principals")))
+def _summary_sql(tag: str = "") -> str:
+    """Folders of each user and bucket: all ACLs of the class, those with own lines judged with them."""
+    return f"""
+SELECT run_id, snapshot_id, user_sid, rights_bucket, SUM(n)::BIGINT AS folders FROM (
+  SELECT r.run_id, x.snapshot_id, x.user_sid, b.rights_bucket, b.k, COALESCE(c.n, 0) AS n
+  FROM usr{tag} x CROSS JOIN (SELECT DISTINCT run_id FROM defs{tag}) r
+  CROSS JOIN (VALUES ('read', 1), ('write', 2), ('fullcontrol', 3)) b(rights_bucket, k)
+  LEFT JOIN (SELECT run_id, snapshot_id, class_id, eff, SUM(folders) AS n FROM (
+      SELECT w.run_id, c.snapshot_id, c.class_id, w.acl_fingerprint, w.eff
+      FROM w{tag} w CROSS JOIN (SELECT DISTINCT snapshot_id, class_id FROM usr{tag}) c
+      ANTI JOIN g{tag} g ON g.run_id = w.run_id AND g.snapshot_id = c.snapshot_id AND g.class_id = c.class_id AND g.acl_fingerprint = w.acl_fingerprint
+      UNION ALL SELECT run_id, snapshot_id, class_id, acl_fingerprint, eff FROM g{tag}) JOIN defs{tag} USING (run_id, acl_fingerprint)
+    GROUP BY 1, 2, 3, 4) c ON c.run_id = r.run_id AND c.snapshot_id = x.snapshot_id AND c.class_id = x.class_id AND c.eff = b.k
+  UNION ALL
+  SELECT u.run_id, u.snapshot_id, u.user_sid, b.rights_bucket, b.k,
+         d.folders * ((u.eff = b.k)::INT - (COALESCE(g.eff, w.eff, 0) = b.k)::INT)
+  FROM u{tag} u JOIN defs{tag} d USING (run_id, acl_fingerprint)
+  LEFT JOIN g{tag} g ON g.run_id = u.run_id AND g.snapshot_id = u.snapshot_id AND g.class_id = u.class_id AND g.acl_fingerprint = u.acl_fingerprint
+  LEFT JOIN w{tag} w ON w.run_id = u.run_id AND w.acl_fingerprint = u.acl_fingerprint
+  CROSS JOIN (VALUES ('read', 1), ('write', 2), ('fullcontrol', 3)) b(rights_bucket, k))
+GROUP BY 1, 2, 3, 4"""
+
+
+def _access(spark, sf, snapshot="a"):
+    return AC.access_table(fx.aces(spark, sf, snapshot), fx.principals(spark, sf, snapshot), _closure(spark, sf, snapshot))
+
+
+@register("effective_access", "2.11", oracle(_ACCESS, "aces", "edges", "principals", recursive=True, cl=CLOSURE, **_access_ctes()))
 def q_effective_access(spark, sf):
-    return _ea(spark, sf)
+    # every user principal, by class and ACL
+    return _access(spark, sf).rows
+
+
+@register("effective_access_summary", "2.11", oracle(_summary_sql(), "aces", "edges", "principals", recursive=True,
+                                                     cl=CLOSURE, **_access_ctes()))
+def q_effective_access_summary(spark, sf):
+    return AC.access_summary(_access(spark, sf))
 
 
 @register("effective_access_diff", "2.11", oracle("""
-SELECT a.user_sid, a.folder_path, COALESCE(b.rights_bucket, 'none') AS bucket_before,
-       a.rights_bucket AS bucket_after, a.matched_sid, a.matched_mask
-FROM eab a LEFT JOIN eaa b ON a.user_sid = b.user_sid AND a.folder_path IS NOT DISTINCT FROM b.folder_path
-WHERE a.rights_rank > COALESCE(b.rights_rank, 0)""",
-    "aces", "aces_b", "edges", "edges_b", "principals", "principals_b", recursive=True,
-    cl=CLOSURE, clb=CLOSURE_B, ctx=_ctx_sql("cl", "principals"), ctxb=_ctx_sql("clb", "principals_b"),
-    eaa=_ea_sql("aces", "ctx"), eab=_ea_sql("aces_b", "ctxb")))
+SELECT user_sid, rights_bucket, COALESCE(a.n, 0) AS folders_before, COALESCE(b.n, 0) AS folders_after
+FROM (SELECT user_sid, rights_bucket, SUM(folders)::BIGINT AS n FROM sa GROUP BY 1, 2) a
+FULL JOIN (SELECT user_sid, rights_bucket, SUM(folders)::BIGINT AS n FROM sb GROUP BY 1, 2) b USING (user_sid, rights_bucket)
+WHERE COALESCE(a.n, 0) <> COALESCE(b.n, 0)""",
+    "aces", "aces_b", "edges", "edges_b", "principals", "principals_b", recursive=True, cl=CLOSURE, clb=CLOSURE_B,
+    **_access_ctes(), sa=_summary_sql(), **_access_ctes("aces_b", "principals_b", "clb", "2"), sb=_summary_sql("2")))
 def q_effective_access_diff(spark, sf):
-    return ID.effective_access_diff(_ea(spark, sf, "a"), _ea(spark, sf, "b"))
+    return AC.access_summary_diff(AC.access_summary(_access(spark, sf, "a")), AC.access_summary(_access(spark, sf, "b")))
+
+
+def _radius_ctes(service: bool) -> dict[str, str]:
+    kinds = "('user', 'service')" if service else "('user')"
+    return {
+        "lines": LINES, "oa": OBJECT_ACL,
+        "counted": f"SELECT sid FROM principals WHERE enabled AND principal_type IN {kinds}",
+        "grants": f"""SELECT p.folder_path, p.ace_sid, MAX({_RANK.replace('ace_mask', 'p.ace_mask')}) AS rk FROM lines p
+WHERE p.ace_type <> 'deny' GROUP BY 1, 2 HAVING rk > 0""",
+        # whole folders x users only where a group or user is named; well-known SIDs reach everybody
+        "reached": """SELECT folder_path, user_sid, MAX(rk) AS rk FROM (
+  SELECT g.folder_path, c.member_sid AS user_sid, g.rk FROM grants g JOIN cl c ON c.group_sid = g.ace_sid JOIN counted u ON u.sid = c.member_sid
+  WHERE c.member_sid <> c.group_sid
+  UNION ALL SELECT g.folder_path, g.ace_sid, g.rk FROM grants g JOIN counted u ON u.sid = g.ace_sid) GROUP BY 1, 2""",
+        "named": "SELECT folder_path, COUNT(*) AS n1, COUNT(*) FILTER (WHERE rk >= 2) AS n2 FROM reached GROUP BY 1",
+        "every": f"SELECT folder_path, MAX(rk) AS rk FROM grants WHERE ace_sid IN {_WK} GROUP BY 1",
+        "whole": "SELECT COUNT(*) AS n FROM counted",
+    }
+
+
+_FOLDER_RADIUS = """
+SELECT o.run_id, COALESCE(o.folder_path, '') AS folder_path,
+       (CASE WHEN e.rk >= 1 THEN (SELECT n FROM whole) ELSE COALESCE(n.n1, 0) END)::BIGINT AS folder_blast_radius_read,
+       (CASE WHEN e.rk >= 2 THEN (SELECT n FROM whole) ELSE COALESCE(n.n2, 0) END)::BIGINT AS folder_blast_radius_write
+FROM oa o LEFT JOIN named n ON n.folder_path IS NOT DISTINCT FROM o.folder_path
+LEFT JOIN every e ON e.folder_path IS NOT DISTINCT FROM o.folder_path"""
+
+
+def _findings_radius_sql(service: bool) -> str:
+    br = BLAST if service else BLAST.replace("('user', 'service') THEN CASE WHEN p.enabled THEN 1", "('user', 'service') THEN CASE WHEN p.enabled AND p.principal_type = 'user' THEN 1") \
+        .replace("u.principal_type IN ('user', 'service') AND u.enabled", "u.principal_type = 'user' AND u.enabled") \
+        .replace("WHERE principal_type IN ('user', 'service') AND enabled GROUP BY", "WHERE principal_type = 'user' AND enabled GROUP BY")
+    return oracle(f"""
+SELECT f.*, p.principal_type, p.samaccountname AS principal_name,
+       (CASE WHEN f.rk >= 1 THEN COALESCE(b.blast_radius, 0) ELSE 0 END)::BIGINT AS blast_radius_read,
+       (CASE WHEN f.rk >= 2 THEN COALESCE(b.blast_radius, 0) ELSE 0 END)::BIGINT AS blast_radius_write,
+       r.folder_blast_radius_read, r.folder_blast_radius_write
+FROM (SELECT *, {_RANK} AS rk FROM fs) f LEFT JOIN br b ON b.sid = f.ace_sid LEFT JOIN principals p ON p.sid = f.ace_sid
+LEFT JOIN fr r ON r.folder_path = f.folder_path""".replace("SELECT f.*,", "SELECT f.* EXCLUDE (rk),"),
+                  "aces", "edges", "principals", recursive=True, cl=CLOSURE, br=br, **_radius_ctes(service), fr=_FOLDER_RADIUS,
+                  m=rules_oracle(DEFAULT), fs=FINDINGS)
+
+
+def _findings_radius(spark, sf, exclude_service):
+    from permscope.operators.fingerprint import findings_standard
+
+    aces = fx.aces(spark, sf)
+    found = findings_standard(RU.apply_rules(aces, DEFAULT, keep=("run_id",)), aces)
+    return AC.findings_with_radius(found, aces, fx.principals(spark, sf), _closure(spark, sf), "snap-a", exclude_service)
+
+
+@register("findings_blast_radius", "2.11", _findings_radius_sql(True))
+def q_findings_blast_radius(spark, sf):
+    return _findings_radius(spark, sf, False)
+
+
+@register("findings_blast_radius_humans", "2.11", _findings_radius_sql(False))
+def q_findings_blast_radius_humans(spark, sf):
+    return _findings_radius(spark, sf, True)

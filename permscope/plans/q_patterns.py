@@ -54,22 +54,22 @@ def q_service_account_broad(spark, sf):
 
 
 @register("broad_inherited_by_ancestor", "2.11", oracle(f"""
-SELECT ancestor, identity, COUNT(DISTINCT folder_path) AS folders, COUNT(*) AS aces FROM (
-  SELECT folder_path, res_name AS identity,
+SELECT run_id, ancestor, identity, COUNT(DISTINCT folder_path) AS folders, COUNT(*) AS aces FROM (
+  SELECT run_id, folder_path, res_name AS identity,
          chr(92) || chr(92) || array_to_string(segs[1:d], chr(92)) AS ancestor
-  FROM (SELECT folder_path, res_name,
+  FROM (SELECT run_id, folder_path, res_name,
                list_filter(regexp_split_to_array(folder_path, '[/\\\\]'), lambda x: x <> '') AS segs
         FROM named
         WHERE COALESCE(ace_inherited, false) AND {S.contains_any('res_name', BROAD_IDENTITIES)}
           AND {HB} AND {S.valid_folder()}) t,
        range(2, len(segs)) r(d))
-GROUP BY ancestor, identity HAVING COUNT(DISTINCT folder_path) >= 2""", "aces", named=NAMED))
+GROUP BY run_id, ancestor, identity HAVING COUNT(DISTINCT folder_path) >= 2""", "aces", named=NAMED))
 def q_broad_inherited_by_ancestor(spark, sf):
     return PT.broad_inherited_by_ancestor(fx.aces(spark, sf))
 
 
 @register("excessive_ace_count", "2.11", oracle(
-    "SELECT folder_path, COUNT(*) AS ace_count FROM aces GROUP BY folder_path HAVING COUNT(*) > 100", "aces"))
+    "SELECT run_id, folder_path, COUNT(*) AS ace_count FROM aces GROUP BY run_id, folder_path HAVING COUNT(*) > 100", "aces"))
 def q_excessive_ace_count(spark, sf):
     return PT.excessive_ace_count(fx.aces(spark, sf))
 
@@ -84,10 +84,10 @@ def q_sensitive_keywords_exposed(spark, sf):
 
 
 @register("share_root_missing_admin", "2.11", oracle(f"""
-SELECT folder_path, COUNT(*) AS ace_count FROM named
+SELECT run_id, folder_path, COUNT(*) AS ace_count FROM named
 WHERE {S.valid_folder()}
   AND len(list_filter(regexp_split_to_array(folder_path, '[/\\\\]'), lambda x: x <> '')) = 2
-GROUP BY folder_path
+GROUP BY run_id, folder_path
 HAVING NOT bool_or({S.contains_any('res_name', ADMIN_PATTERNS_FULL)} AND {S.is_full()})""", "aces", named=NAMED))
 def q_share_root_missing_admin(spark, sf):
     return PT.share_root_missing_admin(fx.aces(spark, sf))
@@ -114,7 +114,7 @@ SELECT *, (CASE WHEN sensitive_category IS NOT NULL THEN 8 ELSE 0 END
          + CASE WHEN domain_users_present THEN 2 ELSE 0 END
          + CASE WHEN inherited_exposure THEN 1 ELSE 0 END) AS priority
 FROM (
-  SELECT folder_path,
+  SELECT run_id, folder_path,
          bool_or({S.contains_any('res_name', ('everyone', 's-1-1-0'))}) AS everyone_present,
          bool_or({S.contains_any('res_name', ('domain users',))}) AS domain_users_present,
          bool_or({S.contains_any('res_name', BROAD_IDENTITIES)} AND {HB} AND COALESCE(ace_inherited, false))
@@ -122,7 +122,7 @@ FROM (
          COUNT(*) AS ace_count,
          {_kw_case(KEYWORD_GROUPS)} AS sensitive_category
   FROM named WHERE {S.valid_folder()}
-  GROUP BY folder_path
+  GROUP BY run_id, folder_path
   HAVING bool_or({S.contains_any('res_name', BROAD_IDENTITIES)} AND {HB}))""", "aces", named=NAMED))
 def q_remediation_backlog(spark, sf):
     return PT.remediation_backlog(fx.aces(spark, sf))

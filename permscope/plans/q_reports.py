@@ -93,15 +93,15 @@ def q_concat_runs(spark, sf):
 
 
 @register("folder_ace_counts", "2.5", oracle(
-    "SELECT COALESCE(folder_path, '') AS folder_path, COUNT(*) AS ace_count FROM aces "
-    "GROUP BY COALESCE(folder_path, '')", "aces"))
+    "SELECT run_id, COALESCE(folder_path, '') AS folder_path, COUNT(*) AS ace_count FROM aces "
+    "GROUP BY run_id, COALESCE(folder_path, '')", "aces"))
 def q_folder_ace_counts(spark, sf):
     return R.folder_ace_counts(fx.aces(spark, sf))
 
 
 @register("duplicate_aces", "2.5", oracle(f"""
-SELECT COALESCE(folder_path, '') AS folder_path, {S.res_name()} AS ace_name, COUNT(*) AS ace_count
-FROM aces GROUP BY 1, 2 HAVING COUNT(*) > 1""", "aces"))
+SELECT run_id, COALESCE(folder_path, '') AS folder_path, {S.res_name()} AS ace_name, COUNT(*) AS ace_count
+FROM aces GROUP BY 1, 2, 3 HAVING COUNT(*) > 1""", "aces"))
 def q_duplicate_aces(spark, sf):
     return R.duplicate_aces(fx.aces(spark, sf))
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # SQL settings the engine relies on.  They are all runtime SQL confs, so
 # they can be applied to a session someone else built.
@@ -27,6 +28,9 @@ ENGINE_SQL_CONF = {
 }
 
 
+ARROW_BATCH_BYTES = 16 << 20
+
+
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
     for k, v in ENGINE_SQL_CONF.items():
         try:
@@ -67,6 +71,8 @@ def let_workers_import(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    # batches to and from Python of a bounded size, whatever the rows
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -96,3 +102,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return (sc.getCheckpointDir() if sc is not None else None) or d
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder: computed once, survives lost executors.
+
+    Unlike ``checkpoint()`` the plan runs once, and Spark knows the table's size afterwards.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
