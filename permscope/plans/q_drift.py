@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from permscope.functions.predicates import BROAD_IDENTITIES
 from permscope.operators import drift as DR
 from permscope.operators import rules as RU
@@ -152,3 +154,44 @@ OR (folder_path IS NULL AND EXISTS (
 def q_skip_unchanged(spark, sf):
     # re-score only the objects whose ACL changed since run A
     return RU.apply_rules(DR.skip_unchanged(fx.aces(spark, sf, "a"), fx.aces(spark, sf, "b")), DEFAULT)
+
+
+def _store(spark, sf):
+    """A store that saw run A, then run B: (store, ACLs of A, ACLs of B)."""
+    import uuid
+
+    from permscope.operators.score_store import ScoreStore
+    from permscope.session import checkpoint_dir
+
+    store = ScoreStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/scores-{uuid.uuid4().hex}", DEFAULT)
+    before = store.update(fx.aces(spark, sf, "a"), batch="0001")
+    return store, before, store.update(fx.aces(spark, sf, "b"), batch="0002")
+
+
+@register("findings_from_store", "2.10", rules_oracle(DEFAULT, src="aces_b", fixtures=("aces_b",)))
+def q_findings_from_store(spark, sf):
+    # scored once per ACL; run B adds only what run A had not; equals a full scoring of run B
+    store, _, after = _store(spark, sf)
+    return store.findings(after).drop("run_id", "ruleset_version")
+
+
+@register("score_store_batches", "2.10", oracle("""
+SELECT '0001' AS batch, (SELECT COUNT(DISTINCT acl_fingerprint) FROM oa) AS fingerprints
+UNION ALL
+SELECT '0002', (SELECT COUNT(DISTINCT acl_fingerprint) FROM oa_b WHERE acl_fingerprint NOT IN (SELECT acl_fingerprint FROM oa))""",
+    "aces", "aces_b", lines=LINES, oa=OBJECT_ACL, lines_b=LINES_B, oa_b=OBJECT_ACL_B))
+def q_score_store_batches(spark, sf):
+    store, _, _ = _store(spark, sf)
+    return store.scored().groupBy("batch").agg(F.count("*").alias("fingerprints"))
+
+
+@register("findings_drift_stored", "2.10", oracle(f"""
+SELECT {{k}}, x.severity, 'run-b' AS run_id, 'added' AS change, '{DEFAULT.version}' AS ruleset_version
+FROM (SELECT DISTINCT {{k}}, severity FROM mb) x ANTI JOIN ma USING ({{k}})
+UNION ALL
+SELECT {{k}}, x.severity, 'run-a', 'removed', '{DEFAULT.version}'
+FROM (SELECT DISTINCT {{k}}, severity FROM ma) x ANTI JOIN mb USING ({{k}})""".format(k=", ".join(DR.FINDING_KEY)), ma=MA, mb=MB))
+def q_findings_drift_stored(spark, sf):
+    # from stored findings; only folders whose ACL changed are expanded
+    store, before, after = _store(spark, sf)
+    return store.drift(before, after)

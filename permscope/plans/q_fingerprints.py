@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from permscope.functions import sddl as SD
+from permscope.operators import canonical as CA
 from permscope.operators import fingerprint as FP
 from permscope.plans import sqlparts as S
 from permscope.plans.q_rules import rules_oracle
@@ -110,3 +114,77 @@ def q_findings_standard(spark, sf):
     aces = fx.aces(spark, sf)
     from permscope.operators.rules import apply_rules
     return FP.findings_standard(apply_rules(aces, DEFAULT, keep=("run_id",)), aces)
+
+
+# --- canonical ACLs (v2): flags, protection, owner ---
+
+def _flags_sql(words: str) -> str:
+    w = f"lower({words})"
+    return " || ".join(f"CASE WHEN contains({w}, '{n}') THEN '{c}' ELSE '' END"
+                       for c, n in (("OI", "objectinherit"), ("CI", "containerinherit"), ("NP", "nopropagateinherit"), ("IO", "inheritonly")))
+
+
+_RAW_FLAGS = ("COALESCE(CASE WHEN starts_with(ace_raw, '{') THEN " + _flags_sql(
+    "concat_ws(', ', json_extract_string(ace_raw, '$.InheritanceFlags'), json_extract_string(ace_raw, '$.PropagationFlags'))") + " END, '')")
+_OWNER = """CASE WHEN sddl LIKE 'O:BA%' THEN 'S-1-5-32-544' ELSE nullif(regexp_extract(sddl, '^O:(S-[0-9-]+)', 1), '') END"""
+_PROTECTED = "regexp_extract(sddl, '^[^(]*D:([A-Z]*)[(]', 1) LIKE 'P%'"
+
+
+def _canon_ctes(src: str) -> dict[str, str]:
+    return {
+        "cl0": f"""
+SELECT run_id, folder_path, trim(COALESCE(ace_sid, '')) AS sid,
+       CASE WHEN trim(COALESCE(ace_sid, '')) = '' THEN {S.res_name()} ELSE '' END AS name,
+       lower(COALESCE(ace_type, '')) AS type, {_NMASK} AS mask, COALESCE(ace_inherited, false) AS inherited, {_RAW_FLAGS} AS flags,
+       {_OWNER} AS own, {_PROTECTED} AS protected, collected_utc
+FROM {src}""",
+        "cl1": """
+SELECT *, md5(concat_ws('|', CASE WHEN sid <> '' THEN sid ELSE 'name:' || name END, type, mask,
+                        CASE WHEN inherited THEN '1' ELSE '0' END, flags)) AS h FROM cl0""",
+        "cl2": "SELECT *, " + ", ".join(f"('0x' || substr(h, {1 + 8 * i}, 8))::BIGINT AS h{i}" for i in range(4)) + " FROM cl1",
+        "coa": f"""
+SELECT run_id, {_OBJID} AS object_id, folder_path,
+       sha256(concat_ws(':', n::VARCHAR, s0::VARCHAR, s1::VARCHAR, s2::VARCHAR, s3::VARCHAR)) AS acl_fingerprint,
+       n AS acl_ace_count, is_protected, owner_sid, collected_at, 'acl-canon-v2' AS canonicalization_version
+FROM (SELECT run_id, folder_path, COUNT(*) AS n, SUM(h0) AS s0, SUM(h1) AS s1, SUM(h2) AS s2, SUM(h3) AS s3,
+             bool_or(protected) AS is_protected, MIN(own) AS owner_sid, MAX(collected_utc) AS collected_at
+      FROM cl2 GROUP BY run_id, folder_path)""",
+    }
+
+
+_TWO = "(SELECT * FROM aces UNION ALL SELECT * FROM aces_b)"
+
+
+@register("object_acl_canonical", "2.11", oracle("SELECT * FROM coa", "aces", "aces_b", **_canon_ctes(_TWO)))
+def q_object_acl_canonical(spark, sf):
+    return CA.object_acl(fx.aces_two_runs(spark, sf))
+
+
+@register("acl_definitions_canonical", "2.11", oracle(f"""
+SELECT acl_fingerprint, acl_ace_count, object_count, block, blocks, canonical_acl_json, 'acl-canon-v2' AS canonicalization_version
+FROM (SELECT acl_fingerprint, acl_ace_count, COUNT(*) AS object_count FROM coa GROUP BY 1, 2)
+JOIN (SELECT acl_fingerprint, floor(h0 * blocks / 4294967296)::INT AS block, blocks,
+             to_json(list(struct_pack(sid := sid, name := name, type := type, mask := mask, inherited := inherited, flags := flags, n := n)
+                          ORDER BY sid, name, type, mask, inherited, flags))::VARCHAR AS canonical_acl_json
+      FROM (SELECT *, ceil(COUNT(*) OVER (PARTITION BY acl_fingerprint) / {CA.BLOCK})::INT AS blocks FROM (
+              SELECT c.acl_fingerprint, sid, name, type, mask, inherited, flags, h0, COUNT(*) AS n
+              FROM cl2 l JOIN (SELECT acl_fingerprint, min(struct_pack(r := run_id, f := COALESCE(folder_path, ''))) AS x FROM coa GROUP BY 1) c
+                ON l.run_id = c.x.r AND COALESCE(l.folder_path, '') = c.x.f
+              GROUP BY ALL)) GROUP BY ALL) USING (acl_fingerprint)""", "aces", "aces_b", **_canon_ctes(_TWO)))
+def q_acl_definitions_canonical(spark, sf):
+    return CA.acl_definitions(fx.aces_two_runs(spark, sf))
+
+
+@register("sddl_entries", "2.11", oracle(f"""
+SELECT d.sddl, {_OWNER} AS owner_sid, {_PROTECTED} AS is_protected, x.pos::INT AS pos, x.ace_type, x.ace_flags, x.ace_mask, x.ace_sid, x.inherited
+FROM (SELECT DISTINCT sddl, regexp_extract(sddl, 'S-1-5-21-2-[0-9]+') AS grp FROM aces WHERE sddl IS NOT NULL) d,
+LATERAL (VALUES
+  (0, 'allow', CASE WHEN sddl LIKE 'O:BA%' THEN '' ELSE 'OICI' END, CASE WHEN sddl LIKE 'O:BA%' THEN 1179785 ELSE 2032127 END,
+   CASE WHEN sddl LIKE 'O:BA%' THEN 'S-1-1-0' ELSE 'S-1-5-32-544' END, false),
+  (1, 'deny', 'CIID', 1245631, grp, true), (2, 'allow', 'OIIO', 2684354560, 'S-1-5-11', false)
+) x(pos, ace_type, ace_flags, ace_mask, ace_sid, inherited)
+WHERE x.pos = 0 OR sddl NOT LIKE 'O:BA%'""", "aces"))
+def q_sddl_entries(spark, sf):
+    d = fx.aces(spark, sf).select("sddl").where("sddl is not null").distinct()
+    return d.select("sddl", SD.sddl_owner(F.col("sddl")).alias("owner_sid"), SD.sddl_protected(F.col("sddl")).alias("is_protected"),
+                    F.posexplode(SD.sddl_aces(F.col("sddl"))).alias("pos", "x")).select("sddl", "owner_sid", "is_protected", "pos", "x.*")

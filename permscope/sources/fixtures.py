@@ -87,15 +87,30 @@ _ACE_MASK = """CASE b.pm
 _ACE_RAW = """CASE
       WHEN b.k = 12 THEN '{{"name":"Raw User ' || CAST(b.l_suppkey AS STRING) || '","rights":"x"}}'
       WHEN b.k = 11 THEN NULL
-      ELSE '{{"identity":"k' || CAST(b.k AS STRING) || '"}}' END"""
+      ELSE '{{"identity":"k' || CAST(b.k AS STRING) || '","InheritanceFlags":"'
+        || CASE b.pm % 3 WHEN 0 THEN 'ContainerInherit, ObjectInherit' WHEN 1 THEN 'ObjectInherit' ELSE 'None' END
+        || '","PropagationFlags":"' || CASE WHEN b.pm % 4 = 0 THEN 'InheritOnly' ELSE 'None' END || '"}}' END"""
+
+# security descriptor of the record: owner, protected lists, hex and letter rights, missing ones
+_SDDL = """CASE
+      WHEN b.l_orderkey % 11 = 0 THEN NULL
+      WHEN b.l_orderkey % 7 = 0 THEN 'O:BAG:SYD:(A;;FR;;;WD)'
+      ELSE 'O:S-1-5-21-1-' || CAST(b.o_custkey AS STRING) || 'G:DUD:'
+        || CASE WHEN b.l_orderkey % 5 = 0 THEN 'PAI' ELSE 'AI' END
+        || '(A;OICI;FA;;;BA)(D;CIID;0x1301bf;;;S-1-5-21-2-' || CAST(b.n_nationkey AS STRING)
+        || ')(A;OIIO;GRGX;;;AU)S:AI(AU;SAFA;FA;;;WD)' END"""
 
 _UNC = "chr(92) || chr(92) || b.host || chr(92) || b.share || chr(92) || b.leaf"
 
+# entries of share roots: their folder has no leaf
+_FOLDER = ("chr(92) || chr(92) || b.host || chr(92) || b.share || "
+           "CASE WHEN b.l_orderkey % 64 = 10 THEN '' ELSE chr(92) || b.leaf END")
+
 ACE_COLUMNS = [
     "run_id", "source_file", "folder_path", "unc_path", "ace_sid", "ace_name",
     "ace_type", "ace_mask", "ace_inherited", "ace_raw", "collected_utc",
     "collection_host", "appliance_hostname", "volume_name", "volume_guid",
-    "share_name", "owner", "fingerprint_sha256",
+    "share_name", "owner", "fingerprint_sha256", "sddl",
 ]
 
 
@@ -106,7 +121,7 @@ SELECT
   'folderacls/n' || CAST(b.n_nationkey AS STRING) || '.json' AS source_file,
   CASE WHEN b.l_orderkey % 997 = 0 THEN NULL
        WHEN b.l_orderkey % 991 = 0 THEN 'nan'
-       ELSE {_UNC} END AS folder_path,
+       ELSE {_FOLDER} END AS folder_path,
   {_UNC} AS unc_path,
   {_ACE_SID} AS ace_sid,
   {_ACE_NAME} AS ace_name,
@@ -121,7 +136,8 @@ SELECT
   md5(b.share) AS volume_guid,
   b.share AS share_name,
   CASE WHEN b.o_custkey % 7 = 0 THEN NULL ELSE b.c_name END AS owner,
-  md5(CAST(b.l_orderkey AS STRING) || b.l_linestatus) AS fingerprint_sha256
+  md5(CAST(b.l_orderkey AS STRING) || b.l_linestatus) AS fingerprint_sha256,
+  {_SDDL} AS sddl
 FROM ({_BASE}) b
 {where}"""
 
@@ -146,7 +162,7 @@ SELECT DISTINCT
   'folderacls/n' || CAST(b.n_nationkey AS STRING) || '.json' AS source_file,
   CASE WHEN b.l_orderkey % 997 = 0 THEN NULL
        WHEN b.l_orderkey % 991 = 0 THEN 'nan'
-       ELSE {_UNC} END AS folder_path,
+       ELSE {_FOLDER} END AS folder_path,
   {_UNC} AS unc_path,
   'S-1-1-0' AS ace_sid,
   'Everyone' AS ace_name,
@@ -161,7 +177,8 @@ SELECT DISTINCT
   md5(b.share) AS volume_guid,
   b.share AS share_name,
   CAST(NULL AS STRING) AS owner,
-  CAST(NULL AS STRING) AS fingerprint_sha256
+  CAST(NULL AS STRING) AS fingerprint_sha256,
+  CAST(NULL AS STRING) AS sddl
 FROM ({_BASE}) b
 WHERE b.l_orderkey % 29 = 0 AND b.l_orderkey % 17 <> 0"""
     return f"{main}\nUNION ALL\n{extra}"
