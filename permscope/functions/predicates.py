@@ -1,8 +1,8 @@
 """Identity and path predicates of the finders.
 
-The word lists below are configuration; the defaults are neutral (estate
-specific group names of the original tooling are replaced by placeholders,
-see README).  Every predicate is a case-insensitive substring test.
+The defaults below name well-known SIDs and built-in accounts only; an estate's
+own groups are configuration (every predicate takes its patterns).  Every
+predicate is a case-insensitive substring test.
 """
 
 from __future__ import annotations
@@ -16,19 +16,14 @@ from permscope.functions.patterns import contains_any
 # Names that mean "Everyone".
 EVERYONE_PATTERNS = ("everyone", "s-1-1-0")
 
-# Broad identities (the last two are neutral placeholders for
-# estate-wide "all users" groups).
-BROAD_IDENTITIES = ("everyone", "s-1-1-0", "authenticated", "domain users", "g-r-all",
-                    "all-filer-users", "all-filer-users-everyone")
+# Identities that stand for (nearly) everybody: well-known SIDs and the names Windows gives them.
+BROAD_SIDS = {"s-1-1-0": "everyone", "s-1-5-11": "authenticated users", "s-1-5-32-545": "builtin\\users"}
+BROAD_IDENTITIES = (*BROAD_SIDS, *BROAD_SIDS.values(), "domain users")
 
-# Admin patterns of the sensitive-folder finder.
-ADMIN_PATTERNS_SENSITIVE = ("admin", "g-f-all-full-control", "g-r-admin", "g-r-all",
-                            "filer-administrator", "administrator", "system", "s-1-22-1-0",
-                            "s-1-5-18", "nt authority\\system")
-
-# Admin patterns of the missing-admin finder.
-ADMIN_PATTERNS_FULL = ("admin", "g-f-all-full-control", "s-1-22-1-0", "system", "s-1-5-18",
-                       "nt authority\\system")
+# Administrators: well-known SIDs, what Windows calls them, and any name that says so.
+ADMIN_SIDS = ("s-1-5-18", "s-1-5-32-544", "s-1-22-1-0")
+ADMIN_PATTERNS_FULL = ("admin", "nt authority\\system", *ADMIN_SIDS)
+ADMIN_PATTERNS_SENSITIVE = ADMIN_PATTERNS_FULL
 
 # Sensitive keyword groups (English and Spanish), in order;
 # the first group whose pattern is a substring of the lower-case path wins.

@@ -3,7 +3,7 @@
 from helpers import ace_df
 
 from permscope.operators.rules import apply_rules
-from permscope.sources.ruleset import load_ruleset
+from permscope.sources.ruleset import compile_ruleset, load_ruleset
 
 FOLDER = "\\\\filer\\share\\Finance\\reports"
 
@@ -93,8 +93,9 @@ def test_pattern_classification():
     rs = load_ruleset()
     kinds = {p.text: p.kind for p in rs.admin_identities}
     assert kinds["Administrators"] == "regex"
-    assert kinds["EXAMPLE\\Global-Full-Control"] == "contains"   # \G is not a valid escape
-    assert kinds["EXAMPLE\\g-r-admin-srv-*"] == "wildcard"
+    assert kinds["*-admins"] == "wildcard"
+    own = compile_ruleset({"admin_identities": ["EXAMPLE\\Global-Ops", "EXAMPLE\\ops-*"]})
+    assert [p.kind for p in own.admin_identities] == ["contains", "wildcard"]  # \G is not a valid escape
     svc = {p.text: p.kind for p in rs.rule("ServiceAccountFullControl").identity_patterns}
     assert svc == {"*$": "wildcard", "*svc*": "wildcard", "*service*": "wildcard"}
 
