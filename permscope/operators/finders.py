@@ -314,9 +314,9 @@ def runtime_filters(aces: DataFrame, identities=None, min_mask: int | None = Non
     return out
 
 
-def baseline_row_counts(aces: DataFrame) -> DataFrame:
+def baseline_row_counts(aces: DataFrame, top_principals: int = 20) -> DataFrame:
     """Baseline sizes in one long table: ACE rows per appliance and per volume,
-    folders per share (kind, key, n)."""
+    folders per share, the principals with most ACEs, rows without a folder (kind, key, n)."""
     app = aces.groupBy(F.coalesce("appliance_hostname", F.lit("unknown")).alias("key")).agg(
         F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("ace_rows_per_appliance"))
     vol = aces.groupBy(F.coalesce("volume_name", F.lit("unknown")).alias("key")).agg(
@@ -325,4 +325,10 @@ def baseline_row_counts(aces: DataFrame) -> DataFrame:
                             F.coalesce("share_name", F.lit("unknown")))
     shr = aces.groupBy(share_key.alias("key")).agg(F.countDistinct("folder_path").alias("n")) \
         .withColumn("kind", F.lit("folders_per_share"))
-    return app.unionByName(vol).unionByName(shr).select("kind", "key", "n")
+    who = F.coalesce(F.nullif(F.trim("ace_name"), F.lit("")), F.nullif("ace_sid", F.lit("")), F.lit("unknown"))
+    top = (aces.groupBy(who.alias("key")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "key").limit(top_principals)
+           .withColumn("kind", F.lit("aces_of_top_principal")))
+    none = aces.agg(F.count(F.when(~valid_folder("folder_path"), 1)).alias("n")).select(
+        F.lit("all").alias("key"), "n", F.lit("ace_rows_without_folder").alias("kind"))
+    out = app.unionByName(vol).unionByName(shr).unionByName(top).unionByName(none)
+    return out.select("kind", "key", "n")

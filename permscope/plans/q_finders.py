@@ -258,6 +258,11 @@ UNION ALL
 SELECT 'ace_rows_per_volume', COALESCE(volume_name, 'unknown'), COUNT(*) FROM aces GROUP BY 2
 UNION ALL
 SELECT 'folders_per_share', COALESCE(appliance_hostname, 'unknown') || chr(92) || COALESCE(share_name, 'unknown'),
-       COUNT(DISTINCT folder_path) FROM aces GROUP BY 2""", "aces"))
+       COUNT(DISTINCT folder_path) FROM aces GROUP BY 2
+UNION ALL
+(SELECT 'aces_of_top_principal', COALESCE(NULLIF(trim(ace_name), ''), NULLIF(ace_sid, ''), 'unknown') AS key, COUNT(*) AS n
+ FROM aces GROUP BY 2 ORDER BY n DESC, key LIMIT 20)
+UNION ALL
+SELECT 'ace_rows_without_folder', 'all', COUNT(*) FILTER (WHERE NOT ({valid})) FROM aces""".format(valid=S.valid_folder()), "aces"))
 def q_baseline_row_counts(spark, sf):
     return FD.baseline_row_counts(fx.aces(spark, sf))

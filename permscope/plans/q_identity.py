@@ -314,12 +314,18 @@ def _radius_ctes(service: bool) -> dict[str, str]:
         "counted": f"SELECT sid FROM principals WHERE enabled AND principal_type IN {kinds}",
         "grants": f"""SELECT p.folder_path, p.ace_sid, MAX({_RANK.replace('ace_mask', 'p.ace_mask')}) AS rk FROM lines p
 WHERE p.ace_type <> 'deny' GROUP BY 1, 2 HAVING rk > 0""",
-        # whole folders x users only where a group or user is named; well-known SIDs reach everybody
-        "reached": """SELECT folder_path, user_sid, MAX(rk) AS rk FROM (
-  SELECT g.folder_path, c.member_sid AS user_sid, g.rk FROM grants g JOIN cl c ON c.group_sid = g.ace_sid JOIN counted u ON u.sid = c.member_sid
-  WHERE c.member_sid <> c.group_sid
-  UNION ALL SELECT g.folder_path, g.ace_sid, g.rk FROM grants g JOIN counted u ON u.sid = g.ace_sid) GROUP BY 1, 2""",
-        "named": "SELECT folder_path, COUNT(*) AS n1, COUNT(*) FILTER (WHERE rk >= 2) AS n2 FROM reached GROUP BY 1",
+        # users with the same groups count together; folders x users would be too many rows
+        "uc": """SELECT u.sid, COALESCE(k.key, '') AS key FROM counted u LEFT JOIN (
+  SELECT member_sid, string_agg(group_sid, ',' ORDER BY group_sid) AS key FROM cl WHERE member_sid <> group_sid GROUP BY 1) k
+  ON k.member_sid = u.sid""",
+        "kg": "SELECT key, COUNT(*) AS n, unnest(string_split(key, ',')) AS group_sid FROM uc WHERE key <> '' GROUP BY key",
+        "rc": "SELECT g.folder_path, kg.key, ANY_VALUE(kg.n) AS n, MAX(g.rk) AS rk FROM grants g JOIN kg ON kg.group_sid = g.ace_sid GROUP BY 1, 2",
+        "named": """SELECT folder_path, SUM(n1) AS n1, SUM(n2) AS n2 FROM (
+  SELECT folder_path, n AS n1, CASE WHEN rk >= 2 THEN n ELSE 0 END AS n2 FROM rc
+  UNION ALL
+  SELECT g.folder_path, (COALESCE(rc.rk, 0) < 1)::INT, (g.rk >= 2 AND COALESCE(rc.rk, 0) < 2)::INT
+  FROM grants g JOIN uc ON uc.sid = g.ace_sid
+  LEFT JOIN rc ON rc.folder_path IS NOT DISTINCT FROM g.folder_path AND rc.key = uc.key) GROUP BY 1""",
         "every": f"SELECT folder_path, MAX(rk) AS rk FROM grants WHERE ace_sid IN {_WK} GROUP BY 1",
         "whole": "SELECT COUNT(*) AS n FROM counted",
     }

@@ -77,6 +77,26 @@ def q_contract_audit(spark, sf):
     return AU.contract_audit(fx.aces_two_runs(spark, sf))
 
 
+@register("contract_violations", "2.11", oracle(f"""
+SELECT run_id, source_file, field, rule, COUNT(*) AS records FROM (
+  SELECT run_id, source_file, unnest(list_filter([
+    CASE WHEN unc_path IS NULL THEN 'UncPath required' END,
+    CASE WHEN collected_utc IS NULL THEN 'CollectedUtc required' ELSE 'CollectedUtc format' END,
+    CASE WHEN collection_host IS NULL THEN 'CollectionHost required' END,
+    'Collector required', CASE WHEN owner IS NULL THEN 'Owner required' END, 'Sddl required',
+    CASE WHEN fingerprint_sha256 IS NULL THEN 'FingerprintSha256 required' END, 'CollectionSha256 required'], lambda x: x IS NOT NULL)) AS x,
+    split_part(x, ' ', 1) AS field, split_part(x, ' ', 2) AS rule
+  FROM (SELECT DISTINCT {_REC_KEYS} FROM aces))
+GROUP BY ALL""", "aces"))
+def q_contract_violations(spark, sf):
+    # exporter documents (arrays of one record) against the exporter's own record schema, rule by rule
+    from pyspark.sql import functions as F
+
+    from permscope.operators import contract as CT
+    records = _docs(spark, sf).withColumn("text", F.explode(F.from_json("text", "array<string>")))
+    return CT.violations_per_file(CT.violations(records, CT.exporter_contract()))
+
+
 @register("ingest_ready_check", "2.11", oracle("""
 SELECT m.run_id, m.files AS files_found, (SELECT COUNT(*) FROM nation) AS expected_files,
        m.files = (SELECT COUNT(*) FROM nation) AS ready

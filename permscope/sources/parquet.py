@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from permscope.sources.acl_json import ACE_SCHEMA_COLUMNS
+from permscope.sources.json_split import open_file
 
 ACE_TYPES = {c: T.StringType() for c in ACE_SCHEMA_COLUMNS}
 ACE_TYPES["ace_inherited"] = T.BooleanType()
@@ -36,23 +42,48 @@ def _reader(spark: SparkSession):
     return spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True)
 
 
+def file_schemas(spark: SparkSession, path: str) -> DataFrame:
+    """file, schema, error of every Parquet file below ``path``: footers are read in tasks, one small read a file.
+
+    ``schema`` lists the columns (lower case, sorted) with their types;
+    ``error`` says why a file has none.
+    """
+    from permscope.session import let_workers_import
+
+    let_workers_import(spark)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+             .load(path).select(F.col("_metadata.file_path").alias("file")))
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for uri in b.column("file").to_pylist():
+                try:
+                    f, _ = open_file(uri)
+                    schema = pq.read_schema(f)
+                    out.append((uri, ", ".join(sorted(f"{x.name.lower()} {x.type}" for x in schema)), None))
+                except (pa.ArrowException, OSError) as e:
+                    out.append((uri, None, f"{type(e).__name__}: {e}"[:500]))
+            yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*out)] if out else [pa.array([], pa.string())] * 3,
+                                  names=["file", "schema", "error"])
+
+    spread = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return files.repartition(spread, "file").mapInArrow(footers, "file string, schema string, error string")
+
+
+def unreadable_files(spark: SparkSession, path: str) -> DataFrame:
+    """file, error of the Parquet files that ``read_aces`` leaves out because their footer cannot be read."""
+    return file_schemas(spark, path).where("schema is null").select("file", "error")
+
+
 def _read_by_schema(spark: SparkSession, path: str) -> DataFrame:
-    """Files grouped by their own schema (from the footers), each group cast
-    to the canonical types, and the groups' union."""
-    groups: dict[str, list[str]] = {}
-    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
-             .load(path).select("path").orderBy("path"))
-    for r in names.toLocalIterator():
-        try:
-            schema = spark.read.option("ignoreCorruptFiles", True).parquet(r["path"]).schema.simpleString()
-        except AnalysisException as e:
-            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            continue  # unreadable: skipped like any corrupt file
-        groups.setdefault(schema, []).append(r["path"])
+    """Files grouped by their own schema in Spark, each group cast to the
+    canonical types, and the groups' union; the driver sees one row per schema."""
+    groups = (file_schemas(spark, path).where("schema is not null").groupBy("schema")
+              .agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("schema").collect())
     out = None
-    for files in groups.values():
-        part = conform(_reader(spark).option("basePath", path).parquet(*files))
+    for g in groups:
+        part = conform(_reader(spark).option("basePath", path).parquet(*map(unquote, g["files"])))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
