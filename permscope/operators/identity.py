@@ -99,6 +99,48 @@ def membership_closure(edges: DataFrame, include_self: bool = False, scope: Data
     return checkpointed(closure.select("snapshot_id", "member_sid", "group_sid"))
 
 
+def update_closure(closure: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The closure of the edges ``after``, from the one of the edges ``before`` (both with self pairs, one snapshot).
+
+    Delete and rederive: pairs that a removed edge may have supported are taken
+    out; those that what is left still supports come back, together with what
+    added edges bring, by semi-naive rounds that only join new pairs.  The work
+    follows the changes, not the size of the closure.  Columns: member_sid, group_sid.
+    """
+    def pairs(df: DataFrame, a: str, b: str) -> DataFrame:
+        return df.select(F.col("member_sid").alias(a), F.col("group_sid").alias(b)).where(
+            f"{a} is not null and {b} is not null").distinct()
+
+    old, new = checkpointed(pairs(before, "a", "b")), checkpointed(pairs(after, "a", "b"))
+    known = checkpointed(pairs(closure, "a", "b"))
+    removed = checkpointed(old.join(new, ["a", "b"], "left_anti").toDF("u", "v"))
+    # every pair with a way over a removed edge: what reaches u (and u itself), to what v reaches (and v itself)
+    up = removed.select("u", "v", F.col("u").alias("a")).unionByName(
+        removed.join(known.select("a", F.col("b").alias("u")), "u").select("u", "v", "a"))
+    doubt = up.select("a", F.col("v").alias("b")).unionByName(
+        up.join(known.select(F.col("a").alias("v"), "b"), "v").select("a", "b")).distinct()
+    doubt = checkpointed(doubt.join(known, ["a", "b"], "left_semi"))
+    kept = checkpointed(known.join(doubt, ["a", "b"], "left_anti"))
+    # pairs in doubt that two kept pairs still support, and the edges there are now
+    two = (doubt.join(kept.select("a", F.col("b").alias("m")), "a")
+           .join(kept.select(F.col("a").alias("m"), "b"), ["m", "b"], "left_semi").select("a", "b"))
+    fresh = checkpointed(two.unionByName(new).distinct().join(kept, ["a", "b"], "left_anti"))
+    parts = [kept]
+    while not fresh.isEmpty():
+        parts.append(fresh)
+        now = parts[0]
+        for p in parts[1:]:
+            now = now.unionByName(p)
+        left, right = fresh.select("a", F.col("b").alias("m")), fresh.select(F.col("a").alias("m"), "b")
+        further = left.join(now.select(F.col("a").alias("m"), "b"), "m").select("a", "b").unionByName(
+            now.select("a", F.col("b").alias("m")).join(right, "m").select("a", "b"))
+        fresh = checkpointed(further.distinct().join(now, ["a", "b"], "left_anti"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.toDF("member_sid", "group_sid")
+
+
 def membership_chains(edges: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """snapshot_id, member_sid, group_sid, depth, chain: how a member comes to be in a group.
 

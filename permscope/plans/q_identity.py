@@ -54,6 +54,14 @@ def q_membership_closure(spark, sf):
     return _closure(spark, sf)
 
 
+@register("membership_closure_updated", "2.11", oracle(
+    "SELECT DISTINCT member_sid, group_sid FROM clb", "edges_b", recursive=True, clb=CLOSURE_B))
+def q_membership_closure_updated(spark, sf):
+    # snapshot A's closure brought up to date with snapshot B's edges
+    before, after = fx.membership_edges(spark, sf, "a"), fx.membership_edges(spark, sf, "b")
+    return ID.update_closure(ID.membership_closure(before, include_self=True), before, after)
+
+
 # breadth first: each round takes the smallest chain of the pairs it reaches first
 _CHAINS = """
 SELECT snapshot_id, member_sid, group_sid, 1 AS depth, [group_sid] AS chain FROM edges WHERE member_sid <> group_sid

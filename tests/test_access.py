@@ -175,3 +175,27 @@ def test_chains_and_closure_on_random_graphs(spark, seed):
     assert {(r.member_sid, r.group_sid) for r in ID.membership_closure(df, members=asked).collect()} == {p for p in want if p[0] in nodes[:5]}
     assert {(r.member_sid, r.group_sid): tuple(r.chain) for r in ID.membership_chains(df, asked).collect()} == {
         p: c for p, c in want.items() if p[0] in nodes[:5]}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_closure_follows_edge_changes(spark, seed):
+    rng = random.Random(seed)
+    nodes = [f"n{k:02d}" for k in range(12)]
+    schema = "snapshot_id string, member_sid string, group_sid string"
+
+    def frame(edges):
+        return spark.createDataFrame([("s", m, g) for m, g in sorted(edges)], schema)
+
+    def pairs(df):
+        return {(r.member_sid, r.group_sid) for r in df.collect()}
+
+    edges = {(rng.choice(nodes), rng.choice(nodes[3:])) for _ in range([9, 20, 40][seed])}
+    closure = ID.membership_closure(frame(edges), include_self=True)
+    for _ in range(2):
+        gone = set(rng.sample(sorted(edges), len(edges) // 4))
+        after = (edges - gone) | {(rng.choice(nodes), rng.choice(nodes[3:])) for _ in range(rng.randint(0, 4))}
+        closure = ID.update_closure(closure, frame(edges), frame(after))
+        rows = closure.collect()
+        assert len(rows) == len({tuple(r) for r in rows})
+        assert pairs(closure) == pairs(ID.membership_closure(frame(after), include_self=True))
+        edges = after
