@@ -13,30 +13,40 @@ doc_id comes first, rows that share a doc_id are ordered by their text's hash):
     i64 doc_id, u8 has doc_id, u32 ids of each document; control bytes; data bytes
 
 ``ranks.u32`` beside the files gives the id of each rank.  Documents are
-encoded once: the shuffle that brings them into doc_id order is read twice,
-first to count ids, then to write.
-
-Cases: null and empty texts have the end id alone; an empty table gives no
-file and no row; columns other than the two named ones are ignored.
+encoded once, into a table of compressed blocks by range of doc_ids; each task
+adds a row with its counts of ids, which Spark sums to the ranks.  Then the
+blocks are shuffled and each range is written as files of at most ``FILE_IDS``
+ids (or one document).  Ranges are cut at quantiles of doc_id, as many as the
+size of the input asks for; a doc_id that fills several ranges (also a null
+one) is dealt among them by its texts' hashes.
+
+Cases: null and empty texts have the end id alone; a long text is encoded in
+one piece and its ids take four bytes each in its task; rows that share a
+doc_id are ordered by their text's hash, equal rows are neighbours; an empty
+table gives no file and no row; columns other than the two named ones are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import struct
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from permscope.llm.blobs import BLOB_SCHEMA, blob_rows, unpack_blobs
-from permscope.llm.text import keyed, text_batches
+from permscope.llm.tables import get_file, put_file, shards_for, stored
+from permscope.llm.text import BATCH_BYTES, keyed, text_batches
 from permscope.llm.tokens import encode, load, with_end
 
+FILE_IDS = 1 << 25
+RANGE_BYTES = 32 << 20   # input bytes a range of doc_ids has on average, at most
+COUNTS = -1              # shard of the rows that hold a task's counts
+_NULL = -(1 << 62)       # stands for a null doc_id: it comes first
 MAGIC = b"RANKVB1\n"
 _LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.uint8)
 
@@ -64,85 +74,87 @@ def unpack_ranks(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path)
-
-
-def _put(path: str, data: bytes) -> None:
-    """Write a file so that it appears whole; another attempt writes the same bytes."""
-    fs, name = _open(path)
-    fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
-    part = f"{name.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
-    with fs.open_output_stream(part) as f:
-        f.write(data)
-    fs.move(part, name)
+def _shard(doc: np.ndarray, fp: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Range of each row; a doc_id that stands several times in ``bounds`` has several ranges."""
+    low = np.searchsorted(bounds, doc, side="left")
+    more = np.searchsorted(bounds, doc, side="right") - low
+    return (low + (fp.astype(np.int64) * (more + 1) >> 31)).astype(np.int32)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
                       text_col: str = "text", files: int | None = None) -> DataFrame:
     """Write ``docs`` as token files under ``path``; returns the manifest (file, documents, ids)."""
     spark = docs.sparkSession
-    n = files or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = files or 2 * shards_for(docs, 2 * RANGE_BYTES)
     docs = keyed(docs, id_col, text_col)
-    bounds = np.unique(np.array(docs.select("doc_id").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n),
-                                np.float64))  # n numbers; they only balance the files
+    place = docs.select(F.coalesce("doc_id", F.lit(_NULL)).alias("doc_id"))
+    # n numbers; they only balance the ranges
+    bounds = np.array(place.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n), np.float64)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches):
+        total = np.zeros(max(load(tokenizer).get_vocab_size(), end_id + 1), np.int64)
+        small = len(total) <= 1 << 16
+        for b in text_batches(batches, limit=2 * BATCH_BYTES):  # fewer different chunks a byte
             ids, off = with_end(*encode(b.column("text"), tokenizer), end_id)
-            if load(tokenizer).get_vocab_size() <= 1 << 16 and end_id < 1 << 16:
-                ids = ids.astype(np.uint16)
+            more = np.bincount(ids)
+            if len(more) > len(total):
+                total = np.append(total, np.zeros(len(more) - len(total), np.int64))
+            total[:len(more)] += more
             doc = b.column("doc_id")
-            shard = np.searchsorted(bounds, doc.fill_null(-(1 << 62)).to_numpy(), side="right").astype(np.int32)
-            rows = pa.table({"doc_id": doc, "fp": b.column("fp"),
-                             "ids": pa.LargeListArray.from_arrays(pa.array(off), pa.array(ids))})
-            yield blob_rows(rows, shard)
-
-    # the same shuffle files serve both passes, so no text is encoded twice
-    dealt = (docs.mapInArrow(tokens, BLOB_SCHEMA).rdd.map(lambda r: (r[0], bytes(r[1])))
-             .partitionBy(len(bounds) + 1, int))
-
-    def count(part: Iterator) -> Iterator[np.ndarray]:
-        total = np.zeros(0, np.int64)
-        for _, blob in part:
-            ids = pa.ipc.open_stream(blob).read_all().column("ids").combine_chunks().flatten().to_numpy()
-            more = np.bincount(ids, minlength=len(total))
-            more[:len(total)] += total
-            total = more
-        yield total
-
-    def add(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        a, b = (a, b) if len(a) >= len(b) else (b, a)
-        a = a.copy()
-        a[:len(b)] += b
-        return a
-
-    total = dealt.mapPartitions(count).treeReduce(add)  # one counter per id of the vocabulary
-    order = np.argsort(-total, kind="stable").astype("<u4")
-    rank = np.zeros(len(order), np.uint32)
+            rows = pa.table({"doc_id": doc, "fp": b.column("fp"), "ids": pa.LargeListArray.from_arrays(
+                pa.array(off), pa.array(ids.astype(np.uint16) if small else ids))})
+            yield blob_rows(rows, _shard(doc.fill_null(_NULL).to_numpy(), b.column("fp").to_numpy(), bounds))
+        if total.any():
+            used = np.flatnonzero(total)
+            yield blob_rows(pa.table({"id": used, "n": total[used]}), np.full(len(used), COUNTS, np.int32))
+
+    blobs = stored(docs.mapInArrow(tokens, BLOB_SCHEMA), "blocks")
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column("blob").to_pylist():
+                yield from pa.ipc.open_stream(x)
+
+    held = (blobs.where(F.col("shard") == COUNTS).mapInArrow(counts, "id long, n long").groupBy("id")
+            .agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").select("id").collect())  # ids of the vocabulary
+    order = np.array([r["id"] for r in held], "<u4")
+    if not len(order):
+        return spark.createDataFrame([], "file long, documents long, ids long")
+    rank = np.zeros(int(order.max()) + 1, np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    _put(f"{path}/ranks.u32", order.tobytes())
-    ranks = spark.sparkContext.broadcast(rank)
-
-    def write(shard: int, part: Iterator) -> Iterator[tuple]:
-        blobs = [blob for _, blob in part]
-        if not blobs:
-            return
-        rows = unpack_blobs(pa.table({"blob": pa.array(blobs, pa.binary())}))
+    put_file(f"{path}/ranks.u32", order.tobytes())
+    ranks = spark.sparkContext.broadcast(rank)  # one number per id of the vocabulary
+
+    def write(part: pa.Table) -> pa.Table:
+        shard = part.column("shard")[0].as_py()
+        rows = unpack_blobs(part)
         rows = rows.take(pa.compute.sort_indices(rows, [("doc_id", "ascending"), ("fp", "ascending")],
                                                  null_placement="at_start")).combine_chunks()
-        doc, ids = rows.column("doc_id").combine_chunks(), rows.column("ids").combine_chunks()
-        flat = ranks.value[ids.flatten().to_numpy()]
-        control, data = pack_ranks(flat)
-        head = MAGIC + struct.pack("<4Q", rows.num_rows, len(flat), len(control), len(data))
-        size = pa.compute.list_value_length(ids).to_numpy().astype("<u4")
-        known = doc.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
-        _put(f"{path}/{shard:08d}.rvb", b"".join([head, doc.fill_null(0).to_numpy().astype("<i8").tobytes(),
-                                                  known.tobytes(), size.tobytes(), control.tobytes(), data.tobytes()]))
-        yield shard, rows.num_rows, len(flat)
-
-    done = dealt.mapPartitionsWithIndex(write).collect()  # one row per file
-    return spark.createDataFrame(done, "file int, documents long, ids long")
+        last = np.cumsum(pa.compute.list_value_length(rows.column("ids")).to_numpy())
+        made, i = [], 0
+        while i < rows.num_rows:
+            j = max(i + 1, int(np.searchsorted(last, (last[i - 1] if i else 0) + FILE_IDS, side="right")))
+            file = (shard << 24) + len(made)
+            made.append((file, j - i, _write_file(f"{path}/{file:016d}.rvb", rows.slice(i, j - i), ranks.value)))
+            i = j
+        return pa.table(dict(zip(["file", "documents", "ids"], (pa.array(c, pa.int64()) for c in zip(*made)))))
+
+    done = blobs.where(F.col("shard") != COUNTS).groupBy("shard").applyInArrow(write, "file long, documents long, ids long")
+    return stored(done, "manifest")
+
+
+def _write_file(name: str, rows: pa.Table, rank: np.ndarray) -> int:
+    """Writes one file; returns its number of ids."""
+    rows = rows.combine_chunks()
+    doc, ids = rows.column("doc_id").combine_chunks(), rows.column("ids").combine_chunks()
+    size = pa.compute.list_value_length(ids).to_numpy().astype("<u4")
+    flat = rank[ids.flatten().to_numpy()]
+    control, data = pack_ranks(flat)
+    head = MAGIC + struct.pack("<4Q", rows.num_rows, len(flat), len(control), len(data))
+    known = doc.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8)
+    put_file(name, b"".join([head, doc.fill_null(0).to_numpy().astype("<i8").tobytes(), known.tobytes(), size.tobytes(),
+                         control.tobytes(), data.tobytes()]))
+    return len(flat)
 
 
 def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
@@ -154,9 +166,7 @@ def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> Dat
     begin = manifest.select("file", F.coalesce(F.sum("ids").over(by), F.lit(0)).alias("begin"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, name = _open(f"{path}/ranks.u32")
-        with fs.open_input_stream(name) as f:
-            order = np.frombuffer(f.read(), "<u4")
+        order = np.frombuffer(get_file(f"{path}/ranks.u32"), "<u4")
         for b in batches:
             for file, raw in zip(b.column("file").to_pylist(), b.column("content")):
                 raw = np.frombuffer(raw.as_buffer(), np.uint8)
@@ -180,7 +190,7 @@ def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> Dat
                     j = min(i + step, docs)
                     lo, hi = last[i:j] - size[i:j], last[i:j]
                     yield pa.record_batch([
-                        pa.array([file] * (j - i), pa.int32()), pa.array(doc[i:j], mask=known[i:j] == 0),
+                        pa.array([file] * (j - i), pa.int64()), pa.array(doc[i:j], mask=known[i:j] == 0),
                         pa.array(lo), pa.array(size[i:j]),
                         pa.array([raw_ids[4 * x:4 * y] for x, y in zip(lo.tolist(), hi.tolist())], pa.binary())],
                         names=["file", "doc_id", "at", "n_tokens", "ids"])
@@ -188,7 +198,8 @@ def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> Dat
     if manifest.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids binary")
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.rvb").load(path)
-             .select(F.regexp_extract("path", r"(\d+)\.rvb$", 1).cast("int").alias("file"), "content"))
-    rows = files.mapInArrow(decode, "file int, doc_id long, at long, n_tokens long, ids binary")
-    return rows.join(F.broadcast(begin), "file").select("doc_id", (F.col("begin") + F.col("at")).alias("start"),
+             .select(F.regexp_extract("path", r"(\d+)\.rvb$", 1).cast("long").alias("file"), "content"))
+    # the manifest has three numbers a file: Spark broadcasts it while it is small
+    rows = files.mapInArrow(decode, "file long, doc_id long, at long, n_tokens long, ids binary")
+    return rows.join(begin, "file").select("doc_id", (F.col("begin") + F.col("at")).alias("start"),
                                                         "n_tokens", "ids")
