@@ -270,9 +270,8 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_word_bpe")
 def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from permscope.llm.tokens import tokenizer_path, vocabularies
-    from permscope.llm.word_bpe import decode_ids, encode_texts
+    from permscope.llm.word_bpe import round_trip
 
-    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
-    out = decode_ids(encode_texts(table(spark, sf_dir, "documents"), ranks, vocabularies().PATTERN), ranks)
+    out = round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), vocabularies().PATTERN)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

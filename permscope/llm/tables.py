@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def put_file(path: str, data: bytes) -> None:
+    """Write a file so that it appears whole; another attempt writes the same bytes."""
+    fs, name = pafs.FileSystem.from_uri(path)
+    fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    part = f"{name.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+    with fs.open_output_stream(part) as f:
+        f.write(data)
+    fs.move(part, name)
+
+
+def get_file(path: str) -> bytes:
+    fs, name = pafs.FileSystem.from_uri(path)
+    with fs.open_input_stream(name) as f:
+        return f.read()
+
+
 def shards_for(df: DataFrame, each: int) -> int:
     """Shards for work on ``df``: one for every ``each`` bytes of its sources, at least the session's partitions."""
     spark = df.sparkSession

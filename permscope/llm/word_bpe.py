@@ -6,8 +6,9 @@
 2. The distinct words of all chunks go to the shard of their hash.  There equal
    words of all chunks meet, and each distinct word is encoded once by the
    merge ranks.
-3. The ids travel back to the chunks that asked, and every text is reassembled
-   by position.
+3. The ids travel back to the chunks that asked, one file per chunk in the shared
+   folder, and every text is reassembled by position where its chunk is read; so
+   positions, the largest part, are written once and never shuffled.
 
 Decoding joins ids to the table of token bytes, whose size is fixed by the
 vocabulary, and concatenates the bytes of a text in order.
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,13 +39,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from permscope.llm.tables import shards_for, stored
-from permscope.llm.text import Words, keyed, mix, ranges, raw_bytes, text_batches, word_hashes
+from permscope.llm.tables import get_file, put_file, scratch_path, shards_for, stored
+from permscope.llm.text import Words, keyed, mix, ranges, raw_bytes, release, text_batches, word_hashes
 from permscope.llm.tokens import cuts
 
-CHUNK_BYTES = 32 << 20
-PIECE_BYTES = 4 << 20
-KNOWN_MAX = 500_000  # distinct stretches of text a chunk remembers (only speed depends on it)
+CHUNK_BYTES = 24 << 20
+PIECE_BYTES = 2 << 20
 
 # Characters of Unicode's White_Space property, which is what \s means in the pattern
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -111,6 +112,9 @@ def _pieces(data: np.ndarray) -> Iterator[np.ndarray]:
         yield data[at:]
 
 
+_PLAIN = re.compile(rb" ?[A-Za-z]+").fullmatch
+
+
 class _Chunk:
     """Rows, distinct words and positions of some texts."""
 
@@ -118,24 +122,22 @@ class _Chunk:
         self.pattern, self.size = pattern, 0
         self.rows: list[pa.RecordBatch] = []
         self.places: list[np.ndarray] = []   # word of each position
-        self.words: dict[str, int] = {}
-        self.known: dict[bytes, list[int]] = {}
+        self.words: dict[bytes, int] = {}
+        # where ASCII letters after a space at most are one match, most stretches need no look at the pattern
+        self.plain = all(pattern.findall(x) == [x] for x in ("a", "A", " a", " A", " aB", "Ab", " abA"))
 
     def _words_of(self, stretch: bytes) -> list[int]:
-        found = self.known.get(stretch)
-        if found is None:
-            words = self.words
-            found = [words.setdefault(w, len(words)) for w in self.pattern.findall(stretch.decode())]
-            if len(self.known) < KNOWN_MAX:
-                self.known[stretch] = found
-        return found
+        words = self.words
+        if self.plain and _PLAIN(stretch):
+            return [words.setdefault(stretch, len(words))]
+        return [words.setdefault(w.encode(), len(words)) for w in self.pattern.findall(stretch.decode())]
 
     def add(self, b: pa.RecordBatch) -> None:
         """Rows of one batch of ``text_batches``: together short, or a single one."""
         data, off = raw_bytes(b.column("text"))
         count = np.zeros(b.num_rows, np.int64)
         for part in _pieces(data):
-            begin = cuts(part, off if len(part) == len(data) else np.array([0, len(part)]))
+            begin = cuts(part, off if len(part) == len(data) else np.array([0, len(part)]), marks=True)
             coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [
                 None, pa.py_buffer(np.append(begin, len(part)).astype(np.int64)),
                 pa.py_buffer(np.ascontiguousarray(part))]).dictionary_encode()
@@ -156,9 +158,10 @@ class _Chunk:
         # frequent words get small numbers: the high bytes of positions are nearly all zero and compress away
         number = np.empty(len(self.words), np.uint32)
         number[np.argsort(-np.bincount(place, minlength=len(self.words)), kind="stable")] = np.arange(len(number))
-        planes = number[place].view(np.uint8).reshape(-1, 4).T
-        yield _row(chunk, -1, _ipc(pa.Table.from_batches(self.rows)), [_squeeze(p) for p in planes])
-        words = pa.table({"word": pa.array([w.encode() for w in self.words], pa.large_binary()), "number": pa.array(number)})
+        place = number[place]
+        planes = [_squeeze((place >> np.uint32(8 * k)).astype(np.uint8)) for k in range(4)]
+        yield _row(chunk, -1, _ipc(pa.Table.from_batches(self.rows)), planes)
+        words = pa.table({"word": pa.array(list(self.words), pa.large_binary()), "number": pa.array(number)})
         if not words.num_rows:
             return
         words = words.sort_by("word").combine_chunks()
@@ -206,15 +209,21 @@ def _read(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(blob).read_all().combine_chunks()
 
 
-def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, ids`` of each row; ids as little-endian unsigned 32-bit integers.
+def _vocabulary(df: DataFrame, ranks: str):
+    """The rank file as a broadcast: as large as the vocabulary, whatever the data."""
+    with open(ranks, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
+def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                 decoded: bool = False) -> DataFrame:
+    """``doc_id, fp, ids`` (and ``decoded``) of each row; ids as little-endian unsigned 32-bit integers.
 
     ``ranks``: path of a file with base64 tokens and ranks; ``fp`` is 31 bits of
     the text's hash.
     """
     spark = docs.sparkSession
-    with open(ranks, "rb") as f:
-        vocabulary = spark.sparkContext.broadcast(f.read())  # as large as the vocabulary, whatever the data
+    vocabulary = _vocabulary(docs, ranks)
     shards = shards_for(docs, 128 << 20)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,75 +247,97 @@ def encode_texts(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_i
             mine = ids.take(words.indices.slice(at, p.num_rows))
             out.append(_ipc(pa.table({"number": p.column("number"), "ids": mine})))
             at += p.num_rows
+        del words, ids, parts
+        release()
         return pa.table({"chunk": blobs.column("chunk"), "blob": pa.array(out, pa.binary())})
 
-    def assemble(chunk: pa.Table, found: pa.Table) -> pa.Table:
-        rows = _read(chunk.column("blob")[0].as_py())
-        n = rows.column("n").to_numpy()
-        place = np.empty((int(n.sum()), 4), np.uint8)
-        for k, plane in enumerate(chunk.column("places")[0].as_py()):
-            place[:, k] = _expand(plane, len(place))
-        place = place.view("<u4").ravel()
-        parts = [_read(x) for x in found.column("blob").to_pylist()]
-        total = sum(p.num_rows for p in parts)
-        size, first = np.zeros(total, np.int64), np.zeros(total, np.int64)
-        flat, at = [], 0
-        for p in parts:
-            ids = p.column("ids").combine_chunks()
-            off = ids.offsets.to_numpy()
-            number = p.column("number").to_numpy()
-            size[number], first[number] = np.diff(off), off[:-1] - off[0] + at
-            flat.append(ids.flatten().to_numpy())
-            at += len(flat[-1])
-        flat = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-        last = np.cumsum(n)
-        out, i = [], 0
-        while i < len(n):  # some rows at a time
-            j = max(i + 1, int(np.searchsorted(last, (last[i - 1] if i else 0) + (1 << 20), side="right")))
-            mine = place[last[i] - n[i]:last[j - 1]]
-            ids = flat[ranges(first[mine], size[mine])].astype("<u4")
-            ends = np.append(0, np.cumsum(size[mine]))[np.append(0, last[i:j] - (last[i] - n[i]))] * 4
-            blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [
-                None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids.tobytes())]).cast(pa.binary())
-            out.append(pa.record_batch([rows.column("doc_id").slice(i, j - i).combine_chunks(),
-                                        rows.column("fp").slice(i, j - i).combine_chunks(), blob], names=["doc_id", "fp", "ids"]))
-            i = j
-        return pa.Table.from_batches(out)
+    def keep(found: pa.Table) -> pa.Table:
+        """A chunk's ids as one file: their number per word, and the ids in the order of the words' numbers."""
+        chunk = found.column("chunk")[0].as_py()
+        words = pa.concat_tables([_read(x) for x in found.column("blob").to_pylist()]).sort_by("number").combine_chunks()
+        put_file(f"{path}/{chunk}", _ipc(words.select(["ids"])))
+        return pa.table({"chunk": [chunk], "words": [words.num_rows]})
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = joined(batches)
+        return _decoded(out, "ids", "decoded", vocabulary.value) if decoded else out
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                rows = _read(b.column("blob")[k].as_py())
+                n = rows.column("n").to_numpy()
+                if n.any():
+                    yield from _joined(rows, n, b.column("places")[k].as_py(),
+                                       _read(get_file(f"{path}/{b.column('chunk')[k].as_py()}")))
+                else:  # no word, no file
+                    yield pa.record_batch([*(rows.column(c).combine_chunks() for c in ("doc_id", "fp")),
+                                           pa.array([b""] * len(n), pa.binary())], names=["doc_id", "fp", "ids"])
 
     rows = stored(keyed(docs, id_col, text_col).mapInArrow(split, _STORED), "words")
-    encoded = rows.where("shard >= 0").select("chunk", "shard", "blob").groupBy("shard").applyInArrow(
-        encode, "chunk long, blob binary")
-    return (rows.where("shard < 0").select("chunk", "blob", "places").groupBy("chunk")
-            .cogroup(encoded.groupBy("chunk")).applyInArrow(assemble, "doc_id long, fp int, ids binary"))
+    path = scratch_path(spark, "word-ids")
+    words = rows.where("shard >= 0").select("chunk", "shard", "blob")
+    encoded = words.groupBy("shard").applyInArrow(encode, "chunk long, blob binary")
+    stored(encoded.groupBy("chunk").applyInArrow(keep, "chunk long, words long"), "chunks")
+    return (rows.where("shard < 0").select("chunk", "blob", "places")
+            .mapInArrow(assemble, "doc_id long, fp int, ids binary" + ", decoded binary" * decoded))
+
+
+def _joined(rows: pa.Table, n: np.ndarray, planes: list[bytes], words: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Ids of each row of a chunk: ``words`` has the ids of each word, ``planes`` the word of each position."""
+    total = int(n.sum())
+    place = np.zeros(total, np.uint32)
+    for k, plane in enumerate(planes):
+        place |= _expand(plane, total).astype(np.uint32) << np.uint32(8 * k)
+    ids = words.column("ids").combine_chunks()
+    off = ids.offsets.to_numpy()
+    first, size, flat = off[:-1], np.diff(off), ids.values.to_numpy()
+    last = np.cumsum(n)
+    i = 0
+    while i < len(n):  # some rows at a time
+        j = max(i + 1, int(np.searchsorted(last, (last[i - 1] if i else 0) + (1 << 19), side="right")))
+        mine = place[last[i] - n[i]:last[j - 1]]
+        ends = np.append(0, np.cumsum(size[mine]))[np.append(0, last[i:j] - (last[i] - n[i]))] * 4
+        blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [
+            None, pa.py_buffer(ends.astype(np.int64)),
+            pa.py_buffer(flat[ranges(first[mine], size[mine])].astype("<u4").tobytes())]).cast(pa.binary())
+        yield pa.record_batch([*(rows.column(c).slice(i, j - i).combine_chunks() for c in ("doc_id", "fp")), blob],
+                              names=["doc_id", "fp", "ids"])
+        i = j
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], ids_col: str, out_col: str, vocabulary: bytes) -> Iterator[pa.RecordBatch]:
+    """The batches with the bytes of their ids: ids meet the table of token bytes, whose row number is the id."""
+    table = _token_table(vocabulary)
+    for b in text_batches(batches, ids_col, PIECE_BYTES):
+        col = b.column(ids_col)
+        filled = pc.fill_null(col, b"").cast(pa.large_binary())
+        off = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset:filled.offset + len(col) + 1]
+        data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
+        off = off - off[0]
+        decoded, ends = [], [np.zeros(1, np.int64)]
+        ids, done = data.view("<u4") if len(data) else np.zeros(0, np.uint32), 0
+        for i in range(0, len(ids), 1 << 20):
+            found = table.take(pa.array(ids[i:i + (1 << 20)]))
+            at = np.frombuffer(found.buffers()[1], np.int64)[:len(found) + 1]
+            decoded.append(np.frombuffer(found.buffers()[2], np.uint8)[at[0]:at[-1]])
+            ends.append(at[1:] - at[0] + done)
+            done = int(ends[-1][-1])
+        ends = np.concatenate(ends)[off // 4]
+        blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(col), [
+            None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(decoded).tobytes() if decoded else b"")]).cast(pa.binary())
+        if col.null_count:
+            blob = pc.if_else(pc.is_null(col), pa.scalar(None, pa.binary()), blob)
+        yield pa.RecordBatch.from_arrays([*b.columns, blob], names=[*b.schema.names, out_col])
 
 
 def decode_ids(rows: DataFrame, ranks: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """``rows`` with the bytes that the ids in ``ids_col`` stand for (null ids: null)."""
-    with open(ranks, "rb") as f:
-        vocabulary = rows.sparkSession.sparkContext.broadcast(f.read())  # as large as the vocabulary
+    vocabulary = _vocabulary(rows, ranks)
     schema = StructType([*rows.schema.fields, StructField(out_col, BinaryType())])
+    return rows.mapInArrow(lambda batches: _decoded(batches, ids_col, out_col, vocabulary.value), schema)
+
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _token_table(vocabulary.value)
-        for b in text_batches(batches, ids_col, 8 << 20):
-            col = b.column(ids_col)
-            filled = pc.fill_null(col, b"").cast(pa.large_binary())
-            off = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset:filled.offset + len(col) + 1]
-            data = np.frombuffer(filled.buffers()[2] or b"", np.uint8)[off[0]:off[-1]]
-            off = off - off[0]
-            decoded, ends = [], [np.zeros(1, np.int64)]
-            ids, done = data.view("<u4") if len(data) else np.zeros(0, np.uint32), 0
-            for i in range(0, len(ids), 1 << 20):
-                found = table.take(pa.array(ids[i:i + (1 << 20)]))
-                at = np.frombuffer(found.buffers()[1], np.int64)[:len(found) + 1]
-                decoded.append(np.frombuffer(found.buffers()[2], np.uint8)[at[0]:at[-1]])
-                ends.append(at[1:] - at[0] + done)
-                done = int(ends[-1][-1])
-            ends = np.concatenate(ends)[off // 4]
-            blob = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(col), [
-                None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(decoded).tobytes() if decoded else b"")]).cast(pa.binary())
-            if col.null_count:
-                blob = pc.if_else(pc.is_null(col), pa.scalar(None, pa.binary()), blob)
-            yield pa.RecordBatch.from_arrays([*b.columns, blob], names=schema.names)
-
-    return rows.mapInArrow(join, schema)
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fp, ids, decoded`` of each row: texts encoded, and the ids decoded again in the same tasks."""
+    return encode_texts(docs, ranks, pattern, id_col, text_col, decoded=True)
