@@ -12,8 +12,9 @@ Cases: null text has no words and fails the base rules, as does an empty one;
 without rows labelled good nothing but the base rules rejects; labels without
 doc_id or quality are ignored; each row is judged on its own text, so repeated
 doc_ids are no matter; a null doc_id is judged like any other; an empty table
-gives an empty result; columns other than the two named ones pass through
-``row`` untouched.
+gives an empty result; columns other than the two named ones are ignored by
+``judge`` and passed on untouched by ``keep_good``, whatever their names.  A
+long text is measured whole, in arrays of some ten times its size in its task.
 """
 
 from __future__ import annotations
@@ -24,11 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from permscope.llm.stats import BASE, FEATURES, statistics
+from permscope.llm.stats import BASE, FEATURES, STATISTICS_BYTES, statistics
 from permscope.llm.tables import stored
 from permscope.llm.text import keyed, text_batches
 
@@ -94,22 +95,17 @@ def fit_forest(x: np.ndarray, trees: int = TREES, psi: int = PSI, seed: int = SE
     return Forest(feature, split, length, psi)
 
 
-def with_statistics(docs: DataFrame, id_col: str, text_col: str, keep_row: bool = False) -> DataFrame:
-    """``doc_id, fp, <base counts>, features`` (and ``row``) of every input row."""
-    more = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if keep_row else []
-    docs = keyed(docs, id_col, text_col, *more)
-    names = ["doc_id", "fp"] + ["row"] * keep_row
-
+def with_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, fp, <base counts>, features`` of every input row."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches):
+        for b in text_batches(batches, limit=STATISTICS_BYTES):
             base, features = statistics(b.column("text"))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(features.ravel()), features.shape[1])
-            yield pa.record_batch([*(b.column(c) for c in names), *(pa.array(c) for c in base.T),
-                                   flat.cast(pa.list_(pa.float64()))], names=[*names, *BASE, "features"])
+            yield pa.record_batch([b.column("doc_id"), b.column("fp"), *(pa.array(c) for c in base.T),
+                                   flat.cast(pa.list_(pa.float64()))], names=["doc_id", "fp", *BASE, "features"])
 
-    row = f"row {docs.schema['row'].dataType.simpleString()}, " if keep_row else ""
-    return docs.mapInArrow(measure, f"doc_id long, fp int, {row}" + ", ".join(f"{c} long" for c in BASE)
-                           + ", features array<double>")
+    return keyed(docs, id_col, text_col).mapInArrow(
+        measure, "doc_id long, fp int, " + ", ".join(f"{c} long" for c in BASE) + ", features array<double>")
 
 
 def labelled(stats: DataFrame, labels: DataFrame, label: str) -> DataFrame:
@@ -158,12 +154,31 @@ def calibrate(scored: DataFrame, labels: DataFrame, label: str, loss: float = GO
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label: str = "quality", keep_row: bool = False) -> DataFrame:
-    """``doc_id, <base counts>, base_failed, anomaly, kept`` (and ``row``) of every input row."""
-    stats = stored(with_statistics(docs, id_col, text_col, keep_row), "statistics").withColumn(
+    """``doc_id, fp, <base counts>, base_failed, anomaly, kept`` (and ``row``) of every input row; ``fp`` hashes its text."""
+    stats = stored(with_statistics(docs, id_col, text_col), "statistics").withColumn(
         "base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT} * n_words"))
     slim = stats.select("doc_id", "fp", "n_words", "base_failed", "features")
     sample = good_sample(slim, labels, label, SAMPLE)
     forest = fit_forest(sample) if len(sample) else None
     limit = calibrate(score_column(slim, forest), labels, label) if forest is not None else 2.0
-    return score_column(stats, forest).withColumn(
-        "kept", F.expr(f"not base_failed and anomaly < {limit!r}D"))
+    out = score_column(stats, forest).withColumn("kept", F.expr(f"not base_failed and anomaly < {limit!r}D"))
+    if not keep_row:
+        return out
+    rows, same = _by_text(docs, id_col, text_col)
+    out = out.dropDuplicates(["doc_id", "fp"])
+    return rows.join(out, same).drop("row_id", "row_fp")
+
+
+def _by_text(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
+    """(``row_id, row_fp, row`` of each row, the condition that it is the row ``doc_id, fp``): equal texts, equal verdicts."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = keyed(docs, id_col, text_col, whole).drop("text").withColumnsRenamed({"doc_id": "row_id", "fp": "row_fp"})
+    return rows, F.col("row_id").eqNullSafe(F.col("doc_id")) & (F.col("row_fp") == F.col("fp"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              label: str = "quality") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, as they are: only numbers go through Python a second time."""
+    gone = judge(docs, labels, id_col, text_col, label).where("not kept").select("doc_id", "fp").distinct()
+    rows, same = _by_text(docs, id_col, text_col)
+    return rows.join(stored(gone, "rejected"), same, "left_anti").select("row.*")

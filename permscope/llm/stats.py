@@ -9,6 +9,7 @@ from permscope.llm.substring_dedup import equal_windows
 from permscope.llm.text import covered, ranges, raw_bytes, words_of
 
 REPEAT_WINDOW = 8
+STATISTICS_BYTES = 1 << 20  # text measured at a time: its arrays stay small enough for the processor's cache
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # ratios, so that the length of a clean text does not make it unusual
 FEATURES = ["word_length", "symbols", "dup_lines", "repeat_words", "upper", "digits", "marks", "bang", "pipes",
