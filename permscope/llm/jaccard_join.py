@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from permscope.llm.blobs import BLOB_SCHEMA, shard_table, to_blobs, unpack_blobs, without
 from permscope.llm.superkmers import default_buckets
 from permscope.llm.tables import components, stored
-from permscope.llm.text import keyed, mix, ranges, raw_bytes, rolling, text_batches, word_hashes, words_of
+from permscope.llm.text import BATCH_BYTES, keyed, mix, ranges, raw_bytes, rolling, text_batches, word_hashes, words_of
 
 SKETCH = 1024        # least bits of a sketch: the parity of the tokens that hash to each
 PAIR = 0.5           # cost of comparing a pair, in signatures per token of a set
@@ -450,7 +450,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = keyed(docs, id_col, text_col)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches):
+        for b in text_batches(batches, limit=BATCH_BYTES // 4):
             sets = token_sets(b.column("text"), n)
             yield pa.record_batch([b.column("doc_id"), b.column("fp"), pa.array(sets.node), pa.array(sets.sizes()),
                                    sketches(sets)], names=["doc_id", "fp", "node", "size", "sketch"])

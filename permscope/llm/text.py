@@ -7,6 +7,7 @@ null text has no words and no bytes.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFra
                        text.alias("text"), *more)
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers are used again, and idle ones would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text",
                  limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` text bytes (one row at least)."""
@@ -48,6 +57,7 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str = "text",
             j = max(i + 1, int(np.searchsorted(size, done + limit, side="right")))
             yield b.slice(i, j - i)
             i = j
+    release()
 
 
 def raw_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
