@@ -2,8 +2,8 @@
 
 A document holds a benchmark item when ``WINDOW`` consecutive words of it equal
 as many consecutive words of the item in all but ``SUBSTITUTIONS`` places (A-Z
-lower-cased; an item of 8 to 12 words must occur whole and unchanged, a shorter
-one cannot identify a passage and is ignored).  Two fixed masks look at six
+lower-cased).  An item of fewer words must occur whole and unchanged, even a
+single word; over characters where its script has no spaces between words.  Two fixed masks look at six
 words of eight or nine and ignore the others; wherever two words of thirteen
 are substituted, one placement of a mask avoids both (a test tries all cases),
 so no such overlap is missed.
@@ -14,10 +14,9 @@ seeds on the hash, which gives (document, item, diagonal), and the words along
 the diagonal are compared.  With a benchmark so large that the bitmap fills up,
 more documents take part in the join; the result is the same.
 
-``every_overlap`` returns all overlaps of all (document, item) pairs, and those
-of shorter items too, which must occur whole: word by word, or over characters
-where the item's script has no spaces between words.  ``find_overlaps`` keeps one
-row per document.
+``every_overlap`` returns all overlaps of all (document, item) pairs,
+``find_overlaps`` keeps one row per document.  Items of fewer than SHORTEST words
+are looked up by a hash of the whole item.
 
 Cases: null and empty texts and items hold nothing; items with equal text are
 one item (the smallest item_id); a null doc_id is judged like any other; rows
@@ -245,15 +244,21 @@ def _search(docs: DataFrame, items: DataFrame, every: bool, seeds_of: Callable =
 def every_overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, fp, item_id, first_word, n_words, n_equal`` of every overlap of every document and item, short ones too."""
-    docs, items = keyed(docs, id_col, text_col), _items(benchmark, item_col, item_text_col)
+    return _overlaps(keyed(docs, id_col, text_col), _items(benchmark, item_col, item_text_col), True)
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, every: bool) -> DataFrame:
+    """Overlaps with all items, short ones too: the longest of each pair, or every one."""
     n = F.size(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
     short = items.where(n.between(1, SHORTEST - 1))
     # spaces around an item are no part of it
     chars = short.where(F.col("text").rlike(_UNSPACED)).withColumn("text", F.regexp_replace(
         "text", r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
-    out = _search(docs, items, True)
-    out = out.unionByName(_search(docs, short.where(~F.col("text").rlike(_UNSPACED)), True, short_seeds, partial(short_seeds, whole=True)))
-    return out.unionByName(_search(docs, chars, True, char_seeds, partial(char_seeds, whole=True)))
+    out = _search(docs, items, every)
+    for some, seeds in ((short.where(~F.col("text").rlike(_UNSPACED)), short_seeds), (chars, char_seeds)):
+        if not some.isEmpty():  # most benchmarks have none
+            out = out.unionByName(_search(docs, some, every, seeds, partial(seeds, whole=True)))
+    return out
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -265,7 +270,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items found, and the overlap's place and equal words.
     """
     docs = keyed(docs, id_col, text_col)
-    hits = _search(docs, _items(benchmark, item_col, item_text_col), False)
+    hits = _overlaps(docs, _items(benchmark, item_col, item_text_col), False)
     best = F.max(F.struct("n_words", "n_equal", (-F.col("item_id")).alias("low"), (-F.col("first_word")).alias("early")))
     return hits.groupBy("doc_id", "fp").agg(best.alias("b"), F.count("*").cast("int").alias("n_items")).select(
         "doc_id", "fp", (-F.col("b.low")).alias("item_id"), "n_items", (-F.col("b.early")).alias("first_word"),

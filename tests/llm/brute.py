@@ -103,11 +103,16 @@ def base_counts(text):
     return len(w), sum(map(len, w)), sum(x in "#*$%&|<>" for x in text), dup, len(repeat)
 
 
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
+
+
 def holds(text, item, window=13, subs=2, shortest=8):
-    """Does the text hold the benchmark item?"""
+    """Does the text hold the benchmark item?  Short ones whole: word by word, or over characters without spaces."""
     a, b = (words((x or "").translate(LOWER)) for x in (text, item))
-    if len(b) < shortest:
+    if not b:
         return False
+    if len(b) < shortest and UNSPACED.search(item):
+        return item.strip(" \t\n\x0b\x0c\r").translate(LOWER) in (text or "").translate(LOWER)
     if len(b) < window:
         return any(a[k:k + len(b)] == b for k in range(len(a) - len(b) + 1))
     if len(a) < window:

@@ -73,12 +73,23 @@ def test_every_overlap_and_short_items(spark):
         (9, 4, 0, 1)]
 
 
+def test_items_of_every_length(spark):
+    """Items of 1 to 12 words through the query's operator: whole, anywhere, in any case; near misses are clean."""
+    words = [f"k{k}" for k in range(12)]
+    items = [(n, " ".join(f"{w}x{n}" for w in words[:n])) for n in range(1, 13)] + [(20, "日本語"), (21, " \t")]
+    docs = [(n, f"some words before {t.upper() if n % 2 else t} and after") for n, t in items if n < 20]
+    docs += [(100 + n, "start " + " ".join(t.split()[:-1]) + " end") for n, t in items if 1 < n < 20]
+    docs += [(200, "これは日本語です"), (201, "これは日本です"), (202, None)]
+    got = dc.find_overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(n, n) for n in range(1, 13)] + [(200, 20)]
+
+
 def test_a_full_bitmap_changes_nothing(case, monkeypatch):
     import numpy as np
 
     _, _, docs, bench = case
     want = sorted(map(str, dc.find_overlaps(docs, bench).collect()))
-    monkeypatch.setattr(dc, "_bitmap", lambda items: np.full(dc.BITS // 8, 255, np.uint8))
+    monkeypatch.setattr(dc, "_bitmap", lambda items, seeds=None: np.full(dc.BITS // 8, 255, np.uint8))
     assert sorted(map(str, dc.find_overlaps(docs, bench).collect())) == want
 
 
