@@ -55,6 +55,11 @@ class Units:
     n: int
 
 
+def order_of(content: np.ndarray, m: int) -> np.ndarray:
+    """The 32 bits by which minimisers of ``m`` units are compared."""
+    return (mix(rolling(content, m)) >> np.uint64(32)).astype(np.uint32)
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     out, size = x, 1
     while size < width:
@@ -76,7 +81,7 @@ def runs(units: Units, window: int, m: int, anchors: bool = False) -> tuple[np.n
     none = np.zeros(0, np.int64)
     if units.n < window:
         return none, none, none.astype(np.uint32), none
-    order = (mix(rolling(units.content, m)) >> np.uint64(32)).astype(np.uint32)
+    order = order_of(units.content, m)
     low = sliding_min(order, window - m + 1)
     begin, end = units.doc[:-1], units.doc[1:]
     edge = np.zeros(units.n + 1, np.int32)

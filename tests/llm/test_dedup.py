@@ -71,6 +71,43 @@ def test_level_family_is_logarithmic():
     assert sorted(b for _, _, b in family.levels) == [16]
 
 
+def test_minimisers_that_collide(monkeypatch):
+    """Eight hash values only: different 16-byte strings are one record's minimiser, and no repeat is missed."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from permscope.llm.suffix_dedup import LevelFamily, byte_units
+
+    real = sk.order_of
+    monkeypatch.setattr(sk, "order_of", lambda content, m: real(content, m) >> np.uint32(29) << np.uint32(29))
+    rng, length = random.Random(4), 40
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared = [prose(rng.randint(40, 90)) for _ in range(12)]
+    texts = [prose(rng.randint(0, 30)) + rng.choice(shared)[rng.randint(0, 20):] + prose(30) for _ in range(120)]
+    units = byte_units(pa.array(texts))
+    first, count, mini, place = sk.runs(units, length, 16, anchors=True)
+    doc = np.searchsorted(units.doc, first, side="right") - 1
+    meta = np.zeros(len(first), sk._META)
+    meta["doc"], meta["start"], meta["len"], meta["anchor"] = doc, first - units.doc[doc], count + length - 1, place
+    found = set()
+    for value in np.unique(mini):
+        mine = np.flatnonzero(mini == value)
+        family = LevelFamily(meta[mine], units.buf, first[mine], length)
+        assert len(family.more[0]) or len(mine) < 20
+        for i in range(0, len(mine), 16):
+            rec, offset = family.add(np.arange(i, min(i + 16, len(mine))))
+            found |= set(zip(meta["doc"][mine][rec].tolist(), (meta["start"][mine][rec] + offset).tolist()))
+    seen, want = set(), set()
+    for d, t in enumerate(texts):
+        for k in range(len(t) - length + 1):
+            if t[k:k + length] in seen:
+                want.add((d, k))
+            seen.add(t[k:k + length])
+    assert found == want and len(want) > 100
+
+
 def test_op2_query_equals_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     got = order(map(tuple, QUERIES["op2_suffix_dedup"](spark, SF_SMALL).collect()))
