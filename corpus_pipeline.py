@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from permscope.llm.decontaminate import remove_contaminated
 from permscope.llm.jaccard_join import keep_one_of_each
 from permscope.llm.packing import pack_best_fit
-from permscope.llm.quality_rules import judge
+from permscope.llm.quality_rules import keep_good
 from permscope.llm.substring_dedup import dedup_substrings
 from permscope.llm.tables import stored
 from permscope.llm.tokens import tokenizer_path
@@ -35,7 +35,7 @@ from permscope.sources.tables import table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     let_workers_import(spark)
-    return judge(docs, table(spark, sf_dir, "labels"), keep_row=True).where("kept").select("row.*")
+    return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
