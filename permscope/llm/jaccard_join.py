@@ -184,7 +184,7 @@ def signatures(sets: Sets, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
 
 def _signature_rows(docs: DataFrame, n: int, plan: Plan, buckets: int) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_batches(batches):
+        for b in text_batches(batches, limit=BATCH_BYTES // 4):  # segments take some hundred bytes a token
             sets = token_sets(b.column("text"), n)
             sig, row = signatures(sets, plan)
             node = sets.node[row]
