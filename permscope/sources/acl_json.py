@@ -166,7 +166,7 @@ def well_formed(text: Column) -> Column:
     t = _strip_bom(text)
     in_array = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>")
     in_object = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "map<string,string>")
-    container = F.from_json(t, "map<string,string>").isNotNull() | F.from_json(t, "array<string>").isNotNull()
+    container = _starts(t, "{") | _starts(t, "[")
     return F.coalesce(container & (F.size(in_array) == 1) & (F.size(in_object) == 1), F.lit(False))
 
 
@@ -215,6 +215,18 @@ LEGACY_PATH_KEYS = ("uncpath", "sharepath", "sharename", "volumename", "path", "
                     "folder_path")
 
 
+def _each(df: DataFrame, items: str, names: list[str]) -> DataFrame:
+    """One row per element of the computed array ``items`` (position and element, or the element alone).
+
+    An outer explode and a test of its output: from a plain one Spark infers a
+    filter on ``items`` that, pushed down, computes the array a second time.
+    """
+    explode = F.posexplode_outer if len(names) == 2 else F.explode_outer
+    # the arrays' elements are never null where the position is left out
+    out = df.select(*[c for c in df.columns if c != items], explode(items).alias(*names))
+    return out.where(F.col(names[0]).isNotNull())
+
+
 def legacy_folder_path(node: Column, source_file: Column) -> Column:
     """Folder path as the legacy finders pick it: the first present candidate
     key of the node, else the file path."""
@@ -244,12 +256,13 @@ def nodes_to_aces(nodes: DataFrame, compat_any_list: bool = False) -> DataFrame:
     unc = _or_pick(m, ("uncpath", "path"))
     share_path = _or_pick(m, ("sharepath", "sharename"))
     host = _or_pick(m, ("appliancehostname",))
+    # the record's own columns before the explode: once a record, not once an ACE
     base = parsed.select(
         "run_id", "source_file", unc.alias("unc_path"),
         canonical_folder_path(host, share_path, unc, F.col("source_file")).alias("folder_path"),
         *[_or_pick(m, keys).alias(col) for col, keys in META_KEYS.items()],
-        F.from_json(m["attributes"], "array<string>").alias("attributes"),
-        F.posexplode(acl).alias("ace_pos", "ace_text"))
+        F.from_json(m["attributes"], "array<string>").alias("attributes"), acl.alias("_acl"))
+    base = _each(base, "_acl", ["ace_pos", "ace_text"])
     base = base.select("*", F.when(_starts(F.col("ace_text"), "{"), _lower_map(F.col("ace_text"))).alias("_a"))
     a = F.col("_a")
     out = base.select(
@@ -342,14 +355,14 @@ def _typed_records(files: DataFrame) -> DataFrame:
     one = F.when(_starts(text, "{"), F.array(text)).otherwise(F.from_json(text, "array<string>"))
     known = [F.lit(k) for k in (*TYPED_RECORD_FIELDS, "Attributes", "Access")]
     # array_except of a record's keys and the known ones: an unknown key that holds a container
-    def fits(r):
-        m = F.from_json(r, "map<string,string>")
+    def fits(m):
         other = F.exists(F.array_except(F.map_keys(m), F.array(*known)),
                          lambda k: F.coalesce(_starts(m[k], "{") | _starts(m[k], "["), F.lit(False)))
         return F.coalesce(F.from_json(m["Access"], "array<string>").isNotNull() & ~other, F.lit(False))
     parsed = files.filter(well_formed(F.col("text"))).select("run_id", "source_file", "text", one.alias("_one"))
+    maps = F.transform("_one", lambda r: F.from_json(r, "map<string,string>"))  # each record parsed once
     return parsed.select("run_id", "source_file", "text", F.when(
-        F.col("_one").isNotNull() & F.forall("_one", fits),
+        F.col("_one").isNotNull() & F.forall(maps, fits),
         F.transform("_one", lambda r: F.from_json(r, rec_t))).alias("recs"))
 
 
@@ -359,7 +372,7 @@ def typed_aces(files: DataFrame) -> DataFrame:
     fixed record schema, no node search.  ACEs of any form (objects with any
     of the known keys, bare strings) are read as the generic path reads them.
     Files of other shapes yield nothing here; ``untyped_files`` names them."""
-    r = _typed_records(files).select("run_id", "source_file", F.explode("recs").alias("r"))
+    r = _each(_typed_records(files).drop("text"), "recs", ["r"])
     g = lambda f: F.nullif(F.col(f"r.{f}"), F.lit(""))  # noqa: E731 - Python ``or`` semantics
     unc = F.coalesce(g("UncPath"), g("Path"))
     base = r.select(
@@ -373,7 +386,8 @@ def typed_aces(files: DataFrame) -> DataFrame:
         g("VolumeGuid").alias("volume_guid"), g("ShareName").alias("share_name"), g("Owner").alias("owner"),
         g("Sddl").alias("sddl"), g("FingerprintSha256").alias("fingerprint_sha256"),
         g("CollectionSha256").alias("collection_sha256"), F.col("r.Attributes").alias("attributes"),
-        F.posexplode(F.from_json("r.Access", "array<string>")).alias("ace_pos", "ace_text"))
+        F.from_json("r.Access", "array<string>").alias("_acl"))
+    base = _each(base, "_acl", ["ace_pos", "ace_text"])
     base = base.select("*", F.when(_starts(F.col("ace_text"), "{"), _lower_map(F.col("ace_text"))).alias("_a"))
     a = F.col("_a")
     return base.select(

@@ -184,3 +184,15 @@ def test_file_audit_reports_apart(spark, run_root):
     # ACL key with an empty list, which is still a node)
     assert (a.files_found, a.files_skipped, a.files_malformed) == (9, 1, 1)
     assert (a.files_with_acl, a.files_without_acl) == (7, 0)
+
+
+def test_documents_are_parsed_once_per_use(spark):
+    # a filter inferred from an explode, or a lambda's value used twice, parses every document again
+    from permscope.sources import acl_json as AJ
+
+    files = spark.createDataFrame([("r", "f", '[{"UncPath":"x","Access":[{"Sid":"S-1-1-0"}]}]'), ("r", "g", "[1] 2"), ("r", "h", "7")],
+                                  "run_id string, source_file string, text string").repartition(2)
+    aces = AJ.typed_aces(files)
+    assert aces._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= 8
+    assert [(a.source_file, a.ace_sid, a.ace_pos) for a in aces.collect()] == [("f", "S-1-1-0", 0)]
+    assert {r.source_file for r in AJ.malformed_files(files).collect()} == {"g", "h"}
