@@ -63,3 +63,22 @@ def test_footers(spark, tmp_path):
     assert [r.file.rsplit("/", 1)[1] for r in bad] == ["broken.parquet"] and bad[0].error
     aces = read_aces(spark, str(tmp_path / "store"))
     assert sorted((r.run_id, r.ace_mask) for r in aces.collect()) == [("r 0", "1"), ("r 1", "1"), ("r 2", "7"), ("r 3", "1")]
+
+
+def test_values_are_read_once(spark):
+    # every rule used to read the record again, and name the schema of all of it
+    df = spark.createDataFrame([("r", "f", json.dumps(record()))], "run_id string, source_file string, text string")
+    plan = CT.violations(df, CT.exporter_contract())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("try_variant_get(_v#") <= 3
+    assert not plan.count("schemaOfVariant(_v#") and not plan.count("schema_of_variant(_v#")
+
+
+def test_nested_and_odd_names(spark):
+    own = {"type": "object", "required": ["a", "A"], "properties": {
+        "a": {"type": "object", "required": ["b.c"], "properties": {"b.c": {"type": "array", "items": {"type": ["string", "null"]}}, "t`": {"type": "string"}}},
+        "A": {"type": "array", "items": {"type": "object", "required": ["x"], "properties": {"x": {"type": "array", "items": {"type": "integer"}}}}}}}
+    rows = [{"a": {"b.c": ["s", None]}, "A": [{"x": [1]}]}, {"a": {"b.c": [1], "t`": 2}, "A": [{}, None, {"x": ["s"]}]}, {"a": {}, "A": None}, {}]
+    df = spark.createDataFrame([("r", str(k), json.dumps(r)) for k, r in enumerate(rows)], "run_id string, source_file string, text string")
+    assert {(r.source_file, r.field, r.rule) for r in CT.violations(df, own).collect()} == {
+        ("1", "a.b.c[]", "type"), ("1", "a.t`", "type"), ("1", "A[].x", "required"), ("1", "A[]", "type"), ("1", "A[].x[]", "type"),
+        ("2", "a.b.c", "required"), ("2", "A", "type"), ("3", "a", "required"), ("3", "A", "required")}
