@@ -27,3 +27,20 @@ def test_estate_tasks_are_bounded(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_shuffles_grow_with_the_estate(spark, monkeypatch):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    conf = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", initial: None}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    monkeypatch.setattr(fx, "_ESTATE", {})
+    monkeypatch.setattr(fx, "TASK_ROWS", 5000)
+    try:
+        for k, v in conf.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        df = fx.aces(spark, SF)
+        assert df.groupBy("folder_path").count().rdd.getNumPartitions() >= df.count() // 5000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
