@@ -96,7 +96,7 @@ def _rescore(spark: SparkSession, store: str, findings_dir: str, epoch_id: int,
                .select(F.col("run_id").alias("_r"), F.col("folder_path").alias("_f")))
     cond = all_aces["run_id"].eqNullSafe(touched["_r"]) & all_aces["folder_path"].eqNullSafe(touched["_f"])
     folders = all_aces.join(touched, cond, "left_semi").drop("epoch")
-    found = apply_rules(folders, ruleset, keep=("run_id",)).withColumn("epoch", F.lit(epoch_id))
+    found = apply_rules(folders, ruleset, keep=("run_id",), counts_first=False).withColumn("epoch", F.lit(epoch_id))
     (found.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id", "epoch").parquet(findings_dir))
 

@@ -103,3 +103,19 @@ def test_pattern_classification():
 def test_ace_inherited_is_parsed_not_truthy():
     rs = load_ruleset({"rules": [{"id": "x", "ace_inherited": "false"}]})
     assert rs.rules[0].ace_inherited is False
+
+
+def test_rows_are_not_shuffled_for_the_folder_count(spark, tmp_path):
+    # the folder count takes part in the rules without moving the rows, and only names that repeat are joined
+    rows = [(f"f{i % 3}", f"n{i}", f"s{i}", "Read") for i in range(30)] + [("hot", "same", "s", "Read")] * 101 + [(None, "x", None, "Read")] * 2
+    path = str(tmp_path / "aces")
+    ace_df(spark, rows).write.parquet(path)
+    aces = spark.read.parquet(path)
+    found = apply_rules(aces, load_ruleset())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    got = {k: n for k, n in found.where("rule_id in ('AclTooManyAces', 'DuplicateAceEntries')").groupBy("rule_id", "folder_path").count()
+           .select("rule_id", "folder_path", "count").rdd.map(lambda r: ((r[0], r[1]), r[2])).collect()}
+    assert got == {("AclTooManyAces", "hot"): 101, ("DuplicateAceEntries", "hot"): 101, ("DuplicateAceEntries", ""): 2}
+    lazy = apply_rules(aces, load_ruleset(), counts_first=False)
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, found.collect()))
