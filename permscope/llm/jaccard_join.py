@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from permscope.llm.blobs import BLOB_SCHEMA, shard_table, to_blobs, unpack_blobs, without
 from permscope.llm.superkmers import default_buckets
-from permscope.llm.tables import components, stored
+from permscope.llm.tables import components, joined, stored
 from permscope.llm.text import BATCH_BYTES, keyed, mix, ranges, raw_bytes, rolling, text_batches, word_hashes, words_of
 
 SKETCH = 1024        # least bits of a sketch: the parity of the tokens that hash to each
@@ -477,8 +477,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     for nearest in (True, False):  # most components of a family join by their nearest pairs; then all pairs that are left
         pairs = stored(_between(groups, comp, nodes, percent, shards, nearest), "pairs")
         if not pairs.isEmpty():
-            links = stored(links.unionByName(_verify(pairs, docs, places, n, percent, shards)), "links")
-            comp = components(links)
+            links = stored(_verify(pairs, docs, places, n, percent, shards), "links")
+            comp = joined(comp, links)
     sets = sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     first = sets.where("size > 0").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("low"))
     none = F.col("size") == 0

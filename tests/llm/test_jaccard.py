@@ -147,6 +147,37 @@ def test_components_of_random_graphs(spark):
     assert got == {x: min(y for y in touched if find(y) == find(x)) for x in touched}
 
 
+def test_edges_of_one_task_are_stars_at_once(spark, monkeypatch):
+    from permscope.llm import tables
+
+    made = []
+    monkeypatch.setattr(tables, "stored", lambda df, name, f=tables.stored: made.append(name) or f(df, name))
+    edges = spark.createDataFrame([(k, k + 1) for k in range(100)] + [(7, 7), (300, 200), (200, 300)], "a long, b long")
+    got = {r.node: r.comp for r in components(edges.coalesce(1)).collect()}
+    assert got == {k: 0 for k in range(101)} | {200: 200, 300: 200}
+    assert made == ["edges"]  # no round was needed
+
+
+def test_edges_added_later_join_components(spark):
+    from permscope.llm.tables import joined
+
+    rng = random.Random(2)
+    edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(120)]
+    more = [(rng.randint(0, 320), rng.randint(0, 320)) for _ in range(60)] + [(400, 401), (402, 402), (0, 400)]
+
+    def of(rows):
+        return spark.createDataFrame(rows, "a long, b long").repartition(3)
+
+    def got(comp):
+        return sorted((r.node, r.comp) for r in comp.collect())
+
+    first = components(of(edges))
+    want = got(components(of(edges + more)))
+    assert got(joined(first, of(more))) == want
+    assert joined(first, of(more).limit(0)) is first
+    assert got(joined(components(of(edges).limit(0)), of(edges + more))) == want
+
+
 def test_sketches_never_differ_more_than_the_sets():
     rng = random.Random(6)
     texts = []
