@@ -7,14 +7,14 @@ cut before each run of ASCII white space that follows a character which is
 surely no white space, and the ids of a text are those of its chunks in order
 (tests compare with encoding the whole text).  Both kinds also end a word before
 a punctuation mark, so ``encode`` cuts between an ASCII letter and one of
-``.,;:!?`` as well, which leaves fewer different chunks.  Equal chunks of a
-batch are encoded once.
+``.,;:!?#$%&*")`` as well, which leaves fewer different chunks.  Equal chunks
+of a batch are encoded once.
 """
 
 from __future__ import annotations
 
 import functools
-import re
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -49,6 +49,7 @@ _known: dict[str, tuple[dict[bytes, bytes], dict[bytes, bytes]]] = {}
 
 @functools.lru_cache(maxsize=2)
 def load(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each core has its task; the library would start threads for all in each
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -57,7 +58,7 @@ def load(path: str):
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _MARK = np.zeros(256, bool)
-_MARK[list(b".,;:!?")] = True
+_MARK[list(b'.,;:!?#$%&*")')] = True  # none that stands after a letter in a special token
 
 
 def cuts(data: np.ndarray, off: np.ndarray, marks: bool = False) -> np.ndarray:
@@ -85,9 +86,6 @@ def cuts(data: np.ndarray, off: np.ndarray, marks: bool = False) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-_PLAIN = re.compile(rb" [A-Za-z]+").fullmatch
-
-
 @functools.lru_cache(maxsize=2)
 def _edges(path: str) -> tuple[np.ndarray, bool]:
     """(per id: is it the edge of a word, is that edge the word's end): an end-of-word mark, or the space before."""
@@ -100,25 +98,34 @@ def _edges(path: str) -> tuple[np.ndarray, bool]:
 def _ids_of(chunks: list[bytes], path: str) -> list[bytes]:
     """Ids of each chunk, as little-endian 32-bit integers.
 
-    Chunks of one space and ASCII letters are one word each.  Many of them are
-    encoded as one text, whose ids are cut at the words' edges again.
+    Chunks of one space and letters are one word each.  Many of them are
+    encoded as one text, whose ids are cut at the words' edges again.  Each has
+    one edge at least, so as many edges as chunks are one each (a letter that
+    the library splits gives more; then fewer are encoded together, or one).
     """
     tokenizer, (edge, is_end) = load(path), _edges(path)
     out: list = [None] * len(chunks)
-    plain = [k for k, c in enumerate(chunks) if _PLAIN(c)]
-    for i in range(0, len(plain), 1024):
-        part = plain[i:i + 1024]
-        ids = np.array(tokenizer.encode(b"".join([chunks[k] for k in part]).decode(), add_special_tokens=False).ids, "<u4")
-        cut = np.flatnonzero(edge[ids]) + is_end
-        cut = np.append(0, cut) if is_end else np.append(cut, len(ids))
-        if len(cut) == len(part) + 1 and cut[0] == 0 and cut[-1] == len(ids):
-            raw, at = ids.tobytes(), (4 * cut).tolist()
-            for k, a, b in zip(part, at, at[1:]):
-                out[k] = raw[a:b]
+    texts = [c.decode() for c in chunks]
+    plain = [k for k, t in enumerate(texts) if t[0] == " " and t[1:].isalpha()]
+    for n in (1024, 32):
+        left = []
+        for i in range(0, len(plain), n):
+            part = plain[i:i + n]
+            found = tokenizer.encode_batch_fast(["".join([texts[k] for k in part])], add_special_tokens=False)
+            ids = np.array(found[0].ids, "<u4")
+            cut = np.flatnonzero(edge[ids]) + is_end
+            cut = np.append(0, cut) if is_end else np.append(cut, len(ids))
+            if len(cut) == len(part) + 1 and cut[0] == 0 and cut[-1] == len(ids):
+                raw, at = ids.tobytes(), (4 * cut).tolist()
+                for k, a, b in zip(part, at, at[1:]):
+                    out[k] = raw[a:b]
+            else:
+                left += part
+        plain = left
     rest = [k for k, found in enumerate(out) if found is None]
     for i in range(0, len(rest), 4096):  # the library's encodings are large: few at a time
         part = rest[i:i + 4096]
-        found = tokenizer.encode_batch_fast([chunks[k].decode() for k in part], add_special_tokens=False)
+        found = tokenizer.encode_batch_fast([texts[k] for k in part], add_special_tokens=False)
         for k, e in zip(part, found):
             out[k] = array("I", e.ids).tobytes()
     return out

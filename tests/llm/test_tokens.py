@@ -39,6 +39,46 @@ def test_chunks_at_odd_white_space(name, texts):
     assert chunked(name, texts) == whole(name, texts)
 
 
+@pytest.mark.parametrize("name", KINDS)
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(st.text(alphabet="aZ 's\n#$%&*\")(<|>.-_é\u0301\u00adİßǰJ\u030cक़\u093f한ᄒ\u1161²٣", max_size=30)
+                      | st.sampled_from(["a<|endoftext|>b", "it's#re 'll%", "x<|startoftext|>*"]), max_size=4))
+def test_chunks_at_marks_and_letters_of_other_scripts(name, texts):
+    tk._known.clear()  # nothing encoded before
+    assert chunked(name, texts) == whole(name, texts)
+
+
+class Counted:
+    """A tokenizer that counts the texts it encodes."""
+
+    def __init__(self, path):
+        self.own, self.texts = tk.load(path), 0
+
+    def __getattr__(self, name):
+        return getattr(self.own, name)
+
+    def encode(self, text, **kw):
+        self.texts += 1
+        return self.own.encode(text, **kw)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.texts += len(texts)
+        return self.own.encode_batch_fast(texts, **kw)
+
+
+@pytest.mark.parametrize("name", KINDS)
+def test_words_of_letters_are_encoded_together(name, monkeypatch):
+    words = [f"{a}{b}{c}" for a in "éßüñо日aα" for b in "xйéab" for c in "çcšd"]
+    texts = [" " + " ".join(words), " " + " ".join(f"ab{m} cd{m}{m}" for m in '#$%&*")')]
+    want = whole(name, texts)
+    counted = Counted(tk.tokenizer_path(name))
+    tk._edges(tk.tokenizer_path(name))
+    monkeypatch.setattr(tk, "load", lambda path: counted)
+    tk._known.clear()
+    assert chunked(name, texts) == want
+    assert counted.texts <= 1 + 2 * 7  # the words in one text; each mark once alone and once doubled
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 70000), st.integers(0, 2**32 - 1)), max_size=50))
 def test_rank_coding_round_trip(ranks):
