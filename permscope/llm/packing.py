@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from permscope.llm.tables import stored
-from permscope.llm.text import keyed, ranges, text_batches
+from permscope.llm.text import BATCH_BYTES, keyed, ranges, text_batches
 from permscope.llm.tokens import crc32s, encode, with_end
 
 CAPACITY = 1024
@@ -74,7 +74,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
     """``doc_id, piece, start, length, ids_crc32`` and the place (task, nth) of each piece among its length."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for b in text_batches(batches):
+        for b in text_batches(batches, limit=2 * BATCH_BYTES):  # fewer different chunks a byte
             ids, off = with_end(*encode(b.column("text"), tokenizer), end_id)
             size = np.diff(off)
             number = -(-size // capacity)
