@@ -1,6 +1,7 @@
 """The derived estate is written by tasks of a bounded size, whatever the session's settings."""
 
 import glob
+import os
 
 import pyarrow.parquet as pq
 
@@ -44,3 +45,31 @@ def test_shuffles_grow_with_the_estate(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_written_tables_leave_no_shuffle_files(spark, monkeypatch):
+    import time
+
+    from permscope.session import checkpointed
+
+    def left():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in dirs for f in glob.glob(f"{d.getPath()}/*/shuffle_*.data")}
+
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(fx, "_ESTATE", {})
+    before = left()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = fx.aces(spark, SF)
+        assert checkpointed(df.groupBy("folder_path").count()).count() > 1000
+        for _ in range(50):
+            if not left() - before:
+                break
+            time.sleep(0.1)
+        # the count of the written table is the only shuffle that may be left
+        assert sum(os.path.getsize(f) for f in left() - before) < 10_000
+        assert spark.conf.get(cleanup) == "false"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
