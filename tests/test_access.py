@@ -199,3 +199,18 @@ def test_closure_follows_edge_changes(spark, seed):
         assert len(rows) == len({tuple(r) for r in rows})
         assert pairs(closure) == pairs(ID.membership_closure(frame(after), include_self=True))
         edges = after
+
+
+def test_access_is_kept_by_acl_number(spark, monkeypatch):
+    # fingerprints are 64 characters that no codec shortens: only the table of ACLs keeps them
+    kept = []
+
+    def keep(df):
+        kept.append(df.localCheckpoint())
+        return kept[-1]
+
+    _, _, df, people, closure = frames(spark, 1)
+    monkeypatch.setattr(AC, "checkpointed", keep)
+    access = AC.access_table(df, people, closure)
+    assert sum("acl_fingerprint" in x.columns for x in kept) == 2
+    assert set(access.rows.columns) >= {"run_id", "acl_fingerprint", "folders"} and access.rows.count() == kept[-1].count()
