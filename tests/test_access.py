@@ -94,6 +94,28 @@ def test_access_of_all_users(spark, seed):
         v >= 2 for key, v in want.items() if key[2] == "u3")
 
 
+@pytest.mark.parametrize("seed", [1, 2, 5])
+def test_rises_folder_by_folder(spark, seed):
+    edges, aces, df, people, closure = frames(spark, seed)
+    gone, new = "u2", "u4"  # a user of the first snapshot only, one of the second only
+    sides, want = [], []
+    for s, r, without in (("s1", "r1", new), ("s2", "r2", gone)):
+        sides.append(AC.access_table(df.where(f"run_id = '{r}'"), people.where(f"snapshot_id = '{s}' and sid != '{without}'"),
+                                     closure.where(f"snapshot_id = '{s}'")))
+        want.append({(k[2], k[3]): v for k, v in expected(edges, aces).items() if k[:2] == (r, s) and k[2] != without})
+    names = ["none", *AC.BUCKETS]
+    diff = AC.access_diff(*sides)
+    got = {(x.user_sid, x.folder_path): (x.bucket_before, x.bucket_after)
+           for x in AC.rises_of(diff, *sides, people.where("principal_type != 'group'")).collect()}
+    rises = {k: (names[want[0].get(k, 0)], names[v]) for k, v in want[1].items() if v > want[0].get(k, 0)}
+    assert got == rises and any(k[0] == new for k in rises) and len({k[1] for k in rises}) > 3
+    kinds = {x.holder_kind for x in diff.collect()}
+    assert kinds == {"everyone", "class", "user"}
+    evidence = {(x.user_sid, x.folder_path): x.matched_sid for x in AC.access_of(sides[1], people.where("principal_type != 'group'")).collect()}
+    assert all(evidence[x.user_sid, x.folder_path] == x.matched_sid
+               for x in AC.rises_of(diff, *sides, people.where("sid = 'u3'")).collect())
+
+
 def test_summary_of_no_rows(spark):
     _, _, df, people, closure = frames(spark, 1)
     assert AC.access_summary(AC.access_table(df.limit(0), people, closure)).count() == 0
