@@ -49,6 +49,41 @@ def test_spans_as_rows(spark, odd_docs):
     assert spans.columns == ["doc_id", "fp", "s", "e"] and spans.where("e - s < 13").count() == 0
 
 
+def test_tasks_pack_their_batches_together(spark, odd_docs):
+    from permscope.llm.suffix_dedup import byte_units
+    from permscope.llm.suffix_dedup import repeated_spans as byte_spans
+    from permscope.llm.text import keyed
+
+    arrow = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(arrow)
+    docs = odd_docs.unionByName(odd_docs.selectExpr("doc_id + 1000 AS doc_id", *[c for c in odd_docs.columns if c != "doc_id"]))
+    docs = docs.select(odd_docs.columns).coalesce(1)
+    try:
+        spark.conf.set(arrow, "3")
+        packed = sk.exchange(keyed(docs, "doc_id", "text"), byte_units, 100, 16, 8, within=True)
+        assert 1 < packed.count() <= 8  # a row per bucket, not per bucket and batch
+        spans = byte_spans(docs, buckets=64)
+        assert spans.columns == ["shard", "doc_id", "fp", "s", "e"] and spans.count() > 1
+    finally:
+        spark.conf.set(arrow, before)
+
+
+def test_blobs_keep_a_text_once(spark):
+    from pyspark.sql import functions as F
+
+    from permscope.llm.blobs import to_blobs
+    from permscope.llm.text import keyed
+
+    many = F.concat(*(F.sha2(F.concat("id", F.lit(f"-{k}")), 256) for k in range(20)))
+    docs = spark.range(60).select(F.col("id").alias("doc_id"), F.when(F.col("id") != 7, many).alias("text"), F.lit("x").alias("lang"))
+    every = keyed(docs, "doc_id", "text", F.struct(*docs.columns).alias("row"))
+    blobs = to_blobs(every, 4)
+    assert sum(len(r.blob) for r in blobs.collect()) < 0.7 * sum(len(r.blob) for r in to_blobs(
+        every.withColumn("row", F.col("row").withField("text", F.concat(F.col("row.text"), F.lit(" ")))), 4).collect())
+    back = rows_of(blobs, every.schema.simpleString()[7:-1].replace(":", " ", 3).replace("row:", "row "))
+    assert sorted(map(str, back.collect())) == sorted(map(str, every.collect()))
+
+
 def test_empty_tables(no_docs):
     assert dedup_substrings(no_docs).count() == 0
     assert dedup_bytes(no_docs).count() == 0
