@@ -62,7 +62,8 @@ def _dacl(sddl: Column) -> Column:
 
 def sddl_protected(sddl: Column) -> Column:
     """Does the list refuse inherited entries?  Null without a discretionary list."""
-    flags = F.upper(F.regexp_extract(_dacl(sddl), r"^([A-Za-z_]*)", 1))
+    # letters up to the first ACE; without one the S of "S:" may follow, which is no flag
+    flags = F.upper(F.regexp_extract(sddl, r"(?is)^[^(]*?D:([A-Z_]*)", 1))
     return F.when(sddl.rlike(r"(?is)^[^(]*?D:"), F.regexp_replace(flags, "NO_ACCESS_CONTROL|AR|AI", "").contains("P"))
 
 
@@ -82,14 +83,16 @@ def rights_mask(rights: Column) -> Column:
 def flag_codes(words: Column) -> Column:
     """Canonical flag codes (``OICI``, in a fixed order) of SDDL codes or of exporters' words in any order."""
     w = F.lower(F.coalesce(words, F.lit("")))
-    compact = F.regexp_replace(F.upper(F.coalesce(words, F.lit(""))), r"[^A-Z]", "")
-    codes = compact.rlike(r"^(OI|CI|NP|IO|ID|SA|FA)*$")
-    pairs = F.when(codes, F.regexp_extract_all(compact, F.lit("[A-Z]{2}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    upper = F.upper(F.coalesce(words, F.lit("")))
+    # codes only, whatever stands between the letters
+    codes = upper.rlike(r"^[^A-Z]*+((O[^A-Z]*+I|C[^A-Z]*+I|N[^A-Z]*+P|I[^A-Z]*+[OD]|[SF][^A-Z]*+A)[^A-Z]*+)*$")
+    compact = F.regexp_replace(upper, r"[^A-Z]", "")
+    pairs = F.when(codes & (upper != ""), F.regexp_extract_all(compact, F.lit("[A-Z]{2}"), F.lit(0))).otherwise(F.array().cast("array<string>"))
     one = []
     for code, names in FLAGS.items():
         hit = F.array_contains(pairs, code)
         for n in names:
-            hit = hit | (~codes & w.rlike(rf"(^|[^a-z]){n}"))
+            hit = hit | (w.contains(n) & ~codes & w.rlike(rf"(^|[^a-z]){n}"))  # the cheap test first
         one.append(F.when(hit, F.lit(code)).otherwise(F.lit("")))
     return F.concat(*one)
 

@@ -33,11 +33,15 @@ def _col(df: DataFrame, name: str, typ: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(typ)
 
 
-def raw_flags(raw: Column) -> Column:
-    """Flag codes of the exporter's ``InheritanceFlags`` and ``PropagationFlags`` (any case) in the raw entry."""
-    fields = F.transform_keys(F.from_json(F.when(raw.startswith("{"), raw), "map<string,string>"), lambda k, v: F.lower(k))
-    words = F.transform(F.array(fields), lambda m: F.concat_ws(", ", m["inheritanceflags"], m["propagationflags"]))
-    return flag_codes(F.get(words, F.lit(0)))
+def _with_raw_flags(rows: DataFrame) -> DataFrame:
+    """``_raw_flags`` from ``_raw``: flag codes of the exporter's ``InheritanceFlags`` and ``PropagationFlags`` (any case).
+
+    One projection a step, not lambdas over the parsed entry: those are evaluated interpreted.
+    """
+    fields = F.transform_keys(F.from_json(F.when(F.col("_raw").startswith("{"), F.col("_raw")), "map<string,string>"), lambda k, v: F.lower(k))
+    rows = rows.withColumn("_raw", fields)
+    rows = rows.withColumn("_raw", F.concat_ws(", ", F.col("_raw")["inheritanceflags"], F.col("_raw")["propagationflags"]))
+    return rows.withColumn("_raw_flags", flag_codes(F.col("_raw"))).drop("_raw")
 
 
 def canonical_lines(aces: DataFrame) -> DataFrame:
@@ -50,8 +54,9 @@ def canonical_lines(aces: DataFrame) -> DataFrame:
         F.lower(F.coalesce(_col(aces, "ace_type"), F.lit(""))).alias("type"),
         normalize_mask(_col(aces, "ace_mask")).alias("mask"),
         F.coalesce(_col(aces, "ace_inherited", "boolean"), F.lit(False)).alias("inherited"),
-        F.coalesce(flags, raw_flags(_col(aces, "ace_raw")), F.lit("")).alias("flags"),
+        flags.alias("flags"), _col(aces, "ace_raw").alias("_raw"),
         _col(aces, "sddl").alias("sddl"), _col(aces, "owner").alias("owner"), _col(aces, "collected_utc").alias("collected_utc"))
+    rows = _with_raw_flags(rows).withColumn("flags", F.coalesce("flags", "_raw_flags", F.lit(""))).drop("_raw_flags")
     text = F.concat_ws("|", F.when(F.col("sid") != "", F.col("sid")).otherwise(F.concat(F.lit("name:"), F.col("name"))), "type", "mask",
                        F.col("inherited").cast("int").cast("string"), "flags")
     rows = rows.withColumn("line", text).withColumn("_h", F.md5("line"))

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -140,3 +141,19 @@ def test_a_new_ruleset_scores_again_and_a_dead_batch_does_not_count(spark, tmp_p
 def test_folder_acls_join_missing_and_empty_paths(spark):
     df = rows_of(spark, [("r", None, "s", "n", "Read"), ("r", "", "s", "n", "Read")])
     assert [(r.folder_path) for r in folder_acls(df).collect()] == [""]
+
+
+def test_flags_and_protection_are_cheap_and_exact(spark):
+    words = {"O I,c-i": "OICI", "OIX": "", "xObjectInherit": "", "x ObjectInherit": "OI", "objectinheritance": "OI", " | ": "", "sa FA id": "IDSAFA"}
+    df = spark.createDataFrame(list(words.items()), "w string, want string")
+    assert df.where(SD.flag_codes(F.col("w")) != F.col("want")).collect() == []
+    texts = {"D:PAIS:AI(AU;SAFA;FA;;;WD)": True, "D:S:P(A;;FA;;;BA)": False, "O:BAD:ARAI(A;;FA;;;BA)": False, "G:DUD:NO_ACCESS_CONTROL": False, "O:BA": None,
+             "D:NO_ACCESS_CONTROLP": True, "D:aips:(A;;FA;;;BA)": True}
+    df = spark.createDataFrame(list(texts.items()), "t string, want boolean")
+    assert df.where(~SD.sddl_protected(F.col("t")).eqNullSafe(F.col("want"))).collect() == []
+    raw = '{"inheritanceFLAGS": "ObjectInherit", "InheritanceFlags": "ContainerInherit", "x": "y"}'
+    aces = rows_of(spark, [("r", "a", "s", "n", "Read", "allow", False, t) for t in (raw, "[1]", "{", None, "{}")])
+    assert sorted(r.flags for r in CA.canonical_lines(aces).collect()) == ["", "", "", "", "CI"]
+    # the flags are picked from a column, not from a lambda's variable
+    plan = CA.canonical_lines(aces)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"_raw#\d+\[inheritanceflags\]", plan)
