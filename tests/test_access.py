@@ -236,3 +236,23 @@ def test_access_is_kept_by_acl_number(spark, monkeypatch):
     access = AC.access_table(df, people, closure)
     assert sum("acl_fingerprint" in x.columns for x in kept) == 2
     assert set(access.rows.columns) >= {"run_id", "acl_fingerprint", "folders"} and access.rows.count() == kept[-1].count()
+
+
+def test_findings_with_radius_deal_rows_out_once_a_key(spark):
+    from permscope.operators.fingerprint import findings_standard
+    from permscope.operators.rules import apply_rules
+
+    _, _, df, people, closure = frames(spark, 3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = findings_standard(apply_rules(df, keep=("run_id",)), df)
+        out = AC.findings_with_radius(found, df, people, closure, "s1")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        wide = [x for x in plan.split("\n") if "Exchange hashpartitioning(ace_sid" in x]
+        rest = plan[:plan.index(wide[0])]
+        assert "Exchange hashpartitioning(coalesce(run_id" not in rest  # findings go by folder, then by SID
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert out.columns[-4:] == ["blast_radius_read", "blast_radius_write", "folder_blast_radius_read", "folder_blast_radius_write"]
+    assert found.where("run_id is null and object_id is null").count() == 0  # a missing run id is a run of its own
